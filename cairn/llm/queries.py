@@ -12,6 +12,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import BASE_KINDS, find_pii, joined
+
+    pii = F.col("pii")
+    found = find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    base = F.filter(pii, lambda s: s["kind"].isin(*BASE_KINDS))
+    of_kind = lambda k: F.filter(pii, lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(pii).alias("spans"))
+
+
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls, outcomes_of
 
@@ -19,6 +30,12 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
