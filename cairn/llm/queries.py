@@ -12,6 +12,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_file import read_shards, write_shards
+
+    return read_shards(write_shards(_table(spark, sf_dir, "documents")))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import BASE_KINDS, find_pii, joined
 
@@ -30,6 +36,12 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import decode, digests, encode
+
+    return digests(decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
