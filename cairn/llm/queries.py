@@ -12,6 +12,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import taken
+
+    return taken(_table(spark, sf_dir, "documents"))
+
+
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_file import read_shards, write_shards
 
@@ -52,6 +58,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
 
+OP1_SQL = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+per AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][CAST((i - 1) % 3 + 1 AS INT)] AS DOUBLE) AS w, source_size * 2.0::DOUBLE AS cap FROM per),
+fill AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+  row_number() OVER (ORDER BY cap / w, i) AS place FROM w),
+capped AS (SELECT *, level * w >= cap AS capped FROM fill),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE w * (SELECT level FROM capped WHERE NOT capped ORDER BY place LIMIT 1) END AS target FROM capped),
+line AS (SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(least(size, greatest(0, floor(target) - cum)) + least(size, greatest(0, floor(target) - source_size - cum)) AS BIGINT) AS taken FROM line
+"""
+
 _TWO = "('co.uk','org.uk','ac.uk','gov.uk','com.au','net.au','org.au','co.jp','ne.jp','co.nz','com.br','co.in','com.cn','com.mx','co.za','co.kr')"
 
 
@@ -86,4 +105,4 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 FROM rules JOIN h USING (host)
 """
 
-ORACLE_SQL = {"op4_url_reputation": OP4_SQL}
+ORACLE_SQL = {"op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
