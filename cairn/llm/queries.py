@@ -42,6 +42,14 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import held_out, identify, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs.select("doc_id", "text"), train(docs))
+    return found.select("doc_id", held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import decode, digests, encode
 
