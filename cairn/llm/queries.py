@@ -56,6 +56,12 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
