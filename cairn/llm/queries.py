@@ -42,6 +42,13 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import search
+
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search(vectors, vectors.filter(F.col("vec_id") % 100 == 0).select("vec_id"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import held_out, identify, train
 
