@@ -222,9 +222,9 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", vocab: str = V
     return df.withColumn(out, F.arrow_udf(run, "string")(F.col(f"`{ids}`")))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of a table with ids and decoded."""
+def digests(encoded: DataFrame, *more) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of a table with ids and decoded, and more columns."""
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), *more,
     )

@@ -63,6 +63,12 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))))
 
 
+def op8_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .recurrent_lm import score_texts
+
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dup import near_duplicates
 
