@@ -124,15 +124,17 @@ def feature_list(catalog: SchemaCatalog, conf: LiftConfig, model_type: str, prop
 
 
 def feature_pipeline(catalog: SchemaCatalog, conf: LiftConfig = LiftConfig(), model_type: str = "regression", propensity_model: str = "LogisticRegression", bucketize: bool = False, day_of_week: bool | None = None) -> Pipeline:
-    """Exposure, indicators, indexers, encoders, assembler. The treatment indexer is alphabetical, so its labels do not depend on counts."""
+    """Exposure, indicators, indexers, encoders, assembler. Indexers are
+    alphabetical, so labels do not depend on counts. Encoders leave out the last category, which the
+    intercept holds; null or unseen categories of a customer raise."""
     names = feature_list(catalog, conf, model_type, propensity_model, bucketize, day_of_week)
     drop_last_day = model_type == "regression" or propensity_model == "LogisticRegression"
     stages = [
         ExposureTransformer(config=json.dumps(conf.__dict__), bucketize=bucketize),
         IndicatorTransformer(inputCols=list(catalog.traffic_features)),
         IndicatorTransformer(inputCols=list(catalog.holiday_features)),
-        StringIndexer(inputCol="customerRfm", outputCol="customerRfm_indexed", handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=["customerPropensityBucket", "customerRfm_indexed"], outputCols=["customerPropensity_dummy", "customerRfm_dummy"], handleInvalid="keep"),
+        StringIndexer(inputCol="customerRfm", outputCol="customerRfm_indexed", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=["customerPropensityBucket", "customerRfm_indexed"], outputCols=["customerPropensity_dummy", "customerRfm_dummy"]),
     ]
     if DAY_FEATURE in names:
         stages += [StringIndexer(inputCol="day_of_week", outputCol="day_of_week_indexed", handleInvalid="keep", stringOrderType="alphabetAsc"), OneHotEncoder(inputCols=["day_of_week_indexed"], outputCols=[DAY_FEATURE], dropLast=drop_last_day, handleInvalid="keep")]

@@ -71,13 +71,22 @@ def meat(df: DataFrame, x: Column, w: Column, y: Column, b: np.ndarray) -> np.nd
     return normal_equations(df, x, w * w * e * e, F.lit(0.0), len(b))[0]
 
 
+def inverse(m: np.ndarray) -> np.ndarray:
+    """The inverse, or for collinear features the pseudo-inverse."""
+    return np.linalg.inv(m) if np.linalg.matrix_rank(m) == len(m) else np.linalg.pinv(m)
+
+
+def coefficients(gram: np.ndarray, moment: np.ndarray) -> np.ndarray:
+    return np.linalg.solve(gram, moment) if np.linalg.matrix_rank(gram) == len(gram) else inverse(gram) @ moment
+
+
 def solve(gram: np.ndarray, moment: np.ndarray, meat_sum: np.ndarray | None, restricted: int) -> dict[str, np.ndarray]:
     """Full and restricted coefficients (the last `restricted` ones 0), the restriction matrix, and, with the meat, the sandwich."""
     k = len(moment)
-    a = np.linalg.inv(gram)
-    b = np.linalg.solve(gram, moment)
+    a = inverse(gram)
+    b = coefficients(gram, moment)
     r = np.eye(k)[k - restricted:]
-    v = np.eye(k) - a @ r.T @ np.linalg.inv(r @ a @ r.T) @ r if restricted else np.eye(k)
+    v = np.eye(k) - a @ r.T @ inverse(r @ a @ r.T) @ r if restricted else np.eye(k)
     b0 = v @ b
     b0[k - restricted:] = 0.0
     return {"b": b, "b0": b0, "V": v} | ({} if meat_sum is None else {"cov": a @ meat_sum @ a})
@@ -153,7 +162,7 @@ class LiftRegression(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWr
         try:  # two passes: normal equations, then residuals
             x, w, y = F.col("x"), F.col("w"), F.col("y")
             gram, moment = normal_equations(lean, x, w, y, len(names))
-            found = solve(gram, moment, meat(lean, x, w, y, np.linalg.solve(gram, moment)), self.getOrDefault(self.restricted))
+            found = solve(gram, moment, meat(lean, x, w, y, coefficients(gram, moment)), self.getOrDefault(self.restricted))
         finally:
             lean.unpersist()
         state = json.dumps({k: v.tolist() for k, v in found.items()} | {"names": names})
