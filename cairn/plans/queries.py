@@ -131,12 +131,12 @@ def constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_constants(set_zeros(c, ["c_nationkey"]), {"seven": 7}).withColumn("c_acctbal", floor_at(F.col("c_acctbal"), 0.0))
 
 
-_RFM = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
 @_register("feature_vectors", f"""WITH {LABELLED}, cal AS (SELECT CAST(d AS DATE) AS calendar_date, CASE WHEN isodow(d) > 5 THEN 1 ELSE 0 END AS is_weekend, CASE WHEN day(d) = 1 THEN 1 ELSE 0 END AS is_month_start FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) t(d) WHERE d <> TIMESTAMP '2024-01-15'),
-v AS (SELECT event_id, treatment_type, [CASE WHEN lag_clicks > 0 THEN 1 ELSE 0 END, CASE WHEN lag_views > 0 THEN 1 ELSE 0 END, coalesce(is_weekend, 0), coalesce(is_month_start, 0), aap_out_imp_1, aap_out_imp_7, CAST(prime AS INT)] || [CASE WHEN bucket = i THEN 1 ELSE 0 END FOR i IN [0, 1, 2, 3]] || [CASE WHEN rfm = s THEN 1 ELSE 0 END FOR s IN {list(_RFM[:-1])}] AS f FROM lab LEFT JOIN cal ON date = calendar_date)
-SELECT event_id, CAST(CASE treatment_type WHEN 'aap' THEN 0 WHEN 'ada' THEN 1 ELSE 2 END AS DOUBLE) AS treatment_type_indexed, list_sum([f[i] * i FOR i IN range(1, 16)])::DOUBLE AS weighted_sum, list_sum(f)::DOUBLE AS plain_sum FROM v""")
+r AS (SELECT rfm, row_number() OVER (ORDER BY rfm) AS i, count(*) OVER () AS k FROM (SELECT DISTINCT rfm FROM lab)), top AS (SELECT max(bucket) AS mb FROM lab),
+v AS (SELECT event_id, treatment_type, bucket, mb, i, k, [CASE WHEN lag_clicks > 0 THEN 1 ELSE 0 END, CASE WHEN lag_views > 0 THEN 1 ELSE 0 END, coalesce(is_weekend, 0), coalesce(is_month_start, 0), aap_out_imp_1, aap_out_imp_7, CAST(prime AS INT)] AS f FROM lab JOIN r USING (rfm) LEFT JOIN cal ON date = calendar_date, top),
+arms AS (SELECT treatment_type, row_number() OVER (ORDER BY treatment_type) - 1 AS t FROM (SELECT DISTINCT treatment_type FROM lab))
+SELECT event_id, CAST(t AS DOUBLE) AS treatment_type_indexed, CAST(list_sum([f[j] * j FOR j IN range(1, 8)]) + CASE WHEN bucket < mb THEN 8 + bucket ELSE 0 END + CASE WHEN i < k THEN 7 + mb + i ELSE 0 END AS DOUBLE) AS weighted_sum,
+  CAST(list_sum(f) + CASE WHEN bucket < mb THEN 1 ELSE 0 END + CASE WHEN i < k THEN 1 ELSE 0 END AS DOUBLE) AS plain_sum FROM v JOIN arms USING (treatment_type)""")
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
