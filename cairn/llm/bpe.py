@@ -9,7 +9,7 @@ times the longest token, also for one word that fills a whole text.
 
 Words are cut as the byte-level pre-tokenizer cuts them. The strings of special tokens
 in a text become their ids, as the library has it. Encodings of recent words are kept
-per Python worker, CACHE_WORDS at most.
+per Python worker, twice CACHE_WORDS and half as many pieces at most.
 
 Edge cases: null text encodes like the empty text, to no ids; no ids (or null) decode
 to the empty text. Bytes that are not UTF-8 decode to U+FFFD. Ids outside the
@@ -18,18 +18,24 @@ vocabulary decode to nothing. Rows are independent; other columns pass through.
 
 from __future__ import annotations
 
+import gc
 import json
+import re
+from array import array
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .coded import Recent, distinct, per_text, slices, spread
 from .env import ship
 
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 2_000_000
+CACHE_WORDS = 150_000  # in each of two generations
+CACHE_PAIRS = 300_000
+SLICE_CHARS = 3_000_000  # encoded together
 VOCAB = "byte_bpe_50k.json"
 
 #: Unicode White_Space, spelled out so that no library's own idea of \s matters. Fixed values.
@@ -37,6 +43,9 @@ _WS = r"\t-\r \x85\xa0  -     　"
 #: The pre-tokenizer's pattern. Fixed value.
 _PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
 
+#: Any white space, in RE2's syntax; more than _WS, as a text that matches twice only takes the longer way. Fixed values.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 
 def vocab_path(name_or_path: str) -> str:
     """A file of the public tokenizers package by name, or any other path as it is."""
@@ -85,7 +94,9 @@ class Bpe:
         self.decoded = self.bytes_of | {v: k.encode() for k, v in self.special.items()}
         self.pieces = regex.compile(_PIECES).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.odd = "|".join([_SPACE + "{2}", *(re.sub(r"(\W)", r"\\\1", x) for x in self.special)])
+        self.table = [self.decoded.get(i, b"") for i in range(size)]
+        self.known, self.known_pieces = Recent(CACHE_WORDS), Recent(CACHE_WORDS // 2)
 
     def _compatible(self, a: int, b: int, limit: int) -> bool:
         """Whether a and b stay apart: taking their merges back from the last on, no
@@ -104,10 +115,11 @@ class Bpe:
             else:
                 limit, b = rb + 1, self.halves[b][0]
 
-    def encode_words(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Encodings of distinct words, by depth-first traversal of their trie."""
+    def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Encodings (32-bit ids) of distinct words, by depth-first traversal of their trie."""
         out, token, together, longest, before = {}, self.token, self.together, self.longest, b""
         last = [0] * (1 + max(map(len, words), default=0))  # last[i]: of the first i bytes on the path
+        width = [0] * len(last)  # its length in bytes
         if len(together) > CACHE_PAIRS:
             together.clear()
         for word in sorted(words):
@@ -116,57 +128,107 @@ class Bpe:
             while i < top and word[i] == before[i]:
                 i += 1
             for end in range(i + 1, n + 1):
-                for size in range(1, min(end, longest) + 1):
+                # one size fits; the last token grown by a byte is tried first
+                grown = width[end - 1] + 1
+                for size in (grown, *range(1, min(end, longest) + 1)):
                     t = token.get(word[end - size:end])
                     if t is None:
                         continue
                     if size == end:
-                        last[end] = t
                         break
                     key = last[end - size] << 20 | t
                     ok = together.get(key)
                     if ok is None:
                         ok = together[key] = self._compatible(key >> 20, t, 1 << 60)
                     if ok:
-                        last[end] = t
                         break
                 else:
                     raise ValueError("the vocabulary lacks a byte")
+                last[end], width[end] = t, size
             ids, at = [], n
             while at:
                 ids.append(last[at])
-                at -= len(self.bytes_of[last[at]])
-            out[word] = tuple(reversed(ids))
+                at -= width[at]
+            ids.reverse()
+            out[word] = array("i", ids).tobytes()
             before = word
         return out
 
-    def _segments(self, text: str) -> list[str]:
-        return self.cut(text) if self.cut and any(s in text for s in self.special) else [text]
+    def _learn(self, units: set[bytes], pieces: set[str]) -> None:
+        """Encodes new units and pieces, all in one traversal."""
+        cut, own = {}, self.pieces
+        for key in units:  # the common shapes, word and word with a mark, need no pattern
+            u = key.decode()
+            if u.isalpha():
+                cut[key] = (" " + u,)
+            elif u[:-1].isalpha() and u[-1] in ".,;:!?":
+                cut[key] = (" " + u[:-1], u[-1])
+            else:
+                cut[key] = own(u if u[:1] == "\n" else " " + u)
+        new = self.known_pieces.missing(pieces.union(*cut.values()))
+        now, known = self.known_pieces.now, self.known.now
+        now.update((w.decode(), ids) for w, ids in self.encode_words([p.encode() for p in new]).items())
+        for key, parts in cut.items():
+            known[key] = now[parts[0]] if len(parts) == 1 else b"".join([now[p] for p in parts])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        cut = []
-        for text in texts:
-            pieces: list[str] = []
-            for seg in self._segments(text):
-                if seg in self.special:
-                    pieces.append(seg)
-                elif seg:
-                    pieces += self.pieces(seg)
-            cut.append(pieces)
-        known = self.known
-        new = {p for pieces in cut for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = {p for pieces in cut for p in pieces}
-            plain = [p.encode() for p in new if p not in self.special]
-            known.update((w.decode(), ids) for w, ids in self.encode_words(plain).items())
-            known.update((s, (i,)) for s, i in self.special.items())
-        return [np.fromiter(chain.from_iterable([known[p] for p in pieces]), np.int32) for pieces in cut]
+        flat, lengths = self.encode_array(pa.array(texts, pa.string()))
+        return np.split(flat, np.cumsum(lengths)[:-1]) if len(lengths) else []
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has."""
+        gc.disable()  # nothing here makes cycles, and the caches are large to walk
+        try:
+            found = [self._encode_slice(some) for some in slices(texts, SLICE_CHARS)]
+        finally:
+            gc.enable()
+        return (np.concatenate([f for f, _ in found]), np.concatenate([n for _, n in found])) if found else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def _encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where no two white-space characters meet, no piece crosses from one word into
+        the space before the next, so words encode alone, each with its space or line
+        break before it; they are the units that are cached. Other texts, and those with
+        special tokens, go piece by piece, as does the first word of each."""
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd))
+        lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        offsets = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))].astype(np.int64)
+        words = lists.flatten()
+        codes, keys = distinct(words)
+        firsts = [self.pieces(w) for w in words.take(pa.array(offsets[:-1])).to_pylist()]
+        hard = [self._hard(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        pieces = {p for ps in firsts for p in ps}.union(p for parts in hard for ps in parts if not isinstance(ps, int) for p in ps)
+        units = np.ones(len(codes), bool)
+        units[offsets[:-1]] = False
+        used = np.zeros(len(keys), bool)
+        used[codes[units]] = True
+        self._learn(self.known.missing([k for k, u in zip(keys, used.tolist(), strict=True) if u]), pieces)
+        get, get_piece = self.known.now.get, self.known_pieces.now.__getitem__
+        table = [get(k, b"") if u else b"" for k, u in zip(keys, used.tolist(), strict=True)]
+        # the first words come after the units in the table
+        table += [b"".join(map(get_piece, ps)) for ps in firsts]
+        codes = codes.astype(np.int64)
+        codes[offsets[:-1]] = np.arange(len(keys), len(table))
+        flat, each = spread(codes, table, np.int32)
+        n = per_text(each, offsets)
+        if odd.any():
+            others = iter([np.frombuffer(b"".join(np.int32(x).tobytes() if isinstance(x, int) else b"".join(map(get_piece, x)) for x in parts), np.int32) for parts in hard])
+            rows = iter(np.split(flat, np.cumsum(n)[:-1]))
+            whole = [next(others) if o else next(rows) for o in odd]
+            flat, n = np.concatenate(whole), np.array([len(x) for x in whole], np.int64)
+        self.known.trim()
+        self.known_pieces.trim()
+        return flat, n
+
+    def _hard(self, text: str) -> list:
+        """Pieces of a text's segments, and ids of the special tokens between them."""
+        return [self.special[s] if s in self.special else self.pieces(s) for s in (self.cut(text) if self.cut else [text]) if s]
 
     def decode(self, ids: list[int]) -> str:
-        get = self.decoded.get
-        return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
+        try:
+            return b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
+        except (IndexError, TypeError):
+            return b"".join([self.decoded.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
 _loaded: dict[str, Bpe] = {}
@@ -178,35 +240,13 @@ def loaded(vocab: str) -> Bpe:
     return _loaded[vocab]
 
 
-_SLICE_CHARS = 4_000_000
-
-
-def _slices(texts: pa.Array):
-    """Texts in runs of bounded length, as lists."""
-    run, size = [], 0
-    for t in texts:
-        t = t.as_py() or ""
-        run.append(t)
-        size += len(t)
-        if size >= _SLICE_CHARS:
-            yield run
-            run, size = [], 0
-    yield run
-
-
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", vocab: str = VOCAB) -> DataFrame:
     """Adds array<int> of ids. vocab: a file name or path that workers can resolve."""
     ship(docs.sparkSession)
 
     def run(texts: pa.Array) -> pa.Array:
-        bpe, parts, ends, at = loaded(vocab), [], [0], 0
-        for some in _slices(texts):
-            for ids in bpe.encode_batch(some):
-                parts.append(ids)
-                at += len(ids)
-                ends.append(at)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        flat, n = loaded(vocab).encode_array(texts)
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(flat))
 
     return docs.withColumn(out, F.arrow_udf(run, "array<int>")(F.col(f"`{text}`")))
 
@@ -217,11 +257,32 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", vocab: str = V
 
     def run(lists: pa.Array) -> pa.Array:
         bpe = loaded(vocab)
-        return pa.array([bpe.decode(x.values.to_pylist() if x.is_valid else []) for x in lists], pa.string())
+        return pa.array([bpe.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else []) for x in lists], pa.string())
 
     return df.withColumn(out, F.arrow_udf(run, "string")(F.col(f"`{ids}`")))
 
 
+def round_trip(docs: DataFrame, text: str = "text", vocab: str = VOCAB) -> DataFrame:
+    """Adds ids and, from them, decoded: encode and decode in one pass over the texts.
+    (Two chained columns would have Spark encode twice, once for each use of ids.)"""
+    ship(docs.sparkSession)
+
+    def run(texts: pa.Array) -> pa.Array:
+        bpe, flats, counts, decoded = loaded(vocab), [], [], []
+        for some in slices(texts, SLICE_CHARS):
+            flat, n = bpe.encode_array(some)
+            flats.append(flat)
+            counts.append(n)
+            ends = np.cumsum(n).tolist()
+            decoded.append(pa.array([bpe.decode(flat[a:b].tolist()) for a, b in zip([0, *ends], ends, strict=False)], pa.string()))
+        n = np.concatenate([np.zeros(1, np.int64), *counts])
+        ids = pa.ListArray.from_arrays(pa.array(np.cumsum(n), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *flats])))
+        return pa.StructArray.from_arrays([ids, pa.concat_arrays(decoded) if decoded else pa.array([], pa.string())], ["ids", "decoded"])
+
+    both = docs.withColumn("_bpe", F.arrow_udf(run, "struct<ids:array<int>,decoded:string>")(F.col(f"`{text}`")))
+    return both.withColumns({"ids": F.col("_bpe.ids"), "decoded": F.col("_bpe.decoded")}).drop("_bpe")
+
+
 def digests(encoded: DataFrame, *more) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of a table with ids and decoded, and more columns."""
     return encoded.select(

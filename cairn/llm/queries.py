@@ -58,9 +58,9 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe import decode, digests, encode
+    from .bpe import digests, round_trip
 
-    return digests(decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))))
+    return digests(round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op8_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
