@@ -18,9 +18,13 @@ of equal id stand by text. An empty table gives no shard.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import struct
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import vocab_path
+from .bpe import byte_chars, vocab_path
+from .coded import Recent, distinct, per_text, slices, split_words, spread
 from .env import parallelism, ship, staged
 
 VOCAB = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 BLOCK = 512  # bits between directory entries
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000  # in each of two generations
 MAGIC = b"CWMX0001"
 
 
@@ -173,10 +178,15 @@ def read_image(image: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatri
     return doc_ids, np.frombuffer(parts[2], "<i8"), WaveletMatrix(n, bits, planes, zeros, ones)
 
 
+#: Latin letters, then ASCII marks other than the apostrophe: two pieces of the pre-tokenizer at most.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
+
 class WordEncoder:
     """The tokenizers library over whole texts. Its pre-tokenizer never joins across
     ASCII white space, so each distinct run between such is encoded once per worker
-    (CACHE_WORDS are kept) and a text's ids are those of its runs in order."""
+    (recent ones are kept) and a text's ids are those of its runs in order. Runs of Latin
+    letters and marks go to the library's model by piece, letters in lower case; all others through its whole pipeline."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -185,34 +195,56 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        for k in range(0, len(words), 20_000):
-            some = words[k:k + 20_000]
-            enc = self.tok.encode([w.decode("utf-8", "surrogatepass") for w in some], is_pretokenized=True, add_special_tokens=False)
-            ids, of = np.array(enc.ids, "<u4"), np.array(enc.word_ids, dtype=object)
-            if any(x is None for x in of):  # special tokens belong to no word
-                for w in some:
-                    self.known[w] = np.array(self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, "<u4").tobytes()
+        self.chars = dict(enumerate(byte_chars()))
+        self.known, self.pieces = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
+
+    def _piece(self, p: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars))]
+        return array("I", ids).tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, plain, rest = self.known.now, {}, []
+        for w in words:
+            if w.isalpha():  # of bytes: ASCII letters
+                plain[w] = (w.lower().decode(), "")
                 continue
-            ends = np.searchsorted(of.astype(np.int64), np.arange(len(some)), side="right") * 4
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(some, ends.tolist(), strict=True):
-                self.known[w] = raw[start:end]
-                start = end
+            if w[:-1].isalpha() and w[-1] in b".,;:!?":
+                plain[w] = (w[:-1].lower().decode(), chr(w[-1]))
+                continue
+            m = _PLAIN(w.decode("utf-8", "surrogatepass"))
+            letters = "".join(map(str.lower, m[1])) if m else ""
+            if m and letters.isalpha() and unicodedata.is_normalized("NFC", m[0]):
+                plain[w] = (letters, m[2])
+            else:
+                rest.append(w)
+        new = self.pieces.missing(list({p for ps in plain.values() for p in ps if p}))
+        pieces = self.pieces.now
+        for p in new:
+            pieces[p] = self._piece(p)
+        for w, (letters, marks) in plain.items():
+            known[w] = pieces[letters] + pieces[marks] if marks else pieces[letters]
+        for w in rest:
+            known[w] = array("I", self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids).tobytes()
+
+    def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and how many each has."""
+        gc.disable()  # the caches are large to walk, and nothing here makes cycles
+        try:
+            words, offsets = split_words(texts)
+            codes, keys = distinct(words)
+            self._learn(self.known.missing(keys))
+            flat, each = spread(codes, [self.known.now[k] for k in keys], "<u4")
+            self.known.trim()
+            self.pieces.trim()
+            return flat, per_text(each, offsets)
+        finally:
+            gc.enable()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
-        new = {w for words in cut for w in words if w not in self.known}
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known.clear()
-                new = {w for words in cut for w in words}
-            self._learn(list(new))
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in cut]
+        flat, n = self.encode_slice(pa.array([t or "" for t in texts], pa.string()))
+        return np.split(flat, np.cumsum(n)[:-1]) if len(n) else []
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -244,19 +276,30 @@ def write_shards(docs: DataFrame, vocab: str = VOCAB, end_id: int = END_ID, shar
             image = write_image(doc_ids, lengths, np.concatenate(parts), bits)
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int32()), "n_docs": [len(doc_ids)], "n_tokens": [total], "image": pa.array([image], pa.binary())})
 
-        end = np.array([end_id], "<u4")
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                some = b.slice(k, 256)
-                for d, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist()), strict=True):
-                    doc_ids.append(d)
-                    lengths.append(len(ids) + 1)
-                    parts += [ids, end]
-                    total += len(ids) + 1
+            at = 0
+            for some in slices(b.column(1)):
+                flat, n = enc.encode_slice(some)
+                ids, own = b.column(0).slice(at, len(some)).to_pylist(), n + 1
+                at += len(some)
+                ends = np.cumsum(own)
+                ended = np.full(int(ends[-1]), end_id, "<u4")
+                inner = np.ones(len(ended), bool)
+                inner[ends - 1] = False
+                ended[inner] = flat
+                lo = 0
+                while lo < len(ids):  # a shard ends with the document that fills it
+                    start = int(ends[lo - 1]) if lo else 0
+                    hi = min(len(ids), int(np.searchsorted(ends, start + shard_tokens - total)) + 1)
+                    doc_ids += ids[lo:hi]
+                    lengths += own[lo:hi].tolist()
+                    parts.append(ended[start:ends[hi - 1]])
+                    total += len(parts[-1])
                     if total >= shard_tokens:
                         yield flush()
                         shard += 1
                         doc_ids, lengths, parts, total = [], [], [], 0
+                    lo = hi
         if doc_ids:
             yield flush()
 
