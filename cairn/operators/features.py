@@ -29,8 +29,8 @@ def indicator_name(treatment: str, days: int = 7) -> str:
 
 def exposure_columns(df: DataFrame, conf: LiftConfig) -> DataFrame:
     """Look-back sums, treatment and out-impression indicators, prime flag, intercept, weight."""
-    own = {f"{t}_sum": look_back_sum(f"{t}LinkIn", n) for t, n in conf.look_back.items()}
-    own |= {indicator_name(t, n): above(look_back_sum(f"{t}LinkIn", n), conf.imp_threshold) for t, n in conf.look_back.items()}
+    df = df.withColumns({f"{t}_sum": look_back_sum(f"{t}LinkIn", n) for t, n in conf.look_back.items()})
+    own = {indicator_name(t, n): above(F.col(f"{t}_sum"), conf.imp_threshold) for t, n in conf.look_back.items()}
     own |= {"aap_out_imp_1": above(F.col("aapLinkOutD0"), 0), "aap_out_imp_7": above(look_back_sum("aapLinkOut", conf.out_days), 0)}
     own |= {"customerIsPrime": F.col("customerIsPrime").cast("int"), "intercept": F.lit(1), "purchase_weight": purchase_weight(df) if conf.weight else F.lit(1.0)}
     return df.withColumns(own)
@@ -48,9 +48,10 @@ def treatment_label(conf: LiftConfig):
 
 def label_treatments(df: DataFrame, conf: LiftConfig = LiftConfig(), keep_both: bool = False) -> DataFrame:
     """Exposure columns, treatment_type, one-vs-rest flags; rows of both treatments are dropped."""
-    out = exposure_columns(df, conf).withColumn("treatment_type", treatment_label(conf))
-    if not keep_both:
-        out = out.filter(F.col("treatment_type") != BOTH)
+    out = exposure_columns(df, conf)
+    if not keep_both:  # by the count: a filter on the label would be rewritten branch by branch
+        out = out.filter(sum((F.col(indicator_name(t, n)) for t, n in conf.look_back.items()), F.lit(0)) < 2)
+    out = out.withColumn("treatment_type", treatment_label(conf))
     return out.withColumns({f"is_treated_by_{t}": F.when(F.col("treatment_type") == t, 1.0).otherwise(0.0) for t in (*conf.treatments, CONTROL)})
 
 
