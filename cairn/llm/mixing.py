@@ -115,7 +115,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     pieces = pieces.withColumn("from", F.col("p") * F.col("source_size") + F.col("cum")).withColumn("to", F.least(F.col("from") + F.col("size"), F.floor("target").cast("long"))).filter(F.col("from") < F.col("to"))
     div = lambda x: F.call_function("div", x, F.lit(block_words).cast("long"))
     pieces = pieces.withColumn("block", F.explode(F.sequence(div(F.col("from")), div(F.col("to") - 1))))
-    rows = pieces.alias("d").join(schedule(per, block_words).alias("s"), (F.col("d.source").eqNullSafe(F.col("s.source"))) & (F.col("d.block") == F.col("s.block")))
+    # slots grow with the words, but Spark sizes them as the table of sources they are exploded from: never broadcast them
+    rows = pieces.alias("d").join(schedule(per, block_words).hint("merge").alias("s"), (F.col("d.source").eqNullSafe(F.col("s.source"))) & (F.col("d.block") == F.col("s.block")))
     start = F.col("d.block") * block_words
     cut = lambda x: x - F.col("from")
     return rows.select("s.slot", "d.source", "d.block", "d._row", "d.doc_id", cut(F.greatest(F.col("from"), start)).alias("word_from"), cut(F.least(F.col("to"), start + F.col("s.words"))).alias("word_to")), lines

@@ -32,10 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .coded import distinct, slices, split_words
 from .env import parallelism, ship, staged
 from .graph import components
 
@@ -46,10 +47,8 @@ BLOCK_COLUMNS = 1_500_000  # shingles in a column block, about
 TILE = 4096  # rows in a tile, at most
 BIN_ROWS = 1500  # rows in a tile of small groups, about
 BROADCAST_ROWS = 1_000_000  # survivors that may be broadcast; beyond, the join shuffles
-CACHE_WORDS = 500_000
 
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_known: dict[bytes, int] = {}
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -58,24 +57,29 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles; bytes.lower() touches A-Z only."""
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Of each text the sorted distinct 64-bit hashes of its shingles. Only A-Z is lowered."""
     import xxhash
 
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_known) > CACHE_WORDS:
-        _known.clear()
-    digest, known = xxhash.xxh3_64_intdigest, _known
-    for w in set(words) - known.keys():
-        known[w] = digest(w)
-    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    size = min(WORDS, len(words))
-    h = np.zeros(len(words) - size + 1, np.uint64)
-    for i in range(size):
-        h = h * _P + ids[i:len(words) - size + 1 + i]
-    return np.unique(_mix(h + np.uint64(size)))
+    out: list[np.ndarray] = []
+    for some in slices(texts):
+        words, offsets = split_words(pc.ascii_lower(some))
+        codes, keys = distinct(words)
+        ids = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))[codes]
+        real = (np.fromiter(map(len, keys), np.int64, len(keys)) > 0)[codes]
+        if not real.all():
+            offsets = np.r_[0, np.cumsum(real)][offsets]
+            ids = ids[real]
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            if a == b:
+                out.append(np.zeros(0, np.uint64))
+                continue
+            size = min(WORDS, b - a)
+            h = np.zeros(b - a - size + 1, np.uint64)
+            for i in range(size):
+                h = h * _P + ids[a + i:b - size + 1 + i]
+            out.append(np.unique(_mix(h + np.uint64(size))))
+    return out
 
 
 def set_key(s: np.ndarray) -> int:
@@ -95,7 +99,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: int, chars: int = BLOCK_CHA
     """Row slices of bounded text."""
     for b in batches:
         start = size = 0
-        lengths = pa.compute.binary_length(b.column(text)).fill_null(0).to_pylist()
+        lengths = pc.binary_length(b.column(text)).fill_null(0).to_pylist()
         for i, n in enumerate(lengths):
             size += n
             if size >= chars:
@@ -111,7 +115,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches, 1):
-            sets = [shingle_set(t) for t in b.column(1).to_pylist()]
+            sets = shingle_sets(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([int((s & np.uint64(1) == 0).sum()) for s in sets], pa.int32()), pa.array([set_key(s) for s in sets], pa.int64())], ["doc_id", "n", "m", "cls"])
 
     return staged(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, m int, cls long"), "sets")
@@ -138,8 +142,7 @@ def shared_counts(docs: DataFrame, blocks: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches, 0):
             seen: dict[int, np.ndarray] = {}
-            for t in b.column(0).to_pylist():
-                s = shingle_set(t)
+            for s in shingle_sets(b.column(0)):
                 if len(s):
                     seen.setdefault(set_key(s), s[s & np.uint64(1) == 0])
             if not seen:
@@ -222,8 +225,8 @@ def fetch_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
         done: set[int] = set()
         for b in _chunks(batches, 1, BLOCK_CHARS // 4):
             sets = {}
-            for t, want in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if want not in done and set_key(s := shingle_set(t)) == want:
+            for s, want in zip(shingle_sets(b.column(1)), b.column(2).to_pylist(), strict=True):
+                if want not in done and set_key(s) == want:
                     sets[want] = s
                     done.add(want)
             if sets:
@@ -462,11 +465,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     stay = staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("k")), "stay")
     small = stay.count() <= BROADCAST_ROWS
-    ids = stay.select(F.col("doc_id").alias("_stay"), "k")
+    ids = stay.select(F.col("doc_id").alias("_stay"), F.col("k").alias("_times"))
     out = docs.alias("d").join(F.broadcast(ids) if small else ids, F.col("d.doc_id").eqNullSafe(F.col("_stay")))
     repeated = stay.filter("k > 1 and doc_id is not null").limit(1).count() > 0
-    one = out.select(*[F.col(f"d.`{c}`") for c in docs.columns], "k")
+    one = out.select(*[F.col(f"d.`{c}`") for c in docs.columns], "_times")
     if not repeated:
-        return one.drop("k")
-    once, more = one.filter("k = 1 or doc_id is null"), one.filter("k > 1 and doc_id is not null")
-    return once.union(more.dropDuplicates(["doc_id"])).drop("k")
+        return one.drop("_times")
+    once, more = one.filter("_times = 1 or doc_id is null"), one.filter("_times > 1 and doc_id is not null")
+    return once.union(more.dropDuplicates(["doc_id"])).drop("_times")
