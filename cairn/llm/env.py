@@ -11,6 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 #: Words are runs of anything but ASCII white space; bytes.split() cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,6 +63,13 @@ def words_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_key(df: DataFrame) -> Column:
+    """64-bit hash of all columns of a row (maps, which have no hash, aside), nulls
+    told apart: rows that share it are copies of each other in every column."""
+    names = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*[x for c in names for x in (df[f"`{c}`"], df[f"`{c}`"].isNull())])
+
+
 def running_total(df: DataFrame, key: Column, bucket: Column, order: list, value: Column, out: str) -> DataFrame:
     """Adds out = sum of value over the rows of the same key that come earlier.
 

@@ -23,22 +23,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .env import parallelism, running_total, staged, words_count
+from .env import parallelism, row_key, running_total, staged, words_count
 
 WEIGHTS = (5, 2, 1)  # of sources in order, repeating
 SHARE = 1.5  # of all words that the mix takes
 CAP = 2.0  # times its own size that a source may give
 BLOCK_WORDS = 1024
 _BUCKET_ROWS, _CHUNK = 1024, 4096
+BROADCAST_ROWS = 1_000_000  # places of documents that may be broadcast; beyond, the join shuffles
+PART_SLOTS = 2048  # slots in a partition of mixed documents, about
 
 
-def _order_key() -> Column:
-    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
+def _order_key(no_id: Column) -> Column:
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), no_id).cast("binary"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """Staged (_row, doc_id, source, size, _key), the only pass over the texts."""
-    rows = docs.select("doc_id", "source", words_count(F.col("text")).alias("size")).withColumn("_key", _order_key())
+def sized(docs: DataFrame, by_row: bool = False) -> DataFrame:
+    """Staged (_row, doc_id, source, size, _key), the only pass over the texts; by_row adds
+    _of, the row's key, by which rows of null doc_id are then shuffled."""
+    rows = docs.select("doc_id", "source", words_count(F.col("text")).alias("size"), *([row_key(docs).alias("_of")] if by_row else []))
+    rows = rows.withColumn("_key", _order_key(F.col("_of").cast("string") if by_row else F.lit("null")))
     return staged(rows.select(F.monotonically_increasing_id().alias("_row"), "*"), "mix-sizes")
 
 
@@ -102,6 +106,22 @@ def schedule(per_source: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
     return slots.select("slot", "source", "block", F.least(F.lit(block_words).cast("long"), F.col("words") - F.col("block") * block_words).alias("words"))
 
 
+def _pieces(lines: DataFrame, cap: float) -> DataFrame:
+    """The words [from, to) of its source's blocks that each pass takes of a document."""
+    passes = range(int(-(-cap // 1)))
+    pieces = lines.filter("size > 0").withColumn("p", F.explode(F.array(*[F.lit(p).cast("long") for p in passes])))
+    return pieces.withColumn("from", F.col("p") * F.col("source_size") + F.col("cum")).withColumn("to", F.least(F.col("from") + F.col("size"), F.floor("target").cast("long"))).filter(F.col("from") < F.col("to"))
+
+
+def _block(word: Column, block_words: int) -> Column:
+    return F.call_function("div", word, F.lit(block_words).cast("long"))
+
+
+def _on_slots(pieces: DataFrame, slots: DataFrame) -> DataFrame:
+    # slots grow with the words, but Spark sizes them as the table of sources they are exploded from: never broadcast them
+    return pieces.alias("d").join(slots.hint("merge").alias("s"), (F.col("d.source").eqNullSafe(F.col("s.source"))) & (F.col("d.block") == F.col("s.block")))
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """The mix and the documents' lines.
 
@@ -110,13 +130,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     sizes = sized(docs)
     per = targets(sizes, weights, share, cap)
     lines = staged(in_line(sizes), "mix-lines").alias("d").join(per.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d._row", "d.doc_id", "d.source", "d.size", "d.cum", "s.source_size", "s.target")
-    passes = range(int(-(-cap // 1)))
-    pieces = lines.filter("size > 0").withColumn("p", F.explode(F.array(*[F.lit(p).cast("long") for p in passes])))
-    pieces = pieces.withColumn("from", F.col("p") * F.col("source_size") + F.col("cum")).withColumn("to", F.least(F.col("from") + F.col("size"), F.floor("target").cast("long"))).filter(F.col("from") < F.col("to"))
-    div = lambda x: F.call_function("div", x, F.lit(block_words).cast("long"))
-    pieces = pieces.withColumn("block", F.explode(F.sequence(div(F.col("from")), div(F.col("to") - 1))))
-    # slots grow with the words, but Spark sizes them as the table of sources they are exploded from: never broadcast them
-    rows = pieces.alias("d").join(schedule(per, block_words).hint("merge").alias("s"), (F.col("d.source").eqNullSafe(F.col("s.source"))) & (F.col("d.block") == F.col("s.block")))
+    pieces = _pieces(lines, cap).withColumn("block", F.explode(F.sequence(_block(F.col("from"), block_words), _block(F.col("to") - 1, block_words))))
+    rows = _on_slots(pieces, schedule(per, block_words))
     start = F.col("d.block") * block_words
     cut = lambda x: x - F.col("from")
     return rows.select("s.slot", "d.source", "d.block", "d._row", "d.doc_id", cut(F.greatest(F.col("from"), start)).alias("word_from"), cut(F.least(F.col("to"), start + F.col("s.words"))).alias("word_to")), lines
@@ -130,15 +145,25 @@ def taken(docs: DataFrame) -> DataFrame:
     return out.select("d.doc_id", "d.size", "d.source_size", "d.target", F.coalesce("m.t", F.lit(0)).cast("long").alias("taken"))
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """The mix in whole documents, with the columns of docs: each stands as often as
-    passes through its source's line reach its first word. A source's line is in md5
-    order, so a pass is cut at one md5 value; texts are filtered where they lie, unshuffled."""
-    sizes = sized(docs)
+def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix in whole documents, with the columns of docs, in the order of the schedule:
+    each stands, once a pass, in the slot that holds its first word there; within a slot
+    by place in line. The order is that of partitions and of rows in them (of part files
+    by name, once written). Rows go by key: of rows alike in every column, any serves."""
+    sizes = sized(docs, by_row=True)
     per = targets(sizes)
-    lines = in_line(sizes).alias("d").join(per.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    reach = lambda p: F.max(F.when(F.col("cum") + p * F.col("source_size") < F.floor("target"), F.col("_key"))).alias(f"cut{p}")
-    cuts = staged(lines.groupBy("d.source").agg(*[reach(p) for p in range(int(CAP))]), "mix-cuts")
-    out = docs.withColumn("_key", _order_key()).alias("d").join(cuts.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")))
-    times = sum((F.coalesce(F.col("d._key") <= F.col(f"c.cut{p}"), F.lit(False)).cast("int") for p in range(int(CAP))), F.lit(0))
-    return out.withColumn("_n", F.explode(F.filter(F.array(*[F.lit(p) for p in range(int(CAP))]), lambda p: p < times))).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    lines = in_line(sizes).alias("d").join(per.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.*", "s.source_size", "s.target")
+    firsts = _pieces(lines, CAP).withColumn("block", _block(F.col("from"), block_words))
+    places = staged(_on_slots(firsts, schedule(per, block_words)).select(F.col("d.doc_id").alias("_id"), "d._of", F.col("s.slot").alias("_slot"), F.col("d.from").alias("_at")), "mix-places")
+    count, last = places.agg(F.count("*"), F.max("_slot")).first()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mix_key") == F.col("_of"))
+    texts = docs.withColumn("_mix_key", row_key(docs))
+    copies = staged(sizes.groupBy("doc_id", "_of").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("doc_id").alias("_id"), "_of"), "mix-copies")
+    if copies.limit(1).count():
+        texts = texts.join(copies, same, "left_anti").union(texts.join(copies, same, "left_semi").dropDuplicates(["doc_id", "_mix_key"]))
+    out = texts.join(F.broadcast(places) if count <= BROADCAST_ROWS else places, same)
+    slots = (last or 0) + 1
+    parts = -(-slots // PART_SLOTS)
+    # slots are dense all along the grid, so equal runs of them have about equal words
+    dealt = out.repartitionById(parts, F.call_function("div", F.col("_slot") * parts, F.lit(slots).cast("long")).cast("int")).sortWithinPartitions("_slot", "_at")
+    return dealt.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -118,6 +118,23 @@ def test_mix_edges(spark, docs, none):
     assert max(r["count"] for r in mixed.filter("doc_id <> 7").groupBy("doc_id").count().collect()) <= 2
 
 
+def test_mixed_documents_follow_the_schedule(spark):
+    rows = [(i, text(i, 5 + i * 37 % 60), "en", "abc"[i % 3], 9) for i in range(120)]
+    df = spark.createDataFrame(rows, DDL)
+    slots = mixing.mix(df, block_words=64)[0].filter("word_from = 0").select("slot", "doc_id").collect()
+    got = [r.doc_id for r in mixing.mix_documents(df, block_words=64).collect()]
+    assert len(got) == len(slots) > 100
+    for s in sorted({r.slot for r in slots}):
+        now = sorted(r.doc_id for r in slots if r.slot == s)
+        assert sorted(got[:len(now)]) == now
+        del got[:len(now)]
+    # null ids go by row: some in, some out, none more often than passes and copies allow
+    null = spark.createDataFrame([(None, t, g, s, n) for _, t, g, s, n in [*rows, rows[0]]], DDL)
+    times = collections.Counter(r.text for r in mixing.mix_documents(null).collect())
+    per = [[times[t] for _, t, _, s, _ in rows if s == source] for source in "abc"]
+    assert any(len(set(n)) > 1 for n in per) and max(times.values()) <= 4 and max(v for t, v in times.items() if t != rows[0][1]) <= 2
+
+
 # ---- 2 and 7: tokens ----
 
 def test_wavelet_matrix():
