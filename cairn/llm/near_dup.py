@@ -12,12 +12,13 @@ is sampled; each step drops only what a size-derived bound rules out:
 3. Order: for the rest, column blocks return document frequencies; a class's prefix is
    its floor(n/4) + 1 rarest shingles, and linked classes share one of their prefixes.
 4. Prefix sharing ties candidates into groups (stars, then components).
-5. Products: groups are packed into tiles of classes. In a tile, overlap counts of one
-   row with all rows are accumulated through the columns' posting lists. Rows of the
-   largest component found are not multiplied with each other; every other pair is.
-   A group beyond a tile is cut into tiles that share one anchor row; rows that stay
-   outside the anchor's component are then multiplied with the group's other tiles.
-6. Components of the links; a document's is named by its smallest doc_id.
+5. Products: groups are packed into tiles of classes. A tile's rows are all multiplied
+   with each other: wide columns as dense blocks, the others through posting lists. A
+   group beyond a tile is cut into tiles, and every pair of its tiles is multiplied.
+   Out of a product come, of each row, the number of documents that it links to and a
+   link to the least row of its component there; pairs are counted, not written out.
+6. Components of the links; a document's is named by its smallest doc_id. Its n_links
+   are the other documents that are alike: the rest of its class, and linked classes.
 
 Edge cases: null, empty or blank text has no shingles and its own doc_id as component.
 Texts of one to four words have one shingle, the whole sequence. Rows of null doc_id
@@ -33,11 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .coded import distinct, slices, split_words
-from .env import parallelism, ship, staged
+from .env import row_key, ship, staged
 from .graph import components
 
 WORDS = 5
@@ -46,6 +47,8 @@ BLOCK_CHARS = 8_000_000  # of text in a block of rows
 BLOCK_COLUMNS = 1_500_000  # shingles in a column block, about
 TILE = 4096  # rows in a tile, at most
 BIN_ROWS = 1500  # rows in a tile of small groups, about
+DENSE = 16  # columns of more than one in so many rows of a tile are multiplied as dense ones
+CELLS = 4_000_000  # of a product that are held at once, about
 BROADCAST_ROWS = 1_000_000  # survivors that may be broadcast; beyond, the join shuffles
 
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -110,15 +113,15 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: int, chars: int = BLOCK_CHA
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """Staged (doc_id, n, m, cls): set size, those of even hash, set hash."""
+    """Staged (doc_id, n, m, cls, of): set size, those of even hash, set hash, row key."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches, 1):
             sets = shingle_sets(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([int((s & np.uint64(1) == 0).sum()) for s in sets], pa.int32()), pa.array([set_key(s) for s in sets], pa.int64())], ["doc_id", "n", "m", "cls"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([int((s & np.uint64(1) == 0).sum()) for s in sets], pa.int32()), pa.array([set_key(s) for s in sets], pa.int64()), b.column(2)], ["doc_id", "n", "m", "cls", "of"])
 
-    return staged(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, m int, cls long"), "sets")
+    return staged(docs.select("doc_id", "text", row_key(docs).alias("of")).mapInArrow(run, "doc_id long, n int, m int, cls long, of long"), "sets")
 
 
 def _short(h: np.ndarray) -> bytes:
@@ -203,20 +206,27 @@ def shared_counts(docs: DataFrame, blocks: int) -> DataFrame:
     return got.groupBy("cls").agg(F.sum("shared").alias("shared"))
 
 
+def _first() -> Column:
+    """Order of the rows that may stand for others: by doc_id, null ids last, then by key."""
+    return F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("of").alias("of"))
+
+
 def survivors(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Staged (cls, rep): classes that the bound on unshared shingles leaves, with a doc_id to fetch each by."""
+    """Staged (cls, rep, rep_of, docs): classes that the bound on unshared shingles leaves, with
+    the doc_id and row key of a row to fetch each by, and its documents."""
     size = sets.filter("n > 0").agg(F.sum("m")).first()[0] or 0
-    reps = sets.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("m").alias("m"))
+    reps = sets.filter("n > 0").groupBy("cls").agg(F.min(_first()).alias("rep"), F.first("n").alias("n"), F.first("m").alias("m"), F.count("*").alias("docs"))
     shared = shared_counts(docs, max(1, -(-size // BLOCK_COLUMNS)))
     left = reps.alias("r").join(shared.alias("s"), F.col("r.cls") == F.col("s.cls"), "left")
     bound = F.col("m") - (F.col("n") - F.ceil(F.lit(NUM) * F.col("n") / DEN))
-    return staged(left.filter(F.coalesce("shared", F.lit(0)) >= bound).select("r.cls", "r.rep"), "survivors")
+    return staged(left.filter(F.coalesce("shared", F.lit(0)) >= bound).select("r.cls", F.col("r.rep.id").alias("rep"), F.col("r.rep.of").alias("rep_of"), "r.docs"), "survivors")
 
 
 def fetch_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Staged blocks (block, keys, sizes, hashes) of the chosen classes' whole sets."""
     small = chosen.count() <= BROADCAST_ROWS
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen) if small else chosen, F.col("doc_id").eqNullSafe(F.col("rep")))
+    rows = docs.select("doc_id", "text", row_key(docs).alias("of"))
+    picked = rows.join(F.broadcast(chosen) if small else chosen, F.col("doc_id").eqNullSafe(F.col("rep")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -297,7 +307,7 @@ def prefixes(kept: DataFrame, blocks: int) -> DataFrame:
 
 
 class Tile:
-    """Sparse incidence of a tile's rows; overlaps() is one row of the product."""
+    """Sparse incidence of a tile's rows, to be multiplied with other rows."""
 
     def __init__(self, sets: list[np.ndarray]) -> None:
         self.sizes = np.array([len(s) for s in sets], np.int64)
@@ -305,81 +315,71 @@ class Tile:
         rows = np.repeat(np.arange(len(sets)), self.sizes)
         order = np.argsort(h, kind="stable")
         hs = h[order]
-        starts = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]]) if len(hs) else np.zeros(0, np.int64)
-        width = np.diff(np.r_[starts, len(hs)])
-        self.postings, self.starts, self.ends = rows[order], starts, starts + width
-        col = np.empty(len(h), np.int64)
-        col[order] = np.repeat(np.arange(len(starts)), width)
-        self.cols, self.at, self.width = col, np.r_[0, np.cumsum(self.sizes)], width
-
-    def linked(self, row: int) -> np.ndarray:
-        """Rows whose similarity with this one is enough, itself included."""
-        cols = self.cols[self.at[row]:self.at[row + 1]]
-        cols = cols[self.width[cols] > 1]
-        if not len(cols):
-            return np.array([row])
-        width = self.width[cols]
-        flat = np.repeat(self.starts[cols] - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(int(width.sum()))
-        over = np.bincount(self.postings[flat], minlength=len(self.sizes))
-        n = self.sizes[row]
-        near = (DEN * np.minimum(self.sizes, n) >= NUM * np.maximum(self.sizes, n)) & (DEN * over >= NUM * (self.sizes + n - over))
-        near[row] = True
-        return np.flatnonzero(near)
-
-
-class _Union:
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return int(x)
-
-    def tie(self, rows: np.ndarray) -> None:
-        roots = {self.find(int(r)) for r in rows}
-        self.up[list(roots)] = min(roots)
-
-    def labels(self) -> np.ndarray:
-        up = self.up
-        while (up[up] != up).any():
-            up = up[up]
-        return up
-
-
-def tile_components(sets: list[np.ndarray]) -> np.ndarray:
-    """Component label (a row number) of each row: every pair is decided but those
-    inside the largest star component, which are connected already."""
-    tile, tied = Tile(sets), _Union(len(sets))
-    done = np.zeros(len(sets), bool)
-    reached = np.zeros(len(sets), bool)
-    for row in np.argsort(-tile.sizes, kind="stable"):  # stars of rows not reached so far
-        if not reached[row]:
-            near = tile.linked(row)
-            tied.tie(near)
-            reached[near] = done[row] = True
-    labels = tied.labels()
-    if len(labels):
-        largest = np.bincount(labels).argmax()
-        for row in np.flatnonzero((labels != largest) & ~done):
-            tied.tie(tile.linked(int(row)))
-    return tied.labels()
-
-
-_LINKS = "u long, v long"
-
-
-def _unpack(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    keys = table.column("cls").to_numpy()
-    order = np.argsort(keys, kind="stable")
-    raw = table.column("set").to_pylist()
-    return keys[order], [np.frombuffer(raw[i], "<u8") for i in order], order
-
-
-def links(kept: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links (u, v) between classes, enough to connect all that are linked."""
-    spark = kept.sparkSession
+        self.starts = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]]) if len(hs) else np.zeros(0, np.int64)
+        self.hashes, self.postings = hs[self.starts], rows[order]
+        self.width = np.diff(np.r_[self.starts, len(hs)])
+        wide = self.width * DENSE > max(len(sets), 4 * DENSE)
+        self.place = np.where(wide, np.cumsum(wide) - 1, -1)
+        at = np.repeat(self.place, self.width)
+        self.dense = np.zeros((int(wide.sum()), len(sets)), bool)
+        self.dense[at[at >= 0], self.postings[at >= 0]] = True
+
+    def _over(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Shingles that each of the sets has in common with each row."""
+        n, h = len(self.sizes), np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        on = self.hashes[at] == h
+        col, owner = at[on], owner[on]
+        wide = self.place[col] >= 0
+        thin, width = col[~wide], self.width[col[~wide]]
+        flat = np.repeat(self.starts[thin] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+        over = np.bincount(np.repeat(owner[~wide], width) * n + self.postings[flat], minlength=len(sets) * n).reshape(len(sets), n)
+        place, owner = self.place[col[wide]], owner[wide]
+        for lo in range(0, len(self.dense), 1024):
+            some = (place >= lo) & (place < lo + 1024)
+            left = np.zeros((len(sets), min(1024, len(self.dense) - lo)), np.float32)
+            left[owner[some], place[some] - lo] = 1
+            over += (left @ self.dense[lo:lo + 1024].astype(np.float32)).astype(np.int64)
+        return over
+
+    def linked(self, sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """Runs of the sets, by their first, with a matrix of which rows each is alike enough to."""
+        size = np.array([len(s) for s in sets], np.int64)
+        # a set's cells: the rows, and the postings of its thin columns
+        thin = size * (len(self.sizes) // DENSE + 4)
+        run = np.cumsum(len(self.sizes) + np.minimum(thin, len(self.postings))) // CELLS
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(sets)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b and len(self.sizes):
+                over, n = self._over(sets[a:b]), size[a:b, None]
+                yield a, DEN * over >= NUM * (self.sizes + n - over)
+
+
+def multiply(left: list[np.ndarray], right: list[np.ndarray] | None, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows of left, then those of right: component label (a row number, the
+    least) and documents linked to, where docs is each row's documents. All pairs of
+    left and right are decided, or of left and left if right is None."""
+    other, base = (left, 0) if right is None else (right, len(left))
+    labels, found = np.arange(len(docs)), np.zeros(len(docs), np.int64)
+    theirs = docs[base:base + len(other)]
+    for first, near in Tile(other).linked(left):
+        if right is None:
+            near[np.arange(len(near)), first + np.arange(len(near))] = False
+        else:
+            found[base:] += docs[first:first + len(near)] @ near
+        found[first:first + len(near)] += near @ theirs
+        for i in np.flatnonzero(near.any(1)):
+            roots = np.unique(np.r_[labels[first + i], labels[base + np.flatnonzero(near[i])]])
+            if len(roots) > 1:
+                labels[np.isin(labels, roots)] = roots[0]
+    return labels, found
+
+
+def links(kept: DataFrame, tokens: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Staged (u, v, n), one row a class and product: its least class in the component
+    there and the documents of the classes that it links to. The pairs (u, v) connect all
+    linked classes; the sums of n over u are exact, as every pair of classes is in one product."""
     lead = tokens.groupBy("hash").agg(F.min("cls").alias("lead"), F.count("*").alias("k")).filter("k > 1")
     stars = tokens.alias("t").join(lead.alias("l"), F.col("t.hash") == F.col("l.hash")).filter("t.cls <> l.lead").select(F.col("t.cls").alias("u"), F.col("l.lead").alias("v")).distinct()
     groups = components(stars)
@@ -388,10 +388,13 @@ def links(kept: DataFrame, tokens: DataFrame) -> DataFrame:
     sizes = staged(sizes, "groups")
     total = sizes.filter(F.col("k") <= TILE).agg(F.sum("k")).first()[0] or 0
     bins = max(1, -(-total // BIN_ROWS))
-    cut = F.ceil(F.col("k") / (TILE // 2)).cast("int")  # hashing leaves tiles below TILE
-    placed = member.alias("m").join(sizes.alias("s"), F.col("m.label") == F.col("s.label")).select(
-        F.col("m.u").alias("cls"), F.col("m.label").alias("grp"), F.when(F.col("k") <= TILE, F.lit(0)).otherwise(cut).alias("tiles"))
-    placed = placed.withColumn("tile", F.when(F.col("tiles") == 0, F.pmod(F.xxhash64("grp"), F.lit(bins))).otherwise(F.pmod(F.xxhash64("cls"), F.col("tiles")))).withColumn("unit", F.when(F.col("tiles") == 0, F.lit(0).cast("long")).otherwise(F.col("grp")))
+    cut = F.ceil(F.col("k") / (TILE // 2)).cast("int")  # a pair of tiles has about TILE rows
+    placed = member.alias("m").join(sizes.alias("s"), F.col("m.label") == F.col("s.label")).join(chosen.alias("c"), F.col("m.u") == F.col("c.cls")).select(
+        F.col("m.u").alias("cls"), "c.docs", F.col("m.label").alias("grp"), F.when(F.col("k") <= TILE, F.lit(0)).otherwise(cut).alias("tiles"))
+    own = F.when(F.col("tiles") == 0, F.pmod(F.xxhash64("grp"), F.lit(bins).cast("long"))).otherwise(F.pmod(F.xxhash64("cls"), F.col("tiles").cast("long")))
+    placed = placed.withColumn("tile", own).withColumn("unit", F.when(F.col("tiles") == 0, F.lit(0).cast("long")).otherwise(F.col("grp")))
+    # each tile of a large group meets itself and every other one
+    with_ = F.when(F.col("tiles") == 0, F.array("tile")).otherwise(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("tiles"), F.lit(1)).cast("long") - 1))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -401,62 +404,48 @@ def links(kept: DataFrame, tokens: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"cls": pa.array(keys), "set": pa.array([hashes[at[i]:at[i + 1]].tobytes() for i in range(len(keys))], pa.binary())})
 
     sets = kept.mapInArrow(rows, "cls long, set binary")
-    full = staged(sets.alias("a").join(placed.alias("p"), F.col("a.cls") == F.col("p.cls")).select("a.cls", "set", "unit", "tile", "tiles"), "tiles")
-    anchor = full.filter((F.col("tiles") > 0) & (F.col("cls") == F.col("unit"))).withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1)))
-    # the anchor's own tile has it twice then: distinct keys are taken below
-    work = full.union(anchor.select(full.columns))
-
-    def inside(table: pa.Table) -> pa.Table:
-        keys, all_sets, _ = _unpack(table)
-        one = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
-        keys, own = keys[one], [all_sets[i] for i in one]
-        labels = tile_components(own)
-        return pa.table({"u": keys, "v": keys[labels]})  # keys ascend, so labels are least keys
-
-    local = staged(work.groupBy("unit", "tile").applyInArrow(inside, _LINKS), "tile-links")
-    if full.filter("tiles > 0").limit(1).count() == 0:
-        return local
-    # across tiles of one group: rows outside the anchor's component meet every other tile
-    big = full.filter("tiles > 0")
-    rooted = components(local)
-    label = lambda df, c: df.alias("d").join(rooted.alias("r"), F.col(f"d.{c}") == F.col("r.u"), "left").select("d.*", F.coalesce("r.label", F.col(f"d.{c}")).alias(f"{c}_label"))
-    marked = label(label(big, "cls"), "unit")
-    outside = marked.filter("cls_label <> unit_label").withColumn("home", F.col("tile")).withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1))).filter("tile <> home")
-    guests = outside.select("cls", "set", "unit", "tile", "tiles", F.lit(True).alias("guest"))
-    hosts = big.withColumn("guest", F.lit(False))
-
-    def across(table: pa.Table) -> pa.Table:
-        keys, own, order = _unpack(table)
-        guest = np.array(table.column("guest").to_pylist(), bool)[order]
-        tile, u, v = Tile(own), [], []
-        for row in np.flatnonzero(guest):
-            near = tile.linked(int(row))
-            near = near[keys[near] != keys[row]]
-            u += [int(keys[row])] * len(near)
-            v += keys[near].tolist()
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    met = guests.select("unit", "tile").distinct()
-    hosts = hosts.join(met, ["unit", "tile"], "left_semi")
-    crossed = guests.select("cls", "set", "unit", "tile", "guest").union(hosts.select("cls", "set", "unit", "tile", "guest")).repartition(parallelism(spark), "unit", "tile").groupBy("unit", "tile").applyInArrow(across, _LINKS)
-    return local.union(staged(crossed, "cross-links"))
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) to one row per row: doc_id, n_shingles, component_id."""
+    full = sets.alias("a").join(placed.alias("p"), F.col("a.cls") == F.col("p.cls")).select("a.cls", "set", "docs", "unit", "tile", F.explode(with_).alias("other"))
+    work = full.select("cls", "set", "docs", "unit", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+
+    def product(table: pa.Table) -> pa.Table:
+        raw = [table.column(c).to_numpy() for c in ("cls", "docs", "tile", "i", "j")]
+        order = np.lexsort((raw[0], raw[2]))  # the left tile's rows come first
+        keys, docs, tile, i, j = (x[order] for x in raw)
+        one = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])  # a class may come from two blocks
+        keys, docs, tile, order = keys[one], docs[one], tile[one], order[one]
+        column = table.column("set")
+        own = [np.frombuffer(column[int(k)].as_py(), "<u8") for k in order]
+        half = len(own) if i[0] == j[0] else int((tile == i[0]).sum())
+        labels, found = multiply(own[:half], None if i[0] == j[0] else own[half:], docs)
+        return pa.table({"u": keys, "v": keys[labels], "n": found})
+
+    return staged(work.groupBy("unit", "i", "j").applyInArrow(product, "u long, v long, n long"), "links")
+
+
+def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """classes(docs), and staged (cls, label, docs, n): of each class with shingles its
+    component's label, its documents and those of the classes it links to."""
     ship(docs.sparkSession)
     sets = classes(docs)
-    kept = fetch_sets(docs, survivors(docs, sets))
+    chosen = survivors(docs, sets)
+    kept = fetch_sets(docs, chosen)
     total = (sets.filter("n > 0").agg(F.sum("n")).first()[0] or 0)
     tokens = staged(prefixes(kept, max(1, -(-total // (4 * BLOCK_COLUMNS)))), "prefixes")
-    roots = components(links(kept, tokens))
-    named = sets.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("d"))
-    named = named.alias("a").join(roots.alias("r"), F.col("a.cls") == F.col("r.u"), "left").select("a.cls", "a.d", F.coalesce("r.label", "a.cls").alias("label"))
-    named = staged(named, "named")
-    least = named.groupBy("label").agg(F.min("d").alias("component"))
-    ids = named.alias("a").join(least.alias("b"), F.col("a.label") == F.col("b.label")).select("a.cls", "b.component")
+    found = links(kept, tokens, chosen)
+    roots = components(found.select("u", "v"))
+    sums = found.groupBy("u").agg(F.sum("n").alias("n"))
+    named = sets.filter("n > 0").groupBy("cls").agg(F.count("*").alias("docs"), F.min(_first()).alias("least"))
+    named = named.alias("a").join(roots.alias("r"), F.col("a.cls") == F.col("r.u"), "left").join(sums.alias("s"), F.col("a.cls") == F.col("s.u"), "left")
+    return sets, staged(named.select("a.cls", "a.docs", "a.least", F.coalesce("r.label", "a.cls").alias("label"), F.coalesce("s.n", F.lit(0)).alias("n")), "named")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) to one row per row: doc_id, n_shingles, component_id, n_links."""
+    sets, named = linked(docs.select("doc_id", "text"))
+    least = named.groupBy("label").agg(F.min("least.id").alias("component"))
+    ids = named.alias("a").join(least.alias("b"), F.col("a.label") == F.col("b.label")).select("a.cls", "b.component", (F.col("a.docs") - 1 + F.col("a.n")).alias("n_links"))
     out = sets.alias("s").join(ids.alias("i"), (F.col("s.cls") == F.col("i.cls")) & (F.col("s.n") > 0), "left")
-    return out.select("s.doc_id", F.col("s.n").cast("long").alias("n_shingles"), F.when(F.col("s.n") > 0, F.col("i.component")).otherwise(F.col("s.doc_id")).alias("component_id"))
+    return out.select("s.doc_id", F.col("s.n").cast("long").alias("n_shingles"), F.when(F.col("s.n") > 0, F.col("i.component")).otherwise(F.col("s.doc_id")).alias("component_id"), F.coalesce("i.n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:

@@ -371,6 +371,26 @@ def test_drop_near_duplicates(docs):
     assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 6, 9, 10, 11, 12] and ids.count(None) == 1
 
 
+def brute_links(rows):
+    sets = [sets_of(t) for _, t in rows]
+    alike = lambda a, b: a and 100 * len(a & b) >= 75 * len(a | b)
+    return sorted(((d, sum(bool(alike(sets[i], s)) for j, s in enumerate(sets) if j != i)) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_every_link_is_counted(spark, docs, corpus, monkeypatch):
+    """A group of distinct near copies links every pair, in one tile or over many."""
+    rng, base = np.random.default_rng(3), [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(f"x{i}" if k == at else w for k, w in enumerate(base))) for i, at in enumerate(rng.integers(0, 120, 90))]
+    rows += [(200, rows[0][1]), (201, rows[0][1]), (None, rows[1][1]), (None, "alone"), (None, "")]
+    group = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda df: sorted(((r.doc_id, r.n_links) for r in near_dup.near_duplicates(df).collect()), key=str)
+    for df in (group, docs, corpus):
+        assert found(df) == brute_links([(r.doc_id, r.text) for r in df.collect()])
+    monkeypatch.setattr(near_dup, "TILE", 16)
+    assert found(group) == brute_links(rows)
+    assert max(n for _, n in found(group)) > 80
+
+
 # ---- 10: quality ----
 
 def brute_stats(t):
