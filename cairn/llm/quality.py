@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .env import ship, staged
+from .env import row_key, ship, staged
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 MIN_ROWS = 50
 STEPS = 6  # concentration steps
-BROADCAST_ROWS = 1_000_000  # rejected ids that may be broadcast; beyond, the join shuffles
+BROADCAST_ROWS = 1_000_000  # rejected rows that may be broadcast; beyond, the join shuffles
 #: The squared distance a document must exceed, far beyond the 0.999999 quantile of chi-squared with 7 degrees (40), as clean text is not normal.
 CUT = 100.0
 #: Least standard deviation of each statistic below.
@@ -186,22 +186,25 @@ def outliers(stats: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, cut: float = CUT) -> DataFrame:
     """One row per row of docs: doc_id, the counts, base_failed, distance (null if base_failed or no estimate), kept."""
-    stats, far = _judged(docs)
-    out = stats.alias("a").join(far.alias("b"), F.col("a._row") == F.col("b._row"), "left")
-    return out.select("a.*", "b.distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut)).alias("kept")).drop("_row", "lang", "source")
+    return _verdicts(docs, cut).drop("_row", "_of", "lang", "source")
 
 
 def keep_good(docs: DataFrame, cut: float = CUT) -> DataFrame:
-    """The rows of docs that are kept, with their columns. Only the rejected ids are
-    joined, broadcast while few. Rows of one doc_id share its verdict: all go if one does."""
-    verdicts = judge(docs, cut)
-    bad = staged(verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("_bad")).distinct(), "rejected")
+    """The rows of docs that are kept, with their columns. Only the keys of rejected rows
+    are joined, broadcast while few; a key is of the whole row, so no other row goes with it."""
+    bad = staged(_verdicts(docs, cut).filter(~F.col("kept")).select("doc_id", "_of").distinct().toDF("_bad", "_bad_of"), "rejected")
     small = bad.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(bad) if small else bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(F.broadcast(bad) if small else bad, docs["doc_id"].eqNullSafe(F.col("_bad")) & (row_key(docs) == F.col("_bad_of")), "left_anti")
+
+
+def _verdicts(docs: DataFrame, cut: float) -> DataFrame:
+    stats, far = _judged(docs)
+    out = stats.alias("a").join(far.alias("b"), F.col("a._row") == F.col("b._row"), "left")
+    return out.select("a.*", "b.distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut)).alias("kept"))
 
 
 def _judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ship(docs.sparkSession)
-    stats = docs.select("doc_id", "lang", "source", F.arrow_udf(text_stats, STATS_DDL)("text").alias("s")).select(F.monotonically_increasing_id().alias("_row"), "doc_id", "lang", "source", "s.*")
+    stats = docs.select("doc_id", "lang", "source", row_key(docs).alias("_of"), F.arrow_udf(text_stats, STATS_DDL)("text").alias("s")).select(F.monotonically_increasing_id().alias("_row"), "_of", "doc_id", "lang", "source", "s.*")
     stats = staged(stats, "quality-stats").withColumn("base_failed", base_failed())
     return stats, outliers(stats)

@@ -418,6 +418,13 @@ def test_quality(docs, none, corpus):
     assert quality.keep_good(docs).columns == docs.columns
 
 
+def test_keep_good_goes_by_row(spark):
+    good = [(i, " ".join(f"w{i}x{k}" for k in range(40)), "en", "a", 9) for i in (None, None, 7)]
+    rows = [*good, (None, " ".join(f"v{k}" for k in range(40)), "en", "a", 9), (None, "short", "en", "a", 9), (None, None, None, None, None), (7, "too short", "en", "a", 9)]
+    kept = quality.keep_good(spark.createDataFrame(rows, DDL))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(((d, t) for d, t, *_ in rows[:4]), key=str)
+
+
 def test_outliers_are_the_bad_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
