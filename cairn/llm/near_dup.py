@@ -449,16 +449,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs without the documents that have a smaller doc_id in their component; columns
-    stay. Rows of null doc_id stay if their component has no id. Of rows of equal doc_id that stay, one does."""
-    found = near_duplicates(docs)
-    stay = staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("k")), "stay")
+    """docs with one row of each component, columns as they are: the one of smallest
+    doc_id (null ids last), then of smallest row key. Rows are told apart by doc_id and
+    key, so equal or null ids tie no texts together. Texts without shingles all stay."""
+    sets, named = linked(docs)
+    pick = named.groupBy("label").agg(F.min("least").alias("p")).select(F.col("p.id").alias("_id"), F.col("p.of").alias("_of"), F.lit(True).alias("_one"))
+    blank = sets.filter("n = 0").select("doc_id", "of", F.lit(False)).distinct()
+    stay = staged(pick.union(blank), "stay")
     small = stay.count() <= BROADCAST_ROWS
-    ids = stay.select(F.col("doc_id").alias("_stay"), F.col("k").alias("_times"))
-    out = docs.alias("d").join(F.broadcast(ids) if small else ids, F.col("d.doc_id").eqNullSafe(F.col("_stay")))
-    repeated = stay.filter("k > 1 and doc_id is not null").limit(1).count() > 0
-    one = out.select(*[F.col(f"d.`{c}`") for c in docs.columns], "_times")
-    if not repeated:
-        return one.drop("_times")
-    once, more = one.filter("_times = 1 or doc_id is null"), one.filter("_times > 1 and doc_id is not null")
-    return once.union(more.dropDuplicates(["doc_id"])).drop("_times")
+    out = docs.withColumn("_key", row_key(docs)).alias("d").join((F.broadcast(stay) if small else stay).alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._of")))
+    out = out.select(*[F.col(f"d.`{c}`") for c in docs.columns], "_key", "_one")
+    # rows that equal the picked one in every column: one of them stays
+    picked = sets.filter("n > 0").alias("a").join(stay.filter("_one").alias("s"), F.col("a.doc_id").eqNullSafe(F.col("s._id")) & (F.col("a.of") == F.col("s._of")))
+    more = staged(picked.groupBy("a.doc_id", "a.of").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("doc_id").alias("_id"), F.col("of").alias("_of")), "repeated")
+    if more.limit(1).count() == 0:
+        return out.drop("_key", "_one")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
+    return out.join(more, same, "left_anti").union(out.join(more, same, "left_semi").dropDuplicates(["doc_id", "_key"])).drop("_key", "_one")

@@ -391,6 +391,14 @@ def test_every_link_is_counted(spark, docs, corpus, monkeypatch):
     assert max(n for _, n in found(group)) > 80
 
 
+def test_drop_near_duplicates_goes_by_row(spark):
+    same, other = text(5, 60), text(6, 60)
+    rows = [(1, same), (None, same), (None, same), (None, other), (None, other), (3, text(7, 60)), (3, text(8, 60)), (3, text(8, 60)), (None, "one"), (None, "ONE"), (4, ""), (None, None)]
+    kept = near_dup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(((r.doc_id, r.text and r.text.lower()) for r in kept.collect()), key=str)
+    assert got == sorted([(1, same), (None, other), (3, text(7, 60)), (3, text(8, 60)), (None, "one"), (4, ""), (None, None)], key=str)
+
+
 # ---- 10: quality ----
 
 def brute_stats(t):
