@@ -226,7 +226,7 @@ def fetch_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Staged blocks (block, keys, sizes, hashes) of the chosen classes' whole sets."""
     small = chosen.count() <= BROADCAST_ROWS
     rows = docs.select("doc_id", "text", row_key(docs).alias("of"))
-    picked = rows.join(F.broadcast(chosen) if small else chosen, F.col("doc_id").eqNullSafe(F.col("rep")))
+    picked = rows.join(F.broadcast(chosen) if small else chosen, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("of") == F.col("rep_of")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -399,6 +399,13 @@ def test_drop_near_duplicates_goes_by_row(spark):
     assert got == sorted([(1, same), (None, other), (3, text(7, 60)), (3, text(8, 60)), (None, "one"), (4, ""), (None, None)], key=str)
 
 
+def test_sets_are_fetched_once_each(spark):
+    """Null ids do not pair every such row with every class."""
+    df = spark.createDataFrame([(None, text(i // 2, 60) + ("" if i % 2 else " end")) for i in range(40)], "doc_id long, text string")
+    chosen = near_dup.survivors(df, near_dup.classes(df))
+    assert chosen.count() == chosen.select("rep", "rep_of").distinct().count() == 40
+
+
 # ---- 10: quality ----
 
 def brute_stats(t):
