@@ -96,10 +96,18 @@ def _phones(text: str):
 
 
 def _ibans(text: str):
-    for m in _IBAN.finditer(text):
-        plain = m[0].replace(" ", "")
-        if 15 <= len(plain) <= 34 and mod97(plain):
-            yield m.span()
+    """From each start the longest run of whole words that holds the test; a start whose
+    runs all fail gives way to the next one, so at most 34 characters are read of each."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 4
+        ends = [i for i in range(m.start() + 15, m.end() + 1) if i == m.end() or text[i] == " "]
+        for end in reversed(ends):
+            plain = text[m.start():end].replace(" ", "")
+            if 15 <= len(plain) <= 34 and mod97(plain):
+                yield m.start(), end
+                at = end
+                break
 
 
 def _ssns(text: str):

@@ -199,6 +199,14 @@ def test_pii():
     assert pii.spans_of("plain words, 12 of them") == [] and pii.spans_of(None) == []
 
 
+def test_iban_ends_before_capital_words():
+    for after in (" BIC COBADEFFXXX", " AND 12 MORE", "", ", X", " GB82 WEST 1234 5698 7654 32 EUR"):
+        t = "pay DE89 3704 0044 0532 0130 00" + after
+        assert ("iban", "DE89 3704 0044 0532 0130 00") in [(k, t[a:b]) for k, a, b, _ in pii.spans_of(t)]
+        assert "[IBAN]" + after[:1] in pii.redacted(t) and "0532" not in pii.redacted(t) and "7654" not in pii.redacted(t)
+    assert not [s for s in pii.spans_of("DE89 3704 0044 0532 0130 01 BIC COBADEFFXXX") if s[0] == "iban"]
+
+
 def test_pii_bases_are_the_plain_patterns():
     import re
 
