@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cairn.config import LIFT_FIELDS
 from cairn.functions.columns import dot
 
-WIDE = 24  # features up to which sums of products are spelled out
+WIDE = 8  # features up to which sums of products are spelled out; more would take longer to compile than to sum
 NARROW_LIFT = 8  # features up to which the standard error is a native expression
 
 
@@ -52,21 +52,23 @@ def _batched(rows: DataFrame, k: int) -> np.ndarray:
 
 
 def normal_equations(df: DataFrame, x: Column, w: Column, y: Column, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """X'WX and X'Wy of array column x with k elements; a row with a null counts for nothing."""
+    """X'WX and X'Wy of array column x with k elements; a row in which x, an element of it,
+    w or y is null, or x is of another length, counts for nothing, whichever path sums."""
+    rows = df.select(x.cast("array<double>").alias("x"), w.cast("double").alias("w"), y.cast("double").alias("y"))
+    rows = rows.filter("x is not null and w is not null and y is not null").filter((F.size("x") == k) & F.forall("x", lambda v: v.isNotNull()))
     if k <= WIDE:
-        row = df.select(x.alias("x"), w.alias("w"), y.alias("y")).agg(*[c.alias(n) for n, c in gram_columns([F.get("x", F.lit(i)) for i in range(k)], F.col("w"), F.col("y")).items()]).first()
+        row = rows.agg(*[c.alias(n) for n, c in gram_columns([F.get("x", F.lit(i)) for i in range(k)], F.col("w"), F.col("y")).items()]).first()
         g = np.zeros((k, k))
         for i in range(k):
             for j in range(i, k):
                 g[i, j] = g[j, i] = row[f"g_{i}_{j}"] or 0.0
         return g, np.array([row[f"m_{i}"] or 0.0 for i in range(k)])
-    whole = df.select(F.concat(x, F.array(y.cast("double"))).alias("v"), w.cast("double").alias("w")).filter("w is not null and v is not null")
-    g = _batched(whole, k + 1)
+    g = _batched(rows.select(F.concat("x", F.array("y")).alias("v"), "w"), k + 1)
     return g[:k, :k], g[:k, k]
 
 
 def meat(df: DataFrame, x: Column, w: Column, y: Column, b: np.ndarray) -> np.ndarray:
-    """Sum of w^2 e^2 x x' for the residuals of b."""
+    """Sum of w^2 e^2 x x' for the residuals of b; rows count as in normal_equations."""
     e = y - dot(x, b.tolist())
     return normal_equations(df, x, w * w * e * e, F.lit(0.0), len(b))[0]
 

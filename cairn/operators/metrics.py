@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.config import LIFT_FIELDS
 
+from .sampling import EXACT_ROWS, SKETCH
+
+log = logging.getLogger("cairn")
+
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return df.groupBy(F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction")).agg(F.count("*").alias("n"))
@@ -44,11 +50,15 @@ def multiclass_metrics(df: DataFrame, label: str, labels: list[str], prediction:
     return by, weighted_metrics(matrix).first().asDict()
 
 
-def prediction_summary(df: DataFrame, fields: tuple[str, ...] = LIFT_FIELDS, exact: bool = True) -> DataFrame:
+def prediction_summary(df: DataFrame, fields: tuple[str, ...] = LIFT_FIELDS, exact: bool | None = None) -> DataFrame:
     """One row a prediction column, by name: min, max, mean, sd, skewness (third central
-    moment over sd^3), skewness_ref (over sd^6), percentiles, shares <= 0 and >= 1."""
+    moment over sd^3), skewness_ref (over sd^6), percentiles, shares <= 0 and >= 1. Percentiles
+    are exact up to EXACT_ROWS rows, beyond that those of sketches (rank error 1 / SKETCH), unless exact says."""
+    if exact is None:
+        exact = df.count() <= EXACT_ROWS
+        log.info("prediction_summary: %s percentiles", "exact" if exact else "sketched")
     long = df.select(*fields).unpivot([], list(fields), "variable", "value")
-    p = (lambda x: F.percentile("value", x)) if exact else (lambda x: F.percentile_approx("value", x, 10000))
+    p = (lambda x: F.percentile("value", x)) if exact else (lambda x: F.percentile_approx("value", x, SKETCH))
     third = F.avg(F.pow("value", F.lit(3))) - 3 * F.avg("value") * F.avg(F.pow("value", F.lit(2))) + 2 * F.pow(F.avg("value"), F.lit(3))
     sd = F.stddev_samp("value")
     share = lambda c: F.avg(c.cast("double"))

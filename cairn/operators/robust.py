@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +16,9 @@ from cairn.functions.columns import has_column, probability_of_one
 
 from .features import treatments_of
 from .propensity import Propensity, column_of, fit_calibrators, fit_propensity, overlap, truncate
-from .sampling import cap_sample, random_split
+from .sampling import cap_sample, numbered, random_split
 
-BATCH_REPLICATES = 50
+ROW = "_row_id"  # of a training row, by which it is drawn in the bootstrap
 
 
 def arm_rows(df: DataFrame, index: int) -> DataFrame:
@@ -69,23 +68,28 @@ def lift(df: DataFrame, treatment: str) -> DataFrame:
     return df.withColumn(f"{treatment}_lift", F.when(f.isNull() | cf.isNull(), None).when(f == 0, 0.0).when(value > 0, value).otherwise(0.0))
 
 
-def bootstrap(df: DataFrame, value: str, treated: str, key: Column, replicates: int = 1000, seed: int = 12345) -> DataFrame:
-    """(replicate, ate, att): Poisson(1) bootstrap means over all rows and over treated
-    ones. A row's weights come from a counter-based generator keyed by (seed, md5 of its key), so
-    results do not depend on partitioning; only sums for each replicate are shuffled."""
-    rows = df.select(F.col(value).cast("double").alias("v"), F.col(treated).cast("double").alias("t"), F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 15), 16, 10).cast("long").alias("k")).filter("v is not null")
+def bootstrap(df: DataFrame, values: dict[str, tuple[str, str]], key: Column, replicates: int = 1000, seed: int = 12345) -> DataFrame:
+    """(treatment, replicate, ate, att): Poisson(1) bootstrap means over all rows and over
+    treated ones. values: of each treatment its value and its treated column; all are summed in
+    one pass under the same draws. A row's weights come from a counter-based generator keyed by
+    (seed, md5 of its key), so results do not depend on partitioning, and rows of equal key are
+    drawn together: the key must tell rows apart. Null values count for nothing. Only sums for each
+    replicate are shuffled."""
+    names = list(values)
+    cols = [F.col(c).cast("double").alias(f"{k}{i}") for i, t in enumerate(names) for k, c in zip("vt", values[t], strict=True)]
+    rows = df.select(F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 15), 16, 10).cast("long").alias("k"), *cols).filter("k is not null")
     # cumulative Poisson(1) probabilities against 16-bit uniforms
     steps = np.floor(np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 9)])) * 65536).astype(np.uint16)
+    kinds = ("sv", "n", "stv", "nt")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((4, replicates))
+        sums = np.zeros((4 * len(names), replicates))
         lanes = -(-replicates // 4)
         salt = (np.arange(lanes, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(seed)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
-                v, t = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                k = b.column(2).to_numpy(zero_copy_only=False).astype(np.uint64)
+                k = b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
                 h = k[:, None] * np.uint64(0xBF58476D1CE4E5B9) + salt[None]  # splitmix64: a bijection of (row, lane)
                 h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
                 h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -93,21 +97,29 @@ def bootstrap(df: DataFrame, value: str, treated: str, key: Column, replicates:
                 w = np.zeros(u.shape)
                 for s in steps[:-1]:
                     w += u >= s
-                sums += np.stack((v, np.ones(len(v)), np.nan_to_num(t) * v, np.nan_to_num(t))) @ w
-        yield pa.RecordBatch.from_pydict({"replicate": np.arange(replicates, dtype=np.int32), **{n: sums[i] for i, n in enumerate(("sv", "n", "stv", "nt"))}})
-
-    parts = rows.mapInArrow(run, "replicate int, sv double, n double, stv double, nt double")
-    sums = parts.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in ("sv", "n", "stv", "nt")])
-    return sums.select("replicate", F.try_divide("sv", "n").alias("ate"), F.try_divide("stv", "nt").alias("att"))
-
-
-def effects(df: DataFrame, treatment: str, key: Column, replicates: int = 1000, sample_size: int | None = None, seed: int = 12345) -> list[tuple]:
-    """(treatment, estimand, estimate, ci_lo, ci_hi) of ATE and ATT, each with its own interval. sample_size caps the rows, if given."""
+                left = []
+                for i in range(len(names)):
+                    v, t = (b.column(1 + 2 * i + j).to_numpy(zero_copy_only=False).astype(float) for j in (0, 1))
+                    on = ~np.isnan(v)
+                    v, t = np.where(on, v, 0.0), np.where(on, np.nan_to_num(t), 0.0)
+                    left += [v, on.astype(float), t * v, t]
+                sums += np.stack(left) @ w
+        for i, t in enumerate(names):
+            yield pa.RecordBatch.from_pydict({"treatment": [t] * replicates, "replicate": np.arange(replicates, dtype=np.int32), **{n: sums[4 * i + j] for j, n in enumerate(kinds)}})
+
+    parts = rows.mapInArrow(run, "treatment string, replicate int, sv double, n double, stv double, nt double")
+    sums = parts.groupBy("treatment", "replicate").agg(*[F.sum(c).alias(c) for c in kinds])
+    return sums.select("treatment", "replicate", F.try_divide("sv", "n").alias("ate"), F.try_divide("stv", "nt").alias("att"))
+
+
+def effects(df: DataFrame, treatments: list[str], key: Column, replicates: int = 1000, sample_size: int | None = None, seed: int = 12345) -> list[tuple]:
+    """(treatment, estimand, estimate, ci_lo, ci_hi) of ATE and ATT, each with its own
+    interval, all treatments in one pass over the rows. sample_size caps the rows, if given."""
     rows = cap_sample(df, sample_size, seed) if sample_size else df
-    r = bootstrap(rows, f"{treatment}_dre", f"is_treated_by_{treatment}", key, replicates, seed).agg(
-        *[f(c).alias(f"{c}_{n}") for c in ("ate", "att") for n, f in (("mean", F.avg), ("ci", lambda c: F.percentile(c, [0.025, 0.975])))]).first()
-    ci = lambda c: r[f"{c}_ci"] or [None, None]
-    return [(treatment, c.upper(), r[f"{c}_mean"], *ci(c)) for c in ("ate", "att")]
+    found = bootstrap(rows, {t: (f"{t}_dre", f"is_treated_by_{t}") for t in treatments}, key, replicates, seed)
+    ci = lambda c: F.percentile(c, [0.025, 0.975])  # of as many values as replicates
+    by = {r.treatment: r for r in found.groupBy("treatment").agg(*[f(c).alias(f"{c}_{n}") for c in ("ate", "att") for n, f in (("mean", F.avg), ("ci", ci))]).collect()}
+    return [(t, c.upper(), by[t][f"{c}_mean"], *(by[t][f"{c}_ci"] or [None, None])) for t in treatments for c in ("ate", "att")]
 
 
 def analytic_effects(df: DataFrame, treatments: list[str]) -> DataFrame:
@@ -153,11 +165,10 @@ class DoublyRobust:
 
     def fit(self, df: DataFrame) -> DoublyRobustModel:
         flags = [f"is_treated_by_{x}" for x in self.labels]
-        df = df.select("features", "treatment_type", "treatment_type_indexed", self.label, self.key, *flags).persist()
-        try:  # many passes: propensity, calibration, bounds, one forest an arm, effects
-            return self._fit(df)
-        finally:
-            df.unpersist()
+        rows = df.select("features", "treatment_type", "treatment_type_indexed", self.label, self.key, *flags)
+        # many passes, and a row's id and side of the split must be the same in all of them
+        with numbered(rows, ROW) as fixed:
+            return self._fit(fixed)
 
     def _fit(self, df: DataFrame) -> DoublyRobustModel:
         train, test = random_split(df, seed=self.seed)
@@ -172,12 +183,10 @@ class DoublyRobust:
         try:
             outcomes = {arm: fit_outcome(scored_train, self.labels, arm, self.outcome_estimator, self.seed) for arm in (CONTROL, *treatments_of(self.labels))}
             model = DoublyRobustModel(self.labels, found, outcomes, test=scored_test)
-            every = scored_train.unionByName(scored_test)
-            every = add_outcome(every, outcomes[CONTROL], "probability_counterfactual")
-            key = F.concat_ws("|", F.col(self.key).cast("string"), F.col("treatment_type"), F.col(self.label).cast("string"), vector_to_array("features").cast("string"))
+            every = add_outcome(scored_train.unionByName(scored_test), outcomes[CONTROL], "probability_counterfactual")
             for t in treatments_of(self.labels):
-                one = aipw(add_outcome(every, outcomes[t], f"{t}_probability"), t, self.label)
-                model.effects += effects(one, t, key, self.replicates, seed=self.seed)
+                every = aipw(add_outcome(every, outcomes[t], f"{t}_probability"), t, self.label)
+            model.effects = effects(every, treatments_of(self.labels), F.col(ROW), self.replicates, seed=self.seed)
         finally:
             scored_train.unpersist()
         return model

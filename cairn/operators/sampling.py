@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.columns import hash_share
+from cairn.functions.columns import broadcast_if_small, hash_share
+
+
+@contextmanager
+def numbered(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """df with a row id that is the same in every pass: the numbered rows are checkpointed in
+    the folder of spark.checkpoint.dir, which executors may be lost over, and go with Spark's
+    cleaner; where that is unset (a local session), they are cached."""
+    spark = df.sparkSession
+    folder, rows = spark.conf.get("spark.checkpoint.dir", None), df.withColumn(name, F.monotonically_increasing_id())
+    if folder:
+        spark.sparkContext.setCheckpointDir(folder)
+        yield rows.checkpoint()
+        return
+    rows = rows.persist(StorageLevel.DISK_ONLY)
+    rows.count()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
 
 def random_split(df: DataFrame, rate: float = 0.1, seed: int = 12345) -> tuple[DataFrame, DataFrame]:
@@ -30,10 +53,23 @@ def balanced_split(df: DataFrame, label: str, key: Column, rate: float = 0.2) ->
     return marked.filter(~F.col("_test")).drop("_test"), marked.filter("_test").drop("_test")
 
 
+def ranked(df: DataFrame, label: str, key: Column) -> DataFrame:
+    """df with _rank (from 0, ties share the least) of each row in its class in the order of
+    (md5 of key, key), and _size of the class. Rows are ranked inside 1/4096 slices of the md5 space
+    and slices are counted, so no class meets in one task."""
+    rows = df.withColumns({"_key": key, "_md5": F.md5(key.cast("string").cast("binary"))}).withColumn("_slice", F.coalesce(F.substring("_md5", 1, 3), F.lit("")))
+    inside = rows.withColumn("_in", F.rank().over(Window.partitionBy(label, "_slice").orderBy("_md5", "_key")) - 1)
+    counts = rows.groupBy(F.col(label).alias("_c"), F.col("_slice").alias("_s")).agg(F.count("*").alias("_k"))
+    of_class = Window.partitionBy("_c")  # 4096 rows a class, at most
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_k").over(of_class.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_size", F.sum("_k").over(of_class))
+    both = inside.join(counts, F.col(label).eqNullSafe(F.col("_c")) & (F.col("_slice") == F.col("_s")))
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_in")).alias("_rank"), "_size")
+
+
 def exact_split(df: DataFrame, label: str, key: Column, rate: float = 0.2) -> DataFrame:
     """Adds is_test by percent_rank within the class, in md5 order."""
-    w = Window.partitionBy(label).orderBy(F.md5(key.cast("string").cast("binary")), key)
-    return df.withColumn("is_test", F.percent_rank().over(w) < rate)
+    share = F.when(F.col("_size") > 1, F.col("_rank") / (F.col("_size") - 1)).otherwise(0.0)
+    return ranked(df, label, key).withColumn("is_test", share < rate).drop("_rank", "_size")
 
 
 def cap_sample(df: DataFrame, size: int, seed: int = 1234) -> DataFrame:
@@ -60,11 +96,9 @@ def cap_classes(df: DataFrame, label: str, ratio: float = 5.0, seed: int = 1234)
 
 
 def cap_classes_exactly(df: DataFrame, label: str, key: Column, ratio: float = 5.0) -> DataFrame:
-    """Keeps, of each class, the first ratio times the smallest class in md5 order; the
-    rank filter limits each task before the shuffle."""
+    """Keeps, of each class, the first ratio times the smallest class in md5 order (ties at the cap stay)."""
     smallest = class_counts(df, label).agg(F.min("n")).first()[0]
-    w = Window.partitionBy(label).orderBy(F.md5(key.cast("string").cast("binary")), key)
-    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= int(ratio * (smallest or 0))).drop("_r")
+    return ranked(df, label, key).filter(F.col("_rank") < int(ratio * (smallest or 0))).drop("_rank", "_size")
 
 
 def class_weights(df: DataFrame, label: str, scheme: str = "sqrt", out: str = "class_weight") -> DataFrame:
@@ -74,13 +108,50 @@ def class_weights(df: DataFrame, label: str, scheme: str = "sqrt", out: str = "c
     raw = F.sum("n").over(every) / (F.count("*").over(every) * F.col("n"))
     raw = F.sqrt(raw) if scheme == "sqrt" else raw
     per = per.withColumn("_g", raw).withColumn(out, F.col("_g") * F.count("*").over(every) / F.sum("_g").over(every)).select(F.col(label).alias("_label"), out)
-    return df.join(F.broadcast(per), df[label] == per["_label"]).drop("_label")
-
-
-def quantiles(df: DataFrame, col: str, probs: list[float], exact: bool = True, accuracy: int = 10000) -> list[float]:
-    """Interpolated percentiles, or sketches of bounded size for very large inputs."""
-    f = F.percentile(col, probs) if exact else F.percentile_approx(col, probs, accuracy)
-    return df.agg(f.alias("q")).first().q
+    return df.join(broadcast_if_small(per), df[label] == per["_label"]).drop("_label")
+
+
+EXACT_ROWS = 1_000_000  # values that one percentile aggregate may hold
+SKETCH = 10_000  # accuracy of the sketches
+
+
+def order_statistics(values: DataFrame, ranks: list[int], limit: int = EXACT_ROWS) -> dict[int, float]:
+    """Exact values at sorted places (from 0) of values (v double, no nulls), which no task has
+    to hold: sketches bracket each place, and only what is inside a bracket is looked at again."""
+    n = values.count()
+    if n <= limit:
+        row = values.agg(F.percentile("v", [r / max(n - 1, 1) for r in ranks]).alias("q")).first()
+        return dict(zip(ranks, row.q, strict=True))
+    share = lambda x: min(max(x, 0.0), 1.0)
+    ends = values.agg(F.percentile_approx("v", [share(r / n + d) for r in ranks for d in (-2 / SKETCH, 2 / SKETCH)], SKETCH).alias("q"), F.min("v").alias("least"), F.max("v").alias("most")).first()
+    spans = {}
+    for i, r in enumerate(ranks):
+        lo, hi = ends.q[2 * i:2 * i + 2]
+        spans[r] = ends.least if r / n - 2 / SKETCH <= 0 else lo, ends.most if r / n + 2 / SKETCH >= 1 else hi
+    at = values.agg(*[f(F.col("v") < x).alias(f"a{r}_{k}") if k % 2 == 0 else f(F.col("v") <= x).alias(f"a{r}_{k}") for r, (lo, hi) in spans.items() for k, x, f in ((0, lo, F.count_if), (1, lo, F.count_if), (2, hi, F.count_if))]).first()
+    out = {}
+    for r, (lo, hi) in spans.items():
+        below, through, before_hi = (at[f"a{r}_{k}"] for k in range(3))
+        if below <= r < through:
+            out[r] = lo
+        elif r >= before_hi:
+            out[r] = hi
+        else:
+            out |= {r: order_statistics(values.filter((F.col("v") > lo) & (F.col("v") < hi)), [r - through], limit)[r - through]}
+    return out
+
+
+def quantiles(df: DataFrame, col: str, probs: list[float], exact: bool = True, accuracy: int = SKETCH) -> list[float] | None:
+    """Interpolated percentiles, exact at any size, or those of sketches; None without values."""
+    if not exact:
+        return df.agg(F.percentile_approx(col, probs, accuracy).alias("q")).first().q
+    values = df.select(F.col(f"`{col}`").cast("double").alias("v")).filter("v is not null")
+    n = values.count()
+    if n <= EXACT_ROWS:
+        return values.agg(F.percentile("v", probs).alias("q")).first().q
+    places = [p * (n - 1) for p in probs]
+    found = order_statistics(values, sorted({r for x in places for r in (int(x), min(int(x) + 1, n - 1))}))
+    return [found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, n - 1)] - found[int(x)]) for x in places]
 
 
 def winsorize(df: DataFrame, col: str, lower: float = 0.01, upper: float = 0.99, exact: bool = True) -> DataFrame:

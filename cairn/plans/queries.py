@@ -267,8 +267,9 @@ def global_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("quantiles", "SELECT round(quantile_cont(l_extendedprice, 0.025), 4) AS p025, round(quantile_cont(l_extendedprice, 0.5), 4) AS p500, round(quantile_cont(l_extendedprice, 0.975), 4) AS p975 FROM lineitem")
 def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.percentile("l_extendedprice", [0.025, 0.5, 0.975])
-    return table(spark, sf_dir, "lineitem").agg(q.alias("q")).select(*[F.round(F.col("q")[i], 4).alias(n) for i, n in enumerate(("p025", "p500", "p975"))])
+    q = sampling.quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.025, 0.5, 0.975])
+    names = ("p025", "p500", "p975")
+    return spark.createDataFrame([tuple(q)], ", ".join(f"{n} double" for n in names)).select(*[F.round(n, 4).alias(n) for n in names])
 
 
 @_register("winsorize", "WITH q AS (SELECT quantile_cont(l_extendedprice, 0.01) AS lo, quantile_cont(l_extendedprice, 0.99) AS hi FROM lineitem) SELECT l_orderkey, l_linenumber, round(CASE WHEN l_extendedprice < lo THEN lo WHEN l_extendedprice > hi THEN hi ELSE l_extendedprice END, 4) AS l_extendedprice FROM lineitem, q")
@@ -395,7 +396,7 @@ def average_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("bootstrap_effects")
 def bootstrap_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = robust.aipw(_scored(spark, sf_dir), "ada", "conversionIndicator")
-    return sinks.effects_table(spark, robust.effects(out, "ada", F.col("event_id")))
+    return sinks.effects_table(spark, robust.effects(out, ["ada"], F.col("event_id")))
 
 
 @_register("propensity_normalize", f"WITH {SCORED}, c AS (SELECT event_id, " + ", ".join(f"1 / (1 + exp(-(2.0::DOUBLE * {propensity.column_of(t)} - 0.5))) AS c_{t}" for t in ARMS) + " FROM scored) SELECT event_id, " + ", ".join(f"round(c_{t} / (c_aap + c_ada + c_no_impression), 6) AS {t}" for t in ARMS) + " FROM c")

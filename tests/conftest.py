@@ -32,10 +32,12 @@ def duck():
 
 def rows_of(frame):
     """Rows as sorted tuples of comparable text, columns by name, floats to 6 places."""
+    import pandas as pd
+
     cols = sorted(frame.columns)
 
     def text(v):
-        if v is None or v != v:
+        if v is None or pd.api.types.is_scalar(v) and pd.isna(v):
             return "null"
         if isinstance(v, bool):
             return str(v)

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -140,12 +142,54 @@ def test_unknown_choices_raise(rows):
 
 def test_bootstrap_does_not_depend_on_partitions(spark):
     df = spark.range(2000).select("id", (F.sin("id") + 1).alias("v"), (F.col("id") % 3 == 0).cast("double").alias("t"))
-    runs = [robust.bootstrap(df.repartition(n), "v", "t", F.col("id"), 200).orderBy("replicate").toPandas() for n in (1, 5)]
-    assert np.allclose(runs[0], runs[1])
+    runs = [robust.bootstrap(df.repartition(n), {"x": ("v", "t")}, F.col("id"), 200).orderBy("replicate").toPandas() for n in (1, 5)]
+    assert np.allclose(runs[0][["ate", "att"]], runs[1][["ate", "att"]])
     v = df.toPandas().v
     assert runs[0].ate.std() == pytest.approx(v.std() / np.sqrt(2000), rel=0.25)
 
 
+def test_bootstrap_draws_equal_rows_apart(spark):
+    """Rows alike in all but their id are resampled one by one, several treatments in one pass."""
+    df = spark.range(1000).select("id", (F.col("id") % 2).cast("double").alias("a_dre"), F.lit(1.0).alias("is_treated_by_a"), F.when(F.col("id") < 500, F.col("id") % 2).cast("double").alias("b_dre"), (F.col("id") < 100).cast("double").alias("is_treated_by_b"))
+    with sampling.numbered(df.drop("id"), "_n") as rows:
+        found = {(t, e): (m, lo, hi) for t, e, m, lo, hi in robust.effects(rows, ["a", "b"], F.col("_n"), 400)}
+    for key, n in {("a", "ATE"): 1000, ("a", "ATT"): 1000, ("b", "ATE"): 500, ("b", "ATT"): 100}.items():
+        mean, lo, hi = found[key]
+        assert mean == pytest.approx(0.5, abs=0.02) and hi - lo == pytest.approx(2 * 1.96 * 0.5 / n**0.5, rel=0.25)
+
+
+@pytest.mark.parametrize("k", [3, linear.WIDE + 4])
+def test_rows_with_nulls_count_for_nothing(spark, k):
+    x, w, y = sample(k)
+    odd = [(None, 1.0, 1.0), ([1.0] * (k - 1) + [None], 1.0, 1.0), ([1.0] * k, None, 1.0), ([1.0] * k, 1.0, None), ([1.0] * (k - 1), 1.0, 1.0)]
+    df = frame(spark, x, w, y).union(spark.createDataFrame(odd, "x array<double>, w double, y double"))
+    g, m = linear.normal_equations(df, F.col("x"), F.col("w"), F.col("y"), k)
+    assert np.allclose(g, x.T @ (x * w[:, None])) and np.allclose(m, x.T @ (w * y))
+    b = np.linalg.solve(g, m)
+    assert np.allclose(linear.meat(df, F.col("x"), F.col("w"), F.col("y"), b), (x * ((y - x @ b) ** 2 * w**2)[:, None]).T @ x)
+
+
+def test_exact_quantiles_beyond_one_task(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    for v in (rng.normal(size=5000), rng.integers(0, 7, 5000).astype(float), np.zeros(3000)):
+        df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "a double")
+        want = np.quantile(v, [0, 0.013, 0.5, 0.977, 1])
+        monkeypatch.setattr(sampling, "EXACT_ROWS", 200)
+        assert np.allclose(sampling.quantiles(df, "a", [0, 0.013, 0.5, 0.977, 1]), want)
+        values = df.select(F.col("a").alias("v")).filter("v is not null")
+        got = sampling.order_statistics(values, [0, 7, 1500, len(v) - 1], 50)
+        assert [got[r] for r in (0, 7, 1500, len(v) - 1)] == [np.sort(v)[r] for r in (0, 7, 1500, len(v) - 1)]
+    assert sampling.quantiles(df.limit(0), "a", [0.5]) is None
+
+
+def test_ranks_by_slices(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit("a")).when(F.col("id") % 2 == 0, "b").alias("c"), (F.col("id") % 1500).alias("k"))
+    got = sampling.ranked(df, "c", F.col("k")).toPandas()
+    for _, rows in got.groupby("c", dropna=False):
+        order = sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for k in rows.k)
+        assert [order.index((hashlib.md5(str(k).encode()).hexdigest(), k)) for k in rows.k] == rows._rank.tolist() and (rows._size == len(rows)).all()
+
+
 def test_platt_and_normalization(spark):
     df = spark.range(400).select(F.col("id"), (F.col("id") / 400).alias(propensity.column_of("a")), (1 - F.col("id") / 400).alias(propensity.column_of("b")), (F.col("id") % 400 > 200).cast("double").alias("is_treated_by_a"), (F.col("id") % 400 <= 200).cast("double").alias("is_treated_by_b"))
     out = propensity.calibrate(df, ["a", "b"], propensity.fit_calibrators(df, ["a", "b"])).toPandas()
