@@ -1,5 +1,5 @@
 """What the operators share: shipping the package to executors, staging tables
-in the shared folder, and running totals that no single task has to hold."""
+in the shared folder, giving memory back, and running totals that no single task has to hold."""
 
 from __future__ import annotations
 
@@ -7,8 +7,12 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
@@ -35,29 +39,93 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset (tests), one of our own."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a local session (tests) gets
+    one of its own; on a cluster, whose executors would each write to their own disk, it raises."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="cairn-shared-")
     return _own_dirs[app]
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of about so many bytes while a plan is made and run: buffers on both
+    sides of the Python workers stay small, whatever the length of rows."""
+    old = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES) if old is None else spark.conf.set(BATCH_BYTES, old)
+
+
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage ends at
     files that outlive any executor. The folder goes when the shared one is cleared."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cairn-{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    with small_batches(spark):
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns free memory of Arrow and of the C library to the system; a worker lives on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def one_thread() -> None:
+    """Has numpy's OpenBLAS multiply in the calling thread alone: on small matrices more threads only spin."""
+    import ctypes
+
+    import numpy as np
+
+    for path in Path(np.__file__).resolve().parents[1].glob("numpy.libs/*openblas*"):
+        lib = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads"):
+            if hasattr(lib, name):
+                getattr(lib, name)(1)
+                return
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None)
+    except OSError:
+        return None
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added while df has a column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def words_count(text: Column) -> Column:
     """Number of words; null text has none. JVM only."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

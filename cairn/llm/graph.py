@@ -1,4 +1,9 @@
-"""Connected components by alternating large and small stars, as DataFrame joins."""
+"""Connected components by alternating large and small stars, as DataFrame joins.
+
+Edge cases: edges with a null end count for nothing, loops and repeated edges for no more
+than one; without edges the result is empty. Rounds grow with the logarithm of the longest
+path; beyond MAX_ROUNDS it raises. Other columns of edges are left out.
+"""
 
 from __future__ import annotations
 

@@ -14,7 +14,8 @@ is sampled; each step drops only what a size-derived bound rules out:
 4. Prefix sharing ties candidates into groups (stars, then components).
 5. Products: groups are packed into tiles of classes. A tile's rows are all multiplied
    with each other: wide columns as dense blocks, the others through posting lists. A
-   group beyond a tile is cut into tiles, and every pair of its tiles is multiplied.
+   group beyond a tile is cut by set size into bands of ratio 4/3, and those into tiles;
+   tiles of one band or of bands side by side are multiplied, as sizes rule out all others.
    Out of a product come, of each row, the number of documents that it links to and a
    link to the least row of its component there; pairs are counted, not written out.
 6. Components of the links; a document's is named by its smallest doc_id. Its n_links
@@ -38,22 +39,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .coded import distinct, slices, split_words
-from .env import row_key, ship, staged
+from .env import free, give_back, row_key, ship, staged
 from .graph import components
 
 WORDS = 5
 NUM, DEN = 75, 100  # least similarity
-BLOCK_CHARS = 8_000_000  # of text in a block of rows
-BLOCK_COLUMNS = 1_500_000  # shingles in a column block, about
-TILE = 4096  # rows in a tile, at most
-BIN_ROWS = 1500  # rows in a tile of small groups, about
+BLOCK_CHARS = 4_000_000  # of text in a block of rows
+BLOCK_COLUMNS = 1_000_000  # shingles in a column block, about
+TILE = 2048  # rows in a tile, at most
+BIN_ROWS = 1000  # rows in a tile of small groups, about
 DENSE = 16  # columns of more than one in so many rows of a tile are multiplied as dense ones
-CELLS = 4_000_000  # of a product that are held at once, about
+CELLS = 1_000_000  # of a product that are held at once, about
 BROADCAST_ROWS = 1_000_000  # survivors that may be broadcast; beyond, the join shuffles
 
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+def tidy(f):
+    """f on a group's table; what it freed goes back to the system."""
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return f(table)
+        finally:
+            give_back()
+
+    return run
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _M1
     h = (h ^ (h >> np.uint64(27))) * _M2
@@ -110,6 +123,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: int, chars: int = BLOCK_CHA
                 start, size = i + 1, 0
         if start < b.num_rows:
             yield b.slice(start)
+    give_back()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -140,9 +154,13 @@ def _column_block(h: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def shared_counts(docs: DataFrame, blocks: int) -> DataFrame:
-    """(cls, shared): of the class's even-hash shingles, those that another class has; rows of 0 are missing."""
+    """(cls, shared): of the class's even-hash shingles, those that another class has; rows of 0 are missing.
+    A block of documents sends one message to each column block and gets one back; its counts are summed there."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 32
         for b in _chunks(batches, 0):
             seen: dict[int, np.ndarray] = {}
             for s in shingle_sets(b.column(0)):
@@ -176,34 +194,48 @@ def shared_counts(docs: DataFrame, blocks: int) -> DataFrame:
                 out["local"].append(local[on].astype("<u4").tobytes())
                 out["hashes"].append(_short(hk[~mk][by]))
                 out["common"].append(_short(hk[mk & first[lo:hi]]))
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "cb" else pa.binary()) for k, v in out.items()})
+            out["block"] = [block] * len(out["cb"])
+            block += 1
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, {"cb": pa.int32(), "block": pa.int64()}.get(k, pa.binary())) for k, v in out.items()})
+
+    def column(table: pa.Table, name: str, kind: str) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
 
+    @tidy
     def join(table: pa.Table) -> pa.Table:
-        cols = {c: table.column(c).to_pylist() for c in ("keys", "counts", "local", "hashes", "common")}
-        keys, counts, local = (np.concatenate([np.frombuffer(x, t) for x in cols[c]]) for c, t in (("keys", "<i8"), ("counts", "<u4"), ("local", "<u4")))
-        h = _long(b"".join(cols["hashes"]))
-        owner = np.repeat(np.arange(len(keys)), counts)
-        common = np.unique(_long(b"".join(cols["common"])))
+        each, counts, local = column(table, "keys", "<i8"), column(table, "counts", "<u4"), column(table, "local", "<u4")
+        keys, n = np.concatenate(each), np.concatenate(counts)
+        h = _long(b"".join(x.as_py() for x in table.column("hashes")))
+        common = np.unique(_long(b"".join(x.as_py() for x in table.column("common"))))
         order = np.argsort(h, kind="stable")
-        hs, ks = h[order], keys[owner[order]]
+        hs, ks = h[order], np.repeat(keys, n)[order]
         starts = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]]) if len(hs) else np.zeros(0, np.int64)
         shared = np.zeros(len(h), bool)
         if len(hs):
             two = np.minimum.reduceat(ks, starts) != np.maximum.reduceat(ks, starts)
             two |= np.isin(hs[starts], common, assume_unique=True)
             shared[order] = np.repeat(two, np.diff(np.r_[starts, len(hs)]))
-        total = local.astype(np.int64) + np.bincount(owner[shared], minlength=len(keys))
-        # copies in other blocks gave the same counts: one of them stands
-        order = np.argsort(keys, kind="stable")
-        ks, first = keys[order], None
-        first = np.flatnonzero(np.r_[True, ks[1:] != ks[:-1]]) if len(ks) else np.zeros(0, np.int64)
-        best = np.maximum.reduceat(total[order], first) if len(ks) else total
-        on = best > 0
-        return pa.table({"cls": pa.array(ks[first][on], pa.int64()), "shared": pa.array(best[on], pa.int64())})
-
-    sent = docs.select("text").mapInArrow(send, "cb int, keys binary, counts binary, local binary, hashes binary, common binary")
-    got = sent.groupBy("cb").applyInArrow(join, "cls long, shared long")
-    return got.groupBy("cls").agg(F.sum("shared").alias("shared"))
+        ends = np.r_[0, np.cumsum(shared)]
+        at = np.r_[0, np.cumsum(n, dtype=np.int64)]
+        total = np.concatenate(local) + (ends[at[1:]] - ends[at[:-1]])
+        cuts, back = np.cumsum([0, *map(len, each)]), ([], [], [])
+        for i, block in enumerate(table.column("block").to_pylist()):
+            k, t = each[i], total[cuts[i]:cuts[i + 1]]
+            if t.any():
+                back[0].append(block)
+                back[1].append(k[t > 0].tobytes())
+                back[2].append(t[t > 0].astype("<u4").tobytes())
+        return pa.table({"block": pa.array(back[0], pa.int64()), "keys": pa.array(back[1], pa.binary()), "n": pa.array(back[2], pa.binary())})
+
+    @tidy
+    def add(table: pa.Table) -> pa.Table:
+        keys, at = np.unique(np.concatenate(column(table, "keys", "<i8")), return_inverse=True)
+        return pa.table({"cls": keys, "shared": np.bincount(at, np.concatenate(column(table, "n", "<u4"))).astype(np.int64)})
+
+    sent = docs.select("text").mapInArrow(send, "cb int, keys binary, counts binary, local binary, hashes binary, common binary, block long")
+    back = sent.groupBy("cb").applyInArrow(join, "block long, keys binary, n binary")
+    # copies of a class in other blocks have the same counts there
+    return back.groupBy("block").applyInArrow(add, "cls long, shared long").groupBy("cls").agg(F.max("shared").alias("shared"))
 
 
 def _first() -> Column:
@@ -212,14 +244,14 @@ def _first() -> Column:
 
 
 def survivors(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Staged (cls, rep, rep_of, docs): classes that the bound on unshared shingles leaves, with
-    the doc_id and row key of a row to fetch each by, and its documents."""
+    """Staged (cls, n, rep, rep_of, docs): classes that the bound on unshared shingles leaves, with
+    set size, the doc_id and row key of a row to fetch each by, and its documents."""
     size = sets.filter("n > 0").agg(F.sum("m")).first()[0] or 0
     reps = sets.filter("n > 0").groupBy("cls").agg(F.min(_first()).alias("rep"), F.first("n").alias("n"), F.first("m").alias("m"), F.count("*").alias("docs"))
     shared = shared_counts(docs, max(1, -(-size // BLOCK_COLUMNS)))
     left = reps.alias("r").join(shared.alias("s"), F.col("r.cls") == F.col("s.cls"), "left")
     bound = F.col("m") - (F.col("n") - F.ceil(F.lit(NUM) * F.col("n") / DEN))
-    return staged(left.filter(F.coalesce("shared", F.lit(0)) >= bound).select("r.cls", F.col("r.rep.id").alias("rep"), F.col("r.rep.of").alias("rep_of"), "r.docs"), "survivors")
+    return staged(left.filter(F.coalesce("shared", F.lit(0)) >= bound).select("r.cls", "r.n", F.col("r.rep.id").alias("rep"), F.col("r.rep.of").alias("rep_of"), "r.docs"), "survivors")
 
 
 def fetch_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -264,6 +296,7 @@ def prefixes(kept: DataFrame, blocks: int) -> DataFrame:
                     "cb": pa.array(on, pa.int32()), "block": pa.array([row["block"]] * len(on), pa.int64()),
                     "hashes": pa.array([h[cut[k]:cut[k + 1]].astype("<u8").tobytes() for k in on], pa.binary()), "n": pa.array([n[cut[k]:cut[k + 1]].astype("<u4").tobytes() for k in on], pa.binary())})
 
+    @tidy
     def count(table: pa.Table) -> pa.Table:
         hs, ns = ([np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("hashes", "<u8"), ("n", "<u4")))
         uniq, at = np.unique(np.concatenate(hs), return_inverse=True)
@@ -306,6 +339,11 @@ def prefixes(kept: DataFrame, blocks: int) -> DataFrame:
     return kept.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(choose, "hash long, cls long")
 
 
+def _band(n: Column) -> Column:
+    """Bands of set sizes, each 4/3 of the one below: linked sets are in one band or in two side by side."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(DEN / NUM)) + 1e-9).cast("int")
+
+
 class Tile:
     """Sparse incidence of a tile's rows, to be multiplied with other rows."""
 
@@ -384,17 +422,28 @@ def links(kept: DataFrame, tokens: DataFrame, chosen: DataFrame) -> DataFrame:
     stars = tokens.alias("t").join(lead.alias("l"), F.col("t.hash") == F.col("l.hash")).filter("t.cls <> l.lead").select(F.col("t.cls").alias("u"), F.col("l.lead").alias("v")).distinct()
     groups = components(stars)
     member = groups.union(groups.select(F.col("label").alias("u"), "label").distinct())
-    sizes = member.groupBy("label").agg(F.count("*").alias("k"))
-    sizes = staged(sizes, "groups")
-    total = sizes.filter(F.col("k") <= TILE).agg(F.sum("k")).first()[0] or 0
+    member = member.alias("m").join(chosen.alias("c"), F.col("m.u") == F.col("c.cls")).select("c.cls", "c.docs", F.col("m.label").alias("grp"), _band(F.col("c.n")).alias("band"))
+    bands = staged(member.groupBy("grp", "band").agg(F.count("*").alias("k")), "bands")
+    whole = bands.groupBy("grp").agg(F.sum("k").alias("all"))
+    total = whole.filter(F.col("all") <= TILE).agg(F.sum("all")).first()[0] or 0
     bins = max(1, -(-total // BIN_ROWS))
-    cut = F.ceil(F.col("k") / (TILE // 2)).cast("int")  # a pair of tiles has about TILE rows
-    placed = member.alias("m").join(sizes.alias("s"), F.col("m.label") == F.col("s.label")).join(chosen.alias("c"), F.col("m.u") == F.col("c.cls")).select(
-        F.col("m.u").alias("cls"), "c.docs", F.col("m.label").alias("grp"), F.when(F.col("k") <= TILE, F.lit(0)).otherwise(cut).alias("tiles"))
-    own = F.when(F.col("tiles") == 0, F.pmod(F.xxhash64("grp"), F.lit(bins).cast("long"))).otherwise(F.pmod(F.xxhash64("cls"), F.col("tiles").cast("long")))
-    placed = placed.withColumn("tile", own).withColumn("unit", F.when(F.col("tiles") == 0, F.lit(0).cast("long")).otherwise(F.col("grp")))
-    # each tile of a large group meets itself and every other one
-    with_ = F.when(F.col("tiles") == 0, F.array("tile")).otherwise(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("tiles"), F.lit(1)).cast("long") - 1))
+    # of a large group, the tiles of each band; a pair of tiles has about TILE rows
+    tiles = bands.withColumn("t", F.ceil(F.col("k") / (TILE // 2)).cast("long")).alias("b")
+    beside = lambda d, x: bands.select(F.col("grp").alias(f"g_{x}"), (F.col("band") - d).alias(f"b_{x}"), F.ceil(F.col("k") / (TILE // 2)).cast("long").alias(f"t_{x}"))
+    at = lambda x: (F.col("b.grp") == F.col(f"g_{x}")) & (F.col("b.band") == F.col(f"b_{x}"))
+    tiles = tiles.join(whole.alias("w"), F.col("b.grp") == F.col("w.grp")).join(beside(1, "up"), at("up"), "left").join(beside(-1, "down"), at("down"), "left")
+    tiles = tiles.select("b.grp", "b.band", (F.col("all") > TILE).alias("large"), "t", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("t_up", "t_down")])
+    placed = member.alias("m").join(tiles.alias("s"), (F.col("m.grp") == F.col("s.grp")) & (F.col("m.band") == F.col("s.band"))).select("m.*", "large", "t", "t_up", "t_down")
+    zero = F.lit(0).cast("long")
+    own = F.pmod(F.xxhash64("cls"), F.col("t"))
+    # each tile meets itself, the others of its band and those of the bands beside it: (band of the left tile, tile, band of the right one, tile)
+    all_of = lambda n: F.filter(F.sequence(zero, F.greatest(n, zero)), lambda i: i < n)
+    meet = F.concat(
+        F.transform(all_of(F.col("t")), lambda i: F.struct(F.col("band").alias("bi"), F.least(own, i).alias("i"), F.col("band").alias("bj"), F.greatest(own, i).alias("j"))),
+        F.transform(all_of(F.col("t_up")), lambda i: F.struct(F.col("band").alias("bi"), own.alias("i"), (F.col("band") + 1).alias("bj"), i.alias("j"))),
+        F.transform(all_of(F.col("t_down")), lambda i: F.struct((F.col("band") - 1).alias("bi"), i.alias("i"), F.col("band").alias("bj"), own.alias("j"))))
+    small = F.array(F.struct(zero.cast("int").alias("bi"), F.pmod(F.xxhash64("grp"), F.lit(bins).cast("long")).alias("i"), zero.cast("int").alias("bj"), F.pmod(F.xxhash64("grp"), F.lit(bins).cast("long")).alias("j")))
+    placed = placed.select("cls", "docs", F.when(F.col("large"), F.col("grp")).otherwise(zero).alias("unit"), F.when(F.col("large"), F.col("band")).otherwise(0).alias("band"), F.when(F.col("large"), own).otherwise(F.pmod(F.xxhash64("grp"), F.lit(bins).cast("long"))).alias("tile"), F.when(F.col("large"), meet).otherwise(small).alias("with_"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -404,22 +453,23 @@ def links(kept: DataFrame, tokens: DataFrame, chosen: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"cls": pa.array(keys), "set": pa.array([hashes[at[i]:at[i + 1]].tobytes() for i in range(len(keys))], pa.binary())})
 
     sets = kept.mapInArrow(rows, "cls long, set binary")
-    full = sets.alias("a").join(placed.alias("p"), F.col("a.cls") == F.col("p.cls")).select("a.cls", "set", "docs", "unit", "tile", F.explode(with_).alias("other"))
-    work = full.select("cls", "set", "docs", "unit", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+    full = sets.alias("a").join(placed.alias("p"), F.col("a.cls") == F.col("p.cls")).select("a.cls", "set", "docs", "unit", "band", "tile", F.explode("with_").alias("w"))
+    work = full.select("cls", "set", "docs", "unit", ((F.col("band") == F.col("w.bi")) & (F.col("tile") == F.col("w.i"))).alias("left"), ((F.col("w.bi") == F.col("w.bj")) & (F.col("w.i") == F.col("w.j"))).alias("same"), "w.bi", "w.i", "w.bj", "w.j")
 
+    @tidy
     def product(table: pa.Table) -> pa.Table:
-        raw = [table.column(c).to_numpy() for c in ("cls", "docs", "tile", "i", "j")]
-        order = np.lexsort((raw[0], raw[2]))  # the left tile's rows come first
-        keys, docs, tile, i, j = (x[order] for x in raw)
+        raw = [table.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "docs", "left", "same")]
+        order = np.lexsort((raw[0], ~raw[2]))  # the left tile's rows come first
+        keys, docs, left, same = (x[order] for x in raw)
         one = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])  # a class may come from two blocks
-        keys, docs, tile, order = keys[one], docs[one], tile[one], order[one]
+        keys, docs, left, order = keys[one], docs[one], left[one], order[one]
         column = table.column("set")
-        own = [np.frombuffer(column[int(k)].as_py(), "<u8") for k in order]
-        half = len(own) if i[0] == j[0] else int((tile == i[0]).sum())
-        labels, found = multiply(own[:half], None if i[0] == j[0] else own[half:], docs)
+        own = [np.frombuffer(column[int(k)].as_buffer(), "<u8") for k in order]
+        half = len(own) if same[0] else int(left.sum())
+        labels, found = multiply(own[:half], None if same[0] else own[half:], docs)
         return pa.table({"u": keys, "v": keys[labels], "n": found})
 
-    return staged(work.groupBy("unit", "i", "j").applyInArrow(product, "u long, v long, n long"), "links")
+    return staged(work.groupBy("unit", "bi", "i", "bj", "j").applyInArrow(product, "u long, v long, n long"), "links")
 
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -430,7 +480,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     chosen = survivors(docs, sets)
     kept = fetch_sets(docs, chosen)
     total = (sets.filter("n > 0").agg(F.sum("n")).first()[0] or 0)
-    tokens = staged(prefixes(kept, max(1, -(-total // (4 * BLOCK_COLUMNS)))), "prefixes")
+    tokens = staged(prefixes(kept, max(1, -(-total // BLOCK_COLUMNS))), "prefixes")
     found = links(kept, tokens, chosen)
     roots = components(found.select("u", "v"))
     sums = found.groupBy("u").agg(F.sum("n").alias("n"))
@@ -457,12 +507,13 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     blank = sets.filter("n = 0").select("doc_id", "of", F.lit(False)).distinct()
     stay = staged(pick.union(blank), "stay")
     small = stay.count() <= BROADCAST_ROWS
-    out = docs.withColumn("_key", row_key(docs)).alias("d").join((F.broadcast(stay) if small else stay).alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._of")))
-    out = out.select(*[F.col(f"d.`{c}`") for c in docs.columns], "_key", "_one")
+    key, no, of, one = free(docs, "_key", "_id", "_of", "_one")
+    keyed = docs.withColumn(key, row_key(docs))
+    same = F.col("doc_id").eqNullSafe(F.col(no)) & (F.col(key) == F.col(of))
+    out = keyed.join((F.broadcast(stay) if small else stay).toDF(no, of, one), same).drop(no, of, one)
     # rows that equal the picked one in every column: one of them stays
     picked = sets.filter("n > 0").alias("a").join(stay.filter("_one").alias("s"), F.col("a.doc_id").eqNullSafe(F.col("s._id")) & (F.col("a.of") == F.col("s._of")))
-    more = staged(picked.groupBy("a.doc_id", "a.of").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("doc_id").alias("_id"), F.col("of").alias("_of")), "repeated")
+    more = staged(picked.groupBy("a.doc_id", "a.of").agg(F.count("*").alias("k")).filter("k > 1").select("doc_id", "of"), "repeated").toDF(no, of)
     if more.limit(1).count() == 0:
-        return out.drop("_key", "_one")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of"))
-    return out.join(more, same, "left_anti").union(out.join(more, same, "left_semi").dropDuplicates(["doc_id", "_key"])).drop("_key", "_one")
+        return out.drop(key)
+    return out.join(more, same, "left_anti").union(out.join(more, same, "left_semi").dropDuplicates(["doc_id", key])).drop(key)
