@@ -1,4 +1,8 @@
-"""Texts as Arrow arrays of words, each distinct word handled once in Python."""
+"""Texts as Arrow arrays of words, each distinct word handled once in Python.
+
+Edge cases: null texts count as empty ones, which have no words; a text longer than a
+slice is a slice of its own, whole. Arrays of no texts give no slices.
+"""
 
 from __future__ import annotations
 
@@ -46,27 +50,34 @@ def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> Iterator[pa.Array]:
 def distinct(words: pa.Array) -> tuple[np.ndarray, list[bytes]]:
     """A code for every word, and the distinct words by code."""
     d = words.dictionary_encode()
-    own = d.dictionary
-    codes = d.indices.to_numpy(zero_copy_only=False)
+    return d.indices.to_numpy(zero_copy_only=False), raw_bytes(d.dictionary)
+
+
+def raw_bytes(own: pa.Array) -> list[bytes]:
+    """The values of a string or binary array without nulls."""
     if not len(own):
-        return codes, []
+        return []
     kind = np.int64 if pa.types.is_large_string(own.type) or pa.types.is_large_binary(own.type) else np.int32
     at = np.frombuffer(own.buffers()[1], kind)[own.offset:own.offset + len(own) + 1].tolist()
     raw = own.buffers()[2].to_pybytes() if own.buffers()[2] is not None else b""
-    return codes, [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+    return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 def spread(codes: np.ndarray, table: list[bytes], kind) -> tuple[np.ndarray, np.ndarray]:
     """The arrays that table holds as bytes, laid end to end in the order of codes; and the length of each."""
-    size = np.dtype(kind).itemsize
-    length = np.fromiter(map(len, table), np.int64, len(table)) // size
+    length = np.fromiter(map(len, table), np.int64, len(table)) // np.dtype(kind).itemsize
+    return lay(codes, np.frombuffer(b"".join(table), kind), length)
+
+
+def lay(codes: np.ndarray, flat: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As spread, for a table that stands end to end in flat."""
     start = np.cumsum(length) - length
     each = length[codes]
     end = np.cumsum(each)
     total = int(end[-1]) if len(end) else 0
     at = np.repeat(start[codes] - (end - each), each)
     at += np.arange(total)
-    return np.frombuffer(b"".join(table), kind)[at], each
+    return flat[at], each
 
 
 def per_text(each: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -3,17 +3,17 @@
 A shard's file image holds the document index and, per bit of the token ids from the
 highest down, a bit plane of all its tokens, in the order that the earlier planes'
 stable partition (zeros first) left them, with a directory of ones before every 512
-bits. Planes and directory are compressed one by one, so a reader takes only what it
-needs: access(i), rank(token, i), select(token, k) and count(token) touch one place
-per plane; tokens() restores the whole sequence. Images are rows of a Parquet table in
-the shared folder, so writing is atomic and a lost executor's part is written again;
-export() puts them out as plain files.
+bits. Both are compressed in frames of 8 KB, and a reader unpacks only those it meets:
+access(i), rank(token, i) and count(token) take a frame or two of each plane and directory,
+select(token, k) also the whole directory; tokens() restores the whole sequence. Images are
+rows of a Parquet table in the shared folder, so writing is atomic and a lost executor's
+part is written again; export() puts them out as plain files, read_file() opens one.
 
 A shard ends with the document that brings it to SHARD_TOKENS, so one very long
 document makes one larger shard.
 
-Edge cases: null or empty text is the end token alone. Null ids come first; documents
-of equal id stand by text. An empty table gives no shard.
+Edge cases: null or empty text is the end token alone. Null ids come first; rows of equal
+or null id stand by a hash of the text and then by the text, and may fill many parts. An empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -21,33 +21,36 @@ from __future__ import annotations
 import gc
 import os
 import re
+import string
 import struct
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_chars, vocab_path
-from .coded import Recent, distinct, per_text, slices, split_words, spread
+from .coded import Recent, distinct, lay, per_text, raw_bytes, slices, split_words, spread
 from .env import parallelism, ship, staged
 
 VOCAB = "word_bpe_49k.json"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 BLOCK = 512  # bits between directory entries
+FRAME = 1 << 13  # bytes that are compressed together
 CACHE_WORDS = 250_000  # in each of two generations
-MAGIC = b"CWMX0001"
+MAGIC = b"CWMX0002"
 
 
 class WaveletMatrix:
     """Bit planes with rank and select over a sequence of ids."""
 
-    def __init__(self, n: int, bits: int, planes: list[np.ndarray], zeros: list[int], ones: list[np.ndarray]) -> None:
+    def __init__(self, n: int, bits: int, planes: list, zeros: list[int], ones: list) -> None:
+        """planes and ones (of 4-byte numbers): bytes, as arrays or Frames."""
         self.n, self.bits, self.planes, self.zeros, self.ones = n, bits, planes, zeros, ones
 
     @classmethod
@@ -63,7 +66,7 @@ class WaveletMatrix:
             low = now[~bit]
             zeros.append(len(low))
             now = np.concatenate((low, now[bit]))
-        return cls(len(ids), bits, planes, zeros, ones)
+        return cls(len(ids), bits, planes, zeros, [o.astype("<u4").view(np.uint8) for o in ones])
 
     def _bit(self, level: int, i: int) -> int:
         return int(self.planes[level][i >> 3]) >> (7 - (i & 7)) & 1
@@ -75,7 +78,7 @@ class WaveletMatrix:
         if i % 8 and len(part):
             part = part.copy()
             part[-1] &= 0xFF << (8 - i % 8) & 0xFF
-        return int(self.ones[level][b]) + int(np.bitwise_count(part).sum())
+        return int(self.ones[level][4 * b:4 * b + 4].view("<u4")[0]) + int(np.bitwise_count(part).sum())
 
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
@@ -120,7 +123,7 @@ class WaveletMatrix:
 
     def _find(self, level: int, k: int, one: bool) -> int:
         """Place of bit number k of its kind, by the directory, then inside the block."""
-        before = self.ones[level].astype(np.int64)
+        before = self.ones[level][:].view("<u4").astype(np.int64)
         if not one:
             before = np.arange(len(before)) * BLOCK - before
         b = int(np.searchsorted(before, k, side="right")) - 1
@@ -131,7 +134,7 @@ class WaveletMatrix:
         """All ids in order, from the last plane up."""
         out = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for level in reversed(range(self.bits)):
-            bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            bit = np.unpackbits(self.planes[level][:], count=self.n).view(bool)
             up = np.empty_like(out)
             z = self.zeros[level]
             up[~bit] = out[:z]
@@ -140,6 +143,30 @@ class WaveletMatrix:
         return out
 
 
+class Frames:
+    """Bytes that stand in an image as compressed frames of FRAME; a slice unpacks those that it meets, once."""
+
+    def __init__(self, image: bytes, starts: list[int], n: int) -> None:
+        self.image, self.starts, self.n, self.seen = image, starts, n, {}
+
+    def _frame(self, k: int) -> bytes:
+        import zstandard
+
+        if k not in self.seen:
+            self.seen[k] = zstandard.ZstdDecompressor().decompress(self.image[self.starts[k]:self.starts[k + 1]])
+        return self.seen[k]
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, key: int | slice) -> np.ndarray | int:
+        if not isinstance(key, slice):
+            return self._frame(key // FRAME)[key % FRAME]
+        lo, hi, _ = key.indices(self.n)
+        raw = b"".join(self._frame(k) for k in range(lo // FRAME, -(-hi // FRAME))) if lo < hi else b""
+        return np.frombuffer(raw, np.uint8)[lo % FRAME:lo % FRAME + hi - lo] if raw else np.zeros(0, np.uint8)
+
+
 def write_image(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray, bits: int) -> bytes:
     import zstandard
 
@@ -147,95 +174,115 @@ def write_image(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray,
     wm = WaveletMatrix.build(ids, bits)
     known = np.array([d is not None for d in doc_ids], np.uint8)
     parts = [np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.packbits(known).tobytes(), np.array(lengths, "<i8").tobytes()]
-    for p, o in zip(wm.planes, wm.ones, strict=True):
-        parts += [p.tobytes(), o.astype("<u4").tobytes()]
-    packed = [pack(p) for p in parts]
-    head = struct.pack("<8sIIQ", MAGIC, bits, len(doc_ids), wm.n) + struct.pack(f"<{bits}Q", *wm.zeros) + struct.pack(f"<{len(packed)}Q", *map(len, packed))
-    return head + b"".join(packed)
+    parts += [x for p, o in zip(wm.planes, wm.ones, strict=True) for x in (p.tobytes(), o.tobytes())]
+    packed = [[pack(p[k:k + FRAME]) for k in range(0, len(p), FRAME)] for p in parts]
+    sizes = [len(p) for p in parts] + [len(f) for fs in packed for f in fs]
+    head = struct.pack("<8sIIQ", MAGIC, bits, len(doc_ids), wm.n) + struct.pack(f"<{bits}Q", *wm.zeros) + np.array(sizes, "<u8").tobytes()
+    return head + b"".join(f for fs in packed for f in fs)
 
 
 def read_image(image: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """Document ids, their token counts, and the wavelet matrix."""
-    import zstandard
-
+    """Document ids, their token counts, and the wavelet matrix; planes stay packed until they are asked for."""
     magic, bits, n_docs, n = struct.unpack_from("<8sIIQ", image)
     if magic != MAGIC:
         raise ValueError("not a token file")
     at = struct.calcsize("<8sIIQ")
     zeros = list(struct.unpack_from(f"<{bits}Q", image, at))
     at += 8 * bits
-    count = 3 + 2 * bits
-    sizes = struct.unpack_from(f"<{count}Q", image, at)
-    at += 8 * count
-    unpack, parts = zstandard.ZstdDecompressor().decompress, []
-    for s in sizes:
-        parts.append(unpack(image[at:at + s]))
-        at += s
-    known = np.unpackbits(np.frombuffer(parts[1], np.uint8), count=n_docs).astype(bool)
-    doc_ids = [int(d) if k else None for d, k in zip(np.frombuffer(parts[0], "<i8"), known, strict=True)]
-    planes = [np.frombuffer(p, np.uint8) for p in parts[3::2]]
-    ones = [np.frombuffer(p, "<u4") for p in parts[4::2]]
-    return doc_ids, np.frombuffer(parts[2], "<i8"), WaveletMatrix(n, bits, planes, zeros, ones)
+    raw = np.frombuffer(image, "<u8", 3 + 2 * bits, at).tolist()
+    at += 8 * len(raw)
+    counts = [-(-r // FRAME) for r in raw]
+    sizes = np.frombuffer(image, "<u8", sum(counts), at)
+    at += 8 * len(sizes)
+    starts = (np.r_[0, np.cumsum(sizes, dtype=np.int64)] + at).tolist()
+    cut = np.r_[0, np.cumsum(counts)].tolist()
+    parts = [Frames(image, starts[a:b + 1], r) for a, b, r in zip(cut, cut[1:], raw, strict=False)]
+    known = np.unpackbits(parts[1][:], count=n_docs).astype(bool)
+    doc_ids = [int(d) if k else None for d, k in zip(parts[0][:].view("<i8"), known, strict=True)]
+    return doc_ids, parts[2][:].view("<i8"), WaveletMatrix(n, bits, parts[3::2], zeros, parts[4::2])
 
 
-#: Latin letters, then ASCII marks other than the apostrophe: two pieces of the pre-tokenizer at most.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: ASCII marks other than the apostrophe: one piece of the pre-tokenizer, however many stand together.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Latin letters that are their own normal form.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
 
 
 class WordEncoder:
     """The tokenizers library over whole texts. Its pre-tokenizer never joins across
-    ASCII white space, so each distinct run between such is encoded once per worker
-    (recent ones are kept) and a text's ids are those of its runs in order. Runs of Latin
-    letters and marks go to the library's model by piece, letters in lower case; all others through its whole pipeline."""
+    ASCII white space, so a text's ids are those of the runs between such in order. Runs of
+    Latin letters and marks go to the library's model by piece, letters in lower case, many
+    distinct ones at once; all others through its whole pipeline. A worker keeps recent ones."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.model = self.tok.model
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.chars = dict(enumerate(byte_chars()))
+        # the library's model behind a pre-tokenizer that cuts at spaces alone, for many pieces at once
+        self.lean = Tokenizer(self.tok.model)
+        self.lean.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        own = self.tok.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(own.values()) + 1, bool)  # tokens that end a piece
+        self.ends[[i for t, i in own.items() if t.endswith(self.tok.model.end_of_word_suffix or "\0")]] = True
         self.known, self.pieces = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
 
-    def _piece(self, p: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(self.chars))]
-        return array("I", ids).tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, plain, rest = self.known.now, {}, []
-        for w in words:
-            if w.isalpha():  # of bytes: ASCII letters
-                plain[w] = (w.lower().decode(), "")
-                continue
-            if w[:-1].isalpha() and w[-1] in b".,;:!?":
-                plain[w] = (w[:-1].lower().decode(), chr(w[-1]))
-                continue
-            m = _PLAIN(w.decode("utf-8", "surrogatepass"))
-            letters = "".join(map(str.lower, m[1])) if m else ""
-            if m and letters.isalpha() and unicodedata.is_normalized("NFC", m[0]):
-                plain[w] = (letters, m[2])
+    def _tokenize(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces (UTF-8, no spaces) as little-endian bytes. A piece's last token has the end-of-word suffix."""
+        runs = (b" ".join(pieces[k:k + 1000]) for k in range(0, len(pieces), 1000))
+        texts = [r.decode("ascii") if r.isascii() else r.decode("latin-1").translate(self.chars | {32: " "}) for r in runs]
+        flat = np.array([i for e in self.lean.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], "<u4")
+        ends = np.flatnonzero(self.ends[flat]) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("the vocabulary has no end-of-word tokens")
+        raw, cuts = flat.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        new = [p for p in self.pieces.missing(pieces) if p]
+        now = self.pieces.now
+        now.update(zip(new, self._tokenize(new), strict=True))
+        return [now[p] if p else b"" for p in pieces]
+
+    def _odd(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are not ASCII letters and marks."""
+        known, plain = self.known.now, []
+        for w in self.known.missing(words):
+            core = w.rstrip(_MARKS)
+            latin = None if core.isascii() else _LATIN(core.decode("utf-8", "surrogatepass"))
+            letters = latin[0].lower() if latin else ""
+            if letters.isalpha():  # one capital has no lower letter of its own
+                plain.append((w, letters.encode(), w[len(core):]))
             else:
-                rest.append(w)
-        new = self.pieces.missing(list({p for ps in plain.values() for p in ps if p}))
-        pieces = self.pieces.now
-        for p in new:
-            pieces[p] = self._piece(p)
-        for w, (letters, marks) in plain.items():
-            known[w] = pieces[letters] + pieces[marks] if marks else pieces[letters]
-        for w in rest:
-            known[w] = array("I", self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids).tobytes()
+                known[w] = array("I", self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids).tobytes()
+        for w, letters, marks in zip((w for w, _, _ in plain), self._ids_of([p for _, p, _ in plain]), self._ids_of([m for _, _, m in plain]), strict=True):
+            known[w] = letters + marks
+        return [known[w] for w in words]
 
     def encode_slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
         gc.disable()  # the caches are large to walk, and nothing here makes cycles
         try:
             words, offsets = split_words(texts)
-            codes, keys = distinct(words)
-            self._learn(self.known.missing(keys))
-            flat, each = spread(codes, [self.known.now[k] for k in keys], "<u4")
+            coded = words.dictionary_encode()
+            own = coded.dictionary
+            core = pc.ascii_rtrim(own, characters=_MARKS.decode())
+            plain = pc.ascii_is_alpha(core)
+            on = plain.to_numpy(zero_copy_only=False)
+            # of each distinct word two parts: letters and marks, or the whole word and nothing
+            letter_codes, letters = distinct(pc.ascii_lower(core.filter(plain)))
+            mark_codes, marks = distinct(pc.ascii_ltrim(own.filter(plain), characters=string.ascii_letters))
+            rest = raw_bytes(own.filter(pc.invert(plain)))
+            table = [b"", *self._ids_of(letters), *self._ids_of(marks), *self._odd(rest)]
+            parts = np.zeros((len(own), 2), np.int64)
+            parts[on, 0], parts[on, 1] = 1 + letter_codes, 1 + len(letters) + mark_codes
+            parts[~on, 0] = 1 + len(letters) + len(marks) + np.arange(len(rest))
+            flat, each = spread(parts.ravel(), table, "<u4")
+            flat, each = lay(coded.indices.to_numpy(zero_copy_only=False), flat, each.reshape(-1, 2).sum(1))
             self.known.trim()
             self.pieces.trim()
             return flat, per_text(each, offsets)
@@ -303,7 +350,9 @@ def write_shards(docs: DataFrame, vocab: str = VOCAB, end_id: int = END_ID, shar
         if doc_ids:
             yield flush()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(parallelism(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    # by the hash next to the id: rows of one id, or of none, are dealt to many tasks
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    ordered = keyed.repartitionByRange(parallelism(docs.sparkSession), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     images = ordered.mapInArrow(run, SHARD_DDL)
     return staged(images, "tokens", **{"compression": "none", "parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"})
 
@@ -322,11 +371,12 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 same = lambda c, n=len(doc_ids), i=i, b=b: pa.array([b.column(c)[i].as_py()] * n, pa.int32())
                 yield pa.RecordBatch.from_pydict({"part": same("part"), "shard": same("shard"), "place": pa.array(range(len(doc_ids)), pa.int32()), "doc_id": pa.array(doc_ids, pa.int64()), "local_start": pa.array(ends - lengths), "n_tokens": pa.array(lengths), "ids_crc32": pa.array(crcs, pa.int64())})
 
-    read = shards.select("part", "shard", "image").mapInArrow(run, READ_DDL)
-    # two levels of running totals: parts are few, the shards of a part are its own
-    head = shards.select("part", "shard", "n_tokens")
-    parts = head.groupBy("part").agg(F.sum("n_tokens").alias("s")).select("part", F.coalesce(F.sum("s").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("p0"))
-    inside = head.select("part", "shard", F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("s0"))
+    read = staged(shards.select("part", "shard", "image").mapInArrow(run, READ_DDL), "token-docs")
+    # two levels of running totals, of what was read: parts are few, the shards of a part are its own
+    head = staged(read.groupBy("part", "shard").agg(F.sum("n_tokens").alias("n")), "token-shards")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    parts = head.groupBy("part").agg(F.sum("n").alias("s")).select("part", F.coalesce(F.sum("s").over(before(Window.orderBy("part"))), F.lit(0)).alias("p0"))
+    inside = head.select("part", "shard", F.coalesce(F.sum("n").over(before(Window.partitionBy("part").orderBy("shard"))), F.lit(0)).alias("s0"))
     starts = inside.join(parts, "part")
     return read.join(starts, ["part", "shard"]).select("doc_id", (F.col("p0") + F.col("s0") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
@@ -340,3 +390,9 @@ def export(shards: DataFrame, folder: str) -> int:
             f.write(row.image)
         n += 1
     return n
+
+
+def read_file(path: str) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
+    """An exported file, as read_image()."""
+    with open(path, "rb") as f:
+        return read_image(f.read())
