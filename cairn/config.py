@@ -13,6 +13,12 @@ COMMON_COLUMNS = ("adUserId", "conversionCurrency", "conversionOps", "conversion
 #: Columns of the regression's scored table, in order. Fixed values.
 REGRESSION_COLUMNS = ("adUserId", "conversionType", "conversionCurrency", *LIFT_FIELDS, "miopsWb", "miopsMlaGnuA", "miopsMlaGnuB")
 
+#: Parameters of the propensity models, of their calibration and of the outcome model. Fixed values.
+LOGISTIC = {"family": "multinomial", "maxIter": 250, "regParam": 0.016, "elasticNetParam": 0.5}
+FOREST = {"numTrees": 150, "maxDepth": 15, "minInstancesPerNode": 10, "maxBins": 32, "featureSubsetStrategy": "sqrt", "subsamplingRate": 0.9, "impurity": "gini"}
+PLATT = {"regParam": 0.015, "elasticNetParam": 1.0}
+OUTCOME_FOREST = {"numTrees": 50, "maxDepth": 10, "minInstancesPerNode": 20, "subsamplingRate": 0.8, "featureSubsetStrategy": "sqrt", "impurity": "gini"}
+
 MODEL_TYPES = ("regression", "dre")
 PROPENSITY_MODELS = ("LogisticRegression", "RandomForest")
 

@@ -18,6 +18,7 @@ from cairn.config import BOTH, CONTROL, LiftConfig
 from cairn.functions.columns import above, look_back_sum, purchase_weight
 from cairn.sources.readers import SchemaCatalog
 
+#: Feature names. Fixed values.
 OUT_FEATURES = ("aap_out_imp_1", "aap_out_imp_7")
 CUSTOMER_FEATURES = ("customerIsPrime", "customerPropensity_dummy", "customerRfm_dummy")
 DAY_FEATURE = "day_of_week_dummy"
@@ -180,3 +181,20 @@ def treatments_of(labels: list[str]) -> list[str]:
 def assembled_columns(model: PipelineModel) -> list[str]:
     """Inputs of the pipeline's assembler."""
     return next(s.getInputCols() for s in model.stages if isinstance(s, VectorAssembler))
+
+
+class FeatureEngineering:
+    """Features of prepared conversions, with what they were made by."""
+
+    def __init__(self, conversions: DataFrame, catalog: SchemaCatalog, conf: LiftConfig = LiftConfig(), model_type: str = "regression", propensity_model: str = "LogisticRegression", bucketize: bool = False) -> None:
+        self.processed, self.catalog, self.conf = conversions, catalog, conf
+        self.pipeline: PipelineModel = feature_pipeline(catalog, conf, model_type, propensity_model, bucketize).fit(conversions)
+        self.featurized = self.pipeline.transform(conversions)
+
+    @property
+    def labels(self) -> list[str]:
+        return indexer_labels(self.pipeline)
+
+    @property
+    def names(self) -> list[str]:
+        return attribute_names(self.featurized)

@@ -10,10 +10,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.config import PROPENSITY_MODELS, check_choice
-from cairn.functions.columns import probability_of_one, within
+from cairn.config import FOREST, LOGISTIC, PLATT, PROPENSITY_MODELS, check_choice
+from cairn.functions.columns import has_column, probability_of_one, within
 
+from .metrics import multiclass_metrics
 from .sampling import cap_classes, class_weights
+from .tuning import best_params, cross_validate
 
 
 def column_of(label: str) -> str:
@@ -24,8 +26,8 @@ def classifier(kind: str, features: str = "features", label: str = "treatment_ty
     check_choice(kind, PROPENSITY_MODELS, "propensity model")
     common = {"featuresCol": features, "labelCol": label} | ({"weightCol": weight} if weight else {})
     if kind == "LogisticRegression":
-        return LogisticRegression(family="multinomial", maxIter=250, regParam=0.016, elasticNetParam=0.5, **common)
-    return RandomForestClassifier(numTrees=150, maxDepth=15, minInstancesPerNode=10, maxBins=32, featureSubsetStrategy="sqrt", subsamplingRate=0.9, impurity="gini", seed=seed, **common)
+        return LogisticRegression(**LOGISTIC, **common)
+    return RandomForestClassifier(**FOREST, seed=seed, **common)
 
 
 def label_columns(scored: DataFrame, labels: list[str], vector: str = "probability") -> DataFrame:
@@ -42,30 +44,46 @@ class Propensity:
     labels: list[str]
     kind: str
     calibrators: dict[str, LogisticRegressionModel] | None = None
+    metrics: dict[str, object] | None = None  # of the test rows: classes by name, weighted
+    best_params: dict[str, object] | None = None  # of cross-validation
 
     def transform(self, df: DataFrame, calibrated: bool = True) -> DataFrame:
-        """Raw columns, then normalized ones: calibrated if there are calibrators and it is asked for."""
-        out = self.model.transform(df.drop("prediction", "probability", "rawPrediction"))
+        """Raw columns, then normalized ones: calibrated if there are calibrators and it is
+        asked for. A probability column that df has stays as original_probability."""
+        if has_column(df, "probability"):
+            df = df.withColumnRenamed("probability", "original_probability")
+        out = self.model.transform(df.drop("prediction", "rawPrediction"))
         out = label_columns(out, self.labels).drop("prediction", "probability", "rawPrediction")
         return calibrate(out, self.labels, self.calibrators if calibrated else None)
 
 
-def fit_propensity(train: DataFrame, labels: list[str], kind: str = "RandomForest", balance: bool = True, seed: int = 12345, estimator=None) -> Propensity:
-    """Fits on class-capped, class-weighted rows; the rows passed on elsewhere stay all."""
+def fit_propensity(train: DataFrame, labels: list[str], kind: str = "RandomForest", balance: bool = True, seed: int = 12345, estimator=None, test: DataFrame | None = None, cross_validation: bool = False, grid: dict[str, list] | None = None, folds: int = 5) -> Propensity:
+    """Fits on class-capped, class-weighted rows; the rows passed on elsewhere stay all. With
+    cross_validation, by the parameters of the grid that do best; with test rows, metrics are of those."""
     rows = cap_classes(train, "treatment_type_indexed", seed=seed) if balance else train
     rows = class_weights(rows, "treatment_type_indexed") if balance else rows.withColumn("class_weight", F.lit(1.0))
     rows = rows.select("features", "treatment_type_indexed", "class_weight").persist()
+    best = None
     try:
-        model = (estimator or classifier(kind, seed=seed)).fit(rows)
+        model = estimator or classifier(kind, seed=seed)
+        if cross_validation:
+            found = cross_validate(rows, model, "treatment_type_indexed", grid, folds, seed=seed)
+            model, best = found.bestModel, best_params(found)
+        else:
+            model = model.fit(rows)
     finally:
         rows.unpersist()
-    return Propensity(model, labels, kind)
+    out = Propensity(model, labels, kind, best_params=best)
+    if test is not None:
+        by, weighted = multiclass_metrics(model.transform(test.select("features", "treatment_type_indexed")), "treatment_type_indexed", labels)
+        out.metrics = {"classes": by, "weighted": weighted}
+    return out
 
 
 def fit_platt(train: DataFrame, score: str, label: str) -> LogisticRegressionModel:
     """One-feature logistic regression of a flag on a raw score (pure L1)."""
     x = VectorAssembler(inputCols=[score], outputCol="_platt").transform(train.select(score, label))
-    return LogisticRegression(featuresCol="_platt", labelCol=label, regParam=0.015, elasticNetParam=1.0).fit(x)
+    return LogisticRegression(featuresCol="_platt", labelCol=label, **PLATT).fit(x)
 
 
 def platt(df: DataFrame, score: str, model: LogisticRegressionModel) -> DataFrame:

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.config import CONTROL
+from cairn.config import CONTROL, OUTCOME_FOREST
 from cairn.functions.columns import has_column, probability_of_one
+from cairn.sources.readers import load_stage
+from cairn.sources.sinks import generate_path
 
 from .features import treatments_of
 from .propensity import Propensity, column_of, fit_calibrators, fit_propensity, overlap, truncate
@@ -32,7 +36,7 @@ def treatment_index(labels: list[str], name: str) -> int:
 
 
 def outcome_classifier(label: str = "conversionIndicator", seed: int = 12345) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=50, maxDepth=10, minInstancesPerNode=20, subsamplingRate=0.8, featureSubsetStrategy="sqrt", impurity="gini", seed=seed)
+    return RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, **OUTCOME_FOREST)
 
 
 def fit_outcome(train: DataFrame, labels: list[str], arm: str, estimator=None, seed: int = 12345):
@@ -131,62 +135,106 @@ def analytic_effects(df: DataFrame, treatments: list[str]) -> DataFrame:
     return df.agg(F.array(*aggs).alias("x")).select(F.explode("x").alias("x")).select("x.treatment", "x.estimand", F.col("x.m").alias("estimate"), (F.col("x.m") - F.col("x.h")).alias("ci_lo"), (F.col("x.m") + F.col("x.h")).alias("ci_hi"))
 
 
-@dataclass
-class DoublyRobustModel:
-    """Everything scoring needs: labels, propensity with calibrators, outcome models, training effects."""
+class _HasRobust(Params):
+    labels = Param(Params._dummy(), "labels", "treatment labels by index", TypeConverters.toListString)
+    propensityModel = Param(Params._dummy(), "propensityModel", "kind of the propensity model", TypeConverters.toString)
+    labelCol = Param(Params._dummy(), "labelCol", "outcome", TypeConverters.toString)
+    replicates = Param(Params._dummy(), "replicates", "bootstrap replicates", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
+    crossValidation = Param(Params._dummy(), "crossValidation", "search the propensity model's parameters", TypeConverters.toBoolean)
 
-    labels: list[str]
-    propensity: Propensity
-    outcomes: dict[str, object]
-    effects: list[tuple] = field(default_factory=list)
-    test: DataFrame | None = None
 
-    def transform(self, df: DataFrame, label: str = "", calibrated: bool = True) -> DataFrame:
+class DoublyRobustModel(Model, _HasRobust, MLWritable, MLReadable):
+    """Everything scoring needs: labels, propensity with calibrators, outcome models,
+    training effects. Saved and loaded whole, alone or as a stage of a pipeline."""
+
+    def __init__(self, labels: list[str] | None = None, propensity: Propensity | None = None, outcomes: dict[str, object] | None = None, effects: list[tuple] | None = None, test: DataFrame | None = None) -> None:
+        super().__init__()
+        self.propensity, self.outcomes, self.effects, self.test = propensity, outcomes or {}, effects or [], test
+        if labels is not None:
+            self._set(labels=labels)
+
+    def treatments(self) -> list[str]:
+        return treatments_of(self.getOrDefault(self.labels))
+
+    def score(self, df: DataFrame, label: str = "", calibrated: bool = True) -> DataFrame:
         """Per treatment: propensities, outcome probabilities, AIPW parts and lift."""
         out = self.propensity.transform(df, calibrated)
         out = add_outcome(out, self.outcomes[CONTROL], "probability_counterfactual")
-        for t in treatments_of(self.labels):
+        for t in self.treatments():
             out = lift(aipw(add_outcome(out, self.outcomes[t], f"{t}_probability"), t, label), t)
         return out
 
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.score(dataset)
+
+    def write(self) -> MLWriter:
+        return _RobustWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _RobustReader()
+
+
+class _RobustWriter(MLWriter):
+    def __init__(self, model: DoublyRobustModel) -> None:
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        extra = {"kind": m.propensity.kind, "calibrated": sorted(m.propensity.calibrators or []), "arms": sorted(m.outcomes), "effects": m.effects, "metrics": m.propensity.metrics}
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata={"robust": extra})
+        parts = {"propensity": m.propensity.model} | {f"calibrator/{k}": v for k, v in (m.propensity.calibrators or {}).items()} | {f"outcome/{k}": v for k, v in m.outcomes.items()}
+        for name, part in parts.items():
+            part.write().overwrite().save(generate_path(path, name))
+
+
+class _RobustReader(MLReader):
+    def load(self, path: str) -> DoublyRobustModel:
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        extra = meta["robust"]
+        at = lambda *name: load_stage(self.sparkSession, generate_path(path, *name))
+        out = DoublyRobustModel(outcomes={a: at("outcome", a) for a in extra["arms"]}, effects=[tuple(e) for e in extra["effects"]])
+        DefaultParamsReader.getAndSetParams(out, meta)
+        calibrators = {c: at("calibrator", c) for c in extra["calibrated"]}
+        out.propensity = Propensity(at("propensity"), out.getOrDefault(out.labels), extra["kind"], calibrators or None, extra["metrics"])
+        return out
+
 
-@dataclass
-class DoublyRobust:
-    """split, propensity, calibration, truncation, overlap, outcome models, effects."""
+class DoublyRobust(Estimator, _HasRobust, DefaultParamsReadable, DefaultParamsWritable):
+    """split, propensity, calibration, truncation, overlap, outcome models, effects. Other
+    estimators than the usual ones are given to the constructor and are not saved."""
 
-    labels: list[str]
-    propensity_model: str = "RandomForest"
-    label: str = "conversionIndicator"
-    replicates: int = 1000
-    seed: int = 12345
-    key: str = "adUserId"
-    propensity_estimator: object = None
-    outcome_estimator: object = None
+    def __init__(self, labels: list[str] | None = None, propensity_model: str = "RandomForest", label: str = "conversionIndicator", replicates: int = 1000, seed: int = 12345, propensity_estimator: object = None, outcome_estimator: object = None, cross_validation: bool = False, grid: dict[str, list] | None = None) -> None:
+        super().__init__()
+        self._set(propensityModel=propensity_model, labelCol=label, replicates=replicates, seed=seed, crossValidation=cross_validation, **({} if labels is None else {"labels": labels}))
+        self.propensity_estimator, self.outcome_estimator, self.grid = propensity_estimator, outcome_estimator, grid
 
-    def fit(self, df: DataFrame) -> DoublyRobustModel:
-        flags = [f"is_treated_by_{x}" for x in self.labels]
-        rows = df.select("features", "treatment_type", "treatment_type_indexed", self.label, self.key, *flags)
+    def _fit(self, dataset: DataFrame) -> DoublyRobustModel:
+        labels, label = self.getOrDefault(self.labels), self.getOrDefault(self.labelCol)
+        rows = dataset.select("features", "treatment_type", "treatment_type_indexed", label, *[f"is_treated_by_{x}" for x in labels])
         # many passes, and a row's id and side of the split must be the same in all of them
         with numbered(rows, ROW) as fixed:
-            return self._fit(fixed)
+            return self._fit_rows(fixed, labels, label)
 
-    def _fit(self, df: DataFrame) -> DoublyRobustModel:
-        train, test = random_split(df, seed=self.seed)
-        found = fit_propensity(train, self.labels, self.propensity_model, seed=self.seed, estimator=self.propensity_estimator)
+    def _fit_rows(self, df: DataFrame, labels: list[str], label: str) -> DoublyRobustModel:
+        seed, kind, arms = self.getOrDefault(self.seed), self.getOrDefault(self.propensityModel), treatments_of(labels)
+        train, test = random_split(df, seed=seed)
+        found = fit_propensity(train, labels, kind, seed=seed, estimator=self.propensity_estimator, test=test, cross_validation=self.getOrDefault(self.crossValidation), grid=self.grid)
         scored_train, scored_test = found.transform(train), found.transform(test)
-        if self.propensity_model == "RandomForest":
-            found.calibrators = fit_calibrators(scored_train, self.labels)
+        if kind == "RandomForest":
+            found.calibrators = fit_calibrators(scored_train, labels)
             scored_train, scored_test = found.transform(train), found.transform(test)
-        scored_train, scored_test = (truncate(x, self.labels) for x in (scored_train, scored_test))
-        scored_train, scored_test = overlap(scored_train, scored_test, self.labels)
+        scored_train, scored_test = (truncate(x, labels) for x in (scored_train, scored_test))
+        scored_train, scored_test = overlap(scored_train, scored_test, labels)
         scored_train = scored_train.persist()
         try:
-            outcomes = {arm: fit_outcome(scored_train, self.labels, arm, self.outcome_estimator, self.seed) for arm in (CONTROL, *treatments_of(self.labels))}
-            model = DoublyRobustModel(self.labels, found, outcomes, test=scored_test)
+            outcomes = {arm: fit_outcome(scored_train, labels, arm, self.outcome_estimator, seed) for arm in (CONTROL, *arms)}
             every = add_outcome(scored_train.unionByName(scored_test), outcomes[CONTROL], "probability_counterfactual")
-            for t in treatments_of(self.labels):
-                every = aipw(add_outcome(every, outcomes[t], f"{t}_probability"), t, self.label)
-            model.effects = effects(every, treatments_of(self.labels), F.col(ROW), self.replicates, seed=self.seed)
+            for t in arms:
+                every = aipw(add_outcome(every, outcomes[t], f"{t}_probability"), t, label)
+            model = DoublyRobustModel(labels, found, outcomes, effects(every, arms, F.col(ROW), self.getOrDefault(self.replicates), seed=seed), scored_test)
+            return self._copyValues(model)
         finally:
             scored_train.unpersist()
-        return model

@@ -17,3 +17,9 @@ def cross_validate(df: DataFrame, model, label: str, grid: dict[str, list] | Non
         build = build.addGrid(model.getParam(name), values)
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     return CrossValidator(estimator=model, estimatorParamMaps=build.build(), evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed).fit(df)
+
+
+def best_params(found: CrossValidatorModel) -> dict[str, object]:
+    """Parameters, by name, of the candidate with the best mean metric."""
+    at = max(range(len(found.avgMetrics)), key=found.avgMetrics.__getitem__)
+    return {p.name: v for p, v in found.getEstimatorParamMaps()[at].items()}

@@ -9,14 +9,12 @@ from dataclasses import asdict, dataclass, field
 from functools import wraps
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.config import CONTROL, MODEL_TYPES, PROPENSITY_MODELS, LiftConfig, check_choice
 from cairn.operators.features import attribute_names, feature_pipeline, indexer_labels, marketing_mask, no_marketing_mask, treatments_of
 from cairn.operators.linear import LiftRegression, LiftRegressionModel
 from cairn.operators.metrics import prediction_summary
-from cairn.operators.propensity import Propensity
 from cairn.operators.report import regression_output, robust_output
 from cairn.operators.robust import DoublyRobust, DoublyRobustModel
 from cairn.sources import readers, sinks
@@ -54,18 +52,9 @@ class Bundle:
         at = sinks.generate_path
         sinks.write_pipeline(self.pipeline, path)
         meta = {"labels": self.labels, "conf": asdict(self.conf), "model_type": self.model_type}
-        spark = self.pipeline.stages[0].__class__ and SparkSession.getActiveSession()
-        if self.regression is not None:
-            self.regression.write().overwrite().save(at(path, "models", "regression"))
-        if self.robust is not None:
-            r = self.robust
-            meta |= {"kind": r.propensity.kind, "calibrated": sorted(r.propensity.calibrators or []), "arms": sorted(r.outcomes), "effects": r.effects}
-            r.propensity.model.write().overwrite().save(at(path, "models", "propensity"))
-            for name, m in (r.propensity.calibrators or {}).items():
-                m.write().overwrite().save(at(path, "models", "calibrator", name))
-            for name, m in r.outcomes.items():
-                m.write().overwrite().save(at(path, "models", "outcome", name))
-        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(at(path, "meta"))
+        model = self.regression if self.robust is None else self.robust
+        model.write().overwrite().save(at(path, "models", self.model_type))
+        SparkSession.getActiveSession().createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(at(path, "meta"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Bundle:
@@ -73,12 +62,9 @@ class Bundle:
         meta = json.loads(spark.read.text(at(path, "meta")).first()[0])
         out = Bundle(readers.load_pipeline(at(path, "data_pipeline")), meta["labels"], LiftConfig(**meta["conf"]), meta["model_type"])
         if out.model_type == "regression":
-            out.regression = LiftRegressionModel.load(at(path, "models", "regression"))
+            out.regression = LiftRegressionModel.load(at(path, "models", out.model_type))
         else:
-            cal = {n: LogisticRegressionModel.load(at(path, "models", "calibrator", n)) for n in meta["calibrated"]}
-            prop = Propensity(readers.load_stage(spark, at(path, "models", "propensity")), out.labels, meta["kind"], cal or None)
-            outcomes = {n: readers.load_stage(spark, at(path, "models", "outcome", n)) for n in meta["arms"]}
-            out.robust = DoublyRobustModel(out.labels, prop, outcomes, [tuple(e) for e in meta["effects"]])
+            out.robust = DoublyRobustModel.load(at(path, "models", out.model_type))
         return out
 
 
@@ -105,7 +91,7 @@ def score(bundle: Bundle, conversions: DataFrame) -> DataFrame:
     rows = bundle.pipeline.transform(conversions)
     if bundle.model_type == "regression":
         return regression_output(bundle.regression.transform(rows))
-    return robust_output(bundle.robust.transform(rows), treatments_of(bundle.labels))
+    return robust_output(bundle.robust.score(rows), treatments_of(bundle.labels))
 
 
 def summarize(bundle: Bundle, scored: DataFrame) -> DataFrame:
@@ -177,7 +163,7 @@ class DoublyRobustScoringExecutor:
         rows = readers.read_conversions(spark, self.scoring_data_location, readers.read_calendar(spark, self.holiday_data_location))
         if self.pipeline_data_location and self.pipeline_data_location != self.model_base_path:
             bundle.pipeline = readers.load_pipeline(self.pipeline_data_location)
-        scored = bundle.robust.transform(bundle.pipeline.transform(rows), calibrated=self.calibrated)
+        scored = bundle.robust.score(bundle.pipeline.transform(rows), calibrated=self.calibrated)
         target = sinks.write_scored(robust_output(scored, treatments_of(bundle.labels)), self.output_data_location, self.file_format)
         return spark.read.format(self.file_format).options(**({"header": True} if self.file_format == "csv" else {})).load(target)
 
@@ -189,9 +175,12 @@ class RegressionScoringExecutor:
     purchase_attribution_data_location: str
 
     def run_steps(self, spark: SparkSession) -> DataFrame:
-        bundle = Bundle.load(spark, self.pipeline_data_location)
-        rows = readers.with_defaults(readers.read_dataset(spark, self.scoring_data_location))
-        sinks.write_regression_scored(score(bundle, rows), self.purchase_attribution_data_location)
+        """Scores and writes; returns the written table. What it went by stays at hand as attributes."""
+        self.bundle = Bundle.load(spark, self.pipeline_data_location)
+        self.pipeline, self.model = self.bundle.pipeline, self.bundle.regression
+        self.data = readers.with_defaults(readers.read_dataset(spark, self.scoring_data_location))
+        self.scored = score(self.bundle, self.data)
+        sinks.write_regression_scored(self.scored, self.purchase_attribution_data_location)
         return spark.read.parquet(self.purchase_attribution_data_location)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cairn.config import CONTROL, LIFT_FIELDS
 from cairn.functions.columns import floor_at, set_constants, set_zeros, within_sql
 from cairn.operators import linear, metrics, propensity, report, robust, sampling
-from cairn.operators.features import IndicatorTransformer, attribute_names, bucketize_exposure, feature_pipeline, indexer_labels, label_treatments
+from cairn.operators.features import DAY_FEATURE, FeatureEngineering, IndicatorTransformer, attribute_names, bucketize_exposure, feature_pipeline, indexer_labels, label_treatments, marketing_mask, no_marketing_mask
 from cairn.plans.engine import score, summarize, train
 from cairn.sources import readers, sinks
 from cairn.sources.fixtures import CATALOG, LAGS, SIGNALS, calendar, conversions, line_model, table
@@ -146,13 +146,33 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "treatment_type_indexed", F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v).alias("weighted_sum"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("plain_sum"))
 
 
-@_register("no_marketing_features")
+_VECTOR = f"""WITH {LABELLED}, cal AS (SELECT CAST(d AS DATE) AS calendar_date, CASE WHEN isodow(d) > 5 THEN 1 ELSE 0 END AS is_weekend, CASE WHEN day(d) = 1 THEN 1 ELSE 0 END AS is_month_start FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) t(d) WHERE d <> TIMESTAMP '2024-01-15'),
+r AS (SELECT rfm, row_number() OVER (ORDER BY rfm) AS i, count(*) OVER () AS k FROM (SELECT DISTINCT rfm FROM lab)), top AS (SELECT max(bucket) AS mb FROM lab),
+slots AS (SELECT event_id, [1, CASE WHEN lag_clicks > 0 THEN 1 ELSE 0 END, CASE WHEN lag_views > 0 THEN 1 ELSE 0 END, coalesce(is_weekend, 0), coalesce(is_month_start, 0), aap_out_imp_1, aap_out_imp_7, CAST(prime AS INT)] || [CASE WHEN bucket = j THEN 1 ELSE 0 END FOR j IN range(mb)] || [CASE WHEN i = j THEN 1 ELSE 0 END FOR j IN range(1, k)] || [ada_in_imp_7, aap_in_imp_7] AS f FROM lab JOIN r USING (rfm) LEFT JOIN cal ON date = calendar_date, top)"""
+
+
+@_register("no_marketing_features", f"""{_VECTOR} SELECT event_id, CAST(list_sum([f[j] * j FOR j IN range(1, len(f) + 1)]) AS DOUBLE) AS weighted_sum, CAST(list_sum([CASE WHEN j IN (2, 3, len(f) - 1, len(f)) THEN 0 ELSE f[j] * j END FOR j IN range(1, len(f) + 1)]) AS DOUBLE) AS nm_weighted_sum, CAST(len(f) AS INT) AS width FROM slots""")
 def no_marketing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regression's vectors at their whole width, and without marketing."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = readers.prepare_conversions(conversions(spark, sf_dir), calendar(spark))
+    made = FeatureEngineering(rows, CATALOG)
+    out = no_marketing_mask(marketing_mask(made.featurized, CATALOG, made.conf)).transform(made.featurized)
+    total = lambda c: F.aggregate(F.transform(vector_to_array(c), lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return out.select("event_id", total("features").alias("weighted_sum"), total("nm_features").alias("nm_weighted_sum"), F.size(vector_to_array("features")).alias("width"))
+
+
+@_register("weekday_encoding", f"""WITH {LABELLED}, cal AS (SELECT CAST(d AS DATE) AS calendar_date, dayname(d) AS day_of_week FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) t(d) WHERE d <> TIMESTAMP '2024-01-15'),
+j AS (SELECT event_id, day_of_week FROM lab LEFT JOIN cal ON date = calendar_date), names AS (SELECT list(DISTINCT day_of_week ORDER BY day_of_week) FILTER (WHERE day_of_week IS NOT NULL) AS l FROM j)
+SELECT event_id, CAST(CASE WHEN day_of_week IS NULL THEN len(l) ELSE list_position(l, day_of_week) - 1 END AS BIGINT) AS day_slot FROM j, names""")
+def weekday_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of the one in the weekday's vector; the day that the calendar lacks has the place after all names."""
     from pyspark.ml.functions import vector_to_array
 
     rows = readers.prepare_conversions(conversions(spark, sf_dir), calendar(spark))
-    bundle = train(rows, CATALOG)
-    return bundle.pipeline.transform(rows).select("event_id", vector_to_array("features").alias("features"), vector_to_array("nm_features").alias("nm_features"))
+    out = FeatureEngineering(rows, CATALOG, model_type="dre", propensity_model="RandomForest").featurized
+    return out.select("event_id", (F.array_position(vector_to_array(DAY_FEATURE), 1.0) - 1).alias("day_slot"))
 
 
 # ---- filters, splits, samples ----
@@ -187,9 +207,16 @@ def truncate_propensity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return propensity.truncate(_scored(spark, sf_dir), list(ARMS), 0.04, 0.9).select("event_id")
 
 
-@_register("propensity_overlap", f"""WITH {SCORED}, b AS (SELECT greatest({', '.join(f'min({propensity.column_of(t)})' for t in ('aap', 'ada'))}) AS lo, least({', '.join(f'max({propensity.column_of(t)})' for t in ('aap', 'ada'))}) AS hi FROM scored)
-SELECT event_id FROM scored, b WHERE lo > hi OR ({' AND '.join(f'{propensity.column_of(t)} BETWEEN lo AND hi' for t in ('aap', 'ada'))})""")
+@_register("propensity_overlap", f"""WITH {SCORED}, b AS (SELECT greatest({', '.join(f'min({propensity.column_of(t)})' for t in ARMS)}) AS lo, least({', '.join(f'max({propensity.column_of(t)})' for t in ARMS)}) AS hi FROM scored)
+SELECT event_id FROM scored, b WHERE lo > hi OR ({' AND '.join(f'{propensity.column_of(t)} BETWEEN lo AND hi' for t in ARMS)})""")
 def propensity_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _scored(spark, sf_dir)
+    return propensity.overlap(rows, rows, list(ARMS))[0].select("event_id")
+
+
+@_register("treated_overlap", f"""WITH {SCORED}, b AS (SELECT greatest({', '.join(f'min({propensity.column_of(t)})' for t in ('aap', 'ada'))}) AS lo, least({', '.join(f'max({propensity.column_of(t)})' for t in ('aap', 'ada'))}) AS hi FROM scored)
+SELECT event_id FROM scored, b WHERE lo > hi OR ({' AND '.join(f'{propensity.column_of(t)} BETWEEN lo AND hi' for t in ('aap', 'ada'))})""")
+def treated_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir)
     return propensity.overlap(rows, rows, ["aap", "ada"])[0].select("event_id")
 
@@ -291,6 +318,21 @@ def weighted_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_model(spark, sf_dir).agg(*[F.round(c, 4).alias(n) for n, c in linear.gram_columns(xs, F.col("w"), F.col("y")).items()])
 
 
+_WIDE = ("1.0", "l_quantity / 50", "l_discount * 10", "l_tax * 10", "(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END)", "(CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END)", "CAST(l_linenumber AS DOUBLE) / 7", "l_quantity * l_quantity / 2500", "l_discount * l_quantity / 5", "l_tax * l_discount * 100", "(CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END)")
+_WIDE_SQL = f"x AS (SELECT {_W} AS w, {_Y} AS y, [{', '.join(f'CAST({e} AS DOUBLE)' for e in _WIDE)}] AS x FROM lineitem)"
+
+
+@_register("wide_gram", f"""WITH {_WIDE_SQL}, one AS (SELECT w, x || [y] AS v FROM x)
+SELECT CAST(i - 1 AS INT) AS i, CAST(j - 1 AS INT) AS j, round(sum(w * v[i] * v[j]), 3) AS g FROM one, range(1, {len(_WIDE) + 1}) a(i), range(1, {len(_WIDE) + 2}) b(j) WHERE i <= j GROUP BY i, j""")
+def wide_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normal equations at the width of real models, beyond what is spelled out in generated code; column k is the moment."""
+    x = F.array(*[F.expr(e).cast("double") for e in _WIDE])
+    k = len(_WIDE)
+    g, m = linear.normal_equations(table(spark, sf_dir, "lineitem"), x, F.expr("1.0D / (1 + l_linenumber)"), F.expr("l_extendedprice / 10000"), k)
+    rows = [(i, j, float(g[i, j] if j < k else m[i])) for i in range(k) for j in range(i, k + 1)]
+    return spark.createDataFrame(rows, "i int, j int, g double").withColumn("g", F.round("g", 3))
+
+
 _B = (0.1, 0.15, -0.2, 0.05)
 _E = f"({_Y} - ({' + '.join(f'({b}) * {x}' for b, x in zip(_B, _X, strict=True))}))"
 
@@ -314,17 +356,18 @@ def weighted_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
 _L = {"b": [0.2, 0.3], "b0": [0.5, 0.0], "cov": [[0.02, -0.01], [-0.01, 0.05]], "V": [[1.0, 0.4], [0.0, 0.0]]}
 
 
-def _lift_sql() -> str:
+def _lift_sql(model: dict = _L, xs: tuple[str, ...] = ("1.0::DOUBLE", "l_quantity / 50"), zs: tuple[str, ...] = ("1.0::DOUBLE", "0.0::DOUBLE")) -> str:
     import numpy as np
 
-    cov, v = np.array(_L["cov"]), np.array(_L["V"])
-    vc = v @ cov
+    cov, v = np.array(model["cov"]), np.array(model["V"])
+    vc, k = v @ cov, len(xs)
     vcv = vc @ v.T
-    quad = lambda a, m, b: " + ".join(f"({m[i, j]}::DOUBLE) * {a}{i} * {b}{j}" for i in range(2) for j in range(2))
+    quad = lambda a, m, b: " + ".join(f"({m[i, j]}::DOUBLE) * {a}{i} * {b}{j}" for i in range(k) for j in range(k) if m[i, j])
     clip = lambda e: f"greatest(0.0::DOUBLE, least(1.0::DOUBLE, {e}))"
-    return f"""WITH x AS (SELECT l_orderkey, l_linenumber, 1.0::DOUBLE AS x0, l_quantity / 50 AS x1, 1.0::DOUBLE AS z0, 0.0::DOUBLE AS z1 FROM lineitem),
-p AS (SELECT *, 0.5::DOUBLE * x0 AS pa, 0.2::DOUBLE * x0 + 0.3::DOUBLE * x1 AS pb, 0.5::DOUBLE * z0 AS pan, 0.2::DOUBLE * z0 + 0.3::DOUBLE * z1 AS pbn FROM x),
-u AS (SELECT *, {', '.join(f'z{i} / pa - x{i} * pan / (pa * pa) AS u{i}, -z{i} / pb + x{i} * pbn / pb AS t{i}' for i in range(2))}, {clip('1 - pan / pa')} AS la, {clip('1 - pbn / pb')} AS lb FROM p)
+    dot = lambda b, c: " + ".join(f"{x}::DOUBLE * {c}{i}" for i, x in enumerate(model[b]))
+    return f"""WITH x AS (SELECT l_orderkey, l_linenumber, {', '.join(f'{e} AS x{i}' for i, e in enumerate(xs))}, {', '.join(f'{e} AS z{i}' for i, e in enumerate(zs))} FROM lineitem),
+p AS (SELECT *, {dot('b0', 'x')} AS pa, {dot('b', 'x')} AS pb, {dot('b0', 'z')} AS pan, {dot('b', 'z')} AS pbn FROM x),
+u AS (SELECT *, {', '.join(f'z{i} / pa - x{i} * pan / (pa * pa) AS u{i}, -z{i} / pb + x{i} * pbn / pb AS t{i}' for i in range(k))}, {clip('1 - pan / pa')} AS la, {clip('1 - pbn / pb')} AS lb FROM p)
 SELECT l_orderkey, l_linenumber, round({clip('lb - la')}, 6) AS liftWb, round(sqrt(greatest(0.0::DOUBLE, {quad('u', vcv, 'u')} + 2 * ({quad('u', vc, 't')}) + {quad('t', cov, 't')})), 6) AS liftWbStandardError, round(la, 6) AS liftMlaGnuA, round(lb, 6) AS liftMlaGnuB, round(pa, 6) AS pDenomMlaGnuA, round(pb, 6) AS pDenomMlaGnuB, round(pan, 6) AS pNumMlaGnuA, round(pbn, 6) AS pNumMlaGnuB FROM u"""
 
 
@@ -340,6 +383,20 @@ def lift_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lift_rows(spark, sf_dir).select("l_orderkey", "l_linenumber", *[r6(f"prediction.{c}", c) for c in LIFT_FIELDS])
 
 
+#: A model of as many features as a real one has.
+_K = len(_WIDE)
+_LW = {"b": [0.2 + 0.03 * i for i in range(_K)], "b0": [0.5 + 0.02 * i for i in range(_K - 2)] + [0.0, 0.0],
+       "cov": [[0.02 if i == j else 0.001 * ((i + j) % 3 - 1) for j in range(_K)] for i in range(_K)], "V": [[(1.0 if i == j else 0.0) if j < _K - 2 else 0.05 * i for j in range(_K)] if i < _K - 2 else [0.0] * _K for i in range(_K)]}
+_ZW = tuple(e if i < _K - 2 else "0.0" for i, e in enumerate(_WIDE))
+
+
+@_register("wide_lift_scores", _lift_sql(_LW, tuple(f"CAST({e} AS DOUBLE)" for e in _WIDE), tuple(f"CAST({e} AS DOUBLE)" for e in _ZW)))
+def wide_lift_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, x0 = (F.array(*[F.expr(e).cast("double") for e in es]) for es in (_WIDE, _ZW))
+    out = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", linear.lift_struct(x, x0, _LW).alias("p"))
+    return out.select("l_orderkey", "l_linenumber", *[r6(f"p.{c}", c) for c in LIFT_FIELDS])
+
+
 @_register("regression_output", f"SELECT l_orderkey AS adUserId, 'orderItem' AS conversionType, 'USD' AS conversionCurrency, {', '.join(LIFT_FIELDS)}, round(liftWb * 10, 5) AS miopsWb, round(liftMlaGnuA * 10, 5) AS miopsMlaGnuA, round(liftMlaGnuB * 10, 5) AS miopsMlaGnuB FROM ({_lift_sql()})")
 def regression_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lift_rows(spark, sf_dir).select(F.col("l_orderkey").alias("adUserId"), F.lit("signup").alias("conversionType"), F.lit("USD").alias("conversionCurrency"), F.lit(10.0).alias("conversionOps"), "prediction")
@@ -381,6 +438,24 @@ def aipw_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", *[r6(f"{t}_{c}", f"{t}_{c}") for t in ("ada", "aap") for c in ("factual", "counterfactual", "dre", "lift")])
 
 
+def _robust_columns() -> str:
+    parts = []
+    for t in ("ada", "aap"):
+        p, up = propensity.column_of(t), f"(CASE WHEN {t}_f = 0 THEN 0.0 ELSE greatest(0.0::DOUBLE, 1 - {t}_cf / {t}_f) END)"
+        parts.append(f"round({p}, 6) AS {p}, round({p}, 6) AS normalized_{p}, round({t}_m1, 6) AS {t}_probability, round({t}_f, 6) AS {t}_factual, round({t}_cf, 6) AS {t}_counterfactual, round({t}_f - {t}_cf, 6) AS {t}_dre, round({up}, 6) AS {t}_lift, round({up} * conversionOps, 4) AS miops_{t.upper()}")
+    return ", ".join(parts)
+
+
+@_register("robust_output", _aipw_sql().replace("SELECT event_id, treatment_type, ", "SELECT *, ") + f" SELECT adUserId, 'USD' AS conversionCurrency, conversionOps, conversionIndicator, treatment_type, {_robust_columns()} FROM a")
+def robust_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = propensity.calibrate(_scored(spark, sf_dir), ["ada", "aap"], None)
+    for t in ("ada", "aap"):
+        out = robust.lift(robust.aipw(out, t, "conversionIndicator"), t)
+    out = report.robust_output(out, ["ada", "aap"])
+    own = [c for c in out.columns if c[:3] in ("ada", "aap") and c != "adUserId" or c.startswith(("normalized_", "miops_"))]
+    return out.select(*[F.round(c, 4 if c.startswith("miops_") else 6).alias(c) if c in own else c for c in out.columns])
+
+
 _EFFECT = "SELECT '{t}' AS treatment, '{n}' AS estimand, round(avg({t}_f - {t}_cf), 6) AS estimate, round(avg({t}_f - {t}_cf) - 1.96 * stddev_samp({t}_f - {t}_cf) / sqrt(count(*)), 6) AS ci_lo, round(avg({t}_f - {t}_cf) + 1.96 * stddev_samp({t}_f - {t}_cf) / sqrt(count(*)), 6) AS ci_hi FROM a{w}"
 
 

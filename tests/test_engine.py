@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cairn.config import LIFT_FIELDS, REGRESSION_COLUMNS, LiftConfig
 from cairn.operators import linear, metrics, propensity, robust, sampling
-from cairn.operators.features import ExposureTransformer, IndicatorTransformer, label_treatments
+from cairn.operators.features import ExposureTransformer, FeatureEngineering, IndicatorTransformer, label_treatments
 from cairn.plans.engine import Bundle, score, train
 from cairn.sources import readers, sinks
 from cairn.sources.fixtures import CATALOG, calendar, conversions
@@ -127,6 +127,25 @@ def test_doubly_robust(spark, rows, tmp_path):
     assert score(Bundle.load(spark, str(tmp_path)), rows).count() == scored.count()
     table = sinks.effects_table(spark, bundle.robust.effects)
     assert sinks.artifact(table).count() == 8
+    assert set(bundle.robust.propensity.metrics["weighted"]) == {"accuracy", "f1", "weightedPrecision", "weightedRecall"}
+    # an estimator and a model like any other: in a pipeline, saved and loaded
+    from pyspark.ml import Pipeline, PipelineModel
+
+    whole = Pipeline(stages=[*bundle.pipeline.stages, robust.DoublyRobust(bundle.labels, "LogisticRegression", **options)]).fit(rows)
+    whole.write().overwrite().save(str(tmp_path / "whole"))
+    again = PipelineModel.load(str(tmp_path / "whole"))
+    assert again.stages[-1].effects == whole.stages[-1].effects and again.stages[-1].propensity.metrics == whole.stages[-1].propensity.metrics
+    pick = ["event_id", "ada_lift", "aap_lift"]
+    assert sorted(map(str, again.transform(rows).select(pick).collect())) == sorted(map(str, whole.transform(rows).select(pick).collect()))
+
+
+def test_propensity_search_and_kept_probability(spark, rows):
+    bundle = FeatureEngineering(rows, CATALOG, model_type="dre")
+    found = propensity.fit_propensity(bundle.featurized, bundle.labels, "LogisticRegression", cross_validation=True, grid={"regParam": [0.01, 10.0]}, folds=2, test=bundle.featurized)
+    assert found.best_params == {"regParam": 0.01} and set(found.metrics["classes"]) <= set(bundle.labels)
+    out = found.transform(bundle.featurized.withColumn("probability", F.lit("mine")))
+    assert out.filter("original_probability <> 'mine'").count() == 0 and "probability" not in out.columns
+    assert bundle.names[0] == "lag_clicks" and bundle.processed is rows
 
 
 def test_unknown_choices_raise(rows):
