@@ -7,10 +7,14 @@ send each block its own words' counts back, so no count table is broadcast or co
 The network is a GRU over the VOCAB most frequent tokens, one more for any other word,
 and the end. Its softmax is factored by class; classes and first output biases come from the
 corpus counts, and an other word costs its unigram share among the other words, so the
-score is a probability of the whole text, unseen words being one more type as in the base. Weights are fitted
-in numpy by truncated backpropagation on at most TRAIN_DOCS training documents (this
-bound is a parameter; an optimiser step is sequential). Scoring carries the state over all of a
-document's windows, many documents side by side.
+score is a probability of the whole text, unseen words being one more type as in the base.
+
+Weights are learned in numpy by truncated backpropagation from every token of every training
+document, once: in each of ROUNDS rounds every partition of blocks starts from the
+common weights, runs over its next share of each block's documents, and the weights that
+it comes to are averaged by tokens, in two levels of segments. The driver gets one
+set of weights a round, as large as the network, and no text. Scoring carries the state over all
+of a document's windows, many documents side by side.
 
 Edge cases: null or empty text is the end alone. Without training documents N and V are
 0, the base is that of an unseen token, and the network stays as initialised. A null doc_id is not
@@ -19,6 +23,7 @@ held out. Repeated rows count as often as they stand and are scored alike.
 
 from __future__ import annotations
 
+import copy
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,22 +35,22 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .env import ship, staged
+from .coded import lay
+from .env import give_back, one_thread, ship, staged
 
 ALPHA = 0.1
-VOCAB, CLASSES, HIDDEN = 2000, 48, 24
-TRAIN_DOCS, EPOCHS, LANES, WINDOW, RATE, SEED = 600, 3, 64, 20, 0.01, 7
-SCORE_LANES, SCORE_WINDOW = 512, 64
-BLOCK_CHARS = 12_000_000
+VOCAB, CLASSES, HIDDEN = 2000, 48, 16
+ROUNDS, LANES, WINDOW, RATE, SEED = 4, 512, 16, 0.01, 7
+STEPS = 100  # of a block's share, at least, if it has the tokens: fewer tokens go in fewer lanes
+WARM = 20  # steps over which the rate rises in each round
+SEGMENTS, FAN = 16, 64  # of the weights, and partitions averaged at once
+SCORE_LANES, SCORE_WINDOW = 1024, 32
+BLOCK_CHARS = 6_000_000
 COLUMN_WORDS = 300_000
 
 
 # ---- the network ----
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
 class Gru:
     """Token ids 0..size-1; classes are runs of ids. in_ row = a token's input to the three gates."""
 
@@ -60,121 +65,126 @@ class Gru:
         self.p = {
             "in_": rng.normal(0, 0.1, (size, 3 * hidden)), "u": rng.normal(0, 0.4 / np.sqrt(hidden), (hidden, 3 * hidden)), "b": np.zeros(3 * hidden),
             "wc": rng.normal(0, 0.05, (hidden, n)), "bc": np.array([np.log(np.exp(share[a:b]).sum()) for a, b in zip(self.cuts, self.cuts[1:], strict=False)]),
-            "ww": rng.normal(0, 0.05, (hidden, size)), "bw": share,
+            "ww": rng.normal(0, 0.05, (size, hidden)), "bw": share,
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
-        self.hidden = hidden
+        self.hidden, self.key = hidden, np.uint16 if size <= 1 << 16 else np.int64
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for v in self.p.values()])
+
+    def load(self, flat: np.ndarray) -> None:
+        ends = np.cumsum([v.size for v in self.p.values()])
+        self.p = {k: part.reshape(v.shape).astype(np.float32) for (k, v), part in zip(self.p.items(), np.split(flat, ends[:-1]), strict=True)}
+
+    def inputs(self) -> np.ndarray:
+        return self.p["in_"] + self.p["b"]
 
     def step(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """The next state from the tokens' inputs, and what the way back needs."""
         k = self.hidden
-        hu = h @ self.p["u"] + self.p["b"]
-        zr = _sigmoid(x[:, :2 * k] + hu[:, :2 * k])
-        z, r = zr[:, :k], zr[:, k:]
-        n = np.tanh(x[:, 2 * k:] + r * hu[:, 2 * k:])
-        return n + z * (h - n), (h, z, r, n, hu[:, 2 * k:])
+        hu = h @ self.p["u"]
+        zr = x[:, :2 * k] + hu[:, :2 * k]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr += 1
+        zr *= 0.5  # the logistic function, by way of tanh
+        z, r, hun = zr[:, :k], zr[:, k:], hu[:, 2 * k:]
+        n = r * hun
+        n += x[:, 2 * k:]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, (h, z, r, n, hun)
+
+    def _softmax(self, a: np.ndarray, own: np.ndarray, grad: bool, m: int) -> np.ndarray:
+        """Log-probabilities of column own of each row of logits; a becomes the gradient of the mean loss over m."""
+        rows = np.arange(len(a))
+        a -= a.max(1, keepdims=True)
+        out = a[rows, own]
+        np.exp(a, out=a)
+        total = a.sum(1)
+        if grad:
+            a /= total[:, None]
+            a[rows, own] -= 1
+            a *= 1 / m
+        return out - np.log(total)
 
     def log_probs(self, hs: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural-log probabilities of targets; with grads, adds those of the mean loss and returns that of hs."""
-        p, m = self.p, len(targets)
+        p, m, grad = self.p, len(targets), grads is not None
+        order = np.argsort(self.class_of[targets].astype(self.key), kind="stable")
+        hs, targets = hs[order], targets[order]
         cls = self.class_of[targets]
-        a = hs @ p["wc"] + p["bc"]
-        a -= a.max(1, keepdims=True)
-        e = np.exp(a)
-        total = e.sum(1)
-        out = a[np.arange(m), cls] - np.log(total)
-        dh = None
-        if grads is not None:
-            d = e / total[:, None]
-            d[np.arange(m), cls] -= 1
-            d /= m
-            grads["wc"] += hs.T @ d
-            grads["bc"] += d.sum(0)
-            dh = d @ p["wc"].T
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(len(self.cuts)))
-        for c in range(len(self.cuts) - 1):
-            at = order[cut[c]:cut[c + 1]]
-            lo, hi = self.cuts[c], self.cuts[c + 1]
-            if not len(at) or hi - lo == 1:
+        cut = np.searchsorted(cls, np.arange(len(self.cuts)))
+        a = hs @ p["wc"]
+        a += p["bc"]
+        out, dh = self._softmax(a, cls, grad, m), None
+        if grad:
+            grads["wc"] += hs.T @ a
+            grads["bc"] += a.sum(0)
+            dh = a @ p["wc"].T
+        for s, e, lo, hi in zip(cut, cut[1:], self.cuts, self.cuts[1:], strict=False):
+            if s == e or hi - lo == 1:
                 continue
-            x = hs[at]
-            a = x @ p["ww"][:, lo:hi] + p["bw"][lo:hi]
-            a -= a.max(1, keepdims=True)
-            e = np.exp(a)
-            total = e.sum(1)
-            mine = targets[at] - lo
-            out[at] += a[np.arange(len(at)), mine] - np.log(total)
-            if grads is not None:
-                d = e / total[:, None]
-                d[np.arange(len(at)), mine] -= 1
-                d /= m
-                grads["ww"][:, lo:hi] += x.T @ d
-                grads["bw"][lo:hi] += d.sum(0)
-                dh[at] += d @ p["ww"][:, lo:hi].T
-        return out, dh
+            x, w = hs[s:e], p["ww"][lo:hi]
+            a = x @ w.T
+            a += p["bw"][lo:hi]
+            out[s:e] += self._softmax(a, targets[s:e] - lo, grad, m)
+            if grad:
+                grads["ww"][lo:hi] += a.T @ x
+                grads["bw"][lo:hi] += a.sum(0)
+                dh[s:e] += a @ w
+        back = np.empty_like(order)
+        back[order] = np.arange(m)
+        return out[back], dh[back] if grad else None
 
     def window(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Loss, gradients (truncated at the window's start) and last state of one window
         [time, lane]; fresh marks the tokens before which a lane's state is cleared."""
-        p, k = self.p, self.hidden
+        p, k, (times, lanes) = self.p, self.hidden, inputs.shape
         grads = {n: np.zeros_like(v) for n, v in p.items()}
-        hs, kept = [], []
-        for t in range(len(inputs)):
-            h = h * ~fresh[t][:, None]
-            h, memo = self.step(h, p["in_"][inputs[t]])
-            hs.append(h)
+        hs, kept, keep = np.empty((times, lanes, k), h.dtype), [], (~fresh).astype(h.dtype)[:, :, None]
+        xs = self.inputs()[inputs]
+        for t in range(times):
+            h, memo = self.step(h * keep[t], xs[t])
+            hs[t] = h
             kept.append(memo)
-        logs, dhs = self.log_probs(np.concatenate(hs), targets.ravel(), grads)
-        dhs = dhs.reshape(len(inputs), -1, k)
-        back = np.zeros_like(h)
-        for t in range(len(inputs) - 1, -1, -1):
+        logs, dhs = self.log_probs(hs.reshape(-1, k), targets.ravel(), grads)
+        dhs = dhs.reshape(times, lanes, k)
+        before = np.stack([memo[0] for memo in kept])
+        dx, du = np.empty((times, lanes, 3 * k), h.dtype), np.empty((times, lanes, 3 * k), h.dtype)
+        back, ut = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+        for t in range(times - 1, -1, -1):
             g = dhs[t] + back
-            before, z, r, n, hun = kept[t]
-            dan = g * (1 - z) * (1 - n * n)
-            daz = g * (before - n) * z * (1 - z)
-            dar = dan * hun * r * (1 - r)
-            dhu = np.concatenate((daz, dar, dan * r), 1)
-            np.add.at(grads["in_"], inputs[t], np.concatenate((daz, dar, dan), 1))
-            grads["u"] += before.T @ dhu
-            grads["b"] += dhu.sum(0)
-            back = (g * z + dhu @ p["u"].T) * ~fresh[t][:, None]
+            _, z, r, n, hun = kept[t]
+            gz = g * z
+            dan = (g - gz) * (1 - n * n)
+            dx[t, :, 2 * k:] = dan
+            dx[t, :, :k] = (before[t] - n) * gz * (1 - z)
+            dan *= r
+            du[t, :, 2 * k:] = dan
+            dan *= hun
+            dan *= 1 - r
+            dx[t, :, k:2 * k] = dan
+            du[t, :, :2 * k] = dx[t, :, :2 * k]
+            back = du[t] @ ut
+            back += gz
+            back *= keep[t]
+        dx, du = dx.reshape(-1, 3 * k), du.reshape(-1, 3 * k)
+        order = np.argsort(inputs.ravel().astype(self.key), kind="stable")
+        ids = inputs.ravel()[order]
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        grads["in_"][ids[first]] = np.add.reduceat(dx[order], first, axis=0)
+        grads["b"] = dx.sum(0)
+        grads["u"] = before.reshape(-1, k).T @ du
         return -float(logs.mean()), grads, h
 
-    def fit(self, docs: list[np.ndarray], end: int, epochs: int = EPOCHS, lanes: int = LANES, window: int = WINDOW, rate: float = RATE, seed: int = SEED) -> list[float]:
-        """Adam over documents laid end to end in lanes. Returns the mean loss of each epoch."""
-        rng, losses, step = np.random.default_rng(seed), [], 0
-        m1, m2 = ({n: np.zeros_like(v) for n, v in self.p.items()} for _ in range(2))
-        for epoch in range(epochs if docs else 0):
-            order = rng.permutation(len(docs))
-            y = np.concatenate([docs[i] for i in order])
-            starts = np.cumsum([0] + [len(docs[i]) for i in order[:-1]])
-            x = np.r_[end, y[:-1]]
-            fresh = np.zeros(len(y), bool)
-            fresh[starts] = True
-            n = min(lanes, len(y))
-            length = len(y) // n
-            cut = lambda v: v[:n * length].reshape(n, length).T
-            x, y, fresh = cut(x), cut(y), cut(fresh).copy()
-            fresh[0] = True
-            h, got = np.zeros((n, self.hidden), np.float32), []
-            for t in range(0, length, window):
-                loss, grads, h = self.window(h, x[t:t + window], y[t:t + window], fresh[t:t + window])
-                got.append(loss)
-                step += 1
-                size = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-                lr = rate * (1 - 0.9 * (epoch + t / length) / epochs)
-                for name, g in grads.items():
-                    g = g * min(1.0, 1.0 / max(size, 1e-9))
-                    m1[name] += 0.1 * (g - m1[name])
-                    m2[name] += 0.01 * (g * g - m2[name])
-                    self.p[name] -= (lr * (m1[name] / (1 - 0.9**step)) / (np.sqrt(m2[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-            losses.append(float(np.mean(got)))
-        return losses
-
     def score(self, flat: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
         """Natural-log probability of each document; flat holds their targets one after another."""
         starts = np.cumsum(lengths) - lengths
-        order = np.argsort(-lengths, kind="stable")
+        order, xs = np.argsort(-lengths, kind="stable"), self.inputs()
         out = np.zeros(len(lengths))
         for g in range(0, len(order), SCORE_LANES):
             lane = order[g:g + SCORE_LANES]
@@ -185,7 +195,7 @@ class Gru:
                 for t in range(t0, min(t0 + SCORE_WINDOW, int(size[0]))):
                     live = int(np.searchsorted(-size, -t, side="left"))  # lanes longer than t come first
                     h, before = h[:live], before[:live]
-                    h, _ = self.step(h, self.p["in_"][before])
+                    h, _ = self.step(h, xs[before])
                     before = flat[at[:live] + t]
                     hs.append(h)
                     ys.append(before)
@@ -195,9 +205,54 @@ class Gru:
         return out
 
 
+class Adam:
+    """Adam with clipped gradients on a network's weights, in place."""
+
+    def __init__(self, net: Gru, rate: float) -> None:
+        self.p, self.rate, self.steps = net.p, rate, 0
+        self.m, self.v = ({n: np.zeros_like(w) for n, w in net.p.items()} for _ in range(2))
+
+    def step(self, grads: dict) -> None:
+        self.steps += 1
+        scale = min(1.0, 1.0 / max(1e-9, float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))))
+        rate = self.rate * min(1.0, self.steps / WARM) / (1 - 0.9**self.steps)
+        for n, g in grads.items():
+            g *= scale
+            m, v = self.m[n], self.v[n]
+            m += 0.1 * (g - m)
+            g *= g
+            v += 0.01 * (g - v)
+            d = np.sqrt(v / (1 - 0.99**self.steps))
+            d += 1e-8
+            np.divide(m, d, out=d)
+            d *= rate
+            self.p[n] -= d
+
+
+def learn(net: Gru, adam: Adam, targets: np.ndarray, lengths: np.ndarray, end: int) -> float:
+    """One pass of truncated backpropagation over documents that stand end to end, in lanes. Returns the
+    sum of the losses. The last lane is filled up from the first documents."""
+    if not len(targets):
+        return 0.0
+    lanes = max(1, min(LANES, len(targets) // (WINDOW * STEPS)))
+    length = -(-len(targets) // lanes)
+    fresh = np.zeros(len(targets), bool)
+    fresh[np.cumsum(lengths) - lengths] = True
+    before = np.where(fresh, end, np.r_[end, targets[:-1]])
+    x, y, fresh = (np.resize(v, lanes * length).reshape(lanes, length).T for v in (before, targets, fresh))
+    fresh = fresh.copy()
+    fresh[0] = True
+    h, total = np.zeros((lanes, net.hidden), np.float32), 0.0
+    for t in range(0, length, WINDOW):
+        loss, grads, h = net.window(h, x[t:t + WINDOW], y[t:t + WINDOW], fresh[t:t + WINDOW])
+        adam.step(grads)
+        total += loss * x[t:t + WINDOW].size
+    return total
+
+
 # ---- the corpus ----
 
-BLOCK_DDL = "block long, n_words long, docs binary, lengths binary, codes binary, words binary, train binary"
+BLOCK_DDL = "block long, n_words long, n_train long, docs binary, lengths binary, codes binary, words binary, train binary"
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -238,7 +293,7 @@ def cut_blocks(docs: DataFrame) -> DataFrame:
             train = np.bincount(flat[~np.repeat(held, n)], minlength=len(known)).astype("<u4")
             packed = np.array([[d is not None, held[i], d or 0] for i, d in enumerate(ids)], "<i8")
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([block], pa.int64()), "n_words": pa.array([len(known)], pa.int64()), "docs": pa.array([_pack(packed.tobytes())], pa.binary()), "lengths": pa.array([_pack(n.astype("<u4").tobytes())], pa.binary()),
+                "block": pa.array([block], pa.int64()), "n_words": pa.array([len(known)], pa.int64()), "n_train": pa.array([int((~held).sum())], pa.int64()), "docs": pa.array([_pack(packed.tobytes())], pa.binary()), "lengths": pa.array([_pack(n.astype("<u4").tobytes())], pa.binary()),
                 "codes": pa.array([_pack(flat.astype("<u4").tobytes())], pa.binary()), "words": pa.array([_pack(b" ".join(known))], pa.binary()), "train": pa.array([_pack(train.tobytes())], pa.binary())})
 
         for b in batches:
@@ -313,12 +368,27 @@ class Model:
     losses: list[float]
 
 
-def train(docs: DataFrame, counts: DataFrame, vocab: int = VOCAB, train_docs: int = TRAIN_DOCS, epochs: int = EPOCHS) -> Model:
-    """Fits the network. The driver gets the vocabulary's counts and at most train_docs texts."""
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
+WEIGHTS_DDL = "seg int, part int, tokens long, loss double, weights binary"
+
+
+def read_block(row: dict) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """A block's words, its documents (known, held out, id), their lengths with the end, and
+    the codes of all tokens; the end's code is the number of words."""
+    words = _unpack(row["words"]).split()
+    docs = np.frombuffer(_unpack(row["docs"]), "<i8").reshape(-1, 3)
+    n = np.frombuffer(_unpack(row["lengths"]), "<u4").astype(np.int64) + 1
+    flat = np.full(int(n.sum()), len(words), np.int64)
+    inner = np.ones(len(flat), bool)
+    inner[np.cumsum(n) - 1] = False
+    flat[inner] = np.frombuffer(_unpack(row["codes"]), "<u4")
+    return words, docs, n, flat
+
+
+def train(blocks: DataFrame, counts: DataFrame, vocab: int = VOCAB, rounds: int = ROUNDS, rate: float = RATE) -> Model:
+    """Learns from all training documents of the blocks. The driver gets the vocabulary's counts, and the weights once a round."""
     both = counts.filter("kind = 'sum'").agg(F.sum("n"), F.sum("v")).first()
     words, types = int(both[0] or 0), int(both[1] or 0)
-    ends = docs.filter(~held).count()
+    ends = int(blocks.agg(F.sum("n_train")).first()[0] or 0)
     top = counts.filter("kind = 'top'").orderBy(F.desc("n"), "word").limit(vocab).select("word", "n").collect()
     known = [(int(r.n), bytes(r.word)) for r in top]
     rest_n, rest_v = words - sum(n for n, _ in known), types - len(known)
@@ -327,12 +397,54 @@ def train(docs: DataFrame, counts: DataFrame, vocab: int = VOCAB, train_docs: in
     net = Gru(np.array([n for n, _ in rows], float))
     ids = {w: i for i, (_, w) in enumerate(rows) if isinstance(w, bytes)}
     end, other = (next(i for i, (_, w) in enumerate(rows) if not isinstance(w, bytes) and w == k) for k in (None, 0))
-    # one text a document, the documents of least hash first
-    chosen = docs.filter(~held).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs).distinct().select(F.col("doc_id").alias("_id"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(train_docs).select("text").toLocalIterator()
-    some = [np.array([*(ids.get(w, other) for w in words_of(r.text)), end]) for r in texts]
-    losses = net.fit(some, end, epochs)
-    return Model(net, ids, other, end, words + ends, types + (ends > 0), ends, rest_n + ALPHA * (rest_v + 1), uuid.uuid4().hex, losses)
+    model = Model(net, ids, other, end, words + ends, types + (ends > 0), ends, rest_n + ALPHA * (rest_v + 1), uuid.uuid4().hex, [])
+    for r in range(rounds):
+        one = staged(_averaged(_round(blocks, model, r, rounds, rate * (1 - 0.8 * r / max(rounds - 1, 1)))), "lm-weights").orderBy("seg").collect()
+        if not one:  # no training document in this share
+            continue
+        net.load(np.concatenate([np.frombuffer(x.weights, "<f4") for x in one]))
+        model.losses.append(one[0].loss / one[0].tokens)
+    return model
+
+
+def _round(blocks: DataFrame, model: Model, r: int, rounds: int, rate: float) -> DataFrame:
+    """Each partition's weights after its share of round r: of every block the training documents whose place in it is r modulo rounds."""
+    shared = blocks.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        one_thread()
+        m, part = shared.value, TaskContext.get().partitionId()
+        net = copy.deepcopy(m.net)
+        adam, tokens, loss = Adam(net, rate), 0, 0.0
+        for b in batches:
+            for row in b.to_pylist():
+                words, docs, n, flat = read_block(row)
+                ids = np.fromiter((m.ids.get(w, m.other) for w in words), np.int64, len(words))
+                mine = np.flatnonzero((docs[:, 1] == 0) & (np.arange(len(docs)) % rounds == r))
+                mine = np.random.default_rng([SEED, r, row["block"] & 0xFFFFFFFF]).permutation(mine)
+                targets, _ = lay(mine, np.r_[ids, m.end][flat], n)
+                loss += learn(net, adam, targets, n[mine], m.end)
+                tokens += len(targets)
+        give_back()
+        if tokens:
+            parts = np.array_split(net.flat(), SEGMENTS)
+            yield pa.RecordBatch.from_pydict({"seg": pa.array(range(SEGMENTS), pa.int32()), "part": pa.array([part] * SEGMENTS, pa.int32()), "tokens": [tokens] * SEGMENTS, "loss": [loss] * SEGMENTS, "weights": [p.astype("<f4").tobytes() for p in parts]})
+
+    return blocks.select("block", "docs", "lengths", "codes", "words").mapInArrow(run, WEIGHTS_DDL)
+
+
+def _averaged(weights: DataFrame) -> DataFrame:
+    """Means by tokens of each segment: of FAN partitions, then of those."""
+
+    def mean(table: pa.Table) -> pa.Table:
+        n = np.array(table.column("tokens").to_pylist(), float)
+        total = sum(k * np.frombuffer(v.as_buffer(), "<f4").astype(float) for k, v in zip(n, table.column("weights"), strict=True))
+        return pa.table({"seg": table.column("seg").slice(0, 1), "part": pa.array([int(table.column("part")[0].as_py()) // FAN], pa.int32()), "tokens": [int(n.sum())], "loss": [float(sum(table.column("loss").to_pylist()))], "weights": [(total / n.sum()).astype("<f4").tobytes()]})
+
+    first = weights.groupBy("seg", F.floor(F.col("part") / FAN)).applyInArrow(mean, WEIGHTS_DDL)
+    return first.groupBy("seg").applyInArrow(mean, WEIGHTS_DDL)
 
 
 SCORE_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -342,27 +454,23 @@ def score_blocks(blocks: DataFrame, counts: DataFrame, model: Model) -> DataFram
     shared = blocks.sparkSession.sparkContext.broadcast(model)
 
     def run(own: pa.Table, back: pa.Table) -> pa.Table:
+        one_thread()
         m, parts = shared.value, []
         for row in own.to_pylist():
-            words = _unpack(row["words"]).split()
+            words, docs, n, flat = read_block(row)
             count = np.zeros(len(words) + 1, np.int64)
             for raw in back.column("payload").to_pylist():
                 k = len(raw) // 12
                 count[np.frombuffer(raw, "<u4", k)] = np.frombuffer(raw, "<i8", k, 4 * k)
             count[-1] = m.ends
-            docs = np.frombuffer(_unpack(row["docs"]), "<i8").reshape(-1, 3)
-            n = np.frombuffer(_unpack(row["lengths"]), "<u4").astype(np.int64) + 1
-            flat = np.full(int(n.sum()), len(words), np.int64)
             ends = np.cumsum(n) - 1
-            inner = np.ones(len(flat), bool)
-            inner[ends] = False
-            flat[inner] = np.frombuffer(_unpack(row["codes"]), "<u4")
             sums = lambda values: np.add.reduceat(values[flat], ends - n + 1)  # noqa: E731, B023
             base = np.log10((count + ALPHA) / (m.n + ALPHA * (m.v + 1)))
             ids = np.fromiter((m.ids.get(w, m.other) for w in words), np.int64, len(words))
             ids = np.r_[ids, m.end]
             extra = np.where(ids == m.other, np.log10((count + ALPHA) / m.rest), 0.0)
             net = m.net.score(ids[flat], n, m.end) / np.log(10)
+            give_back()
             parts.append(pa.table({
                 "doc_id": pa.array([int(d) if k else None for k, _, d in docs], pa.int64()), "held_out": pa.array(docs[:, 1] != 0), "n_tokens": pa.array(n), "n_known": pa.array(sums((count > 0).astype(np.int64))),
                 "train_tokens": pa.array(np.full(len(n), m.n)), "base_score": pa.array(sums(base)), "score": pa.array(net + sums(extra))}))
@@ -377,4 +485,4 @@ def score_texts(docs: DataFrame, **options) -> DataFrame:
     docs = docs.select("doc_id", "text")
     blocks = cut_blocks(docs)
     counts = count_words(blocks)
-    return score_blocks(blocks, counts, train(docs, counts, **options))
+    return score_blocks(blocks, counts, train(blocks, counts, **options))
