@@ -3,13 +3,14 @@
 Each language has probabilities of the pieces of one fixed public vocabulary. A word's
 probability is the sum over all ways to cut it into pieces, by the forward algorithm;
 a text's is the product over its words. The probabilities are fitted by expectation
-maximisation (forward-backward) on the word counts of a sample: at most DOCS_PER_LANG
-training documents and their TOP_WORDS most frequent words for each language. The model
-is languages x pieces in size. Every text is scored whole; scores of recent words are kept in each
-Python worker, all words of a batch being cut at once in numpy.
+maximisation (forward-backward) on all words of a sample, at most DOCS_PER_LANG training
+documents for each language. The model is languages x pieces in size. Every text is scored
+whole; scores of recent words are kept in each Python worker, all words of a batch being
+cut at once in numpy.
 
-Words are runs of letters, lower-cased; runs of over LONG letters are scored in parts
-of LONG. A letter outside all pieces has the probability EPS.
+Words are runs of letters of any length, lower-cased. Those of up to SHORT letters, whose
+probability a double holds, go side by side; longer ones one by one under a running
+scale, by the same sum. A letter outside all pieces has the probability EPS.
 
 Edge cases: null text or text without letters is 'und' with score 0, as is everything
 when there is no labelled text to learn from. Ties go to the smallest language name.
@@ -30,12 +31,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import vocab_path
-from .env import ship
+from .env import free, ship
 
 VOCAB = "piece_bpe_32k.model"
-DOCS_PER_LANG, TOP_WORDS, ROUNDS = 300, 20_000, 3
-LONG, LONGEST_PIECE, EPS, SMOOTH = 48, 16, 1e-6, 0.05
+DOCS_PER_LANG, ROUNDS = 300, 3
+SHORT, LONGEST_PIECE, EPS, SMOOTH = 48, 16, 1e-6, 0.05
 CACHE_CELLS = 2_000_000
+CHUNK = 4096  # letters of a long word whose pieces are looked up at once
+SALTS = 64
 START = "▁"
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,11 +110,6 @@ def _by_length(words: list[str]) -> dict[int, list[int]]:
     return out
 
 
-def _parts(word: str) -> list[str]:
-    word = START + word
-    return [word[k:k + LONG] for k in range(0, len(word), LONG)]
-
-
 def forward(lattice: dict[int, np.ndarray], probs: np.ndarray, rows: int, length: int) -> np.ndarray:
     """Probabilities [position, word, language] of all segmentations of the first letters; probs [piece, language]."""
     a = np.zeros((length + 1, rows, probs.shape[1]))
@@ -125,36 +123,94 @@ def forward(lattice: dict[int, np.ndarray], probs: np.ndarray, rows: int, length
     return a
 
 
+def _chain(weights, length: int, langs: int) -> np.ndarray:
+    """Logs of states 0..length [state, language]: state 0 is 1, and state e + 1 the sum over s of
+    state e - s times weights(...)[e, s]. weights(lo, hi) gives them for lo <= e < hi. The last
+    LONGEST_PIECE states are held under one scale, renewed as often, so nothing underflows."""
+    out = np.zeros((length + 1, langs))
+    last = np.zeros((LONGEST_PIECE, langs))  # newest first
+    last[0], scale = 1.0, np.zeros(langs)
+    for lo in range(0, length, CHUNK):
+        w = weights(lo, min(length, lo + CHUNK))
+        for i in range(len(w)):
+            new = (last * w[i]).sum(0)
+            last[1:] = last[:-1].copy()
+            last[0] = new
+            out[lo + i + 1] = np.log(new) + scale
+            if i % LONGEST_PIECE == LONGEST_PIECE - 1:
+                top = last.max(0)
+                last /= top
+                scale = scale + np.log(top)
+    return out
+
+
+def _piece_ids(word: str, pieces: Pieces, lo: int, hi: int, back: bool) -> np.ndarray:
+    """[letter, s] ids of the pieces of s + 1 letters that end (back: start) at letters lo..hi-1, or -1."""
+    a, b = (lo, min(len(word), hi + LONGEST_PIECE - 1)) if back else (max(0, lo - LONGEST_PIECE + 1), hi)
+    lattice = pieces.lattice([word[a:b]])
+    ids = np.full((hi - lo, LONGEST_PIECE), -1, np.int64)
+    for size, row in lattice.items():
+        at = np.arange(lo, hi) - a - (0 if back else size - 1)
+        fit = (at >= 0) & (at < row.shape[1])
+        ids[fit, size - 1] = row[0, at[fit]]
+    return ids
+
+
+def _weights(word: str, pieces: Pieces, probs: np.ndarray, back: bool = False):
+    """weights(lo, hi) of _chain for the letters of a word in order, or back from its end."""
+    n = len(word)
+
+    def of(lo: int, hi: int) -> np.ndarray:
+        ids = _piece_ids(word, pieces, n - hi, n - lo, True)[::-1] if back else _piece_ids(word, pieces, lo, hi, False)
+        return np.where((ids >= 0)[:, :, None], probs[ids], 0.0)
+
+    return of
+
+
 def log_probs(words: list[str], pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """[word, language] log probability of distinct words, all segmentations summed."""
-    parts, owner = [], []
-    for i, w in enumerate(words):
-        for p in _parts(w):
-            parts.append(p)
-            owner.append(i)
-    out, owner = np.zeros((len(words), probs.shape[1])), np.array(owner, np.int64)
-    for length, of in _by_length(parts).items():
+    words = [START + w for w in words]
+    out = np.zeros((len(words), probs.shape[1]))
+    for length, of in _by_length(words).items():
+        if length > SHORT:
+            for i in of:
+                out[i] = _chain(_weights(words[i], pieces, probs), length, probs.shape[1])[-1]
+            continue
         for k in range(0, len(of), 20_000):
             some = of[k:k + 20_000]
-            a = forward(pieces.lattice([parts[i] for i in some]), probs, len(some), length)
-            np.add.at(out, owner[some], np.log(a[length]))
+            out[some] = np.log(forward(pieces.lattice([words[i] for i in some]), probs, len(some), length)[length])
     return out
 
 
+def _expected(word: str, times: float, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
+    """Expected piece counts of one long word that stands so many times."""
+    n, got = len(word), np.zeros(pieces.n)
+    a = _chain(_weights(word, pieces, probs), n, 1)[:, 0]
+    b = _chain(_weights(word, pieces, probs, True), n, 1)[::-1, 0]
+    for lo in range(0, n, CHUNK):
+        hi = min(n, lo + CHUNK)
+        ids = _piece_ids(word, pieces, lo, hi, True)
+        at, size = np.nonzero(ids >= 0)
+        own = ids[at, size]
+        got += np.bincount(own, np.exp(a[lo + at] + b[lo + at + size + 1] - a[n]) * probs[own, 0] * times, pieces.n)
+    return got
+
+
 def fit(counts: Counter, pieces: Pieces, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of one language from word counts, by forward-backward."""
     probs = np.full((pieces.n, 1), 1 / pieces.n)
-    merged: Counter = Counter()
-    for w, n in counts.items():
-        for p in _parts(w):
-            merged[p] += n
-    words = sorted(merged)
-    groups = []
-    for length, of in _by_length(words).items():
-        some = [words[i] for i in of]
-        groups.append((length, pieces.lattice(some), np.array([merged[w] for w in some], float)))
+    words, groups, long = sorted(counts), [], []
+    for length, of in _by_length([START + w for w in words]).items():
+        some = [START + words[i] for i in of]
+        n = np.array([counts[words[i]] for i in of], float)
+        if length > SHORT:
+            long += zip(some, n.tolist(), strict=True)
+        else:
+            groups.append((length, pieces.lattice(some), n))
     for _ in range(rounds):
         got = np.zeros(pieces.n)
+        for word, n in long:
+            got += _expected(word, n, pieces, probs)
         for length, lattice, n in groups:
             a = forward(lattice, probs, len(n), length)[:, :, 0]
             b = np.zeros((length + 1, len(n)))
@@ -166,13 +222,7 @@ def fit(counts: Counter, pieces: Pieces, rounds: int = ROUNDS) -> np.ndarray:
                     if len(on):
                         through = probs[ids[on], 0] * b[start + size, on]
                         b[start, on] += through
-            for start in range(length):
-                for size in range(1, min(length - start, LONGEST_PIECE) + 1):
-                    ids = lattice[size][:, start]
-                    on = np.flatnonzero(ids >= 0)
-                    if len(on):
-                        w = a[start, on] * probs[ids[on], 0] * b[start + size, on] / a[length, on] * n[on]
-                        got += np.bincount(ids[on], w, pieces.n)
+                        got += np.bincount(ids[on], a[start, on] * through / a[length, on] * n[on], pieces.n)
         probs = ((got + SMOOTH) / (got.sum() + SMOOTH * pieces.n))[:, None]
         probs[0] = EPS
     return np.maximum(probs[:, 0], EPS)
@@ -191,14 +241,16 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, vocab: str = VOCAB, docs_per_lang: int = DOCS_PER_LANG, top_words: int = TOP_WORDS) -> Model:
+def train(docs: DataFrame, vocab: str = VOCAB, docs_per_lang: int = DOCS_PER_LANG) -> Model:
     """Learns from docs (doc_id, text, lang) that are not held out and have a lang. Only
-    top_words word counts for each language reach the driver."""
+    the word counts of at most docs_per_lang documents for each language reach the driver."""
     ship(docs.sparkSession)
-    ids = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang")
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ids.withColumn("_r", F.row_number().over(pick)).filter(F.col("_r") <= docs_per_lang).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    texts = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text")
+    ids = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
+    # picked twice, within salts and then in all, so that no task gets a language's rows from everywhere
+    first = lambda rows, *by: rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_h", "doc_id"))).filter(F.col("_r") <= docs_per_lang)
+    chosen = first(first(ids, F.col("lang"), F.pmod("_h", F.lit(SALTS))), F.col("lang")).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    # rows of one id and language are all read: the sample is of ids
+    texts = docs.filter(~held_out()).select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -207,11 +259,8 @@ def train(docs: DataFrame, vocab: str = VOCAB, docs_per_lang: int = DOCS_PER_LAN
                 c.update((lang, w) for w in letter_runs(text or ""))
             yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in c], pa.string()), "word": pa.array([k[1] for k in c], pa.string()), "n": pa.array(list(c.values()), pa.int64())})
 
-    words = texts.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = words.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= top_words).select("lang", "word", "n").collect()
     by: dict[str, Counter] = {}
-    for r in top:
+    for r in texts.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toLocalIterator():
         by.setdefault(r.lang, Counter())[r.word] = r.n
     langs = sorted(by)
     pieces = pieces_of(vocab)
@@ -256,7 +305,8 @@ _scorers: dict[str, Scorer] = {}
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
-    """Adds struct<lang,score>: the likeliest language and its posterior under equal priors."""
+    """Adds struct<lang,score>: the likeliest language and its posterior under equal priors.
+    Its name is out, or with underscores added if that is taken."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -270,4 +320,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
             found += _scorers[name].predict(texts.slice(k, 500).to_pylist())
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], ["lang", "score"])
 
-    return docs.withColumn(out, F.arrow_udf(run, "struct<lang:string,score:double>")(F.col(f"`{text}`")))
+    return docs.withColumn(*free(docs, out), F.arrow_udf(run, "struct<lang:string,score:double>")(F.col(f"`{text}`")))
