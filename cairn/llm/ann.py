@@ -10,14 +10,17 @@ Equal vectors are one class, with its eleven smallest ids (no query needs more),
 vector that a third of all rows share is hashed and compared once. Buckets beyond
 PART_ROWS classes are cut into parts, and queries go to all parts: no cap drops a
 candidate. A query that finds fewer than K others is searched exactly, in blocks of
-queries against all rows.
+queries against all rows of its length.
 
-With d padded to 64, one hash, 4 tables and 24 probes of 128 find 0.97 to 0.98 of the ten
-nearest in the test tables (see README). For many more rows raise `hashes`: buckets grow as (2 d)^hashes.
+The number of hashes follows from the rows: one while buckets then hold PART_ROWS rows or
+fewer on average, else two, with the tables and the share of buckets probed in PLANS. On
+51,282 test vectors of 64 dimensions, whose neighbours are far (cosine 0.40 to the tenth),
+these find 0.99 and 0.98 of the ten nearest and compare 0.53 and 0.20 of all rows.
 
 Edge cases: vectors that are null, zero, empty or hold null or non-finite components take no
-part, nor do null ids or vectors of another length than most. Of rows of equal vec_id the one of the least vector stands. Ties go
-to the smaller vec_id. Fewer than K candidates are all returned.
+part, nor do null ids. Vectors of several lengths are searched each among their own. Rows
+count one by one: of rows of equal vec_id each is a query and a candidate, and a query leaves
+out itself alone. Ties go to the smaller vec_id. Fewer than K candidates are all returned.
 """
 
 from __future__ import annotations
@@ -27,13 +30,17 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .env import parallelism, ship, staged
 
 K = 10
-TABLES, HASHES, PROBES, SEED = 4, 1, 24, 20240229
+SEED = 20240229
+#: Tables and share of buckets probed, by number of hashes.
+PLANS = {1: (4, 24 / 128), 2: (8, 400 / 16384)}
+LEAST_PROBES = 8
 PART_ROWS = 8192
 QUERY_BLOCK = 512
 
@@ -99,111 +106,138 @@ def distances(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _usable(emb: DataFrame) -> DataFrame:
-    """(vec_id, v array<double>), one row an id, all of one length."""
+    """(vec_id, v array<double>, d) of the rows that take part."""
     v = F.col("embedding").cast("array<double>")
-    rows = emb.select("vec_id", v.alias("v")).filter(F.col("vec_id").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
-    length = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if length is not None:
-        rows = rows.filter(F.size("v") == length.d)
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return emb.select("vec_id", v.alias("v"), F.size(v).alias("d")).filter(F.col("vec_id").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
 
 
-def search(emb: DataFrame, queries: DataFrame, tables: int = TABLES, hashes: int = HASHES, probe_count: int = PROBES, seed: int = SEED) -> DataFrame:
+def hashes_for(rows: int, d: int) -> int:
+    axes = 2 << max(0, (d - 1).bit_length())
+    return 1 if rows <= PART_ROWS * axes else 2
+
+
+def _of_one_length(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Runs of rows whose vectors (column v) have one length, with the matrix of those."""
+    for b in batches:
+        size = pc.list_value_length(b.column("v")).to_numpy(zero_copy_only=False)
+        for d in np.unique(size):
+            at = np.flatnonzero(size == d)
+            for k in range(0, len(at), rows):
+                part = b.take(pa.array(at[k:k + rows]))
+                yield part, _matrix(part.column("v"))
+
+
+def search(emb: DataFrame, queries: DataFrame, tables: int | None = None, hashes: int | None = None, share: float | None = None, seed: int = SEED) -> DataFrame:
     """emb (vec_id, embedding), queries (vec_id) to (query_id, rank, vec_id, score)."""
     spark = emb.sparkSession
     ship(spark)
     rows = staged(_usable(emb), "vectors")
-    total = rows.count()
-    first = Window.partitionBy("v").orderBy("vec_id")
-    few = rows.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= K + 1)
-    classes = staged(few.groupBy("v").agg(F.min("vec_id").alias("cls"), F.sort_array(F.collect_list("vec_id")).alias("ids")), "vector-classes")
+    lengths = staged(rows.groupBy("d").agg(F.count("*").alias("rows")), "vector-lengths")
+    main = lengths.orderBy(F.desc("rows"), "d").first()
+    hashes = hashes or (1 if main is None else hashes_for(main.rows, main.d))
+    tables, share = tables or PLANS[hashes][0], share or PLANS[hashes][1]
+    few = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("r") <= K + 1)
+    grouped = few.groupBy("v", "d").agg(F.min("vec_id").alias("least"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    classes = staged(grouped.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
     asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi")
-    asked = staged(asked.alias("a").join(classes.alias("c"), F.col("a.v") == F.col("c.v")).select(F.col("a.vec_id").alias("query_id"), F.col("c.cls").alias("cls")), "queries")
-    query_classes = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "v")
+    asked = staged(asked.alias("a").join(classes.alias("c"), F.col("a.v") == F.col("c.v")).select(F.col("a.vec_id").alias("query_id"), "c.cls", "a.d"), "queries")
+    query_classes = classes.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "least", "v")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                b = whole.slice(k, 2000)
-                code = buckets(rotations(_matrix(b.column(1)), tables, hashes, seed))
-                for t in range(tables):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, t, np.int32)), pa.array(code[t]), b.column(0), b.column(1)], ["t", "b", "cls", "v"])
+        for b, m in _of_one_length(batches, 2000):
+            code = buckets(rotations(m, tables, hashes, seed))
+            for t in range(tables):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), m.shape[1], np.int32)), pa.array(np.full(len(m), t, np.int32)), pa.array(code[t]), b.column("cls"), b.column("least"), b.column("v")], ["d", "t", "b", "cls", "least", "v"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(0, whole.num_rows, 500):
-                b = whole.slice(k, 500)
-                code = probes(rotations(_matrix(b.column(1)), tables, hashes, seed), probe_count)
-                for t in range(tables):
-                    at = pa.array(np.repeat(np.arange(b.num_rows), code.shape[2]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(code[t].ravel()), b.column(0).take(at), b.column(1).take(at)], ["t", "b", "cls", "v"])
-
-    ddl = "t int, b long, cls long, v array<double>"
-    index = classes.select("cls", "v").mapInArrow(put, ddl)
-    parts = staged(index.groupBy("t", "b").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts")), "buckets")
-    sized = lambda rows, side: rows.join(parts.select(F.col("t").alias(f"{side}t"), F.col("b").alias(f"{side}b"), F.col("parts").alias(f"{side}n")), (F.col("t") == F.col(f"{side}t")) & (F.col("b") == F.col(f"{side}b")))
-    index = sized(index, "i").select("t", "b", "cls", "v", F.pmod(F.xxhash64("cls"), F.col("in")).cast("int").alias("p"))
-    asking = sized(query_classes.mapInArrow(ask, ddl), "q").select("t", "b", "cls", "v", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)).alias("p"))
-
-    def rank(key: tuple, q: pa.Table, c: pa.Table) -> pa.Table:
-        qc, cc, out = q.column("cls").to_numpy(), c.column("cls").to_numpy(), ([], [], [])
-        if len(qc) and len(cc):
+        for b, m in _of_one_length(batches, 250):
+            r = rotations(m, tables, hashes, seed)
+            code = probes(r, min(r.shape[3] ** hashes, max(LEAST_PROBES, int(np.ceil(share * r.shape[3] ** hashes)))))
+            for t in range(tables):
+                at = np.repeat(np.arange(len(m)), code.shape[2])
+                for k in range(0, len(at), 4000):
+                    some = pa.array(at[k:k + 4000])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), m.shape[1], np.int32)), pa.array(np.full(len(some), t, np.int32)), pa.array(code[t].ravel()[k:k + 4000]), *(b.column(c).take(some) for c in ("cls", "least", "v"))], ["d", "t", "b", "cls", "least", "v"])
+
+    ddl, key = "d int, t int, b long, cls long, least long, v array<double>", ("d", "t", "b")
+    index = classes.select("cls", "least", "v").mapInArrow(put, ddl)
+    parts = staged(index.groupBy(*key).agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts")), "buckets").toDF(*[f"{c}_" for c in key], "parts")
+    sized = lambda rows: rows.join(parts, [F.col(c) == F.col(f"{c}_") for c in key])
+    cols = (*key, "cls", "least", "v")
+    index = sized(index).select(*cols, F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("p"))
+    asking = sized(query_classes.mapInArrow(ask, ddl)).select(*cols, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"))
+
+    def rank(q: pa.Table, c: pa.Table) -> pa.Table:
+        got = ([], [], [], [])
+        if len(q) and len(c):
+            qc, cc, least = (x.to_numpy() for x in (q.column("cls"), c.column("cls"), c.column("least")))
             qv, cv = _matrix(q.column("v").combine_chunks()), _matrix(c.column("v").combine_chunks())
             for i in range(len(qc)):
                 d = distances(qv[i], cv)
-                best = np.lexsort((cc, d))[:K + 1] if len(d) < 4 * K else (lambda near: near[np.lexsort((cc[near], d[near]))[:K + 1]])(np.flatnonzero(d <= np.partition(d, K)[K]))
-                out[0].extend([int(qc[i])] * len(best))
-                out[1].extend(cc[best].tolist())
-                out[2].extend(d[best].tolist())
-        return pa.table({"q": pa.array(out[0], pa.int64()), "c": pa.array(out[1], pa.int64()), "d": pa.array(out[2], pa.float64())})
+                best = _first(d, least, cc)
+                for x, y in zip(got, ([int(qc[i])] * len(best), cc[best].tolist(), least[best].tolist(), d[best].tolist()), strict=True):
+                    x.extend(y)
+        return pa.table({n: pa.array(x, pa.float64() if n == "dist" else pa.int64()) for n, x in zip(("q", "c", "least", "dist"), got, strict=True)})
 
-    found = asking.groupBy("t", "b", "p").cogroup(index.groupBy("t", "b", "p")).applyInArrow(rank, "q long, c long, d double")
+    found = asking.groupBy(*key, "p").cogroup(index.groupBy(*key, "p")).applyInArrow(rank, FOUND_DDL)
     best = staged(_nearest(found), "nearest")
     lists = _lists(best, classes)
-    short = staged(asked.select("cls").distinct().alias("a").join(lists.alias("l"), F.col("a.cls") == F.col("l.q"), "left").filter(F.coalesce(F.size("l.near"), F.lit(0)) < min(K + 1, total)).select("a.cls"), "short")
+    enough = asked.join(lengths, "d").groupBy("cls").agg(F.min(F.least(F.lit(K + 1), F.col("rows"))).alias("enough"))
+    short = staged(enough.alias("a").join(lists.alias("l"), F.col("a.cls") == F.col("l.q"), "left").filter(F.coalesce(F.size("l.near"), F.lit(0)) < F.col("enough")).select("a.cls"), "short")
     if short.limit(1).count():
-        exact = _exact(classes, classes.join(short, "cls", "left_semi").select("cls", "v"))
+        exact = _exact(classes, classes.join(short, "cls", "left_semi").select("cls", "least", "v"))
         best = best.join(short, F.col("q") == F.col("cls"), "left_anti").union(exact)
         lists = _lists(best, classes)
-    out = asked.alias("a").join(lists.alias("l"), F.col("a.cls") == F.col("l.q")).select("a.query_id", F.slice(F.filter("l.near", lambda x: x["vec_id"] != F.col("a.query_id")), 1, K).alias("near"))
-    return out.select("query_id", F.posexplode("near").alias("i", "x")).select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.d").alias("score"))
+    near = asked.alias("a").join(lists.alias("l"), F.col("a.cls") == F.col("l.q")).select("a.query_id", "l.near")
+    own = F.array_position("near", F.struct(F.lit(0.0).alias("dist"), F.col("query_id").alias("vec_id")))  # one row, itself
+    out = near.withColumn("own", own).select("query_id", F.slice(F.filter("near", lambda x, i: i + 1 != F.col("own")), 1, K).alias("near"))
+    return out.select("query_id", F.posexplode("near").alias("i", "x")).select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.dist").alias("score"))
+
+
+FOUND_DDL = "q long, c long, least long, dist double"
+
+
+def _first(d: np.ndarray, least: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """The K + 1 nearest classes in order; ties by least id."""
+    at = np.arange(len(d)) if len(d) < 4 * K else np.flatnonzero(d <= np.partition(d, K)[K])
+    return at[np.lexsort((cls[at], least[at], d[at]))[:K + 1]]
 
 
 def _nearest(found: DataFrame) -> DataFrame:
     """The K + 1 nearest classes of each query class."""
-    one = found.groupBy("q", "c").agg(F.min("d").alias("d"))
-    return one.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("d", "c"))).filter(F.col("r") <= K + 1).select("q", "c", "d")
+    one = found.groupBy("q", "c", "least").agg(F.min("dist").alias("dist"))
+    return one.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("dist", "least", "c"))).filter(F.col("r") <= K + 1).select("q", "c", "least", "dist")
 
 
 def _lists(best: DataFrame, classes: DataFrame) -> DataFrame:
     """(q, near): the K + 1 nearest ids of each query class, itself among them."""
-    ids = best.alias("b").join(classes.alias("c"), F.col("b.c") == F.col("c.cls")).select("b.q", F.transform("c.ids", lambda i: F.struct(F.col("b.d").alias("d"), i.alias("vec_id"))).alias("x"))
+    ids = best.alias("b").join(classes.alias("c"), F.col("b.c") == F.col("c.cls")).select("b.q", F.transform("c.ids", lambda i: F.struct(F.col("b.dist").alias("dist"), i.alias("vec_id"))).alias("x"))
     return ids.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("x"))), 1, K + 1).alias("near"))
 
 
 def _exact(classes: DataFrame, asked: DataFrame) -> DataFrame:
-    """The nearest classes by scanning all classes, a block of queries at a time."""
+    """The nearest classes by scanning all classes: queries stand in blocks of QUERY_BLOCK rows,
+    and every slice of the classes meets every block."""
     spark, asked = classes.sparkSession, staged(asked, "exact")
-    out, block = None, []
-
-    def scan(some: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(([r.cls for r in some], np.array([r.v for r in some])))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, q = shared.value
-            for b in batches:
-                c, cv = b.column(0).to_numpy(), _matrix(b.column(1))
-                for i, key in enumerate(keys):
-                    d = distances(q[i], cv)
-                    best = np.lexsort((c, d))[:K + 1]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), key)), pa.array(c[best]), pa.array(d[best])], ["q", "c", "d"])
-
-        return staged(_nearest(classes.select("cls", "v").repartition(parallelism(spark)).mapInArrow(run, "q long, c long, d double")), "exact-nearest")
-
-    for row in asked.toLocalIterator():
-        block.append(row)
-        if len(block) == QUERY_BLOCK:
-            out, block = scan(block) if out is None else out.union(scan(block)), []
-    if block:
-        out = scan(block) if out is None else out.union(scan(block))
-    return out
+    blocks = -(-asked.count() // QUERY_BLOCK)
+    slices = parallelism(spark)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.withColumn("blk", F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int")).withColumn("slice", every(slices))
+    right = classes.select("cls", "least", "v", F.pmod(F.xxhash64("cls"), F.lit(slices)).cast("int").alias("slice")).withColumn("blk", every(blocks))
+
+    def scan(q: pa.Table, c: pa.Table) -> pa.Table:
+        out = []
+        if len(q) and len(c):
+            sides = [list(_of_one_length(x.to_batches(), 1 << 30)) for x in (q.combine_chunks(), c.combine_chunks())]
+            for a, m in sides[0]:
+                for b, cv in sides[1]:
+                    if m.shape[1] != cv.shape[1]:
+                        continue
+                    cc, least = b.column("cls").to_numpy(), b.column("least").to_numpy()
+                    for key, v in zip(a.column("cls").to_pylist(), m, strict=True):
+                        d = distances(v, cv)
+                        best = _first(d, least, cc)
+                        out += zip([key] * len(best), cc[best].tolist(), least[best].tolist(), d[best].tolist(), strict=True)
+        return pa.table({n: pa.array([r[i] for r in out], pa.float64() if n == "dist" else pa.int64()) for i, n in enumerate(("q", "c", "least", "dist"))})
+
+    return staged(_nearest(left.groupBy("slice", "blk").cogroup(right.groupBy("slice", "blk")).applyInArrow(scan, FOUND_DDL)), "exact-nearest")
