@@ -3,8 +3,9 @@
 A host's share of bad pages is estimated from labelled outcomes. Beta-binomial
 priors run down the tree suffix -> registered domain -> host: each level's prior is
 centred on its parent's posterior mean, with a strength fitted by moments over all
-children of that level. A host is blocked if the lower posterior bound of its bad
-share lies above a threshold; explicit rules override.
+children of that level. A host is blocked if the lower posterior bound of its bad share
+lies above twice the base rate, or above one half; explicit rules override. Where outcomes
+do not hang on hosts, shares shrink to the base rate and none is blocked.
 
 Edge cases: a null url or one without "://" has host and path '' and no rule, and is
 judged as the host ''. Labels that are null count as unlabelled; repeated pages and
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 
 from .env import staged
 
-#: Suffixes of two labels; any other host's suffix is its last label. Fixed values.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "co.nz", "com.br", "co.in", "com.cn", "com.mx", "co.za", "co.kr")
+#: Second-level labels under which country registries sell names. Fixed values. A suffix is the
+#: last label, or two if that has two letters and the one before is of these (co.uk, com.au, or.jp): a rule, not a list of all suffixes.
+GENERIC = ("ac", "asn", "co", "com", "edu", "firm", "gen", "go", "gob", "gouv", "gov", "govt", "gv", "id", "info", "lg", "ltd", "me", "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "sch", "tm", "web")
+TWO_LABELS = r"^(" + "|".join(GENERIC) + r")\.[a-z]{2}$"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -33,7 +36,8 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 
 @dataclass(frozen=True)
 class Reputation:
-    threshold: float = 0.5  # a bad share that must be exceeded
+    ratio: float = 2.0  # of the base rate, a bad share that must be exceeded
+    most: float = 0.5  # beyond which a share is bad whatever the base rate
     z: float = 1.6448536269514722  # of the one-sided 95 % bound
     default_strength: float = 2.0  # of a prior whose level shows nothing
 
@@ -48,12 +52,12 @@ def path_of(url: Column) -> Column:
 
 def suffix_of(host: Column) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(host.rlike(r"^[0-9.]+$"), host).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(host.rlike(r"^[0-9.]+$"), host).when(two.rlike(TWO_LABELS), two).otherwise(F.substring_index(host, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(host.rlike(r"^[0-9.]+$"), host).when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    return F.when(host.rlike(r"^[0-9.]+$"), host).when(two.rlike(TWO_LABELS), F.substring_index(host, ".", -3)).otherwise(two)
 
 
 def match_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -83,9 +87,14 @@ def strength(children: DataFrame, parent: str, default: float) -> float:
     return (1 - r) / r
 
 
+def base_rate(hosts: DataFrame) -> float:
+    total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
+    return ((total.k or 0) + 1.0) / ((total.n or 0) + 2.0)
+
+
 def host_reputation(pages: DataFrame, outcomes: DataFrame, conf: Reputation = Reputation()) -> DataFrame:
-    """pages (page_id, host) and outcomes (page_id, bad 0/1) to (host, n, k, mean, bound).
-    One row per host of pages; k of its n labelled pages are bad."""
+    """pages (page_id, host) and outcomes (page_id, bad 0/1) to (host, n, k, mean, bound, bad).
+    One row per host of pages; k of its n labelled pages are bad; bad: bound is beyond the threshold."""
     p, o = pages.select("page_id", "host").alias("p"), outcomes.select("page_id", "bad").alias("o")
     counted = (
         p.join(o, F.col("p.page_id") == F.col("o.page_id"), "left")
@@ -96,8 +105,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, conf: Reputation = Re
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
     suffixes = hosts.groupBy("suffix").agg(*sums)
-    total = hosts.agg(*sums).first()
-    p0 = ((total.k or 0) + 1.0) / ((total.n or 0) + 2.0)
+    p0 = base_rate(hosts)
     m_suffix = strength(suffixes.withColumn("all", F.lit(0)), "all", conf.default_strength)
     m_domain = strength(domains, "suffix", conf.default_strength)
     m_host = strength(hosts, "domain", conf.default_strength)
@@ -106,16 +114,17 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, conf: Reputation = Re
     d = domains.join(s, "suffix").select("domain", post(F.lit(m_domain), F.col("suffix_mean")).alias("domain_mean"))
     h = hosts.join(d, "domain").withColumn("mean", post(F.lit(m_host), F.col("domain_mean")))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + m_host + 1))
-    return h.select("host", "n", "k", "mean", (F.col("mean") - conf.z * sd).alias("bound"))
+    h = h.withColumn("bound", F.col("mean") - conf.z * sd)
+    return h.select("host", "n", "k", "mean", "bound", (F.col("bound") > min(conf.most, conf.ratio * p0)).alias("bad"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, conf: Reputation = Reputation()) -> DataFrame:
     """pages (page_id, url), outcomes (page_id, bad) to (page_id, host, path, rule, verdict, bad_bound)."""
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     name, verdict = match_rule(F.col("host"), F.col("path"), rules)
-    judged = host_reputation(cut, outcomes, conf).select(F.col("host").alias("h"), F.col("bound").alias("bad_bound"))
+    judged = host_reputation(cut, outcomes, conf).select(F.col("host").alias("h"), F.col("bound").alias("bad_bound"), "bad")
     out = cut.join(judged, F.col("host") == F.col("h"), "left")
-    method = F.when(F.col("bad_bound") > conf.threshold, "block").otherwise("allow")
+    method = F.when(F.col("bad"), "block").otherwise("allow")
     return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "bad_bound")
 
 
