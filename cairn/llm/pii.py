@@ -2,13 +2,17 @@
 
 Patterns run in Python on whole texts, each in time linear in the text (no pattern
 rescans a run it has failed on), so one very long line cannot stall a task. Offsets
-are code points, ends exclusive. Kinds in order: email, ip, card, phone, iban, ssn.
-The first four are kept whenever their test holds (parts at most 255, Luhn over 13 to
-19 digits, 9 to 15 digits); iban needs mod-97, ssn needs a context word nearby.
+are code points, ends exclusive. Kinds in order: email, ip, card, phone, iban, ssn, secret.
+A span's score is its kind's prior, raised by a context word of its kind in English, German,
+French or Spanish within CONTEXT_CHARS. The first four kinds are kept whenever their test holds
+(parts at most 255, Luhn over 13 to 19 digits, 9 to 15 digits), whatever their score, and so
+is iban, as mod-97 is test enough; an ssn, or a run of 20 to 512 letters and digits
+that may be a secret, is kept from KEEP_FROM on, so context decides.
 
 Edge cases: null or empty text has no spans; its redaction is null or empty as it
 was. Rows are independent, so repeated rows get equal results; other columns pass
-through whatever their names, except that `text` and, if it is there, `n_chars` are rewritten by redact().
+through whatever their names, except that `text` and, if it is there, `n_chars` are rewritten
+by redact(); find_pii() adds its column under a free name.
 """
 
 from __future__ import annotations
@@ -19,33 +23,34 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .env import ship
+from .env import free, ship
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn")
+KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
 
 SPANS_DDL = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 #: Words that, within CONTEXT_CHARS on either side, make a kind likelier. Fixed values.
 CONTEXT = {
-    "email": ("email", "e-mail", "mail", "contact"),
-    "ip": ("ip", "address", "host", "server"),
-    "card": ("card", "credit", "visa", "mastercard", "payment"),
-    "phone": ("phone", "tel", "call", "mobile", "fax"),
-    "iban": ("iban", "account", "bank", "bic"),
-    "ssn": ("ssn", "social", "security", "tax"),
+    "email": ("email", "e-mail", "mail", "contact", "kontakt", "courriel", "contacter", "correo", "contacto"),
+    "ip": ("ip", "address", "host", "server", "adresse", "serveur", "dirección", "servidor"),
+    "card": ("card", "credit", "visa", "mastercard", "payment", "karte", "kreditkarte", "carte", "paiement", "tarjeta", "pago"),
+    "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "anruf", "handy", "téléphone", "appel", "teléfono", "llamar", "móvil"),
+    "iban": ("iban", "account", "bank", "bic", "konto", "compte", "banque", "cuenta", "banco"),
+    "ssn": ("ssn", "social", "security", "tax", "sozialversicherung", "steuer", "sécurité", "sociale", "seguridad", "impuesto"),
+    "secret": ("token", "secret", "password", "passwd", "key", "api_key", "apikey", "bearer", "credential", "credentials", "passwort", "schlüssel", "geheim", "jeton", "clé", "mot de passe", "clave", "contraseña", "secreto"),
 }
-CONTEXT_CHARS, CONTEXT_GAIN, KEEP_FROM = 60, 0.15, 0.5
+CONTEXT_CHARS, CONTEXT_GAIN, KEEP_FROM = 60, 0.2, 0.5
 #: Scores of a span that passed its kind's test, before context. Fixed values.
-PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
+PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.4, "secret": 0.3}
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _NEAR = {k: re.compile(r"\b(?:" + "|".join(map(re.escape, w)) + r")\b", re.IGNORECASE) for k, w in CONTEXT.items()}
 
@@ -115,7 +120,14 @@ def _ssns(text: str):
         yield m.span()
 
 
-_PROPOSE = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _ssns}
+def _secrets(text: str):
+    """Runs with letters and digits, of at least ten different characters."""
+    for m in _SECRET.finditer(text):
+        if m.end() - m.start() <= 512 and len(set(m[0])) >= 10 and any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
+            yield m.span()
+
+
+_PROPOSE = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _ssns, "secret": _secrets}
 
 
 def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -124,9 +136,9 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
     for kind in KINDS if text else ():
         for start, end in _PROPOSE[kind](text):
             near = _NEAR[kind].search(text[max(0, start - CONTEXT_CHARS):start]) or _NEAR[kind].search(text[end:end + CONTEXT_CHARS])
-            score = PRIOR[kind] + (CONTEXT_GAIN if near else 0.0)
+            score = round(PRIOR[kind] + (CONTEXT_GAIN if near else 0.0), 2)
             if kind in BASE_KINDS or score >= KEEP_FROM:
-                out.append((kind, start, end, round(score, 2)))
+                out.append((kind, start, end, score))
     return out
 
 
@@ -162,15 +174,15 @@ def redact_text(texts: pa.Array) -> pa.Array:
 
 
 def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
-    """Adds the array of spans."""
+    """Adds the array of spans, under the name out, or with underscores added to it if that is taken."""
     ship(docs.sparkSession)
-    return docs.withColumn(out, F.arrow_udf(find_spans, SPANS_DDL)(F.col(f"`{text}`")))
+    return docs.withColumn(*free(docs, out), F.arrow_udf(find_spans, SPANS_DDL)(F.col(f"`{text}`")))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with personal data in `text` replaced, `n_chars` recounted, same columns."""
     ship(docs.sparkSession)
-    out = docs.withColumn("text", F.arrow_udf(redact_text, "string")(F.col("text")))
+    out = docs.withColumn("text", F.arrow_udf(redact_text, "string")(F.col("`text`")))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
