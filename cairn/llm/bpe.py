@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .coded import Recent, distinct, per_text, slices, spread
-from .env import ship
+from .env import free, ship
 
 CACHE_WORDS = 150_000  # in each of two generations
 CACHE_PAIRS = 300_000
@@ -263,8 +263,8 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", vocab: str = V
 
 
 def round_trip(docs: DataFrame, text: str = "text", vocab: str = VOCAB) -> DataFrame:
-    """Adds ids and, from them, decoded: encode and decode in one pass over the texts.
-    (Two chained columns would have Spark encode twice, once for each use of ids.)"""
+    """Adds ids and, from them, decoded, with underscores added to a name that is taken:
+    encode and decode in one pass over the texts. (Two chained columns would have Spark encode twice, once for each use of ids.)"""
     ship(docs.sparkSession)
 
     def run(texts: pa.Array) -> pa.Array:
@@ -279,8 +279,9 @@ def round_trip(docs: DataFrame, text: str = "text", vocab: str = VOCAB) -> DataF
         ids = pa.ListArray.from_arrays(pa.array(np.cumsum(n), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *flats])))
         return pa.StructArray.from_arrays([ids, pa.concat_arrays(decoded) if decoded else pa.array([], pa.string())], ["ids", "decoded"])
 
-    both = docs.withColumn("_bpe", F.arrow_udf(run, "struct<ids:array<int>,decoded:string>")(F.col(f"`{text}`")))
-    return both.withColumns({"ids": F.col("_bpe.ids"), "decoded": F.col("_bpe.decoded")}).drop("_bpe")
+    both, ids, decoded = free(docs, "_bpe", "ids", "decoded")
+    out = docs.withColumn(both, F.arrow_udf(run, "struct<ids:array<int>,decoded:string>")(F.col(f"`{text}`")))
+    return out.withColumns({ids: F.col(f"{both}.ids"), decoded: F.col(f"{both}.decoded")}).drop(both)
 
 
 def digests(encoded: DataFrame, *more) -> DataFrame:

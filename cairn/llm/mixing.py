@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .env import parallelism, row_key, running_total, staged, words_count
+from .env import free, parallelism, row_key, running_total, staged, words_count
 
 WEIGHTS = (5, 2, 1)  # of sources in order, repeating
 SHARE = 1.5  # of all words that the mix takes
@@ -138,11 +138,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
 
 
 def taken(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the words that the mix takes of each document."""
+    """doc_id, size, source_size, target, taken (the words that the mix takes of each document),
+    first_slot (of the schedule that has words of it, null if none) and n_pieces (runs of its words in blocks)."""
     rows, lines = mix(docs)
-    sums = rows.groupBy("_row").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("t"))
+    sums = rows.groupBy("_row").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("t"), F.min("slot").alias("first"), F.count("*").alias("k"))
     out = lines.alias("d").join(sums.alias("m"), F.col("d._row") == F.col("m._row"), "left")
-    return out.select("d.doc_id", "d.size", "d.source_size", "d.target", F.coalesce("m.t", F.lit(0)).cast("long").alias("taken"))
+    return out.select("d.doc_id", "d.size", "d.source_size", "d.target", F.coalesce("m.t", F.lit(0)).cast("long").alias("taken"), F.col("m.first").alias("first_slot"), F.coalesce("m.k", F.lit(0)).cast("long").alias("n_pieces"))
 
 
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -154,16 +155,17 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     per = targets(sizes)
     lines = in_line(sizes).alias("d").join(per.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("d.*", "s.source_size", "s.target")
     firsts = _pieces(lines, CAP).withColumn("block", _block(F.col("from"), block_words))
-    places = staged(_on_slots(firsts, schedule(per, block_words)).select(F.col("d.doc_id").alias("_id"), "d._of", F.col("s.slot").alias("_slot"), F.col("d.from").alias("_at")), "mix-places")
-    count, last = places.agg(F.count("*"), F.max("_slot")).first()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mix_key") == F.col("_of"))
-    texts = docs.withColumn("_mix_key", row_key(docs))
-    copies = staged(sizes.groupBy("doc_id", "_of").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("doc_id").alias("_id"), "_of"), "mix-copies")
+    no, of, slot, at, key = free(docs, "_id", "_of", "_slot", "_at", "_mix_key")
+    places = staged(_on_slots(firsts, schedule(per, block_words)).select(F.col("d.doc_id").alias("_id"), "d._of", F.col("s.slot").alias("_slot"), F.col("d.from").alias("_at")), "mix-places").toDF(no, of, slot, at)
+    count, last = places.agg(F.count("*"), F.max(slot)).first()
+    same = F.col("doc_id").eqNullSafe(F.col(no)) & (F.col(key) == F.col(of))
+    texts = docs.withColumn(key, row_key(docs))
+    copies = staged(sizes.groupBy("doc_id", "_of").agg(F.count("*").alias("k")).filter("k > 1").select(F.col("doc_id").alias("_id"), "_of"), "mix-copies").toDF(no, of)
     if copies.limit(1).count():
-        texts = texts.join(copies, same, "left_anti").union(texts.join(copies, same, "left_semi").dropDuplicates(["doc_id", "_mix_key"]))
+        texts = texts.join(copies, same, "left_anti").union(texts.join(copies, same, "left_semi").dropDuplicates(["doc_id", key]))
     out = texts.join(F.broadcast(places) if count <= BROADCAST_ROWS else places, same)
     slots = (last or 0) + 1
     parts = -(-slots // PART_SLOTS)
     # slots are dense all along the grid, so equal runs of them have about equal words
-    dealt = out.repartitionById(parts, F.call_function("div", F.col("_slot") * parts, F.lit(slots).cast("long")).cast("int")).sortWithinPartitions("_slot", "_at")
+    dealt = out.repartitionById(parts, F.call_function("div", F.col(slot) * parts, F.lit(slots).cast("long")).cast("int")).sortWithinPartitions(slot, at)
     return dealt.select(*[F.col(f"`{c}`") for c in docs.columns])

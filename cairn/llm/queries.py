@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .url_filter import TWO_LABELS
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,7 +34,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter(pii, lambda s: s["kind"].isin(*BASE_KINDS))
     of_kind = lambda k: F.filter(pii, lambda s: s["kind"] == k)
     counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(pii).alias("spans"))
+    scores = F.array_join(F.transform(pii, lambda s: s["score"].cast("string")), ",")
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(pii).alias("spans"), scores.alias("scores"), F.size(pii).cast("long").alias("n_spans"))
 
 
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,12 +96,19 @@ fill AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) O
   row_number() OVER (ORDER BY cap / w, i) AS place FROM w),
 capped AS (SELECT *, level * w >= cap AS capped FROM fill),
 t AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE w * (SELECT level FROM capped WHERE NOT capped ORDER BY place LIMIT 1) END AS target FROM capped),
-line AS (SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(least(size, greatest(0, floor(target) - cum)) + least(size, greatest(0, floor(target) - source_size - cum)) AS BIGINT) AS taken FROM line
+line AS (SELECT row_number() OVER () AS id, doc_id, d.source, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cum
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+blocks AS (SELECT source, CAST(ceil(floor(target) / 1024) AS BIGINT) AS n FROM t),
+laid AS (SELECT *, CAST(coalesce(sum(n) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a, greatest(1, length(bin(CAST(sum(n) OVER () AS BIGINT)))) AS m FROM blocks),
+points AS (SELECT source, CAST('0b' || reverse(lpad(bin(a + x), CAST(m AS INT), '0')) AS BIGINT) AS slot FROM (SELECT *, unnest(range(n)) AS x FROM laid WHERE n > 0)),
+slots AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block FROM points),
+pieces AS (SELECT id, source, p * source_size + cum AS f, least(p * source_size + cum + size, CAST(floor(target) AS BIGINT)) AS e FROM line, (VALUES (0), (1)) v(p)),
+cut AS (SELECT id, source, f, e, unnest(range(f // 1024, (e - 1) // 1024 + 1)) AS block FROM pieces WHERE f < e),
+mixed AS (SELECT id, sum(least(e, (cut.block + 1) * 1024) - greatest(f, cut.block * 1024)) AS taken, min(slot) AS first_slot, count(*) AS n_pieces FROM cut JOIN slots ON cut.block = slots.block AND cut.source IS NOT DISTINCT FROM slots.source GROUP BY id)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, first_slot, coalesce(n_pieces, 0) AS n_pieces FROM line LEFT JOIN mixed USING (id)
 """
 
-_TWO = "('co.uk','org.uk','ac.uk','gov.uk','com.au','net.au','org.au','co.jp','ne.jp','co.nz','com.br','co.in','com.cn','com.mx','co.za','co.kr')"
+_TWO = f"regexp_matches(two, '{TWO_LABELS}')"
 
 
 def _strength_sql(children: str, parent: str) -> str:
@@ -114,8 +124,8 @@ WITH cut AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://
   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 parts AS (SELECT *, string_split(host, '.') AS l, list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS two FROM cut),
 named AS (SELECT page_id, host, path,
-  CASE WHEN regexp_matches(host, '^[0-9.]+$') THEN host WHEN two IN {_TWO} THEN list_aggregate(list_slice(l, -3, -1), 'string_agg', '.') ELSE two END AS domain,
-  CASE WHEN regexp_matches(host, '^[0-9.]+$') THEN host WHEN two IN {_TWO} THEN two ELSE l[-1] END AS suffix FROM parts),
+  CASE WHEN regexp_matches(host, '^[0-9.]+$') THEN host WHEN {_TWO} THEN list_aggregate(list_slice(l, -3, -1), 'string_agg', '.') ELSE two END AS domain,
+  CASE WHEN regexp_matches(host, '^[0-9.]+$') THEN host WHEN {_TWO} THEN two ELSE l[-1] END AS suffix FROM parts),
 outcomes AS (SELECT doc_id, CASE WHEN toxic IS NULL AND quality IS NULL THEN NULL WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END AS bad FROM labels),
 hosts AS (SELECT host, domain, suffix, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM named LEFT JOIN outcomes ON page_id = doc_id GROUP BY host, domain, suffix),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix),
@@ -123,13 +133,26 @@ suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k, 0 AS one FROM hosts GROUP
 fit AS (SELECT (SELECT (sum(k) + 1.0) / (sum(n) + 2.0) FROM hosts) AS p0, {_strength_sql('suffixes', 'one')} AS ms, {_strength_sql('domains', 'suffix')} AS md, {_strength_sql('hosts', 'domain')} AS mh),
 s AS (SELECT suffix, (k + ms * p0) / (n + ms) AS m FROM suffixes, fit),
 d AS (SELECT domain, (k + md * m) / (n + md) AS m FROM domains JOIN s USING (suffix), fit),
-h AS (SELECT host, n, mh, (k + mh * m) / (n + mh) AS m FROM hosts JOIN d USING (domain), fit),
+h AS (SELECT host, n, mh, p0, (k + mh * m) / (n + mh) AS m FROM hosts JOIN d USING (domain), fit),
 ruled AS (SELECT *, host = 'net' OR host LIKE '%.net' AS net, host = 'example.net' OR host LIKE '%.example.net' AS exnet, host = 'example.com' OR host LIKE '%.example.com' AS excom, host = 'org' OR host LIKE '%.org' AS org FROM cut),
 rules AS (SELECT page_id, host, path, CASE WHEN exnet AND starts_with(path, '/en/') THEN 'example.net/en/' WHEN excom AND starts_with(path, '/de/') THEN 'example.com/de/'
   WHEN org AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN net AND starts_with(path, '/') THEN 'net/' END AS rule FROM ruled)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-  WHEN m - 1.6448536269514722 * sqrt(m * (1 - m) / (n + mh + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+  WHEN m - 1.6448536269514722 * sqrt(m * (1 - m) / (n + mh + 1)) > least(0.5, 2.0 * p0) THEN 'block' ELSE 'allow' END AS verdict
 FROM rules JOIN h USING (host)
 """
 
-ORACLE_SQL = {"op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
+OP9_SQL = """
+WITH RECURSIVE words AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS s FROM words),
+sizes AS (SELECT id, count(*) AS n FROM sets GROUP BY id),
+shared AS (SELECT a.id AS u, b.id AS v, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
+half AS (SELECT u, v FROM shared JOIN sizes x ON u = x.id JOIN sizes y ON v = y.id WHERE 100 * k >= 75 * (x.n + y.n - k)),
+links AS (SELECT u, v FROM half UNION ALL SELECT v, u FROM half),
+reach AS (SELECT id, id AS r FROM words UNION SELECT reach.id, links.v FROM reach JOIN links ON reach.r = links.u),
+least AS (SELECT reach.id, min(doc_id) AS component_id FROM reach JOIN words ON reach.r = words.id GROUP BY reach.id),
+degree AS (SELECT u AS id, count(*) AS n_links FROM links GROUP BY u)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM words JOIN least USING (id) LEFT JOIN sizes USING (id) LEFT JOIN degree USING (id)
+"""
+
+ORACLE_SQL = {"op9_near_duplicates": OP9_SQL, "op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
