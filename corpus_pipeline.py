@@ -5,6 +5,12 @@ doc_id stays; personal data is replaced by its kind; sources are mixed to target
 weights in whole documents (a document may stand twice); the texts are encoded.
 All but the last return the columns of documents. Lineage ends at each stage's
 Parquet folder in the shared folder.
+
+Edge cases: a null or empty text has no words and is rejected by the quality rules, so
+later stages see none; a null lang or source is a group and a source of its own. Rows of
+null or equal doc_id are told apart by a hash of the whole row, and never kept or dropped
+for each other. Columns beyond those of documents pass through all stages but the last,
+whatever their names. An empty table passes through every stage and gives no rows.
 """
 
 from __future__ import annotations
