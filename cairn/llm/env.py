@@ -7,8 +7,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -24,8 +22,15 @@ _shipped: set[str] = set()
 _own_dirs: dict[str, str] = {}
 
 
+#: How many bytes an Arrow batch has, about: buffers on both sides of the Python workers stay small, whatever the length of rows.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable in Python workers that lack it, once per application."""
+    """Makes this package importable in Python workers that lack it, once per application,
+    and bounds the session's Arrow batches, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -53,28 +58,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-@contextmanager
-def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
-    """Arrow batches of about so many bytes while a plan is made and run: buffers on both
-    sides of the Python workers stay small, whatever the length of rows."""
-    old = spark.conf.get(BATCH_BYTES, None)
-    spark.conf.set(BATCH_BYTES, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.unset(BATCH_BYTES) if old is None else spark.conf.set(BATCH_BYTES, old)
-
-
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage ends at
     files that outlive any executor. The folder goes when the shared one is cleared."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cairn-{name}-{uuid.uuid4().hex}"
-    with small_batches(spark):
-        df.write.options(**options).parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
