@@ -260,8 +260,9 @@ def train(docs: DataFrame, vocab: str = VOCAB, docs_per_lang: int = DOCS_PER_LAN
             yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in c], pa.string()), "word": pa.array([k[1] for k in c], pa.string()), "n": pa.array(list(c.values()), pa.int64())})
 
     by: dict[str, Counter] = {}
-    for r in texts.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toLocalIterator():
-        by.setdefault(r.lang, Counter())[r.word] = r.n
+    found = texts.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    for lang, word, n in zip(*(found.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
+        by.setdefault(lang, Counter())[word] = n
     langs = sorted(by)
     pieces = pieces_of(vocab)
     probs = np.stack([fit(by[k], pieces) for k in langs], 1) if langs else np.zeros((pieces.n, 0))
