@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,10 @@ def r6(c: Column | str, name: str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(name)
 
 
+#: Sums of few decimals are shown times this, so that none lies half-way between two roundings.
+_SCALE = 0.7310585786
+
+
 # ---- shared SQL ----
 
 _SHORT = {"adaLinkIn": "c", "aapLinkIn": "v", "aapLinkOut": "e"}
@@ -323,14 +329,14 @@ _WIDE_SQL = f"x AS (SELECT {_W} AS w, {_Y} AS y, [{', '.join(f'CAST({e} AS DOUBL
 
 
 @_register("wide_gram", f"""WITH {_WIDE_SQL}, one AS (SELECT w, x || [y] AS v FROM x)
-SELECT CAST(i - 1 AS INT) AS i, CAST(j - 1 AS INT) AS j, round(sum(w * v[i] * v[j]), 3) AS g FROM one, range(1, {len(_WIDE) + 1}) a(i), range(1, {len(_WIDE) + 2}) b(j) WHERE i <= j GROUP BY i, j""")
+SELECT CAST(i - 1 AS INT) AS i, CAST(j - 1 AS INT) AS j, round(sum(w * v[i] * v[j]) * {_SCALE}, 3) AS g FROM one, range(1, {len(_WIDE) + 1}) a(i), range(1, {len(_WIDE) + 2}) b(j) WHERE i <= j GROUP BY i, j""")
 def wide_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normal equations at the width of real models, beyond what is spelled out in generated code; column k is the moment."""
     x = F.array(*[F.expr(e).cast("double") for e in _WIDE])
     k = len(_WIDE)
     g, m = linear.normal_equations(table(spark, sf_dir, "lineitem"), x, F.expr("1.0D / (1 + l_linenumber)"), F.expr("l_extendedprice / 10000"), k)
     rows = [(i, j, float(g[i, j] if j < k else m[i])) for i in range(k) for j in range(i, k + 1)]
-    return spark.createDataFrame(rows, "i int, j int, g double").withColumn("g", F.round("g", 3))
+    return spark.createDataFrame(rows, "i int, j int, g double").withColumn("g", F.round(F.col("g") * _SCALE, 3))
 
 
 _B = (0.1, 0.15, -0.2, 0.05)
@@ -442,7 +448,7 @@ def _robust_columns() -> str:
     parts = []
     for t in ("ada", "aap"):
         p, up = propensity.column_of(t), f"(CASE WHEN {t}_f = 0 THEN 0.0 ELSE greatest(0.0::DOUBLE, 1 - {t}_cf / {t}_f) END)"
-        parts.append(f"round({p}, 6) AS {p}, round({p}, 6) AS normalized_{p}, round({t}_m1, 6) AS {t}_probability, round({t}_f, 6) AS {t}_factual, round({t}_cf, 6) AS {t}_counterfactual, round({t}_f - {t}_cf, 6) AS {t}_dre, round({up}, 6) AS {t}_lift, round({up} * conversionOps, 4) AS miops_{t.upper()}")
+        parts.append(f"round({p}, 6) AS {p}, round({p}, 6) AS normalized_{p}, round({t}_m1, 6) AS {t}_probability, round({t}_f, 6) AS {t}_factual, round({t}_cf, 6) AS {t}_counterfactual, round({t}_f - {t}_cf, 6) AS {t}_dre, round({up}, 6) AS {t}_lift, round({up} * conversionOps * {_SCALE}, 4) AS miops_{t.upper()}")
     return ", ".join(parts)
 
 
@@ -453,7 +459,7 @@ def robust_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = robust.lift(robust.aipw(out, t, "conversionIndicator"), t)
     out = report.robust_output(out, ["ada", "aap"])
     own = [c for c in out.columns if c[:3] in ("ada", "aap") and c != "adUserId" or c.startswith(("normalized_", "miops_"))]
-    return out.select(*[F.round(c, 4 if c.startswith("miops_") else 6).alias(c) if c in own else c for c in out.columns])
+    return out.select(*[F.round(F.col(c) * _SCALE, 4).alias(c) if c.startswith("miops_") else r6(c, c) if c in own else c for c in out.columns])
 
 
 _EFFECT = "SELECT '{t}' AS treatment, '{n}' AS estimand, round(avg({t}_f - {t}_cf), 6) AS estimate, round(avg({t}_f - {t}_cf) - 1.96 * stddev_samp({t}_f - {t}_cf) / sqrt(count(*)), 6) AS ci_lo, round(avg({t}_f - {t}_cf) + 1.96 * stddev_samp({t}_f - {t}_cf) / sqrt(count(*)), 6) AS ci_hi FROM a{w}"
@@ -483,6 +489,34 @@ def propensity_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", *[r6(f"normalized_{propensity.column_of(t)}", t) for t in ARMS])
 
 
+# ---- written and read back ----
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir; a local session without one gets a temporary folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return sinks.generate_path(found, f"written-{uuid.uuid4().hex}") if found else tempfile.mkdtemp()
+
+
+@_register("written_regression_scored", _sql["regression_output"])
+def written_regression_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sinks.generate_path(_scratch(spark), "out")
+    sinks.write_regression_scored(regression_output(spark, sf_dir), path)
+    return readers.read_dataset(spark, path)
+
+
+@_register("written_scored", _sql["robust_output"])
+def written_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_dataset(spark, sinks.write_scored(robust_output(spark, sf_dir), _scratch(spark)))
+
+
+@_register("written_test_set", "SELECT o_orderkey, o_orderstatus FROM orders WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 10")
+def written_test_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = sampling.hash_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), F.col("o_orderkey"))[1]
+    return readers.read_dataset(spark, sinks.write_test_set(test, _scratch(spark)))
+
+
 # ---- metrics ----
 
 _GUESS = "CASE WHEN l_quantity > 30 THEN 'R' WHEN l_discount > 0.05 THEN 'A' ELSE 'N' END"
