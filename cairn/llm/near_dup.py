@@ -2,7 +2,8 @@
 
 Rows of the incidence matrix are classes of documents with equal shingle sets, columns
 64-bit shingle hashes. Two classes link when 100 |A n B| >= 75 |A u B|. Nothing below
-is sampled; each step drops only what a size-derived bound rules out:
+is sampled; each step drops only what a size-derived bound rules out. So results are exact up to
+collisions of those hashes (of 40 bits and a column block in step 2, where one may keep a class too many, but drops none):
 
 1. Classes: every text is hashed once to (set size, set hash); copies meet there.
 2. Shared counts: a linked set of n has at most floor(n/4) shingles that no other class

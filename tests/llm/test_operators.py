@@ -108,6 +108,21 @@ def test_mix_takes_every_slot_once(docs):
             assert abs(half.get(s, 0) - n / 2) <= 0.1 * len(block) + 3
 
 
+def test_schedule_is_of_low_discrepancy(spark):
+    """Up to any slot every source has its share of the grid, but for two slots a level of its dyadic parts."""
+    per = spark.createDataFrame([("a", 9000, 5000.5), ("b", 9000, 3100.0), (None, 9000, 640.0), ("c", 9000, 0.0)], "source string, source_size long, target double")
+    got = mixing.schedule(per, block_words=8).toPandas()
+    total = sum(-(-int(t) // 8) for t in (5000.5, 3100, 640))
+    m = total.bit_length()
+    assert len(got) == total == got.slot.nunique() and got.slot.max() < 2**m
+    for _, g in got.groupby("source", dropna=False):
+        slots = np.sort(g.slot.to_numpy())
+        seen = np.searchsorted(slots, np.arange(2**m + 1))
+        assert np.abs(seen - len(slots) * np.arange(2**m + 1) / 2**m).max() <= 2 * m
+        assert g.sort_values("slot").block.tolist() == list(range(len(g)))
+        assert g.words.sum() == int({"a": 5000, "b": 3100}.get(g.source.iloc[0], 640))
+
+
 def test_mix_edges(spark, docs, none):
     assert mixing.taken(none).count() == 0
     assert mixing.taken(docs.filter("doc_id in (1, 2, 3)")).agg(F.sum("taken")).first()[0] == 0
