@@ -41,11 +41,11 @@ from .env import give_back, one_thread, ship, staged
 ALPHA = 0.1
 VOCAB, CLASSES, HIDDEN = 2000, 48, 16
 ROUNDS, LANES, WINDOW, RATE, SEED = 4, 512, 16, 0.01, 7
-STEPS = 100  # of a block's share, at least, if it has the tokens: fewer tokens go in fewer lanes
+STEPS = 50  # of a share of a block, at least, if it has the tokens: fewer tokens go in fewer lanes
 WARM = 20  # steps over which the rate rises in each round
 SEGMENTS, FAN = 16, 64  # of the weights, and partitions averaged at once
 SCORE_LANES, SCORE_WINDOW = 1024, 32
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 12_000_000
 COLUMN_WORDS = 300_000
 
 
