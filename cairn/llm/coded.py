@@ -90,3 +90,13 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words between ASCII white space (empty ones may stand at the edges), and each text's offsets among them."""
     lists = pc.ascii_split_whitespace(texts)
     return lists.flatten(), np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))].astype(np.int64)
+
+
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts (no nulls) end to end, and where each begins and the last ends."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
+    at = np.frombuffer(texts.buffers()[1], kind)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data[at[0]:at[-1]], at - at[0]

@@ -84,6 +84,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fim import restore, transform
+
+    out, form = F.col("fim.output"), F.col("fim.form")
+    made = transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(out, 256).alias("output_sha256"), F.sha2(restore(out, form), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
@@ -155,4 +163,14 @@ degree AS (SELECT u AS id, count(*) AS n_links FROM links GROUP BY u)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links FROM words JOIN least USING (id) LEFT JOIN sizes USING (id) LEFT JOIN degree USING (id)
 """
 
-ORACLE_SQL = {"op9_near_duplicates": OP9_SQL, "op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS l, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+u AS (SELECT *, len(l) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(l) + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(l) + 1) AS b, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM d),
+p AS (SELECT *, array_to_string(list_slice(l, 1, least(a, b)), '') AS prefix, array_to_string(list_slice(l, least(a, b) + 1, greatest(a, b)), '') AS middle, array_to_string(list_slice(l, greatest(a, b) + 1, n), '') AS suffix,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLE_SQL = {"op11_fill_in_middle": OP11_SQL, "op9_near_duplicates": OP9_SQL, "op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
