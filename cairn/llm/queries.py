@@ -92,6 +92,19 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2(out, 256).alias("output_sha256"), F.sha2(restore(out, form), 256).alias("restored_sha256"))
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contamination
+
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .align import link_summary
+
+    return link_summary(_table(spark, sf_dir, "documents")).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
@@ -173,4 +186,18 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
 FROM p
 """
 
-ORACLE_SQL = {"op11_fill_in_middle": OP11_SQL, "op9_near_duplicates": OP9_SQL, "op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s FROM (SELECT *, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+places AS (SELECT id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS s FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM windows))),
+found AS (SELECT id, places.k, i, item FROM places JOIN windows ON places.s = windows.s AND places.k = windows.k),
+hits AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT id, k, i FROM found)) GROUP BY id),
+items AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM found GROUP BY id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (id) LEFT JOIN items USING (id)
+"""
+
+ORACLE_SQL = {"op12_decontaminate": OP12_SQL, "op11_fill_in_middle": OP11_SQL, "op9_near_duplicates": OP9_SQL, "op1_mix_sources": OP1_SQL, "op4_url_reputation": OP4_SQL}
