@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import Bucketizer, ElementwiseProduct, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -146,6 +146,31 @@ def feature_pipeline(catalog: SchemaCatalog, conf: LiftConfig = LiftConfig(), mo
     return Pipeline(stages=stages)
 
 
+def fit_pipeline(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """The pipeline fitted in one pass over df: its estimators (indexers and encoders, alphabetical) need
+    no more than which values stand together in their input columns, so they are fitted on
+    those distinct rows alone, which are as few as the categories are."""
+    stages, made, needed, own = pipeline.getStages(), df, [], set()
+    for s in stages:
+        if isinstance(s, Estimator):
+            ins = s.getInputCols() if s.isDefined("inputCols") else [s.getInputCol()]
+            own |= set(s.getOutputCols() if s.isDefined("outputCols") else [s.getOutputCol()])
+            needed += [c for c in ins if c not in own and c not in needed]
+        elif not isinstance(s, VectorAssembler):
+            made = s.transform(made)
+    categories = made.select(*needed).distinct().persist()
+    try:
+        rows, fitted = categories, []
+        for s in stages:
+            if isinstance(s, Estimator):
+                s = s.fit(rows)
+                rows = s.transform(rows)
+            fitted.append(s)
+        return PipelineModel(stages=fitted)
+    finally:
+        categories.unpersist()
+
+
 def attribute_names(df: DataFrame, features: str = "features") -> list[str]:
     """Names of the vector's slots in order, whatever groups the metadata has."""
     attrs = df.schema[features].metadata["ml_attr"].get("attrs", {})
@@ -188,7 +213,7 @@ class FeatureEngineering:
 
     def __init__(self, conversions: DataFrame, catalog: SchemaCatalog, conf: LiftConfig = LiftConfig(), model_type: str = "regression", propensity_model: str = "LogisticRegression", bucketize: bool = False) -> None:
         self.processed, self.catalog, self.conf = conversions, catalog, conf
-        self.pipeline: PipelineModel = feature_pipeline(catalog, conf, model_type, propensity_model, bucketize).fit(conversions)
+        self.pipeline: PipelineModel = fit_pipeline(feature_pipeline(catalog, conf, model_type, propensity_model, bucketize), conversions)
         self.featurized = self.pipeline.transform(conversions)
 
     @property

@@ -1,8 +1,10 @@
 """Weighted linear model, full and restricted, with a sandwich covariance and per-row lift.
 
-The normal equations come from one aggregate over the rows: up to WIDE features as sums
-of products in generated code, beyond that as partial Gram matrices of Arrow batches,
-summed by position. The driver only solves k x k systems.
+The model is fitted by a QR decomposition of the rows in a tree of small factors, which
+keeps the digits that normal equations lose by squaring the design. Those come from one
+aggregate over the rows: up to WIDE features as sums of products in generated code, beyond
+that as partial Gram matrices of Arrow batches, summed by position; they give the sandwich's
+middle and are the other solver. The driver only solves k x k systems.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.config import LIFT_FIELDS
+from cairn.config import LIFT_FIELDS, check_choice
 from cairn.functions.columns import dot
 
 WIDE = 8  # features up to which sums of products are spelled out; more would take longer to compile than to sum
@@ -73,6 +75,72 @@ def meat(df: DataFrame, x: Column, w: Column, y: Column, b: np.ndarray) -> np.nd
     return normal_equations(df, x, w * w * e * e, F.lit(0.0), len(b))[0]
 
 
+GROUPS = 256  # of partitions, whose R factors the driver combines
+QR_ROWS = 4096  # factored together
+
+
+def qr_factor(df: DataFrame, x: Column, w: Column, y: Column, k: int) -> np.ndarray:
+    """R of the QR decomposition of the rows sqrt(w) (x, y), (k + 1) by (k + 1), by a tree: each
+    partition keeps the R of its rows so far, those are combined in GROUPS groups, and the rest by
+    the driver. So the design is never squared. Rows count as in normal_equations; those of
+    negative weight raise."""
+    rows = df.select(x.cast("array<double>").alias("x"), w.cast("double").alias("w"), y.cast("double").alias("y"))
+    rows = rows.filter("x is not null and w is not null and y is not null").filter((F.size("x") == k) & F.forall("x", lambda v: v.isNotNull()))
+    rows = rows.select(F.concat("x", F.array("y")).alias("v"), F.when(F.col("w") < 0, F.raise_error(F.lit("negative weight"))).otherwise(F.sqrt("w")).alias("w"))
+    size = k + 1
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r, waiting, held = np.zeros((0, size)), [], 0
+        for b in batches:
+            v = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            waiting.append(v * b.column(1).to_numpy(zero_copy_only=False)[:, None])
+            held += len(v)
+            if held >= QR_ROWS:
+                r, waiting, held = np.linalg.qr(np.concatenate([r, *waiting]), "r"), [], 0
+        r = np.linalg.qr(np.concatenate([r, *waiting, np.zeros((size, size))]), "r")
+        yield pa.RecordBatch.from_pydict({"v": pa.array(r.tolist(), pa.list_(pa.float64())), "w": np.ones(len(r))})
+
+    def combine(table: pa.Table) -> pa.Table:
+        r = np.zeros((size, size))
+        for b in table.to_batches():
+            r = np.linalg.qr(np.concatenate([r, b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)]), "r")
+        return pa.table({"v": pa.array(r.tolist(), pa.list_(pa.float64()))})
+
+    parts = rows.mapInArrow(factor, "v array<double>, w double").withColumn("part", F.spark_partition_id() % GROUPS)
+    found = parts.groupBy("part").applyInArrow(combine, "v array<double>").collect()
+    return np.linalg.qr(np.array([r.v for r in found] + [[0.0] * size] * size), "r")
+
+
+def solve_qr(r: np.ndarray, restricted: int) -> dict[str, np.ndarray]:
+    """As solve, from the R of the rows, and A = (X'WX)^-1. The restricted fit is that of the leading
+    columns, whose R is the leading block. Columns that others determine (to RANK_TOL) get the minimum-norm fit."""
+    k = len(r) - 1
+    rx, ry = r[:k, :k], r[:k, k]
+    scale = np.sqrt((rx**2).sum(0))
+    scale[scale == 0] = 1.0
+
+    def fitted(n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Coefficients of the first n columns, and the inverse (or pseudo-inverse) of their R."""
+        if not n:
+            return np.zeros(0), np.zeros((0, 0))
+        u, s, vt = np.linalg.svd(rx[:n, :n] / scale[:n])
+        if s[-1] > RANK_TOL * s[0]:  # the columns' scales aside, which least squares does not see
+            inv = (vt.T / s) @ u.T / scale[:n, None]
+        else:
+            inv = np.linalg.pinv(rx[:n, :n], rcond=RANK_TOL)
+        return inv @ ry[:n], inv
+
+    b, inv = fitted(k)
+    a = inv @ inv.T
+    e = np.eye(k)[k - restricted:]
+    v = np.eye(k) - a @ e.T @ inverse(e @ a @ e.T) @ e if restricted else np.eye(k)
+    b0 = np.concatenate([fitted(k - restricted)[0], np.zeros(restricted)])
+    return {"b": b, "b0": b0, "V": v, "A": a}
+
+
+RANK_TOL = 1e-12  # least singular value over the greatest, of columns of length 1
+
+
 def inverse(m: np.ndarray) -> np.ndarray:
     """The inverse, or for collinear features the pseudo-inverse."""
     return np.linalg.inv(m) if np.linalg.matrix_rank(m) == len(m) else np.linalg.pinv(m)
@@ -150,21 +218,27 @@ class LiftRegression(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWr
     """Weighted least squares, full and with the last `restricted` coefficients held at 0."""
 
     restricted = Param(Params._dummy(), "restricted", "coefficients held at 0, from the last", TypeConverters.toInt)
+    solver = Param(Params._dummy(), "solver", "qr, or normal for the normal equations", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, featuresCol: str = "features", labelCol: str = "conversionIndicator", weightCol: str = "purchase_weight", restricted: int = 2) -> None:
+    def __init__(self, *, featuresCol: str = "features", labelCol: str = "conversionIndicator", weightCol: str = "purchase_weight", restricted: int = 2, solver: str = "qr") -> None:
         super().__init__()
-        self._set(**self._input_kwargs | {k: v for k, v in {"featuresCol": featuresCol, "labelCol": labelCol, "weightCol": weightCol, "restricted": restricted}.items()})
+        self._set(**self._input_kwargs | {k: v for k, v in {"featuresCol": featuresCol, "labelCol": labelCol, "weightCol": weightCol, "restricted": restricted, "solver": check_choice(solver, ("qr", "normal"), "solver")}.items()})
 
     def _fit(self, dataset: DataFrame) -> LiftRegressionModel:
         from .features import attribute_names
 
         names = attribute_names(dataset, self.getFeaturesCol())
         lean = dataset.select(vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getWeightCol()).cast("double").alias("w"), F.col(self.getLabelCol()).cast("double").alias("y")).persist()
-        try:  # two passes: normal equations, then residuals
-            x, w, y = F.col("x"), F.col("w"), F.col("y")
-            gram, moment = normal_equations(lean, x, w, y, len(names))
-            found = solve(gram, moment, meat(lean, x, w, y, coefficients(gram, moment)), self.getOrDefault(self.restricted))
+        try:  # two passes: the factor or the normal equations, then residuals
+            x, w, y, restricted = F.col("x"), F.col("w"), F.col("y"), self.getOrDefault(self.restricted)
+            if self.getOrDefault(self.solver) == "qr":
+                found = solve_qr(qr_factor(lean, x, w, y, len(names)), restricted)
+                a = found.pop("A")
+                found["cov"] = a @ meat(lean, x, w, y, found["b"]) @ a
+            else:
+                gram, moment = normal_equations(lean, x, w, y, len(names))
+                found = solve(gram, moment, meat(lean, x, w, y, coefficients(gram, moment)), restricted)
         finally:
             lean.unpersist()
         state = json.dumps({k: v.tolist() for k, v in found.items()} | {"names": names})

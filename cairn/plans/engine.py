@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from cairn.config import CONTROL, MODEL_TYPES, PROPENSITY_MODELS, LiftConfig, check_choice
-from cairn.operators.features import attribute_names, feature_pipeline, indexer_labels, marketing_mask, no_marketing_mask, treatments_of
+from cairn.operators.features import attribute_names, feature_pipeline, fit_pipeline, indexer_labels, marketing_mask, no_marketing_mask, treatments_of
 from cairn.operators.linear import LiftRegression, LiftRegressionModel
 from cairn.operators.metrics import prediction_summary
 from cairn.operators.report import regression_output, robust_output
@@ -73,7 +73,7 @@ def train(conversions: DataFrame, catalog: SchemaCatalog, conf: LiftConfig = Lif
     """Fits features and model on prepared conversions. options go to the doubly robust estimator."""
     check_choice(model_type, MODEL_TYPES, "model_type")
     check_choice(propensity_model, PROPENSITY_MODELS, "propensity_model")
-    pipeline = feature_pipeline(catalog, conf, model_type, propensity_model, bucketize).fit(conversions)
+    pipeline = fit_pipeline(feature_pipeline(catalog, conf, model_type, propensity_model, bucketize), conversions)
     rows = pipeline.transform(conversions)
     labels = indexer_labels(pipeline)
     if model_type == "dre":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cairn.config import CONTROL, LIFT_FIELDS
 from cairn.functions.columns import floor_at, set_constants, set_zeros, within_sql
 from cairn.operators import linear, metrics, propensity, report, robust, sampling
-from cairn.operators.features import DAY_FEATURE, FeatureEngineering, IndicatorTransformer, attribute_names, bucketize_exposure, feature_pipeline, indexer_labels, label_treatments, marketing_mask, no_marketing_mask
+from cairn.operators.features import DAY_FEATURE, FeatureEngineering, IndicatorTransformer, attribute_names, bucketize_exposure, feature_pipeline, fit_pipeline, indexer_labels, label_treatments, marketing_mask, no_marketing_mask
 from cairn.plans.engine import score, summarize, train
 from cairn.sources import readers, sinks
 from cairn.sources.fixtures import CATALOG, LAGS, SIGNALS, calendar, conversions, line_model, table
@@ -33,11 +33,18 @@ def _register(name: str, sql: str | None = None):
     return add
 
 
+def _all_registered() -> None:
+    """Modules that register queries of their own."""
+    from cairn.plans import analysis, events  # noqa: F401
+
+
 def queries() -> dict[str, Query]:
+    _all_registered()
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all_registered()
     return dict(_sql)
 
 
@@ -147,7 +154,7 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
     rows = readers.prepare_conversions(conversions(spark, sf_dir), calendar(spark))
-    out = feature_pipeline(CATALOG, model_type="dre").fit(rows).transform(rows)
+    out = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows).transform(rows)
     x = vector_to_array("features")
     return out.select("event_id", "treatment_type_indexed", F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v).alias("weighted_sum"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("plain_sum"))
 
@@ -184,10 +191,14 @@ def weekday_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- filters, splits, samples ----
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_scores(labelled(spark, sf_dir))
+
+
+def with_scores(rows: DataFrame) -> DataFrame:
     """Labelled rows with stated propensities and outcome probabilities, for operators that need no fitted model."""
     base = F.col("customerPropensityBucket") / 10.0
     p = {"aap": 0.02 + base * 0.6, "ada": 0.03 + base * 0.5}
-    return labelled(spark, sf_dir).withColumns({
+    return rows.withColumns({
         propensity.column_of("aap"): p["aap"], propensity.column_of("ada"): p["ada"], propensity.column_of(CONTROL): 1 - p["aap"] - p["ada"],
         "probability_counterfactual": 0.4 + base / 10, "aap_probability": 0.45 + base / 10, "ada_probability": 0.5 + base / 10})
 
@@ -491,7 +502,7 @@ def propensity_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- written and read back ----
 
-def _scratch(spark: SparkSession) -> str:
+def scratch(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir; a local session without one gets a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None and not spark.sparkContext.master.startswith("local["):
@@ -501,20 +512,20 @@ def _scratch(spark: SparkSession) -> str:
 
 @_register("written_regression_scored", _sql["regression_output"])
 def written_regression_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = sinks.generate_path(_scratch(spark), "out")
+    path = sinks.generate_path(scratch(spark), "out")
     sinks.write_regression_scored(regression_output(spark, sf_dir), path)
     return readers.read_dataset(spark, path)
 
 
 @_register("written_scored", _sql["robust_output"])
 def written_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_dataset(spark, sinks.write_scored(robust_output(spark, sf_dir), _scratch(spark)))
+    return readers.read_dataset(spark, sinks.write_scored(robust_output(spark, sf_dir), scratch(spark)))
 
 
 @_register("written_test_set", "SELECT o_orderkey, o_orderstatus FROM orders WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 10")
 def written_test_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = sampling.hash_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), F.col("o_orderkey"))[1]
-    return readers.read_dataset(spark, sinks.write_test_set(test, _scratch(spark)))
+    return readers.read_dataset(spark, sinks.write_test_set(test, scratch(spark)))
 
 
 # ---- metrics ----
@@ -566,7 +577,7 @@ def regression_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("propensity_model")
 def propensity_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _prepared(spark, sf_dir)
-    pipeline = feature_pipeline(CATALOG, model_type="dre").fit(rows)
+    pipeline = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows)
     featured, labels = pipeline.transform(rows), indexer_labels(pipeline)
     found = propensity.fit_propensity(featured, labels, "LogisticRegression")
     return found.transform(featured).select("event_id", *[propensity.column_of(x) for x in labels])
@@ -590,7 +601,7 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cairn.operators.tuning import cross_validate
 
     rows = _prepared(spark, sf_dir)
-    featured = feature_pipeline(CATALOG, model_type="dre").fit(rows).transform(rows).withColumn("conversionIndicator", F.col("conversionIndicator").cast("double")).select("features", "conversionIndicator")
+    featured = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows).transform(rows).withColumn("conversionIndicator", F.col("conversionIndicator").cast("double")).select("features", "conversionIndicator")
     found = cross_validate(featured, robust.outcome_classifier(), "conversionIndicator", {"numTrees": [5, 10], "maxDepth": [3]}, folds=3)
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(found.avgMetrics)], "candidate int, f1 double")
 
@@ -598,7 +609,7 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _prepared(spark, sf_dir)
-    pipeline = feature_pipeline(CATALOG, model_type="dre").fit(rows)
+    pipeline = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows)
     featured = pipeline.transform(rows)
     model = robust.fit_outcome(featured, indexer_labels(pipeline), "ada")
     return sinks.feature_importance(spark, model, attribute_names(featured))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .readers import SchemaCatalog
 
 LAGS = 7
+#: event types that are conversions
+CONVERSIONS = ("purchase", "signup")
 #: event type behind each lag prefix
 SIGNALS = {"adaLinkIn": "click", "aapLinkIn": "view", "aapLinkOut": "error"}
 
@@ -27,8 +29,13 @@ def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = events.groupBy("user_id", "day").agg(*[F.count_if(F.col("event_type") == e).alias(p) for p, e in SIGNALS.items()])
     reach = daily.filter(" or ".join(f"{p} > 0" for p in SIGNALS)).withColumn("lag", F.explode(F.sequence(F.lit(0), F.lit(LAGS - 1))))
     lags = reach.groupBy(F.col("user_id").alias("u"), F.date_add("day", F.col("lag")).alias("d")).agg(*[F.sum(F.when(F.col("lag") == i, F.col(p)).otherwise(0)).alias(f"{p}D{i}") for p in SIGNALS for i in range(LAGS)])
-    base = events.filter(F.col("event_type").isin("purchase", "signup")).join(lags, (F.col("user_id") == F.col("u")) & (F.col("day") == F.col("d")), "left")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    base = events.filter(F.col("event_type").isin(*CONVERSIONS)).join(lags, (F.col("user_id") == F.col("u")) & (F.col("day") == F.col("d")), "left")
+    return shaped(base, table(spark, sf_dir, "customer"))
+
+
+def shaped(base: DataFrame, customers: DataFrame) -> DataFrame:
+    """Conversion events with lag columns in the engine's input columns."""
+    customer = customers.select("c_custkey", "c_mktsegment")
     wide = base.join(customer, F.col("user_id") == F.col("c_custkey"), "left")
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c)
     return wide.select(

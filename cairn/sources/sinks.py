@@ -33,6 +33,15 @@ def write_scored(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return target
 
 
+def write_partitioned(df: DataFrame, path: str, by: list[str], rows_per_file: int = 5_000_000) -> str:
+    """Replaces the partitions that df has rows of and leaves all others as they are, so a day is
+    written again by writing that day. Rows are dealt by partition, large partitions to
+    several tasks and small ones together, by their real sizes."""
+    dealt = df.hint("rebalance", *by)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy(*by).parquet(path)
+    return path
+
+
 def write_regression_scored(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
