@@ -76,8 +76,3 @@ def dot(x: Column, coefficients: list[float]) -> Column:
 def hash_share(key: Column, buckets: int = 100) -> Column:
     """0..buckets-1 from the md5 of a key: the same rows on any partitioning or engine."""
     return F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % buckets
-
-
-def broadcast_if_small(df: DataFrame, rows: int = 10_000) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows; else the join is left to Spark."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

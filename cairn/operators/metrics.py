@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.config import LIFT_FIELDS
 
-from .sampling import EXACT_ROWS, SKETCH
-
-log = logging.getLogger("cairn")
+from . import sampling
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -50,23 +46,33 @@ def multiclass_metrics(df: DataFrame, label: str, labels: list[str], prediction:
     return by, weighted_metrics(matrix).first().asDict()
 
 
-def prediction_summary(df: DataFrame, fields: tuple[str, ...] = LIFT_FIELDS, exact: bool | None = None) -> DataFrame:
+_PLACES = (0.5, 0.25, 0.1, 0.75, 0.9)
+
+
+def prediction_summary(df: DataFrame, fields: tuple[str, ...] = LIFT_FIELDS) -> DataFrame:
     """One row a prediction column, by name: min, max, mean, sd, skewness (third central
-    moment over sd^3), skewness_ref (over sd^6), percentiles, shares <= 0 and >= 1. Percentiles
-    are exact up to EXACT_ROWS rows, beyond that those of sketches (rank error 1 / SKETCH), unless exact says."""
-    if exact is None:
-        exact = df.count() <= EXACT_ROWS
-        log.info("prediction_summary: %s percentiles", "exact" if exact else "sketched")
-    long = df.select(*fields).unpivot([], list(fields), "variable", "value")
-    p = (lambda x: F.percentile("value", x)) if exact else (lambda x: F.percentile_approx("value", x, SKETCH))
-    third = F.avg(F.pow("value", F.lit(3))) - 3 * F.avg("value") * F.avg(F.pow("value", F.lit(2))) + 2 * F.pow(F.avg("value"), F.lit(3))
-    sd = F.stddev_samp("value")
-    share = lambda c: F.avg(c.cast("double"))
-    v = F.col("value")
-    return long.groupBy("variable").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"), sd.alias("sd"),
-        F.try_divide(third, F.pow(sd, F.lit(3))).alias("skewness"), F.try_divide(third, F.pow(sd, F.lit(6))).alias("skewness_ref"),
-        *[p(x).alias(f"p{int(100 * x)}") for x in (0.5, 0.25, 0.1, 0.75, 0.9)], share(v <= 0).alias("negative_frac"), share(v >= 1).alias("oneplus_frac"))
+    moment over sd^3), skewness_ref (over sd^6), percentiles, shares <= 0 and >= 1, all exact at any
+    size and of the values that are not null; a column without values has no row. One pass gives the counts
+    and moments of all columns; where no column has more than EXACT_ROWS values a second
+    gives all percentiles, else each column's places are narrowed down by order_statistics."""
+
+    def moments(c: str) -> Column:
+        v = F.col(f"`{c}`").cast("double")
+        third = F.avg(F.pow(v, F.lit(3))) - 3 * F.avg(v) * F.avg(F.pow(v, F.lit(2))) + 2 * F.pow(F.avg(v), F.lit(3))
+        sd, share = F.stddev_samp(v), lambda x: F.avg(x.cast("double"))
+        return F.struct(F.lit(c).alias("variable"), F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), sd.alias("sd"), F.try_divide(third, F.pow(sd, F.lit(3))).alias("skewness"),
+                        F.try_divide(third, F.pow(sd, F.lit(6))).alias("skewness_ref"), share(v <= 0).alias("negative_frac"), share(v >= 1).alias("oneplus_frac")).alias(c)
+
+    found = {r.variable: r for r in df.agg(*[moments(c) for c in fields]).first() if r.n}
+    if all(r.n <= sampling.EXACT_ROWS for r in found.values()):
+        row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), list(_PLACES)).alias(c) for c in found]).first() if found else {}
+        places = {c: row[c] for c in found}
+    else:
+        places = {c: sampling.interpolated(df.select(F.col(f"`{c}`").cast("double").alias("v")).filter("v is not null"), list(_PLACES), r.n) for c, r in found.items()}
+    names = ["min", "max", "mean", "sd", "skewness", "skewness_ref"]
+    rows = [(c, *[r[k] for k in names], *places[c], r.negative_frac, r.oneplus_frac) for c, r in found.items()]
+    columns = [*names, *[f"p{int(100 * x)}" for x in _PLACES], "negative_frac", "oneplus_frac"]
+    return df.sparkSession.createDataFrame(rows, "variable string, " + ", ".join(f"{c} double" for c in columns))
 
 
 def transposed(summary: DataFrame) -> DataFrame:

@@ -25,6 +25,10 @@ from .sampling import cap_sample, numbered, random_split
 ROW = "_row_id"  # of a training row, by which it is drawn in the bootstrap
 
 
+#: Cumulative Poisson(1) probabilities against 16-bit uniforms.
+POISSON_STEPS = np.floor(np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 9)])) * 65536).astype(np.uint16)
+
+
 def arm_rows(df: DataFrame, index: int) -> DataFrame:
     return df.filter(F.col("treatment_type_indexed") == float(index))
 
@@ -82,8 +86,7 @@ def bootstrap(df: DataFrame, values: dict[str, tuple[str, str]], key: Column, re
     names = list(values)
     cols = [F.col(c).cast("double").alias(f"{k}{i}") for i, t in enumerate(names) for k, c in zip("vt", values[t], strict=True)]
     rows = df.select(F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 15), 16, 10).cast("long").alias("k"), *cols).filter("k is not null")
-    # cumulative Poisson(1) probabilities against 16-bit uniforms
-    steps = np.floor(np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 9)])) * 65536).astype(np.uint16)
+    steps = POISSON_STEPS
     kinds = ("sv", "n", "stv", "nt")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,21 +8,24 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cairn.functions.columns import broadcast_if_small, hash_share
+from cairn.functions.columns import hash_share
 
 
 @contextmanager
 def numbered(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """df with a row id that is the same in every pass: the numbered rows are checkpointed in
     the folder of spark.checkpoint.dir, which executors may be lost over, and go with Spark's
-    cleaner; where that is unset (a local session), they are cached."""
+    cleaner. Where that is unset, a local session caches them; a cluster, whose caches go with their executors, raises."""
     spark = df.sparkSession
     folder, rows = spark.conf.get("spark.checkpoint.dir", None), df.withColumn(name, F.monotonically_increasing_id())
     if folder:
         spark.sparkContext.setCheckpointDir(folder)
         yield rows.checkpoint()
         return
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     rows = rows.persist(StorageLevel.DISK_ONLY)
     rows.count()
     try:
@@ -102,23 +105,23 @@ def cap_classes_exactly(df: DataFrame, label: str, key: Column, ratio: float = 5
 
 
 def class_weights(df: DataFrame, label: str, scheme: str = "sqrt", out: str = "class_weight") -> DataFrame:
-    """g(N / (K n_c)), scaled so that the K weights sum to K; g is sqrt or identity."""
-    per = class_counts(df, label)
-    every = Window.partitionBy(F.lit(0))  # one row a class
-    raw = F.sum("n").over(every) / (F.count("*").over(every) * F.col("n"))
-    raw = F.sqrt(raw) if scheme == "sqrt" else raw
-    per = per.withColumn("_g", raw).withColumn(out, F.col("_g") * F.count("*").over(every) / F.sum("_g").over(every)).select(F.col(label).alias("_label"), out)
-    return df.join(broadcast_if_small(per), df[label] == per["_label"]).drop("_label")
+    """g(N / (K n_c)), scaled so that the K weights sum to K; g is sqrt or identity. Rows without a
+    class are left out. The counts, one row a class, are fetched; their table has a known size, so Spark broadcasts it if it may."""
+    counts = [(r[label], r.n) for r in class_counts(df.filter(F.col(label).isNotNull()), label).collect()]
+    raw = [(sum(n for _, n in counts) / (len(counts) * n)) ** (0.5 if scheme == "sqrt" else 1) for _, n in counts]
+    kinds = StructType([StructField("_label", df.schema[label].dataType), StructField(out, DoubleType())])
+    per = df.sparkSession.createDataFrame([(c, g * len(counts) / sum(raw)) for (c, _), g in zip(counts, raw, strict=True)], kinds)
+    return df.join(per, df[label] == per["_label"]).drop("_label")
 
 
 EXACT_ROWS = 1_000_000  # values that one percentile aggregate may hold
 SKETCH = 10_000  # accuracy of the sketches
 
 
-def order_statistics(values: DataFrame, ranks: list[int], limit: int = EXACT_ROWS) -> dict[int, float]:
-    """Exact values at sorted places (from 0) of values (v double, no nulls), which no task has
-    to hold: sketches bracket each place, and only what is inside a bracket is looked at again."""
-    n = values.count()
+def order_statistics(values: DataFrame, ranks: list[int], limit: int = EXACT_ROWS, n: int | None = None) -> dict[int, float]:
+    """Exact values at sorted places (from 0) of values (v double, no nulls; n of them, if known),
+    which no task has to hold: sketches bracket each place, and only what is inside a bracket is looked at again."""
+    n = values.count() if n is None else n
     if n <= limit:
         row = values.agg(F.percentile("v", [r / max(n - 1, 1) for r in ranks]).alias("q")).first()
         return dict(zip(ranks, row.q, strict=True))
@@ -146,11 +149,15 @@ def quantiles(df: DataFrame, col: str, probs: list[float], exact: bool = True, a
     if not exact:
         return df.agg(F.percentile_approx(col, probs, accuracy).alias("q")).first().q
     values = df.select(F.col(f"`{col}`").cast("double").alias("v")).filter("v is not null")
-    n = values.count()
+    return interpolated(values, probs, values.count())
+
+
+def interpolated(values: DataFrame, probs: list[float], n: int) -> list[float] | None:
+    """Interpolated percentiles of n values (v double, no nulls), exact at any size; None without values."""
     if n <= EXACT_ROWS:
         return values.agg(F.percentile("v", probs).alias("q")).first().q
     places = [p * (n - 1) for p in probs]
-    found = order_statistics(values, sorted({r for x in places for r in (int(x), min(int(x) + 1, n - 1))}))
+    found = order_statistics(values, sorted({r for x in places for r in (int(x), min(int(x) + 1, n - 1))}), n=n)
     return [found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, n - 1)] - found[int(x)]) for x in places]
 
 

@@ -33,20 +33,20 @@ _MARK = "mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)"
 
 def _shown(df: DataFrame) -> DataFrame:
     rest = [F.round(F.col(c).cast("double"), 4).alias(c) if c == "total" else F.col(c) for c in df.columns if not c.startswith("window_")]
-    return df.select(F.unix_millis("window_start").alias("start_ms"), F.unix_millis("window_end").alias("end_ms"), *rest)
+    return df.select(F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), *rest)
 
 
 # ---- streams ----
 
 @_register("stream_tumbling", f"""WITH {_MARK}, w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS s, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL)
-SELECT epoch_ms(s) AS start_ms, epoch_ms(s + INTERVAL 6 HOUR) AS end_ms, event_type, n, total FROM w, mark WHERE s + INTERVAL 6 HOUR <= mark""")
+SELECT epoch_us(s) AS start_us, epoch_us(s + INTERVAL 6 HOUR) AS end_us, event_type, n, total FROM w, mark WHERE s + INTERVAL 6 HOUR <= mark""")
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_finished(spark, windows.windowed(_events(spark, sf_dir), "6 hours", ["event_type"], _totals())))
 
 
 @_register("stream_sliding", f"""WITH {_MARK}, e AS (SELECT *, time_bucket(INTERVAL 2 HOUR, ts) - unnest(range(3)) * INTERVAL 2 HOUR AS s FROM events),
 w AS (SELECT s, event_type, count(*) AS n, round(sum(value), 4) AS total FROM e GROUP BY ALL)
-SELECT epoch_ms(s) AS start_ms, epoch_ms(s + INTERVAL 6 HOUR) AS end_ms, event_type, n, total FROM w, mark WHERE s + INTERVAL 6 HOUR <= mark""")
+SELECT epoch_us(s) AS start_us, epoch_us(s + INTERVAL 6 HOUR) AS end_us, event_type, n, total FROM w, mark WHERE s + INTERVAL 6 HOUR <= mark""")
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_finished(spark, windows.windowed(_events(spark, sf_dir), "6 hours", ["event_type"], _totals(), slide="2 hours")))
 
@@ -56,7 +56,7 @@ g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM f)""
 
 
 @_register("stream_sessions", f"""WITH {_MARK}, {_SESSIONS.format(gap='4 HOUR')}, s AS (SELECT user_id, min(ts) AS a, max(ts) + INTERVAL 4 HOUR AS b, count(*) AS n, round(sum(value), 4) AS total FROM g GROUP BY user_id, no)
-SELECT epoch_ms(a) AS start_ms, epoch_ms(b) AS end_ms, user_id, n, total FROM s, mark WHERE b <= mark""")
+SELECT epoch_us(a) AS start_us, epoch_us(b) AS end_us, user_id, n, total FROM s, mark WHERE b <= mark""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_finished(spark, windows.sessions(_events(spark, sf_dir), "4 hours", ["user_id"], _totals())))
 

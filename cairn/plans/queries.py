@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,9 +97,14 @@ def read_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_dataset(spark, f"{sf_dir}/nation.parquet")
 
 
-@_register("list_files")
+@_register("list_files", " UNION ALL ".join(f"SELECT '{t}.parquet' AS name, count(*) AS n_rows FROM {t}" for t in ("customer", "events", "orders")))
 def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.list_files(spark, sf_dir).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+    """The rows of three tables, read by what the recursive listing of the folder finds of them."""
+    names = ("customer", "events", "orders")
+    table_of = F.regexp_extract("path", rf"/({'|'.join(names)})\.parquet", 1)
+    found = readers.list_files(spark, sf_dir).select("path", table_of.alias("name")).filter("name <> ''").collect()
+    rows = [spark.read.parquet(*sorted({r.path for r in found if r.name == n})).agg(F.lit(f"{n}.parquet").alias("name"), F.count("*").alias("n_rows")) for n in names]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @_register("calendar_join", f"""WITH {CONV}, cal AS (SELECT CAST(d AS DATE) AS calendar_date, dayname(d) AS day_of_week, CASE WHEN isodow(d) > 5 THEN 1 ELSE 0 END AS is_weekend FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) t(d) WHERE d <> TIMESTAMP '2024-01-15')
@@ -356,9 +363,9 @@ _E = f"({_Y} - ({' + '.join(f'({b}) * {x}' for b, x in zip(_B, _X, strict=True))
 
 @_register("sandwich_meat", "SELECT " + ", ".join(f"round(sum({_W} * {_W} * {_E} * {_E} * {_X[i]} * {_X[j]}), 4) AS s_{i}_{j}" for i in range(4) for j in range(i, 4)) + " FROM lineitem")
 def sandwich_meat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = F.col("y") - linear.dot(F.col("x"), list(_B))
-    g = linear.gram_columns([F.get("x", F.lit(i)) for i in range(4)], F.col("w") * F.col("w") * e * e, F.lit(0.0))
-    return line_model(spark, sf_dir).agg(*[F.round(c, 4).alias(n.replace("g_", "s_")) for n, c in g.items() if n[0] == "g"])
+    found = linear.meat(line_model(spark, sf_dir), F.col("x"), F.col("w"), F.col("y"), np.array(_B))
+    row = {f"s_{i}_{j}": float(found[i, j]) for i in range(4) for j in range(i, 4)}
+    return spark.createDataFrame([tuple(row.values())], ", ".join(f"{n} double" for n in row)).select(*[F.round(n, 4).alias(n) for n in row])
 
 
 @_register("weighted_least_squares", f"""WITH s AS (SELECT sum({_W}) AS w, sum({_W} * l_quantity) AS x, sum({_W} * l_quantity * l_quantity) AS xx, sum({_W} * {_Y}) AS y, sum({_W} * l_quantity * {_Y}) AS xy FROM lineitem)
@@ -491,6 +498,22 @@ def bootstrap_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.effects_table(spark, robust.effects(out, ["ada"], F.col("event_id")))
 
 
+_REPLICATES = 48
+
+
+@_register("bootstrap_replicates", _aipw_sql() + f""", r AS (SELECT ('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15))::BIGINT AS k, ada_f - ada_cf AS v, CASE WHEN treatment_type = 'ada' THEN 1 ELSE 0 END AS t, lane FROM a, range({_REPLICATES // 4}) l(lane)),
+h0 AS (SELECT v, t, lane, (k::UHUGEINT * 13787848793156543929 % 18446744073709551616 + xor((lane + 1)::UHUGEINT * 11400714819323198485 % 18446744073709551616, 12345::UHUGEINT)) % 18446744073709551616 AS h FROM r),
+h1 AS (SELECT v, t, lane, xor(h, h // 1073741824) * 13787848793156543929 % 18446744073709551616 AS h FROM h0), h2 AS (SELECT v, t, lane, xor(h, h // 134217728) * 10723151780598845931 % 18446744073709551616 AS h FROM h1),
+h3 AS (SELECT v, t, lane, xor(h, h // 2147483648) AS h FROM h2), u AS (SELECT v, t, 4 * lane + j AS replicate, CAST(h // CAST(65536 ** j AS UHUGEINT) % 65536 AS BIGINT) AS u FROM h3, range(4) x(j)),
+w AS (SELECT v, t, replicate, {' + '.join(f'(u >= {s})::INT' for s in robust.POISSON_STEPS[:-1].tolist())} AS w FROM u)
+SELECT CAST(replicate AS INT) AS replicate, round(sum(w * v) / sum(w), 6) AS ate, round(sum(w * v * t) / sum(w * t), 6) AS att FROM w GROUP BY replicate""")
+def bootstrap_replicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of bootstrap replicates, whose draws SQL can follow by arithmetic modulo 2^64."""
+    out = robust.aipw(_scored(spark, sf_dir), "ada", "conversionIndicator")
+    found = robust.bootstrap(out, {"ada": ("ada_dre", "is_treated_by_ada")}, F.col("event_id"), _REPLICATES)
+    return found.select("replicate", r6("ate", "ate"), r6("att", "att"))
+
+
 @_register("propensity_normalize", f"WITH {SCORED}, c AS (SELECT event_id, " + ", ".join(f"1 / (1 + exp(-(2.0::DOUBLE * {propensity.column_of(t)} - 0.5))) AS c_{t}" for t in ARMS) + " FROM scored) SELECT event_id, " + ", ".join(f"round(c_{t} / (c_aap + c_ada + c_no_impression), 6) AS {t}" for t in ARMS) + " FROM c")
 def propensity_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     class Fixed:

@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cairn.functions.columns import broadcast_if_small, epoch_ms_to_date
+from cairn.functions.columns import epoch_ms_to_date
 
 FORMATS = ("csv", "json", "parquet")
-CALENDAR_ROWS = 50_000  # of a calendar that may be broadcast
 
 
 @dataclass(frozen=True)
@@ -93,9 +92,9 @@ def read_calendar(spark: SparkSession, path: str, holiday_features: tuple[str, .
 
 
 def join_calendar(conversions: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Left join on the day. A calendar has one row a day: up to CALENDAR_ROWS of them are
-    broadcast, which is counted; a longer one is joined as Spark sees fit."""
-    return conversions.join(broadcast_if_small(calendar, CALENDAR_ROWS), conversions["date"] == calendar["calendar_date"], "left")
+    """Left join on the day. A calendar has one row a day, so Spark, which knows the size of its
+    files, broadcasts it; no hint has it broadcast one that is too large."""
+    return conversions.join(calendar, conversions["date"] == calendar["calendar_date"], "left")
 
 
 def with_date(conversions: DataFrame, timestamp: str = "conversionTimestamp") -> DataFrame:
