@@ -13,7 +13,8 @@ collisions of those hashes (of 40 bits and a column block in step 2, where one m
 3. Order: for the rest, column blocks return document frequencies; a class's prefix is
    its floor(n/4) + 1 rarest shingles, and linked classes share one of their prefixes.
 4. Prefix sharing ties candidates into groups (stars, then components).
-5. Products: groups are packed into tiles of classes. A tile's rows are all multiplied
+5. Products: groups are packed into tiles of classes, bounded by their rows and by their
+   shingles, so in bytes. A tile's rows are all multiplied
    with each other: wide columns as dense blocks, the others through posting lists. A
    group beyond a tile is cut by set size into bands of ratio 4/3, and those into tiles;
    tiles of one band or of bands side by side are multiplied, as sizes rule out all others.
@@ -31,6 +32,7 @@ are not linked by it. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +49,9 @@ WORDS = 5
 NUM, DEN = 75, 100  # least similarity
 BLOCK_CHARS = 4_000_000  # of text in a block of rows
 BLOCK_COLUMNS = 1_000_000  # shingles in a column block, about
-TILE = 2048  # rows in a tile, at most
-BIN_ROWS = 1000  # rows in a tile of small groups, about
+TILE = 2048  # rows in a product, about
+TILE_SHINGLES = 6_000_000  # and shingles
+BIN = 0.5  # of a product's rows or shingles in a tile of small groups, about
 DENSE = 16  # columns of more than one in so many rows of a tile are multiplied as dense ones
 CELLS = 1_000_000  # of a product that are held at once, about
 BROADCAST_ROWS = 1_000_000  # survivors that may be broadcast; beyond, the join shuffles
@@ -177,12 +180,10 @@ def shared_counts(docs: DataFrame, blocks: int) -> DataFrame:
             here = np.diff(np.r_[np.flatnonzero(first), len(h)])  # classes of this block that have it
             many = np.repeat(here > 1, here)
             cb = _column_block(h, blocks)
-            cut = np.searchsorted(cb, np.arange(blocks + 1))
+            begins = np.flatnonzero(np.r_[True, cb[1:] != cb[:-1]][: len(cb)]).tolist()
             out = {"cb": [], "keys": [], "counts": [], "local": [], "hashes": [], "common": []}
-            for k in range(blocks):
-                lo, hi = cut[k], cut[k + 1]
-                if lo == hi:
-                    continue
+            for lo, hi in zip(begins, [*begins[1:], len(cb)], strict=True):  # the column blocks that it has, however many there are
+                k = int(cb[lo])
                 hk, ok, mk = h[lo:hi], owner[lo:hi], many[lo:hi]
                 local = np.bincount(ok[mk], minlength=len(keys))
                 single = ok[~mk]
@@ -291,11 +292,12 @@ def prefixes(kept: DataFrame, blocks: int) -> DataFrame:
         for b in batches:
             for row in b.to_pylist():
                 h, n = np.unique(_read_block(row["keys"], row["sizes"], row["hashes"])[2], return_counts=True)
-                cut = np.searchsorted(_column_block(h, blocks), np.arange(blocks + 1))
-                on = [k for k in range(blocks) if cut[k] < cut[k + 1]]
+                cb = _column_block(h, blocks)
+                begins = np.flatnonzero(np.r_[True, cb[1:] != cb[:-1]][: len(cb)])
+                spans = [slice(a, b) for a, b in zip(begins.tolist(), [*begins.tolist()[1:], len(cb)], strict=True)]
                 yield pa.RecordBatch.from_pydict({
-                    "cb": pa.array(on, pa.int32()), "block": pa.array([row["block"]] * len(on), pa.int64()),
-                    "hashes": pa.array([h[cut[k]:cut[k + 1]].astype("<u8").tobytes() for k in on], pa.binary()), "n": pa.array([n[cut[k]:cut[k + 1]].astype("<u4").tobytes() for k in on], pa.binary())})
+                    "cb": pa.array(cb[begins], pa.int32()), "block": pa.array([row["block"]] * len(spans), pa.int64()),
+                    "hashes": pa.array([h[x].astype("<u8").tobytes() for x in spans], pa.binary()), "n": pa.array([n[x].astype("<u4").tobytes() for x in spans], pa.binary())})
 
     @tidy
     def count(table: pa.Table) -> pa.Table:
@@ -345,6 +347,11 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(DEN / NUM)) + 1e-9).cast("int")
 
 
+def _load(n: Column) -> Column:
+    """Share of a product that a set of n takes, by rows or by shingles."""
+    return F.greatest(F.lit(1 / TILE), n / TILE_SHINGLES)
+
+
 class Tile:
     """Sparse incidence of a tile's rows, to be multiplied with other rows."""
 
@@ -423,17 +430,18 @@ def links(kept: DataFrame, tokens: DataFrame, chosen: DataFrame) -> DataFrame:
     stars = tokens.alias("t").join(lead.alias("l"), F.col("t.hash") == F.col("l.hash")).filter("t.cls <> l.lead").select(F.col("t.cls").alias("u"), F.col("l.lead").alias("v")).distinct()
     groups = components(stars)
     member = groups.union(groups.select(F.col("label").alias("u"), "label").distinct())
-    member = member.alias("m").join(chosen.alias("c"), F.col("m.u") == F.col("c.cls")).select("c.cls", "c.docs", F.col("m.label").alias("grp"), _band(F.col("c.n")).alias("band"))
-    bands = staged(member.groupBy("grp", "band").agg(F.count("*").alias("k")), "bands")
+    member = member.alias("m").join(chosen.alias("c"), F.col("m.u") == F.col("c.cls")).select("c.cls", "c.docs", F.col("m.label").alias("grp"), _band(F.col("c.n")).alias("band"), _load(F.col("c.n")).alias("load"))
+    # k: how many products' worth of rows or shingles, whichever there is more of
+    bands = staged(member.groupBy("grp", "band").agg(F.sum("load").alias("k")), "bands")
     whole = bands.groupBy("grp").agg(F.sum("k").alias("all"))
-    total = whole.filter(F.col("all") <= TILE).agg(F.sum("all")).first()[0] or 0
-    bins = max(1, -(-total // BIN_ROWS))
-    # of a large group, the tiles of each band; a pair of tiles has about TILE rows
-    tiles = bands.withColumn("t", F.ceil(F.col("k") / (TILE // 2)).cast("long")).alias("b")
-    beside = lambda d, x: bands.select(F.col("grp").alias(f"g_{x}"), (F.col("band") - d).alias(f"b_{x}"), F.ceil(F.col("k") / (TILE // 2)).cast("long").alias(f"t_{x}"))
+    total = whole.filter(F.col("all") <= 1).agg(F.sum("all")).first()[0] or 0
+    bins = max(1, math.ceil(total / BIN))
+    # of a large group, the tiles of each band; two tiles fill a product
+    tiles = bands.withColumn("t", F.ceil(F.col("k") * 2).cast("long")).alias("b")
+    beside = lambda d, x: bands.select(F.col("grp").alias(f"g_{x}"), (F.col("band") - d).alias(f"b_{x}"), F.ceil(F.col("k") * 2).cast("long").alias(f"t_{x}"))
     at = lambda x: (F.col("b.grp") == F.col(f"g_{x}")) & (F.col("b.band") == F.col(f"b_{x}"))
     tiles = tiles.join(whole.alias("w"), F.col("b.grp") == F.col("w.grp")).join(beside(1, "up"), at("up"), "left").join(beside(-1, "down"), at("down"), "left")
-    tiles = tiles.select("b.grp", "b.band", (F.col("all") > TILE).alias("large"), "t", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("t_up", "t_down")])
+    tiles = tiles.select("b.grp", "b.band", (F.col("all") > 1).alias("large"), "t", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("t_up", "t_down")])
     placed = member.alias("m").join(tiles.alias("s"), (F.col("m.grp") == F.col("s.grp")) & (F.col("m.band") == F.col("s.band"))).select("m.*", "large", "t", "t_up", "t_down")
     zero = F.lit(0).cast("long")
     own = F.pmod(F.xxhash64("cls"), F.col("t"))
