@@ -4,9 +4,9 @@ Patterns run in Python on whole texts, each in time linear in the text (no patte
 rescans a run it has failed on), so one very long line cannot stall a task. Offsets
 are code points, ends exclusive. Kinds in order: email, ip, card, phone, iban, ssn, secret.
 A span's score is its kind's prior, raised by a context word of its kind in English, German,
-French or Spanish within CONTEXT_CHARS. The first four kinds are kept whenever their test holds
+French or Spanish that stands whole within CONTEXT_CHARS. The first four kinds are kept whenever their test holds
 (parts at most 255, Luhn over 13 to 19 digits, 9 to 15 digits), whatever their score, and so
-is iban, as mod-97 is test enough; an ssn, or a run of 20 to 512 letters and digits
+is iban, as mod-97 is test enough; an ssn, or a run of 20 letters and digits or more
 that may be a secret, is kept from KEEP_FROM on, so context decides.
 
 Edge cases: null or empty text has no spans; its redaction is null or empty as it
@@ -123,20 +123,29 @@ def _ssns(text: str):
 def _secrets(text: str):
     """Runs with letters and digits, of at least ten different characters."""
     for m in _SECRET.finditer(text):
-        if m.end() - m.start() <= 512 and len(set(m[0])) >= 10 and any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
+        if len(set(m[0])) >= 10 and any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
             yield m.span()
 
 
 _PROPOSE = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _ssns, "secret": _secrets}
 
 
+def _near(words: re.Pattern, text: str, start: int, end: int) -> bool:
+    """Whether a context word stands whole within CONTEXT_CHARS before or after a span. The search begins
+    inside the text, so that a word cut by the first character is none, and looks one character too far, so
+    that one cut by the last is none either."""
+    if words.search(text, max(0, start - CONTEXT_CHARS), start):
+        return True
+    after = words.search(text, end, end + CONTEXT_CHARS + 1)
+    return after is not None and after.end() <= end + CONTEXT_CHARS
+
+
 def spans_of(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by kind, then start."""
     out = []
     for kind in KINDS if text else ():
         for start, end in _PROPOSE[kind](text):
-            near = _NEAR[kind].search(text[max(0, start - CONTEXT_CHARS):start]) or _NEAR[kind].search(text[end:end + CONTEXT_CHARS])
-            score = round(PRIOR[kind] + (CONTEXT_GAIN if near else 0.0), 2)
+            score = round(PRIOR[kind] + (CONTEXT_GAIN if _near(_NEAR[kind], text, start, end) else 0.0), 2)
             if kind in BASE_KINDS or score >= KEEP_FROM:
                 out.append((kind, start, end, score))
     return out
