@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import vocab_path
-from .env import free, ship
+from .env import free, ship, staged
 
 VOCAB = "piece_bpe_32k.model"
 DOCS_PER_LANG, ROUNDS = 300, 3
@@ -241,16 +241,25 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
+    """(lang, text) of the docs_per_lang documents of each language that come first in the order of a
+    hash of doc_id and text, of those that are not held out and have a lang and text. Rows equal in all
+    three are one document, whatever their ids, so the bound holds for null and repeated ones."""
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    rows = rows.withColumn("_h", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"))
+    # picked twice, within salts and then in all, so that no task gets a language's rows from everywhere; copies share a rank
+    first = lambda of, *by: of.withColumn("_r", F.dense_rank().over(Window.partitionBy(*by).orderBy("_h"))).filter(F.col("_r") <= docs_per_lang)
+    keys = rows.select("lang", "_h").distinct()
+    chosen = staged(first(first(keys, F.col("lang"), F.pmod("_h", F.lit(SALTS))), F.col("lang")).select("lang", "_h"), "language-sample")
+    # read from files, so Spark broadcasts it only if it is small
+    return rows.select("lang", "_h", "text").join(chosen, ["lang", "_h"]).groupBy("lang", "_h").agg(F.first("text").alias("text")).select("lang", "text")
+
+
 def train(docs: DataFrame, vocab: str = VOCAB, docs_per_lang: int = DOCS_PER_LANG) -> Model:
     """Learns from docs (doc_id, text, lang) that are not held out and have a lang. Only
     the word counts of at most docs_per_lang documents for each language reach the driver."""
     ship(docs.sparkSession)
-    ids = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
-    # picked twice, within salts and then in all, so that no task gets a language's rows from everywhere
-    first = lambda rows, *by: rows.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_h", "doc_id"))).filter(F.col("_r") <= docs_per_lang)
-    chosen = first(first(ids, F.col("lang"), F.pmod("_h", F.lit(SALTS))), F.col("lang")).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    # rows of one id and language are all read: the sample is of ids
-    texts = docs.filter(~held_out()).select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text")
+    texts = sample(docs, docs_per_lang)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
