@@ -42,7 +42,7 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls, outcomes_of
 
     out = filter_urls(_table(spark, sf_dir, "pages"), outcomes_of(_table(spark, sf_dir, "labels")))
-    return out.select("page_id", "host", "path", "rule", "verdict")
+    return out.select("page_id", "host", "path", "rule", "verdict", *[F.round(c, 6).alias(c) for c in ("bad_bound", "bad_mean", "domain_mean", "suffix_mean")])
 
 
 def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,13 +153,14 @@ domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY
 suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k, 0 AS one FROM hosts GROUP BY suffix),
 fit AS (SELECT (SELECT (sum(k) + 1.0) / (sum(n) + 2.0) FROM hosts) AS p0, {_strength_sql('suffixes', 'one')} AS ms, {_strength_sql('domains', 'suffix')} AS md, {_strength_sql('hosts', 'domain')} AS mh),
 s AS (SELECT suffix, (k + ms * p0) / (n + ms) AS m FROM suffixes, fit),
-d AS (SELECT domain, (k + md * m) / (n + md) AS m FROM domains JOIN s USING (suffix), fit),
-h AS (SELECT host, n, mh, p0, (k + mh * m) / (n + mh) AS m FROM hosts JOIN d USING (domain), fit),
+d AS (SELECT domain, m AS suffix_mean, (k + md * m) / (n + md) AS m FROM domains JOIN s USING (suffix), fit),
+h AS (SELECT host, n, mh, p0, suffix_mean, m AS domain_mean, (k + mh * m) / (n + mh) AS m FROM hosts JOIN d USING (domain), fit),
 ruled AS (SELECT *, host = 'net' OR host LIKE '%.net' AS net, host = 'example.net' OR host LIKE '%.example.net' AS exnet, host = 'example.com' OR host LIKE '%.example.com' AS excom, host = 'org' OR host LIKE '%.org' AS org FROM cut),
 rules AS (SELECT page_id, host, path, CASE WHEN exnet AND starts_with(path, '/en/') THEN 'example.net/en/' WHEN excom AND starts_with(path, '/de/') THEN 'example.com/de/'
   WHEN org AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN net AND starts_with(path, '/') THEN 'net/' END AS rule FROM ruled)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-  WHEN m - 1.6448536269514722 * sqrt(m * (1 - m) / (n + mh + 1)) > least(0.5, 2.0 * p0) THEN 'block' ELSE 'allow' END AS verdict
+  WHEN m - 1.6448536269514722 * sqrt(m * (1 - m) / (n + mh + 1)) > least(0.5, 2.0 * p0) THEN 'block' ELSE 'allow' END AS verdict,
+  round(m - 1.6448536269514722 * sqrt(m * (1 - m) / (n + mh + 1)), 6) AS bad_bound, round(m, 6) AS bad_mean, round(domain_mean, 6) AS domain_mean, round(suffix_mean, 6) AS suffix_mean
 FROM rules JOIN h USING (host)
 """
 

@@ -93,7 +93,7 @@ def base_rate(hosts: DataFrame) -> float:
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, conf: Reputation = Reputation()) -> DataFrame:
-    """pages (page_id, host) and outcomes (page_id, bad 0/1) to (host, n, k, mean, bound, bad).
+    """pages (page_id, host) and outcomes (page_id, bad 0/1) to (host, n, k, mean, bound, bad, and the means of domain and suffix).
     One row per host of pages; k of its n labelled pages are bad; bad: bound is beyond the threshold."""
     p, o = pages.select("page_id", "host").alias("p"), outcomes.select("page_id", "bad").alias("o")
     counted = (
@@ -111,21 +111,22 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, conf: Reputation = Re
     m_host = strength(hosts, "domain", conf.default_strength)
     post = lambda m, prior: (F.col("k") + m * prior) / (F.col("n") + m)
     s = suffixes.select("suffix", post(F.lit(m_suffix), F.lit(p0)).alias("suffix_mean"))
-    d = domains.join(s, "suffix").select("domain", post(F.lit(m_domain), F.col("suffix_mean")).alias("domain_mean"))
+    d = domains.join(s, "suffix").select("domain", post(F.lit(m_domain), F.col("suffix_mean")).alias("domain_mean"), "suffix_mean")
     h = hosts.join(d, "domain").withColumn("mean", post(F.lit(m_host), F.col("domain_mean")))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + m_host + 1))
     h = h.withColumn("bound", F.col("mean") - conf.z * sd)
-    return h.select("host", "n", "k", "mean", "bound", (F.col("bound") > min(conf.most, conf.ratio * p0)).alias("bad"))
+    return h.select("host", "n", "k", "mean", "bound", (F.col("bound") > min(conf.most, conf.ratio * p0)).alias("bad"), "domain_mean", "suffix_mean")
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, conf: Reputation = Reputation()) -> DataFrame:
-    """pages (page_id, url), outcomes (page_id, bad) to (page_id, host, path, rule, verdict, bad_bound)."""
+    """pages (page_id, url), outcomes (page_id, bad) to (page_id, host, path, rule, verdict, bad_bound,
+    bad_mean, domain_mean, suffix_mean): the bound and the posterior means of the page's host, domain and suffix."""
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     name, verdict = match_rule(F.col("host"), F.col("path"), rules)
-    judged = host_reputation(cut, outcomes, conf).select(F.col("host").alias("h"), F.col("bound").alias("bad_bound"), "bad")
+    judged = host_reputation(cut, outcomes, conf).select(F.col("host").alias("h"), F.col("bound").alias("bad_bound"), F.col("mean").alias("bad_mean"), "domain_mean", "suffix_mean", "bad")
     out = cut.join(judged, F.col("host") == F.col("h"), "left")
     method = F.when(F.col("bad"), "block").otherwise("allow")
-    return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "bad_bound")
+    return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "bad_bound", "bad_mean", "domain_mean", "suffix_mean")
 
 
 def outcomes_of(labels: DataFrame) -> DataFrame:
