@@ -241,7 +241,7 @@ def loaded(vocab: str) -> Bpe:
 
 
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", vocab: str = VOCAB) -> DataFrame:
-    """Adds array<int> of ids. vocab: a file name or path that workers can resolve."""
+    """Adds array<int> of ids as column out, which replaces one of that name. vocab: a file name or path that workers can resolve."""
     ship(docs.sparkSession)
 
     def run(texts: pa.Array) -> pa.Array:
@@ -252,7 +252,7 @@ def encode(docs: DataFrame, text: str = "text", out: str = "ids", vocab: str = V
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", vocab: str = VOCAB) -> DataFrame:
-    """Adds the text of array<int> ids."""
+    """Adds the text of array<int> ids as column out, which replaces one of that name."""
     ship(df.sparkSession)
 
     def run(lists: pa.Array) -> pa.Array:

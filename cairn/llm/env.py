@@ -13,7 +13,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 #: Words are runs of anything but ASCII white space; bytes.split() cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -120,11 +120,22 @@ def words_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _has_no_hash(kind: DataType) -> bool:
+    """Whether a type is, or holds, a map or a variant, which Spark does not hash."""
+    if isinstance(kind, ArrayType):
+        return _has_no_hash(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_has_no_hash(f.dataType) for f in kind)
+    return isinstance(kind, (MapType, VariantType))
+
+
 def row_key(df: DataFrame) -> Column:
-    """64-bit hash of all columns of a row (maps, which have no hash, aside), nulls
-    told apart: rows that share it are copies of each other in every column."""
-    names = [f.name for f in df.schema if not isinstance(f.dataType, MapType)]
-    return F.xxhash64(*[x for c in names for x in (df[f"`{c}`"], df[f"`{c}`"].isNull())])
+    """64-bit hash of all columns of a row, nulls told apart: rows that share it are copies of
+    each other in every column. Columns that hold maps or variants go by their JSON, so maps
+    of equal entries in another order count as different."""
+    names = [f"`{f.name}`" for f in df.schema]
+    shown = [F.to_json(F.struct(df[c]), {"ignoreNullFields": "false"}) if _has_no_hash(f.dataType) else df[c] for c, f in zip(names, df.schema, strict=True)]
+    return F.xxhash64(*[x for c, v in zip(names, shown, strict=True) for x in (v, df[c].isNull())])
 
 
 def running_total(df: DataFrame, key: Column, bucket: Column, order: list, value: Column, out: str) -> DataFrame:
