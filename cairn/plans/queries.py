@@ -37,7 +37,7 @@ def _register(name: str, sql: str | None = None):
 
 def _all_registered() -> None:
     """Modules that register queries of their own."""
-    from cairn.plans import analysis, events  # noqa: F401
+    from cairn.plans import analysis, events, models  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
@@ -166,6 +166,10 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "treatment_type_indexed", F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v).alias("weighted_sum"), F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("plain_sum"))
 
 
+_FEATURE_SUMS = "r AS (SELECT rfm, row_number() OVER (ORDER BY rfm) AS i, count(*) OVER () AS k FROM (SELECT DISTINCT rfm FROM lab)), top AS (SELECT max(bucket) AS mb FROM lab)"
+_BUCKETS = {t: f"CAST({_bucket_sql(_sum(p))} AS INT)" for t, p in (("ada", "adaLinkIn"), ("aap", "aapLinkIn"))}
+
+
 _VECTOR = f"""WITH {LABELLED}, cal AS (SELECT CAST(d AS DATE) AS calendar_date, CASE WHEN isodow(d) > 5 THEN 1 ELSE 0 END AS is_weekend, CASE WHEN day(d) = 1 THEN 1 ELSE 0 END AS is_month_start FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) t(d) WHERE d <> TIMESTAMP '2024-01-15'),
 r AS (SELECT rfm, row_number() OVER (ORDER BY rfm) AS i, count(*) OVER () AS k FROM (SELECT DISTINCT rfm FROM lab)), top AS (SELECT max(bucket) AS mb FROM lab),
 slots AS (SELECT event_id, [1, CASE WHEN lag_clicks > 0 THEN 1 ELSE 0 END, CASE WHEN lag_views > 0 THEN 1 ELSE 0 END, coalesce(is_weekend, 0), coalesce(is_month_start, 0), aap_out_imp_1, aap_out_imp_7, CAST(prime AS INT)] || [CASE WHEN bucket = j THEN 1 ELSE 0 END FOR j IN range(mb)] || [CASE WHEN i = j THEN 1 ELSE 0 END FOR j IN range(1, k)] || [ada_in_imp_7, aap_in_imp_7] AS f FROM lab JOIN r USING (rfm) LEFT JOIN cal ON date = calendar_date, top)"""
@@ -266,7 +270,7 @@ def class_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.exact_split(table(spark, sf_dir, "orders"), "o_orderstatus", F.col("o_orderkey")).select("o_orderkey", "is_test")
 
 
-@_register("balanced_split")
+@_register("balanced_split", f"WITH h AS (SELECT o_orderkey, o_orderstatus, {_HASH.format(k='o_orderkey')} AS h FROM orders) SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus, h // 4194304 ORDER BY h, CAST(o_orderkey AS VARCHAR)) <= round(count(*) OVER (PARTITION BY o_orderstatus, h // 4194304) * 0.2) AS is_test FROM h")
 def balanced_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_rows, test_rows = sampling.balanced_split(table(spark, sf_dir, "orders"), "o_orderstatus", F.col("o_orderkey"))
     return train_rows.withColumn("is_test", F.lit(False)).unionByName(test_rows.withColumn("is_test", F.lit(True))).select("o_orderkey", "o_orderstatus", "is_test")
@@ -582,24 +586,24 @@ def weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- models, end to end (fitted: no SQL) ----
 
-def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.prepare_conversions(conversions(spark, sf_dir), calendar(spark))
 
 
 @_register("regression_model")
 def regression_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train(_prepared(spark, sf_dir), CATALOG).regression.summary(spark)
+    return train(prepared(spark, sf_dir), CATALOG).regression.summary(spark)
 
 
 @_register("regression_scoring")
 def regression_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _prepared(spark, sf_dir)
+    rows = prepared(spark, sf_dir)
     return score(train(rows, CATALOG), rows)
 
 
 @_register("propensity_model")
 def propensity_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _prepared(spark, sf_dir)
+    rows = prepared(spark, sf_dir)
     pipeline = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows)
     featured, labels = pipeline.transform(rows), indexer_labels(pipeline)
     found = propensity.fit_propensity(featured, labels, "LogisticRegression")
@@ -608,22 +612,22 @@ def propensity_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("doubly_robust_effects")
 def doubly_robust_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _prepared(spark, sf_dir)
+    rows = prepared(spark, sf_dir)
     bundle = train(rows, CATALOG, model_type="dre")
     return summarize(bundle, rows)
 
 
 @_register("doubly_robust_scoring")
 def doubly_robust_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _prepared(spark, sf_dir)
-    return score(train(rows, CATALOG, model_type="dre", replicates=100), rows)
+    rows = prepared(spark, sf_dir)
+    return score(train(rows, CATALOG, model_type="dre"), rows)
 
 
 @_register("cross_validation")
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cairn.operators.tuning import cross_validate
 
-    rows = _prepared(spark, sf_dir)
+    rows = prepared(spark, sf_dir)
     featured = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows).transform(rows).withColumn("conversionIndicator", F.col("conversionIndicator").cast("double")).select("features", "conversionIndicator")
     found = cross_validate(featured, robust.outcome_classifier(), "conversionIndicator", {"numTrees": [5, 10], "maxDepth": [3]}, folds=3)
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(found.avgMetrics)], "candidate int, f1 double")
@@ -631,7 +635,7 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _prepared(spark, sf_dir)
+    rows = prepared(spark, sf_dir)
     pipeline = fit_pipeline(feature_pipeline(CATALOG, model_type="dre"), rows)
     featured = pipeline.transform(rows)
     model = robust.fit_outcome(featured, indexer_labels(pipeline), "ada")
