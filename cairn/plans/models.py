@@ -49,7 +49,7 @@ def calibration_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
     calibrators = propensity.fit_calibrators(scored, labels)
     logit = lambda x: 1 / (1 + F.exp(-(F.col(propensity.column_of(x)) * float(calibrators[x].coefficients[0]) + float(calibrators[x].intercept))))
     sums = scored.agg(*[F.abs(F.avg(logit(x)) - F.avg(f"is_treated_by_{x}")).alias(x) for x in labels]).first()
-    return spark.createDataFrame([(x, sums[x] <= 1e-3, calibrators[x].coefficients[0] >= 0) for x in labels], "treatment string, balanced boolean, rising boolean")
+    return spark.createDataFrame([(x, bool(sums[x] <= 1e-3), bool(calibrators[x].coefficients[0] >= 0)) for x in labels], "treatment string, balanced boolean, rising boolean")
 
 
 # ---- search ----
@@ -92,12 +92,12 @@ _NAMES = "lag_clicks lag_views is_weekend is_month_start aap_out_imp_1 aap_out_i
 
 @_register("written_importance", f"""WITH {LABELLED}, names AS (SELECT unnest([{', '.join(repr(n) for n in _NAMES)}]) AS feature UNION ALL SELECT 'customerPropensity_dummy_' || j FROM (SELECT unnest(range(max(bucket))) AS j FROM lab)
 UNION ALL SELECT 'customerRfm_dummy_' || rfm FROM (SELECT DISTINCT rfm FROM lab) WHERE rfm <> (SELECT max(rfm) FROM lab))
-SELECT m AS model, feature, TRUE AS share, 1.0::DOUBLE AS total FROM names, (VALUES ('outcome_ada'), ('propensity_model')) v(m)""")
+SELECT m AS model, feature, TRUE AS share, 1.0::DOUBLE AS total FROM names, (VALUES ('outcome_no_impression'), ('propensity_model')) v(m)""")
 def written_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances by feature as the models' writer leaves them: whether each is a share, and their sum by model, of an arm's outcome forest and the propensity forest."""
     featured, labels = _featured(spark, sf_dir)
     path = scratch(spark)
-    models = {"outcome_ada": robust.fit_outcome(featured, labels, "ada"), "propensity_model": propensity.fit_propensity(featured, labels, "RandomForest").model}
+    models = {"outcome_no_impression": robust.fit_outcome(featured, labels, ARMS[-1]), "propensity_model": propensity.fit_propensity(featured, labels, "RandomForest").model}
     sinks.write_models(spark, models, attribute_names(featured), path)
     read = [spark.read.parquet(f"{path}/feature_importance/{n}").withColumn("model", F.lit(n)) for n in models]
     both = read[0].unionByName(read[1])
