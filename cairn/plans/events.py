@@ -10,7 +10,7 @@ from cairn.operators.features import label_treatments
 from cairn.sources.fixtures import shaped, table
 from cairn.streaming import lookback, windows
 
-from .queries import _EXPOSURE, LABELLED, _register, scratch
+from .queries import _EXPOSURE, _SCALE, LABELLED, _register, scratch
 
 
 def _finished(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -104,8 +104,8 @@ def event_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", *[f"{side}_{c}" for side in ("previous", "next") for c in ("event_type", "event_id")])
 
 
-@_register("trailing_spend", """SELECT event_id, count(*) OVER w AS trailing_n, round(sum(value) OVER w, 4) AS trailing_sum, round(avg(value) OVER w, 4) AS trailing_mean FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 36 HOUR PRECEDING AND CURRENT ROW)""")
+@_register("trailing_spend", f"""SELECT event_id, count(*) OVER w AS trailing_n, round(sum(value) OVER w, 4) AS trailing_sum, round(avg(value) OVER w * {_SCALE}, 4) AS trailing_mean FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 36 HOUR PRECEDING AND CURRENT ROW)""")
 def trailing_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Moving sums and averages over the 36 hours up to each event."""
     rows = temporal.trailing(table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), ["user_id"], "ts", "value", 36 * 3600)
-    return rows.select("event_id", F.col("trailing_n").cast("long").alias("trailing_n"), F.round("trailing_sum", 4).alias("trailing_sum"), F.round("trailing_mean", 4).alias("trailing_mean"))
+    return rows.select("event_id", F.col("trailing_n").cast("long").alias("trailing_n"), F.round("trailing_sum", 4).alias("trailing_sum"), F.round(F.col("trailing_mean") * _SCALE, 4).alias("trailing_mean"))
