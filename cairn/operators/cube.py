@@ -25,17 +25,23 @@ def rollup_sets(dims: list[str]) -> list[list[str]]:
 def effect_cells(df: DataFrame, treatments: list[str], dims: list[str]) -> DataFrame:
     """(dims, treatment, estimand, n, mean, m2): moments of {t}_dre over all rows (ATE) and over treated ones (ATT), nulls aside."""
     kinds = [(t, "ATE", F.col(f"{t}_dre")) for t in treatments] + [(t, "ATT", F.when(F.col(f"is_treated_by_{t}") == 1, F.col(f"{t}_dre"))) for t in treatments]
-    parts = [F.struct(F.lit(t).alias("treatment"), F.lit(e).alias("estimand"), F.count(c).alias("n"), F.avg(c).alias("mean"), (F.var_pop(c) * F.count(c)).alias("m2")) for t, e, c in kinds]
-    cells = df.groupBy(*dims).agg(F.array(*parts).alias("parts"))
-    return cells.select(*dims, F.inline("parts")).filter("n > 0")
+    # one row a value: each is computed once, where moments side by side would repeat its whole expression in each of them
+    values = F.array(*[F.struct(F.lit(t).alias("treatment"), F.lit(e).alias("estimand"), c.cast("double").alias("v")) for t, e, c in kinds])
+    long = df.select(*dims, F.inline(values)).filter("v is not null")
+    return long.groupBy(*dims, "treatment", "estimand").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), (F.var_pop("v") * F.count("*")).alias("m2"))
 
 
 def effects_by(df: DataFrame, treatments: list[str], dims: list[str], sets: list[list[str]] | None = None) -> DataFrame:
+    """effects_of_cells of the rows' own cells."""
+    return effects_of_cells(effect_cells(df, treatments, dims), dims, sets)
+
+
+def effects_of_cells(cells: DataFrame, dims: list[str], sets: list[list[str]] | None = None) -> DataFrame:
     """(dims, level, treatment, estimand, n, estimate, ci_lo, ci_hi), a row for every cell of every
-    set of dimensions (all subsets, unless given), with mean +- 1.96 sd / sqrt(n). A dimension that is
-    summed over is null; level tells that from a null in the data: its bit, the last dimension's being 1, is set."""
+    set of dimensions (all subsets, unless given), with mean +- 1.96 sd / sqrt(n). Cells may be finer than
+    the dimensions, which may have been joined to them. A dimension that is summed over is null;
+    level tells that from a null in the data: its bit, the last dimension's being 1, is set."""
     fixed = ["treatment", "estimand"]
-    cells = effect_cells(df, treatments, dims)
     grouped = cells.groupingSets([[*s, *fixed] for s in (cube_sets(dims) if sets is None else sets)], *dims, *fixed)
     n, total = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
     mean = total / n

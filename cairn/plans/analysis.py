@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from cairn.functions import props
 from cairn.operators import cube, linear, robust, sketches
-from cairn.operators.features import label_treatments
 from cairn.sources import readers, sinks
-from cairn.sources.fixtures import calendar, conversions, table
+from cairn.sources.fixtures import calendar, table
 
 from . import sql as front
 from .queries import _P, _WIDE, _WIDE_SQL, LABELLED, _aipw_sql, _register, _sql, labelled, r6, scratch, with_scores
@@ -25,11 +24,12 @@ FROM u GROUP BY GROUPING SETS ({sets}) HAVING count(v) > 0"""
 
 
 def _effects(spark: SparkSession, sf_dir: str, sets: list[list[str]] | None) -> DataFrame:
-    rows = with_scores(label_treatments(readers.prepare_conversions(conversions(spark, sf_dir), calendar(spark))))
+    rows = readers.with_date(with_scores(labelled(spark, sf_dir)))
     for t in ("ada", "aap"):
         rows = robust.aipw(rows, t, "conversionIndicator")
-    rows = rows.withColumns({"segment": F.col("customerRfm"), "weekday": F.col("day_of_week")})
-    out = cube.effects_by(rows, ["ada", "aap"], ["segment", "weekday"], sets)
+    # the calendar is joined to cells of a day, not to rows
+    cells = readers.join_calendar(cube.effect_cells(rows.withColumnRenamed("customerRfm", "segment"), ["ada", "aap"], ["segment", "date"]), calendar(spark))
+    out = cube.effects_of_cells(cells.withColumnRenamed("day_of_week", "weekday"), ["segment", "weekday"], sets)
     return out.select("segment", "weekday", F.col("level").cast("long").alias("level"), "treatment", "estimand", "n", r6("estimate", "estimate"), F.round("ci_lo", 5).alias("ci_lo"), F.round("ci_hi", 5).alias("ci_hi"))
 
 
