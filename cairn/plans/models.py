@@ -59,7 +59,7 @@ def parameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Successive halving over the default grid of forests, 5 folds: every candidate of every rung, with its rows and metric."""
     featured, _ = _featured(spark, sf_dir)
     rows = featured.select("event_id", "features", F.col("conversionIndicator").cast("double").alias("conversionIndicator"))
-    found = tuning.successive_halving(rows, robust.outcome_classifier(), "conversionIndicator", F.col("event_id"))
+    found = tuning.successive_halving(rows, robust.outcome_classifier(), "conversionIndicator", F.col("event_id"), parallelism=8)
     return spark.createDataFrame([(s.rung, s.params["numTrees"], s.params["maxDepth"], s.params["minInstancesPerNode"], s.rows, float(s.metric)) for s in found.scores], "rung int, trees int, depth int, leaf int, n_rows long, f1 double")
 
 
