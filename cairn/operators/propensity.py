@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
@@ -17,6 +18,8 @@ from .metrics import multiclass_metrics
 from .sampling import cap_classes, class_weights
 from .tuning import best_params, cross_validate
 
+log = logging.getLogger("cairn")
+
 
 def column_of(label: str) -> str:
     return f"{label}_propensity_probability"
@@ -27,7 +30,7 @@ def classifier(kind: str, features: str = "features", label: str = "treatment_ty
     common = {"featuresCol": features, "labelCol": label} | ({"weightCol": weight} if weight else {})
     if kind == "LogisticRegression":
         return LogisticRegression(**LOGISTIC, **common)
-    return RandomForestClassifier(**FOREST, seed=seed, **common)
+    return RandomForestClassifier(**FOREST, cacheNodeIds=True, seed=seed, **common)  # the same trees, without walking them anew at every level
 
 
 def label_columns(scored: DataFrame, labels: list[str], vector: str = "probability") -> DataFrame:
@@ -93,7 +96,12 @@ def platt(df: DataFrame, score: str, model: LogisticRegressionModel) -> DataFram
 
 
 def fit_calibrators(train: DataFrame, labels: list[str]) -> dict[str, LogisticRegressionModel]:
-    return {x: fit_platt(train, column_of(x), f"is_treated_by_{x}") for x in labels}
+    """One for each label; the scores are made once for all of them."""
+    scores = train.select(*[column_of(x) for x in labels], *[f"is_treated_by_{x}" for x in labels]).persist()
+    try:
+        return {x: fit_platt(scores, column_of(x), f"is_treated_by_{x}") for x in labels}
+    finally:
+        scores.unpersist()
 
 
 def calibrate(df: DataFrame, labels: list[str], calibrators: dict[str, LogisticRegressionModel] | None) -> DataFrame:
@@ -126,13 +134,19 @@ def overlap_bounds(train: DataFrame, labels: list[str]) -> tuple[float, float] |
     return max(lows), min(highs)
 
 
-def overlap(train: DataFrame, test: DataFrame, labels: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of both inside the common support of the training rows."""
+def overlap(train: DataFrame, test: DataFrame, labels: list[str], arm: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of both inside the common support of the training rows. With the arm's column, bounds that leave some
+    arm of the training rows without any row count as no overlap, and all rows stay: the
+    propensities of a row sum to 1, so of three labels, say, no row has all above one third."""
     bounds = overlap_bounds(train, labels)
     if bounds is None:
         return train, test
     inside = within([column_of(x) for x in labels], *bounds)
+    if arm is not None and train.groupBy(arm).agg(F.count_if(inside).alias("n")).agg(F.min("n")).first()[0] == 0:
+        log.warning("the common support %s leaves an arm without rows; all rows stay", bounds)
+        return train, test
     return train.filter(inside), test.filter(inside)
 
 
+
 __all__ = ["Propensity", "calibrate", "classifier", "column_of", "filter_by_range", "fit_calibrators", "fit_platt", "fit_propensity", "label_columns", "overlap", "overlap_bounds", "platt", "probability_of_one", "truncate"]

@@ -221,6 +221,52 @@ def test_class_weights_sum_to_the_classes(spark):
     assert w == pytest.approx(2)
 
 
+def test_percentiles_of_all_columns_in_three_passes(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    cols = {"smooth": rng.normal(size=60000), "few": rng.integers(0, 5, 60000) / 7.0, "tied": np.where(rng.random(60000) < 0.3, 0.25, rng.random(60000)), "short": np.where(np.arange(60000) < 11, np.arange(60000), np.nan)}
+    path = np.stack(list(cols.values()), 1).tolist()
+    df = spark.createDataFrame(path, ", ".join(f"{c} double" for c in cols)).select(*[F.nanvl(c, F.lit(None)).alias(c) for c in cols]).persist()
+    monkeypatch.setattr(sampling, "EXACT_ROWS", 3000)
+    passes = []
+    monkeypatch.setattr(sampling, "order_statistics", lambda *a, **k: passes.append(a))
+    got = {r.variable: r for r in metrics.prediction_summary(df, tuple(cols)).collect()}
+    assert not passes  # no column by itself
+    for c, x in cols.items():
+        want = np.nanquantile(x, [0.5, 0.25, 0.1, 0.75, 0.9])
+        assert [got[c][f"p{p}"] for p in (50, 25, 10, 75, 90)] == pytest.approx(list(want), abs=1e-12)
+    df.unpersist()
+
+
+def test_class_weights_leave_rows_where_they_are(spark):
+    df = spark.range(0, 4000, 1, 8).withColumn("c", (F.col("id") % 10 == 0).cast("double"))
+    out = sampling.class_weights(df, "c")
+    assert out.groupBy(F.spark_partition_id()).count().count() == 8  # not two, one for each class
+    assert out.count() == 4000
+
+
+def test_calibrators_score_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        seen.add(1)
+        return (x % 7) / 10 + 0.1
+
+    cols = {propensity.column_of(t): F.udf(score, "double")("id") for t in ("a", "b")} | {f"is_treated_by_{t}": (F.col("id") % (3 + i) == 0).cast("double") for i, t in enumerate("ab")}
+    propensity.fit_calibrators(spark.range(200).withColumns(cols), ["a", "b"])
+    assert seen.value == 200  # both scores are one function of the row
+
+
+def test_common_support_that_empties_an_arm_is_none(spark):
+    labels = ["a", "b", "c"]
+    p = [(0.2, 0.2, 0.6), (0.45, 0.2, 0.35), (0.2, 0.45, 0.35)]  # the bounds are 0.35 to 0.45, where no three sum to 1
+    rows = spark.createDataFrame([(float(i % 3), *p[i % 3]) for i in range(30)], "arm double, " + ", ".join(f"{propensity.column_of(x)} double" for x in labels))
+    assert propensity.overlap_bounds(rows, labels) == (0.35, 0.45)
+    assert [x.count() for x in propensity.overlap(rows, rows, labels)] == [0, 0]
+    assert [x.count() for x in propensity.overlap(rows, rows, labels, "arm")] == [30, 30]
+    wide = spark.createDataFrame([(float(i % 3), *((0.2, 0.4, 0.4) if i // 3 % 2 else (0.4, 0.25, 0.35))) for i in range(30)], rows.schema)
+    assert [propensity.overlap(wide, wide, ["a", "c"], *arm)[0].count() for arm in ((), ("arm",))] == [15, 15]
+
+
 def test_binary_metrics(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.1), (1.0, 1.0, 0.9), (1.0, 0.0, 0.4), (0.0, 0.0, 0.2)], "y double, prediction double, raw double")
     m = metrics.binary_metrics(df, "y", raw="raw")
