@@ -106,12 +106,13 @@ def cap_classes_exactly(df: DataFrame, label: str, key: Column, ratio: float = 5
 
 def class_weights(df: DataFrame, label: str, scheme: str = "sqrt", out: str = "class_weight") -> DataFrame:
     """g(N / (K n_c)), scaled so that the K weights sum to K; g is sqrt or identity. Rows without a
-    class are left out. The counts, one row a class, are fetched; their table has a known size, so Spark broadcasts it if it may."""
+    class are left out. The counts, one row a class, are fetched, and the weights broadcast: a join dealt by class would have all rows of a class,
+    and each later pass over them, in one task."""
     counts = [(r[label], r.n) for r in class_counts(df.filter(F.col(label).isNotNull()), label).collect()]
     raw = [(sum(n for _, n in counts) / (len(counts) * n)) ** (0.5 if scheme == "sqrt" else 1) for _, n in counts]
     kinds = StructType([StructField("_label", df.schema[label].dataType), StructField(out, DoubleType())])
     per = df.sparkSession.createDataFrame([(c, g * len(counts) / sum(raw)) for (c, _), g in zip(counts, raw, strict=True)], kinds)
-    return df.join(per, df[label] == per["_label"]).drop("_label")
+    return df.join(F.broadcast(per), df[label] == per["_label"]).drop("_label")
 
 
 EXACT_ROWS = 1_000_000  # values that one percentile aggregate may hold
