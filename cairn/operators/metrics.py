@@ -54,7 +54,7 @@ def prediction_summary(df: DataFrame, fields: tuple[str, ...] = LIFT_FIELDS) ->
     moment over sd^3), skewness_ref (over sd^6), percentiles, shares <= 0 and >= 1, all exact at any
     size and of the values that are not null; a column without values has no row. One pass gives the counts
     and moments of all columns; where no column has more than EXACT_ROWS values a second
-    gives all percentiles, else each column's places are narrowed down by order_statistics."""
+    gives all percentiles, else the places of all columns are narrowed down together."""
 
     def moments(c: str) -> Column:
         v = F.col(f"`{c}`").cast("double")
@@ -68,7 +68,7 @@ def prediction_summary(df: DataFrame, fields: tuple[str, ...] = LIFT_FIELDS) ->
         row = df.agg(*[F.percentile(F.col(f"`{c}`").cast("double"), list(_PLACES)).alias(c) for c in found]).first() if found else {}
         places = {c: row[c] for c in found}
     else:
-        places = {c: sampling.interpolated(df.select(F.col(f"`{c}`").cast("double").alias("v")).filter("v is not null"), list(_PLACES), r.n) for c, r in found.items()}
+        places = sampling.column_percentiles(df, list(_PLACES), {c: r.n for c, r in found.items()})
     names = ["min", "max", "mean", "sd", "skewness", "skewness_ref"]
     rows = [(c, *[r[k] for k in names], *places[c], r.negative_frac, r.oneplus_frac) for c, r in found.items()]
     columns = [*names, *[f"p{int(100 * x)}" for x in _PLACES], "negative_frac", "oneplus_frac"]

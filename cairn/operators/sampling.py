@@ -145,6 +145,42 @@ def order_statistics(values: DataFrame, ranks: list[int], limit: int = EXACT_ROW
     return out
 
 
+def column_order_statistics(df: DataFrame, ranks: dict[str, list[int]], n: dict[str, int], limit: int | None = None) -> dict[str, dict[int, float]]:
+    """order_statistics of several columns (n values of each, nulls apart), all in three passes: sketches of every column, counts
+    at every bracket, then the values inside brackets by value. A bracket that holds more than limit different places is narrowed on its own."""
+    limit = EXACT_ROWS if limit is None else limit
+    v = {c: F.col(f"`{c}`").cast("double") for c in ranks}
+    share = lambda x: min(max(x, 0.0), 1.0)
+    ends = df.agg(*[x for i, (c, rs) in enumerate(ranks.items()) for x in (F.percentile_approx(v[c], [share(r / n[c] + d) for r in rs for d in (-2 / SKETCH, 2 / SKETCH)], SKETCH).alias(f"q{i}"), F.min(v[c]).alias(f"least{i}"), F.max(v[c]).alias(f"most{i}"))]).first()
+    spans = {}
+    for i, (c, rs) in enumerate(ranks.items()):
+        for j, r in enumerate(rs):
+            lo, hi = ends[f"q{i}"][2 * j:2 * j + 2]
+            spans[c, r] = ends[f"least{i}"] if r / n[c] - 2 / SKETCH <= 0 else lo, ends[f"most{i}"] if r / n[c] + 2 / SKETCH >= 1 else hi
+    at = df.agg(*[F.count_if(test).alias(f"a{k}_{m}") for k, ((c, _), (lo, hi)) in enumerate(spans.items()) for m, test in enumerate((v[c] < lo, v[c] <= lo, v[c] < hi))]).first()
+    out: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    left = {}  # by its number, a bracket that must be looked into, and the place inside it
+    for k, ((c, r), (lo, hi)) in enumerate(spans.items()):
+        below, through, before_hi = (at[f"a{k}_{m}"] for m in range(3))
+        if below <= r < through:
+            out[c][r] = lo
+        elif r >= before_hi:
+            out[c][r] = hi
+        elif before_hi - through > limit:
+            inside = df.select(v[c].alias("v")).filter((F.col("v") > lo) & (F.col("v") < hi))
+            out[c][r] = order_statistics(inside, [r - through], limit)[r - through]
+        else:
+            left[k] = (c, r, lo, hi, r - through)
+    if left:
+        pairs = F.array(*[F.when((v[c] > lo) & (v[c] < hi), F.struct(F.lit(k).alias("k"), v[c].alias("v"))) for k, (c, _, lo, hi, _) in left.items()])
+        counts = df.select(F.explode(F.array_compact(pairs)).alias("x")).groupBy("x.k", "x.v").agg(F.count("*").alias("m"))
+        place = F.create_map(*[F.lit(x) for k, b in left.items() for x in (k, b[4])])
+        through = counts.withColumn("through", F.sum("m").over(Window.partitionBy("k").orderBy("v")))  # of limit rows a bracket, at most
+        for row in through.filter(F.col("through") > place[F.col("k")]).groupBy("k").agg(F.min("v").alias("v")).collect():  # one row a bracket
+            out[left[row.k][0]][left[row.k][1]] = row.v
+    return out
+
+
 def quantiles(df: DataFrame, col: str, probs: list[float], exact: bool = True, accuracy: int = SKETCH) -> list[float] | None:
     """Interpolated percentiles, exact at any size, or those of sketches; None without values."""
     if not exact:
@@ -157,11 +193,26 @@ def interpolated(values: DataFrame, probs: list[float], n: int) -> list[float] |
     """Interpolated percentiles of n values (v double, no nulls), exact at any size; None without values."""
     if n <= EXACT_ROWS:
         return values.agg(F.percentile("v", probs).alias("q")).first().q
+    needed = needed_ranks(probs, n)
+    return between_ranks(probs, n, order_statistics(values, needed, n=n))
+
+
+def needed_ranks(probs: list[float], n: int) -> list[int]:
+    """The places on both sides of each percentile of n values."""
+    return sorted({r for p in probs for r in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))})
+
+
+def between_ranks(probs: list[float], n: int, found: dict[int, float]) -> list[float]:
     places = [p * (n - 1) for p in probs]
-    found = order_statistics(values, sorted({r for x in places for r in (int(x), min(int(x) + 1, n - 1))}), n=n)
     return [found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, n - 1)] - found[int(x)]) for x in places]
 
 
+def column_percentiles(df: DataFrame, probs: list[float], n: dict[str, int]) -> dict[str, list[float]]:
+    """interpolated() of several columns in as many passes as one takes."""
+    found = column_order_statistics(df, {c: needed_ranks(probs, k) for c, k in n.items()}, n)
+    return {c: between_ranks(probs, k, found[c]) for c, k in n.items()}
+
+
 def winsorize(df: DataFrame, col: str, lower: float = 0.01, upper: float = 0.99, exact: bool = True) -> DataFrame:
     """Clamps a column to its quantiles; nulls stay."""
     found = quantiles(df, col, [lower, upper], exact)
