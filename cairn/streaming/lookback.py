@@ -3,7 +3,8 @@ user's signals on its day and on the days before, as fixtures.conversions gives
 
 A day counts whole, so its conversions wait in the state until the watermark passes its
 end; then a timer puts them out, and days that no later conversion reaches are dropped.
-A user's state is at most one row for each of LAGS days and the conversions of open days;
+A user has one timer to go by, that of the earliest day with conversions or else of the last day's
+expiry: it settles all that the watermark has passed, and sets the next. A user's state is at most one row for each of LAGS days and the conversions of open days;
 a user who goes silent leaves none. Rows older than the watermark are late and dropped, null
 users are a user of their own, rows with a null time are left out, and days are those of UTC.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,19 +36,24 @@ class LookBack(StatefulProcessor):
         self.waiting = handle.getListState("waiting", self.columns)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        timers = set()
+        added: dict[int, list[int]] = {}
+        kept, last = [], None
         for some in rows:
-            for day, own in some.groupby("day"):
-                timers |= {int(day) + 1, int(day) + LAGS}
-                added = [int((own["event_type"] == e).sum()) for e in SIGNALS.values()]
-                if any(added):
-                    old = self.days.getValue((int(day),)) if self.days.containsKey((int(day),)) else (0,) * len(added)
-                    self.days.updateValue((int(day),), tuple(a + b for a, b in zip(old, added, strict=True)))
-                kept = own[own["event_type"].isin(CONVERSIONS)]
-                if len(kept):
-                    self.waiting.appendList([tuple(None if pd.isna(v) else v for v in r) for r in kept[self.columns.names].astype(object).itertuples(index=False)])
-        for day in timers:
-            self.handle.registerTimer(day * DAY_MS)
+            day, kind = some["day"].to_numpy(), some["event_type"]
+            last = max(int(day.max()), last if last is not None else int(day.max()))
+            for p, e in enumerate(SIGNALS.values()):
+                for d, n in zip(*np.unique(day[(kind == e).to_numpy()], return_counts=True), strict=True):
+                    added.setdefault(int(d), [0] * len(SIGNALS))[p] += int(n)
+            own = some.loc[kind.isin(CONVERSIONS), self.columns.names]
+            kept += [tuple(None if pd.isna(v) else v for v in r) for r in own.astype(object).itertuples(index=False)]
+        old = {k[0]: v for k, v in self.days.iterator()} if added else {}
+        for d, n in added.items():
+            self.days.updateValue((d,), tuple(a + b for a, b in zip(old.get(d, (0,) * len(n)), n, strict=True)))
+        if kept:
+            self.waiting.appendList(kept)
+            self.handle.registerTimer((min(r[self.columns.names.index("day")] for r in kept) + 1) * DAY_MS)
+        elif last is not None:
+            self.handle.registerTimer((last + LAGS) * DAY_MS)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -59,9 +66,17 @@ class LookBack(StatefulProcessor):
             self.waiting.clear()
             if left:
                 self.waiting.put(left)
-        for d in counts:
-            if d <= open_day - LAGS:
+        gone = [d for d in counts if d <= open_day - LAGS]
+        if len(gone) == len(counts):
+            self.days.clear()
+        else:
+            for d in gone:
                 self.days.removeKey((d,))
+        still = [r[day] for r in rows if r[day] >= open_day]
+        if still:
+            self.handle.registerTimer((min(still) + 1) * DAY_MS)
+        elif len(gone) < len(counts):
+            self.handle.registerTimer((max(counts) + LAGS) * DAY_MS)
         none = (0,) * len(SIGNALS)
         lags = [[counts.get(r[day] - i, none)[p] for p in range(len(SIGNALS)) for i in range(LAGS)] for r in due]
         out = pd.DataFrame([tuple(r) + tuple(x) for r, x in zip(due, lags, strict=True)], columns=[*self.columns.names, *lag_names()])

@@ -110,3 +110,42 @@ def test_state_expires(spark, tmp_path, history):
     assert left.count() <= 1
     waiting = spark.read.format("statestore").option("path", f"{tmp_path}/check").option("stateVarName", "waiting").load()
     assert waiting.count() == 0
+
+
+def test_a_user_keeps_one_timer(spark):
+    """However many days a batch brings of a user, one timer is set, for the first day to settle."""
+    import pandas as pd
+    from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+    class State:
+        def __init__(self):
+            self.kept = {}
+
+        def iterator(self):
+            return iter(self.kept.items())
+
+        def updateValue(self, k, v):
+            self.kept[k] = v
+
+        def appendList(self, rows):
+            self.rows = rows
+
+    class Handle:
+        timers = []
+
+        def getMapState(self, *a):
+            return State()
+
+        getListState = getMapState
+
+        def registerTimer(self, ms):
+            self.timers.append(ms)
+
+    own = lookback.LookBack(StructType([StructField("event_id", LongType()), StructField("event_type", StringType()), StructField("day", IntegerType())]))
+    own.init(Handle())
+    rows = pd.DataFrame([(i, k, 19000 + i // 3) for i, k in enumerate(["click", "purchase", "view"] * 30)], columns=["event_id", "event_type", "day"])
+    list(own.handleInputRows((1,), iter([rows[:40], rows[40:]]), None))
+    assert Handle.timers == [19001 * lookback.DAY_MS]
+    assert own.days.kept[(19013,)] == (1, 1, 0) and len(own.days.kept) == len(own.waiting.rows) == 30
+    list(own.handleInputRows((1,), iter([rows[rows.event_type == "click"]]), None))
+    assert Handle.timers[1:] == [(19029 + LAGS) * lookback.DAY_MS] and own.days.kept[(19013,)] == (2, 1, 0)
