@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cairn.config import LIFT_FIELDS, REGRESSION_COLUMNS, LiftConfig
@@ -244,6 +245,16 @@ def test_class_weights_leave_rows_where_they_are(spark):
     assert out.count() == 4000
 
 
+def test_node_ids_give_the_same_trees(spark):
+    x, _, y = sample(k=4, n=400)
+    df = frame(spark, x, np.ones(400), (y > np.median(y)).astype(float)).select(array_to_vector("x").alias("features"), F.col("y").alias("conversionIndicator")).repartition(3).persist()
+    assert robust.outcome_classifier().getCacheNodeIds() and propensity.classifier("RandomForest").getCacheNodeIds()
+    plain = RandomForestClassifier(featuresCol="features", labelCol="conversionIndicator", numTrees=5, maxDepth=6, seed=3, minInstancesPerNode=5)
+    trees = [[t.toDebugString.split("\n", 1)[1] for t in m.fit(df).trees] for m in (plain, plain.copy().setCacheNodeIds(True))]
+    assert trees[0] == trees[1]
+    df.unpersist()
+
+
 def test_calibrators_score_once(spark):
     seen = spark.sparkContext.accumulator(0)
 
