@@ -12,9 +12,10 @@ score is a probability of the whole text, unseen words being one more type as in
 Weights are learned in numpy by truncated backpropagation from every token of every training
 document, once: in each of ROUNDS rounds every partition of blocks starts from the
 common weights, runs over its next share of each block's documents, and the weights that
-it comes to are averaged by tokens, in two levels of segments. The driver gets one
+it comes to are averaged by tokens, in two levels of segments. The shares are staged as network
+ids before the first round, in columns of their own, so a round reads its share alone. The driver gets one
 set of weights a round, as large as the network, and no text. Scoring carries the state over all
-of a document's windows, many documents side by side.
+of a document's windows, in lanes of documents that run side by side.
 
 Edge cases: null or empty text is the end alone. Without training documents N and V are
 0, the base is that of an unseen token, and the network stays as initialised. A null doc_id is not
@@ -23,7 +24,9 @@ held out. Repeated rows count as often as they stand and are scored alike.
 
 from __future__ import annotations
 
+import bisect
 import copy
+import heapq
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,11 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .coded import lay
+from .coded import distinct, lay, per_text, split_words
 from .env import give_back, one_thread, ship, staged
 
 ALPHA = 0.1
@@ -44,7 +47,10 @@ ROUNDS, LANES, WINDOW, RATE, SEED = 4, 512, 16, 0.01, 7
 STEPS = 50  # of a share of a block, at least, if it has the tokens: fewer tokens go in fewer lanes
 WARM = 20  # steps over which the rate rises in each round
 SEGMENTS, FAN = 16, 64  # of the weights, and partitions averaged at once
-SCORE_LANES, SCORE_WINDOW = 1024, 32
+SCORE_LANES, SCORE_LEAST, SCORE_WINDOW = 1024, 128, 32
+CACHED = 1 << 16  # logits held at once
+SAFE = 60.0  # logits up to here need no shift before exp
+PLACES = 12  # rows of an id that are summed by their place
 BLOCK_CHARS = 12_000_000
 COLUMN_WORDS = 300_000
 
@@ -75,158 +81,269 @@ class Gru:
 
     def load(self, flat: np.ndarray) -> None:
         ends = np.cumsum([v.size for v in self.p.values()])
-        self.p = {k: part.reshape(v.shape).astype(np.float32) for (k, v), part in zip(self.p.items(), np.split(flat, ends[:-1]), strict=True)}
-
-    def inputs(self) -> np.ndarray:
-        return self.p["in_"] + self.p["b"]
-
-    def step(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """The next state from the tokens' inputs, and what the way back needs."""
-        k = self.hidden
-        hu = h @ self.p["u"]
-        zr = x[:, :2 * k] + hu[:, :2 * k]
-        zr *= 0.5
-        np.tanh(zr, out=zr)
+        self.p = {k: part.reshape(v.shape).astype(np.float32, copy=False) for (k, v), part in zip(self.p.items(), np.split(flat, ends[:-1]), strict=True)}
+
+    def gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """By gate (update, reset, new): each token's inputs and the recurrent weights, times -1, -1 and 2, as step() wants them."""
+        p, k, made = self.p, self.hidden, []
+        for w, b in ((p["in_"], p["b"]), (p["u"], None)):
+            by = np.empty((3, len(w), k), w.dtype)
+            for g, factor in enumerate((-1, -1, 2)):
+                np.multiply(w[:, g * k:(g + 1) * k], factor, out=by[g])
+                if b is not None:
+                    by[g] += b[g * k:(g + 1) * k] * factor
+            made.append(by)
+        return tuple(made)
+
+    def outputs(self) -> tuple:
+        """For the classes and for the tokens: output weights with the bias as the last column, and with ones
+        in its place; and whether all logits are small enough for exp as they are (a state is within -1 and 1)."""
+        p, made = self.p, []
+        for w, b in ((p["wc"].T, p["bc"]), (p["ww"], p["bw"])):
+            w = np.column_stack([w, b])
+            one = w.copy()
+            one[:, -1] = 1
+            made.append((w, one))
+        return *made, all(float(np.abs(w).sum(1).max()) < SAFE for w, _ in made)
+
+    def step(self, h: np.ndarray, x: np.ndarray, u: np.ndarray, new: np.ndarray, zr: np.ndarray, n: np.ndarray, hu: np.ndarray) -> None:
+        """Writes the next state, from the tokens' inputs by gate, into new, and what the way back needs into the
+        last three: both gates, the new value, the products with u. Overflow of exp gives the right limits."""
+        np.matmul(h, u, out=hu)
+        np.add(x[:2], hu[:2], out=zr)
+        np.exp(zr, out=zr)
         zr += 1
-        zr *= 0.5  # the logistic function, by way of tanh
-        z, r, hun = zr[:, :k], zr[:, k:], hu[:, 2 * k:]
-        n = r * hun
-        n += x[:, 2 * k:]
-        np.tanh(n, out=n)
-        new = h - n
-        new *= z
+        np.reciprocal(zr, out=zr)  # the logistic function, as inputs and u are negative here
+        np.multiply(zr[1], hu[2], out=n)
+        n += x[2]
+        np.exp(n, out=n)
+        n += 1
+        np.divide(-2, n, out=n)
+        n += 1  # tanh, as inputs and u are doubled here
+        np.subtract(h, n, out=new)
+        new *= zr[0]
         new += n
-        return new, (h, z, r, n, hun)
-
-    def _softmax(self, a: np.ndarray, own: np.ndarray, grad: bool, m: int) -> np.ndarray:
-        """Log-probabilities of column own of each row of logits; a becomes the gradient of the mean loss over m."""
-        rows = np.arange(len(a))
-        a -= a.max(1, keepdims=True)
-        out = a[rows, own]
-        np.exp(a, out=a)
-        total = a.sum(1)
-        if grad:
-            a /= total[:, None]
-            a[rows, own] -= 1
-            a *= 1 / m
-        return out - np.log(total)
-
-    def log_probs(self, hs: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+
+    @staticmethod
+    def _softmax(x: np.ndarray, w: np.ndarray, one: np.ndarray, own: np.ndarray, runs: list, safe: bool, grad: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+        """Log-probability of row own of w for each row of x. A run (s, e, lo, hi): rows s to e of x choose among rows lo to hi of w.
+        With grad, adds the mean loss's gradient of w to it and returns that of x. Runs go in groups that stay in the cache;
+        exponentials are never divided by their sums, the narrow products are."""
+        m, mine = len(x), w.take(own, 0)
+        logs, dx = np.einsum("ij,ij->i", x, mine), None if grad is None else np.empty_like(x)
+        runs = [(a, min(a + max(1, CACHED // (hi - lo)), e), lo, hi) for s, e, lo, hi in runs for a in range(s, e, max(1, CACHED // (hi - lo)))]
+        s, e, lo, hi = np.array(runs).T
+        rows, wide = e - s, hi - lo
+        ends = np.cumsum(rows * wide)
+        at = ends - rows * wide
+        if grad is not None:
+            place = np.repeat(at - lo - wide * s, rows)
+            place += np.repeat(wide, rows) * np.arange(m)
+            place += own
+        ends, at, i = ends.tolist(), at.tolist(), 0
+        while i < len(runs):
+            j = max(i + 1, bisect.bisect_right(ends, at[i] + CACHED))
+            first, last = runs[i][0], runs[j - 1][1]
+            a, group = np.empty(ends[j - 1] - at[i], x.dtype), []
+            for (s, e, lo, hi), o, end in zip(runs[i:j], at[i:j], ends[i:j], strict=True):
+                v = a[o - at[i]:end - at[i]].reshape(e - s, hi - lo)
+                np.matmul(x[s:e], w[lo:hi].T, out=v)
+                group.append((v, s, e, lo, hi))
+            if not safe:
+                for v, s, e, _, _ in group:
+                    top = v.max(1)
+                    v -= top[:, None]
+                    logs[s:e] -= top
+            np.exp(a, out=a)
+            if grad is None:
+                total = np.concatenate([v @ one[lo:hi, -1] for v, _, _, lo, hi in group])
+            else:
+                for v, s, e, lo, hi in group:
+                    np.matmul(v, one[lo:hi], out=dx[s:e])
+                total = dx[first:last, -1].copy()
+                scale = (1 / m / total)[:, None]
+                dx[first:last] *= scale
+                a[place[first:last] - at[i]] -= total
+                xs = x[first:last] * scale
+                for v, s, e, lo, hi in group:
+                    grad[lo:hi] += v.T @ xs[s - first:e - first]
+            logs[first:last] -= np.log(total)
+            i = j
+        if grad is not None:
+            mine *= 1 / m
+            dx -= mine
+        return logs, dx
+
+    def log_probs(self, hs: np.ndarray, targets: np.ndarray, outputs: tuple, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural-log probabilities of targets; with grads, adds those of the mean loss and returns that of hs."""
-        p, m, grad = self.p, len(targets), grads is not None
-        order = np.argsort(self.class_of[targets].astype(self.key), kind="stable")
-        hs, targets = hs[order], targets[order]
+        (wc, wc1), (ww, ww1), safe = outputs
+        m, k, n = len(targets), self.hidden, len(self.cuts) - 1
         cls = self.class_of[targets]
-        cut = np.searchsorted(cls, np.arange(len(self.cuts)))
-        a = hs @ p["wc"]
-        a += p["bc"]
-        out, dh = self._softmax(a, cls, grad, m), None
-        if grad:
-            grads["wc"] += hs.T @ a
-            grads["bc"] += a.sum(0)
-            dh = a @ p["wc"].T
-        for s, e, lo, hi in zip(cut, cut[1:], self.cuts, self.cuts[1:], strict=False):
-            if s == e or hi - lo == 1:
-                continue
-            x, w = hs[s:e], p["ww"][lo:hi]
-            a = x @ w.T
-            a += p["bw"][lo:hi]
-            out[s:e] += self._softmax(a, targets[s:e] - lo, grad, m)
-            if grad:
-                grads["ww"][lo:hi] += a.T @ x
-                grads["bw"][lo:hi] += a.sum(0)
-                dh[s:e] += a @ w
+        order = np.argsort(cls.astype(self.key), kind="stable")
+        targets, cls = targets[order], cls[order]
+        x = np.empty((m, k + 1), hs.dtype)
+        x[:, :k], x[:, k] = hs.take(order, 0), 1
+        cut = np.searchsorted(cls, np.arange(n + 1)).tolist()
+        inner = [r for r in zip(cut, cut[1:], self.cuts.tolist(), self.cuts[1:].tolist(), strict=False) if r[0] < r[1]]
+        gc, gw = (None, None) if grads is None else (np.zeros_like(wc), np.zeros_like(ww))
+        logs, dx = self._softmax(x, wc, wc1, cls, [(0, m, 0, n)], safe, gc)
+        more, dy = self._softmax(x, ww, ww1, targets, inner, safe, gw)
+        out = np.empty_like(logs)
+        out[order] = logs + more
+        if grads is None:
+            return out, None
+        grads["wc"] += gc[:, :k].T
+        grads["bc"] += gc[:, k]
+        grads["ww"] += gw[:, :k]
+        grads["bw"] += gw[:, k]
         back = np.empty_like(order)
         back[order] = np.arange(m)
-        return out[back], dh[back] if grad else None
+        dx += dy
+        return out, dx.take(back, 0)[:, :k]
 
     def window(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Loss, gradients (truncated at the window's start) and last state of one window
         [time, lane]; fresh marks the tokens before which a lane's state is cleared."""
         p, k, (times, lanes) = self.p, self.hidden, inputs.shape
         grads = {n: np.zeros_like(v) for n, v in p.items()}
-        hs, kept, keep = np.empty((times, lanes, k), h.dtype), [], (~fresh).astype(h.dtype)[:, :, None]
-        xs = self.inputs()[inputs]
-        for t in range(times):
-            h, memo = self.step(h * keep[t], xs[t])
-            hs[t] = h
-            kept.append(memo)
-        logs, dhs = self.log_probs(hs.reshape(-1, k), targets.ravel(), grads)
-        dhs = dhs.reshape(times, lanes, k)
-        before = np.stack([memo[0] for memo in kept])
-        dx, du = np.empty((times, lanes, 3 * k), h.dtype), np.empty((times, lanes, 3 * k), h.dtype)
-        back, ut = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+        space = lambda *by: np.empty((*by, lanes, k), h.dtype)
+        before, hs, zr, n, kept, dx = space(times), space(times), space(times, 2), space(times), space(times), space(3, times)
+        (tables, u), cleared, hu = self.gates(), [np.flatnonzero(f) for f in fresh], space(3)
+        with np.errstate(over="ignore"):
+            for t in range(times):
+                before[t] = h
+                before[t, cleared[t]] = 0
+                self.step(before[t], tables.take(inputs[t], 1), u, hs[t], zr[t], n[t], hu)
+                kept[t], h = hu[2], hs[t]
+        logs, dhs = self.log_probs(hs.reshape(-1, k), targets.ravel(), self.outputs(), grads)
+        dhs, du = dhs.reshape(times, lanes, k), np.zeros((3, k, k), h.dtype)
+        ut = np.ascontiguousarray(u.swapaxes(1, 2)) * np.array([-1, -0.5, 0.5], h.dtype)[:, None, None]
+        back, d, last, g, e = np.zeros_like(h), space(3), space(3), space(), space()
         for t in range(times - 1, -1, -1):
-            g = dhs[t] + back
-            _, z, r, n, hun = kept[t]
-            gz = g * z
-            dan = (g - gz) * (1 - n * n)
-            dx[t, :, 2 * k:] = dan
-            dx[t, :, :k] = (before[t] - n) * gz * (1 - z)
-            dan *= r
-            du[t, :, 2 * k:] = dan
-            dan *= hun
-            dan *= 1 - r
-            dx[t, :, k:2 * k] = dan
-            du[t, :, :2 * k] = dx[t, :, :2 * k]
-            back = du[t] @ ut
-            back += gz
-            back *= keep[t]
-        dx, du = dx.reshape(-1, 3 * k), du.reshape(-1, 3 * k)
-        order = np.argsort(inputs.ravel().astype(self.key), kind="stable")
-        ids = inputs.ravel()[order]
-        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        grads["in_"][ids[first]] = np.add.reduceat(dx[order], first, axis=0)
-        grads["b"] = dx.sum(0)
-        grads["u"] = before.reshape(-1, k).T @ du
+            (z, r), new = zr[t], n[t]
+            np.add(dhs[t], back, out=g)
+            np.multiply(g, z, out=back)
+            g -= back
+            np.subtract(before[t], new, out=d[0])
+            d[0] *= z
+            d[0] *= g
+            np.multiply(new, new, out=e)
+            np.subtract(1, e, out=e)
+            g *= e
+            np.multiply(g, r, out=d[2])
+            np.subtract(1, r, out=d[1])
+            d[1] *= d[2]
+            d[1] *= kept[t]  # twice the reset gate's gradient, as products with u are doubled here
+            dx[:2, t], dx[2, t] = d[:2], g
+            du += np.matmul(before[t].T, d)
+            np.matmul(d, ut, out=last)
+            for x in last:
+                back += x
+            back[cleared[t]] = 0
+        du[1] *= 0.5
+        grads["u"] = du.swapaxes(0, 1).reshape(k, 3 * k)
+        ids, sums = sums_by(inputs.ravel().astype(self.key), dx.reshape(3, -1, k))
+        sums[:, k:2 * k] *= 0.5
+        grads["in_"][ids] = sums
+        grads["b"] = sums.sum(0)
         return -float(logs.mean()), grads, h
 
     def score(self, flat: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
-        """Natural-log probability of each document; flat holds their targets one after another."""
-        starts = np.cumsum(lengths) - lengths
-        order, xs = np.argsort(-lengths, kind="stable"), self.inputs()
-        out = np.zeros(len(lengths))
-        for g in range(0, len(order), SCORE_LANES):
-            lane = order[g:g + SCORE_LANES]
-            at, size = starts[lane], lengths[lane]
-            h, before = np.zeros((len(lane), self.hidden), np.float32), np.full(len(lane), end)
-            for t0 in range(0, int(size[0]), SCORE_WINDOW):
-                hs, ys, owner = [], [], []
-                for t in range(t0, min(t0 + SCORE_WINDOW, int(size[0]))):
-                    live = int(np.searchsorted(-size, -t, side="left"))  # lanes longer than t come first
-                    h, before = h[:live], before[:live]
-                    h, _ = self.step(h, xs[before])
-                    before = flat[at[:live] + t]
-                    hs.append(h)
-                    ys.append(before)
-                    owner.append(lane[:live])
-                logs, _ = self.log_probs(np.concatenate(hs), np.concatenate(ys))
-                out += np.bincount(np.concatenate(owner), logs, len(out))
+        """Natural-log probability of each document; flat holds their targets one after another, the last of each the end.
+        Documents are dealt out, the longest first, to the shortest lane, and a lane runs through its documents."""
+        if not len(lengths):
+            return np.zeros(0)
+        lanes = int(min(len(lengths), np.clip(lengths.sum() // lengths.max(), SCORE_LEAST, SCORE_LANES)))
+        heap, dealt = [(0, i) for i in range(lanes)], [[] for _ in range(lanes)]
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            size, lane = heap[0]
+            dealt[lane].append(i)
+            heapq.heapreplace(heap, (size + int(lengths[i]), lane))
+        sizes = np.array([size for size, _ in sorted(heap, key=lambda x: x[1])])
+        long = np.argsort(-sizes, kind="stable")  # lanes that run longer come first
+        sizes, dealt = sizes[long], [dealt[i] for i in long]
+        docs, at = np.array([i for d in dealt for i in d]), np.cumsum(sizes) - sizes
+        stream, each = lay(docs, flat, lengths)
+        starts = np.cumsum(each) - each
+        lane_of = np.repeat(np.arange(lanes), [len(d) for d in dealt])
+        begin = starts - at[lane_of]
+        by_time = np.argsort(begin, kind="stable")
+        begin, lane_of = begin[by_time], lane_of[by_time]
+        tables, u = self.gates()
+        outputs, logs, k = self.outputs(), np.empty(len(stream), np.float32), self.hidden
+        live = np.searchsorted(-sizes, -np.arange(int(sizes[0])), side="left").tolist()
+        first = np.searchsorted(begin, np.arange(len(live) + 1)).tolist()
+        h, before = np.zeros((lanes, k), np.float32), np.full(lanes, end)
+        with np.errstate(over="ignore"):
+            for t0 in range(0, len(live), SCORE_WINDOW):
+                hs, place, o = np.empty((sum(live[t0:t0 + SCORE_WINDOW]), k), np.float32), [], 0
+                zr, n, hu = (np.empty((*by, live[t0], k), np.float32) for by in ((2,), (), (3,)))
+                for t in range(t0, min(t0 + SCORE_WINDOW, len(live))):
+                    m = live[t]
+                    if m < len(n):
+                        zr, n, hu = zr[:, :m], n[:m], hu[:, :m]
+                    h = h[:m].copy() if t == t0 or first[t] < first[t + 1] else h[:m]
+                    h[lane_of[first[t]:first[t + 1]]] = 0
+                    self.step(h, tables.take(before[:m], 1), u, hs[o:o + m], zr, n, hu)
+                    h, o = hs[o:o + m], o + m
+                    place.append(at[:m] + t)
+                    before = stream[place[-1]]
+                place = np.concatenate(place)
+                logs[place] = self.log_probs(hs, stream[place], outputs)[0]
+        out = np.empty(len(lengths))
+        out[docs] = np.add.reduceat(logs, starts, dtype=float)
         return out
 
 
+def sums_by(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, and the sums of values [gate, row, unit] over the rows of each, gates side by side: many rows
+    of an id in one product, few by their place among the rows of their id."""
+    order = np.argsort(ids, kind="stable")
+    ids, (gates, n, k) = ids[order], values.shape
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    count = np.diff(np.r_[first, n])
+    most = np.argsort(-count, kind="stable")
+    first, count = first[most], count[most]
+    rows, ones = np.empty((n, gates * k), values.dtype), np.ones(n, values.dtype)
+    for g in range(gates):
+        rows[:, g * k:(g + 1) * k] = values[g].take(order, 0)
+    out = rows.take(first, 0)
+    many = int(np.searchsorted(-count, -PLACES, side="left"))
+    for i, (a, c) in enumerate(zip(first[:many].tolist(), count[:many].tolist(), strict=True)):
+        out[i] = ones[:c] @ rows[a:a + c]
+    for j in range(1, PLACES):
+        m = int(np.searchsorted(-count, -j, side="left"))
+        if m > many:
+            out[many:m] += rows.take(first[many:m] + j, 0)
+    return ids[first], out
+
+
 class Adam:
-    """Adam with clipped gradients on a network's weights, in place."""
+    """Adam with clipped gradients on a network's weights, which become views of one array."""
 
     def __init__(self, net: Gru, rate: float) -> None:
-        self.p, self.rate, self.steps = net.p, rate, 0
-        self.m, self.v = ({n: np.zeros_like(w) for n, w in net.p.items()} for _ in range(2))
+        self.names, self.rate, self.steps, self.w = list(net.p), rate, 0, net.flat()
+        net.load(self.w)
+        self.m, self.v = np.zeros_like(self.w), np.zeros_like(self.w)
 
     def step(self, grads: dict) -> None:
         self.steps += 1
-        scale = min(1.0, 1.0 / max(1e-9, float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))))
-        rate = self.rate * min(1.0, self.steps / WARM) / (1 - 0.9**self.steps)
-        for n, g in grads.items():
-            g *= scale
-            m, v = self.m[n], self.v[n]
-            m += 0.1 * (g - m)
-            g *= g
-            v += 0.01 * (g - v)
-            d = np.sqrt(v / (1 - 0.99**self.steps))
-            d += 1e-8
-            np.divide(m, d, out=d)
-            d *= rate
-            self.p[n] -= d
+        g = np.concatenate([grads[n].ravel() for n in self.names])
+        g *= min(1.0, 1.0 / max(1e-9, float(np.sqrt(g @ g))))
+        m, v = self.m, self.v
+        m *= 0.9
+        v *= 0.99
+        d = g * 0.1
+        m += d
+        g *= g
+        g *= 0.01
+        v += g
+        np.multiply(v, 1 / (1 - 0.99**self.steps), out=d)
+        np.sqrt(d, out=d)
+        d += 1e-8
+        np.divide(m, d, out=d)
+        d *= self.rate * min(1.0, self.steps / WARM) / (1 - 0.9**self.steps)
+        self.w -= d
 
 
 def learn(net: Gru, adam: Adam, targets: np.ndarray, lengths: np.ndarray, end: int) -> float:
@@ -284,12 +401,14 @@ def cut_blocks(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId() << 32
-        ids, lengths, codes, known, chars = [], [], [], {}, 0
+        ids, texts, chars = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
+            cut, at = split_words(pc.ascii_lower(pa.concat_arrays(texts)))
+            filled = pc.greater(pc.binary_length(cut), 0)
+            n = per_text(filled.to_numpy(zero_copy_only=False).astype(np.int64), at)
+            flat, known = distinct(cut.filter(filled))
             held = np.array([is_held_out(d) for d in ids])
-            n = np.array(lengths, np.int64)
             train = np.bincount(flat[~np.repeat(held, n)], minlength=len(known)).astype("<u4")
             packed = np.array([[d is not None, held[i], d or 0] for i, d in enumerate(ids)], "<i8")
             return pa.RecordBatch.from_pydict({
@@ -297,18 +416,19 @@ def cut_blocks(docs: DataFrame) -> DataFrame:
                 "codes": pa.array([_pack(flat.astype("<u4").tobytes())], pa.binary()), "words": pa.array([_pack(b" ".join(known))], pa.binary()), "train": pa.array([_pack(train.tobytes())], pa.binary())})
 
         for b in batches:
-            size = pa.compute.binary_length(b.column(1)).fill_null(0).to_pylist()
-            for d, t, c in zip(b.column(0).to_pylist(), b.column(1), size, strict=True):
-                words = words_of(t.as_py())
-                add = known.setdefault
-                ids.append(d)
-                lengths.append(len(words))
-                codes.append(np.fromiter((add(w, len(known)) for w in words), np.uint32, len(words)))
-                chars += c
+            own, text = b.column(0).to_pylist(), pc.fill_null(b.column(1), "")
+            ends, s = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+            while s < len(own):
+                done = int(ends[s - 1]) if s else 0
+                e = min(len(own), int(np.searchsorted(ends, done + BLOCK_CHARS - chars)) + 1)
+                ids += own[s:e]
+                texts.append(text.slice(s, e - s))
+                chars += int(ends[e - 1]) - done
+                s = e
                 if chars >= BLOCK_CHARS:
                     yield flush()
                     block += 1
-                    ids, lengths, codes, known, chars = [], [], [], {}, 0
+                    ids, texts, chars = [], [], 0
         if ids:
             yield flush()
 
@@ -329,25 +449,24 @@ def count_words(blocks: DataFrame, vocab: int = VOCAB) -> DataFrame:
                 words, train = _unpack(row["words"]).split(), np.frombuffer(_unpack(row["train"]), "<u4")
                 col = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)) % np.uint64(columns)
                 order = np.argsort(col, kind="stable")
-                cut = np.searchsorted(col[order], np.arange(columns + 1))
-                for c in range(columns):
-                    at = order[cut[c]:cut[c + 1]]
-                    if len(at):
-                        yield pa.RecordBatch.from_pydict({"col": pa.array([c], pa.int32()), "block": pa.array([row["block"]], pa.int64()), "words": pa.array([b" ".join([words[i] for i in at])], pa.binary()), "codes": pa.array([at.astype("<u4").tobytes()], pa.binary()), "train": pa.array([train[at].tobytes()], pa.binary())})
+                cut = np.searchsorted(col[order], np.arange(columns + 1)).tolist()
+                to = [(c, order[i:j]) for c, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if i < j]
+                yield pa.RecordBatch.from_pydict({"col": pa.array([c for c, _ in to], pa.int32()), "block": pa.array([row["block"]] * len(to), pa.int64()), "words": pa.array([b" ".join([words[i] for i in at.tolist()]) for _, at in to], pa.binary()), "codes": pa.array([at.astype("<u4").tobytes() for _, at in to], pa.binary()), "train": pa.array([train[at].tobytes() for _, at in to], pa.binary())})
 
     def total(table: pa.Table) -> pa.Table:
-        sums: dict[bytes, int] = {}
-        cut = [x.split() for x in table.column("words").to_pylist()]
-        for words, raw in zip(cut, table.column("train").to_pylist(), strict=True):
-            for w, n in zip(words, np.frombuffer(raw, "<u4").tolist(), strict=True):
-                sums[w] = sums.get(w, 0) + n
-        seen = [(n, w) for w, n in sums.items() if n]
-        top = sorted(seen, key=lambda x: (-x[0], x[1]))[:vocab]
-        back = [c + np.array([sums[w] for w in words], "<i8").tobytes() for words, c in zip(cut, table.column("codes").to_pylist(), strict=True)]
+        cut = pc.split_pattern(table.column("words").combine_chunks(), b" ")
+        codes, words = distinct(cut.flatten())
+        # whole numbers below 2**53, so exact
+        sums = np.bincount(codes, np.frombuffer(b"".join(table.column("train").to_pylist()), "<u4"), len(words)).astype("<i8")
+        seen = np.flatnonzero(sums)
+        most = seen if len(seen) <= vocab else seen[sums[seen] >= np.partition(sums[seen], -vocab)[-vocab]]
+        top = sorted(((int(sums[i]), words[i]) for i in most.tolist()), key=lambda x: (-x[0], x[1]))[:vocab]
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+        back = [c + s.tobytes() for c, s in zip(table.column("codes").to_pylist(), np.split(sums[codes], ends[:-1]), strict=True)]
         k = len(back)
         return pa.table({
             "kind": ["sum"] + ["top"] * len(top) + ["back"] * k, "block": pa.array([None] * (1 + len(top)) + table.column("block").to_pylist(), pa.int64()),
-            "word": pa.array([None] + [w for _, w in top] + [None] * k, pa.binary()), "n": pa.array([sum(n for n, _ in seen)] + [n for n, _ in top] + [None] * k, pa.int64()),
+            "word": pa.array([None] + [w for _, w in top] + [None] * k, pa.binary()), "n": pa.array([int(sums.sum())] + [n for n, _ in top] + [None] * k, pa.int64()),
             "v": pa.array([len(seen)] + [None] * (len(top) + k), pa.int64()), "payload": pa.array([None] * (1 + len(top)) + back, pa.binary())})
 
     sent = blocks.select("block", "words", "train").mapInArrow(send, "col int, block long, words binary, codes binary, train binary")
@@ -398,8 +517,9 @@ def train(blocks: DataFrame, counts: DataFrame, vocab: int = VOCAB, rounds: int
     ids = {w: i for i, (_, w) in enumerate(rows) if isinstance(w, bytes)}
     end, other = (next(i for i, (_, w) in enumerate(rows) if not isinstance(w, bytes) and w == k) for k in (None, 0))
     model = Model(net, ids, other, end, words + ends, types + (ends > 0), ends, rest_n + ALPHA * (rest_v + 1), uuid.uuid4().hex, [])
+    tokens = _tokens(blocks, model, rounds)
     for r in range(rounds):
-        one = staged(_averaged(_round(blocks, model, r, rounds, rate * (1 - 0.8 * r / max(rounds - 1, 1)))), "lm-weights").orderBy("seg").collect()
+        one = staged(_averaged(_round(tokens, model, r, rate * (1 - 0.8 * r / max(rounds - 1, 1)))), "lm-weights").orderBy("seg").collect()
         if not one:  # no training document in this share
             continue
         net.load(np.concatenate([np.frombuffer(x.weights, "<f4") for x in one]))
@@ -407,32 +527,52 @@ def train(blocks: DataFrame, counts: DataFrame, vocab: int = VOCAB, rounds: int
     return model
 
 
-def _round(blocks: DataFrame, model: Model, r: int, rounds: int, rate: float) -> DataFrame:
-    """Each partition's weights after its share of round r: of every block the training documents whose place in it is r modulo rounds."""
+def _tokens(blocks: DataFrame, model: Model, rounds: int) -> DataFrame:
+    """Staged network ids of every block's training documents, in a pair of columns a round (lengths, ids):
+    round r has the documents whose place in the block is r modulo rounds, and reads its columns alone."""
     shared = blocks.sparkSession.sparkContext.broadcast(model)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            for row in b.to_pylist():
+                words, docs, n, flat = read_block(row)
+                ids = np.array([*(m.ids.get(w, m.other) for w in words), m.end], m.net.key)[flat]
+                out = {}
+                for r in range(rounds):
+                    mine = np.flatnonzero((docs[:, 1] == 0) & (np.arange(len(docs)) % rounds == r))
+                    mine = np.random.default_rng([SEED, r, row["block"] & 0xFFFFFFFF]).permutation(mine)
+                    own, each = lay(mine, ids, n)
+                    out |= {f"n{r}": pa.array([_pack(each.astype("<i8").tobytes())], pa.binary()), f"t{r}": pa.array([_pack(own.tobytes())], pa.binary())}
+                yield pa.RecordBatch.from_pydict(out)
+        give_back()
+
+    ddl = ", ".join(f"n{r} binary, t{r} binary" for r in range(rounds))
+    return staged(blocks.select("block", "docs", "lengths", "codes", "words").mapInArrow(run, ddl), "lm-tokens")
+
+
+def _round(tokens: DataFrame, model: Model, r: int, rate: float) -> DataFrame:
+    """Each partition's weights after its share of round r."""
+    shared = tokens.sparkSession.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         one_thread()
         m, part = shared.value, TaskContext.get().partitionId()
         net = copy.deepcopy(m.net)
-        adam, tokens, loss = Adam(net, rate), 0, 0.0
+        adam, seen, loss = Adam(net, rate), 0, 0.0
         for b in batches:
-            for row in b.to_pylist():
-                words, docs, n, flat = read_block(row)
-                ids = np.fromiter((m.ids.get(w, m.other) for w in words), np.int64, len(words))
-                mine = np.flatnonzero((docs[:, 1] == 0) & (np.arange(len(docs)) % rounds == r))
-                mine = np.random.default_rng([SEED, r, row["block"] & 0xFFFFFFFF]).permutation(mine)
-                targets, _ = lay(mine, np.r_[ids, m.end][flat], n)
-                loss += learn(net, adam, targets, n[mine], m.end)
-                tokens += len(targets)
+            for lengths, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                targets = np.frombuffer(_unpack(ids), net.key).astype(np.int64)
+                loss += learn(net, adam, targets, np.frombuffer(_unpack(lengths), "<i8"), m.end)
+                seen += len(targets)
         give_back()
-        if tokens:
+        if seen:
             parts = np.array_split(net.flat(), SEGMENTS)
-            yield pa.RecordBatch.from_pydict({"seg": pa.array(range(SEGMENTS), pa.int32()), "part": pa.array([part] * SEGMENTS, pa.int32()), "tokens": [tokens] * SEGMENTS, "loss": [loss] * SEGMENTS, "weights": [p.astype("<f4").tobytes() for p in parts]})
+            yield pa.RecordBatch.from_pydict({"seg": pa.array(range(SEGMENTS), pa.int32()), "part": pa.array([part] * SEGMENTS, pa.int32()), "tokens": [seen] * SEGMENTS, "loss": [loss] * SEGMENTS, "weights": [p.astype("<f4").tobytes() for p in parts]})
 
-    return blocks.select("block", "docs", "lengths", "codes", "words").mapInArrow(run, WEIGHTS_DDL)
+    return tokens.select(f"n{r}", f"t{r}").mapInArrow(run, WEIGHTS_DDL)
 
 
 def _averaged(weights: DataFrame) -> DataFrame:

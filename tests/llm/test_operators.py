@@ -414,6 +414,68 @@ def test_score_is_a_probability():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_scoring_takes_no_more_steps_than_the_longest_document(monkeypatch):
+    """Documents of falling length share lanes: the steps are those of the longest, not a sum over groups; scores are those of each alone."""
+    g = recurrent_lm.Gru(np.array([5.0, 4, 3, 2, 1, 1]), hidden=3, classes=2)
+    rng, lengths, steps, step = np.random.default_rng(1), np.random.default_rng(0).permutation(np.arange(1, 2049)), [], recurrent_lm.Gru.step
+    flat = rng.integers(0, 6, lengths.sum())
+    flat[np.cumsum(lengths) - 1] = 5
+    monkeypatch.setattr(recurrent_lm.Gru, "step", lambda *a: steps.append(1) or step(*a))
+    got = g.score(flat, lengths, 5)
+    assert len(steps) <= 2048 + 1
+    for i in (0, 1, int(np.argmax(lengths)), int(np.argmin(lengths))):
+        at = int(lengths[:i].sum())
+        assert got[i] == pytest.approx(g.score(flat[at:at + lengths[i]], lengths[i:i + 1], 5)[0], rel=1e-4)
+
+
+def test_large_logits():
+    g = recurrent_lm.Gru(np.array([5.0, 4, 3]), hidden=2, classes=2)
+    g.p["bw"] = g.p["bw"] + np.array([0, 300, 310], np.float32)
+    g.p["bc"] = g.p["bc"] + np.float32(200)
+    assert not g.outputs()[-1]
+    total = sum(math.exp(g.score(np.array([a, b]), np.array([2]), 2)[0]) for a in range(3) for b in range(3))
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_sums_by_id():
+    rng = np.random.default_rng(0)
+    ids, values = np.r_[np.zeros(100, int), rng.integers(0, 40, 300)].astype(np.uint16), rng.normal(size=(3, 400, 2))
+    want = np.zeros((41, 6))
+    np.add.at(want, ids, np.concatenate(values, axis=1))
+    found, sums = recurrent_lm.sums_by(ids, values)
+    assert sorted(found) == sorted(set(ids.tolist())) and np.allclose(sums, want[found])
+
+
+def test_a_round_reads_its_own_tokens_alone(docs):
+    blocks = recurrent_lm.cut_blocks(docs)
+    counts = recurrent_lm.count_words(blocks)
+    m = recurrent_lm.train(blocks, counts, vocab=10, rounds=2)
+    tokens = recurrent_lm._tokens(blocks, m, 2)
+    scans = [x for x in recurrent_lm._round(tokens, m, 1, 0.01)._jdf.queryExecution().toString().splitlines() if "ReadSchema" in x]
+    assert scans and all("ReadSchema: struct<n1:binary,t1:binary>" in x for x in scans)
+    rows = tokens.toPandas()
+    each = np.concatenate([np.frombuffer(recurrent_lm._unpack(x), "<i8") for c in ("n0", "n1") for x in rows[c]])
+    want = [len(recurrent_lm.words_of(r.text)) + 1 for r in docs.collect() if not recurrent_lm.is_held_out(r.doc_id)]
+    assert sorted(each) == sorted(want)
+    assert sum(len(recurrent_lm._unpack(x)) // m.net.key().itemsize for c in ("t0", "t1") for x in rows[c]) == sum(want)
+
+
+def test_blocks_end_where_the_characters_do(spark, monkeypatch):
+    """Words of every kind of white space, blocks of several batches and batches of several blocks."""
+    monkeypatch.setattr(recurrent_lm, "BLOCK_CHARS", 40)
+    rows = [(i, t) for i, t in enumerate(["A b\x0bc\x1cd\u00a0E \u0130", None, "", " \t\n\x0c\r ", "x" * 100, "\u00c9a \u00e9A a", *["Up down up " * (i % 5) for i in range(30)]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found, n = [], 0
+    for row in recurrent_lm.cut_blocks(df).orderBy("block").collect():
+        words, own, lengths, flat = recurrent_lm.read_block(row.asDict())
+        cut = np.split(flat, np.cumsum(lengths)[:-1])
+        found += [(int(d[2]), [words[c] for c in x[:-1].tolist()]) for d, x in zip(own, cut, strict=True)]
+        n += 1
+        inside = [len((t or "").encode()) for i, t in rows if i in set(own[:, 2].tolist())]
+        assert sum(inside[:-1]) < 40
+    assert n > 5 and sorted(found) == [(i, recurrent_lm.words_of(t)) for i, t in rows]
+
+
 # ---- 9: near duplicates ----
 
 def test_near_duplicates(spark, docs, none, corpus):
