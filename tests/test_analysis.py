@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cairn.functions import props
-from cairn.operators import cube, linear, metrics, sampling, sketches, tuning
+from cairn.operators import counted, cube, linear, metrics, sampling, sketches, tuning
 from cairn.operators.features import feature_pipeline, fit_pipeline
 from cairn.plans import sql as front
 from cairn.sources import readers, sinks
@@ -223,3 +223,50 @@ def test_halving_finds_what_the_full_search_finds(spark):
     assert json.dumps(found.best)
     with pytest.raises(ValueError):
         tuning.successive_halving(df, model, "label", F.col("id"), {"noSuch": [1]})
+
+
+def _categories(spark, n=4000):
+    """Rows of few kinds: two flags and a feature of five values, one of them of no use."""
+    rng = np.random.default_rng(8)
+    x = np.stack([rng.integers(0, 2, n), rng.integers(0, 2, n), rng.integers(0, 5, n), rng.integers(0, 3, n)], 1).astype(float)
+    y = (rng.random(n) < 0.15 + 0.5 * (x[:, 0] != x[:, 1]) + 0.06 * x[:, 2]).astype(float)
+    return spark.createDataFrame([(i, Vectors.dense(r), float(v)) for i, (r, v) in enumerate(zip(x, y, strict=True))], ["id", "features", "label"])
+
+
+def test_forest_on_counts_is_the_forest_on_rows(spark):
+    df = _categories(spark).withColumns({"level": F.lit(0), "fold": F.when(F.col("id") < 500, 1).otherwise(0)})
+    rows = counted.counted(df, RandomForestClassifier(), "level", 1, "fold", 2)
+    assert rows.counts.sum() == 4000 and rows.counts[0, 1].sum() == 500 and rows.bins.shape == (60, 4)
+    kinds = spark.createDataFrame([(Vectors.dense([float(v) for v in b]),) for b in rows.bins], ["features"])
+    everything = rows.counts[0].sum(0)
+    for depth, least in ((1, 1), (3, 40), (5, 5), (9, 1)):  # without chance: the same tree
+        one = RandomForestClassifier(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxDepth=depth, minInstancesPerNode=least).fit(df)
+        spark_votes = np.array([r.rawPrediction.toArray() for r in one.transform(kinds).collect()])
+        assert np.allclose(counted.forest_votes(rows.bins, everything, 1, depth, least, 0.0, 1.0, False, "all", [1]), spark_votes, atol=1e-9)
+    forest = RandomForestClassifier(numTrees=200, subsamplingRate=0.8, featureSubsetStrategy="sqrt", maxDepth=4, minInstancesPerNode=20, seed=3).fit(df)
+    shares = np.array([r.probability[1] for r in forest.transform(kinds).collect()])
+    ours = counted.forest_votes(rows.bins, everything, 200, 4, 20, 0.0, 0.8, True, "sqrt", [3])[:, 1] / 200
+    assert np.abs(ours - shares).max() < 0.06 and abs((ours - shares).mean()) < 0.01 and np.corrcoef(ours, shares)[0, 1] > 0.99
+
+
+def test_halving_over_categories_counts_rows_once(spark, monkeypatch):
+    df = _categories(spark)
+    grid = {"numTrees": [5, 20], "maxDepth": [2, 6]}
+    search = lambda rows: tuning.successive_halving(rows, RandomForestClassifier(seed=1), "label", F.col("id"), grid, folds=3, rungs=2)
+    found = search(df)
+    assert search(df.repartition(7)).scores == found.scores  # counts don't depend on partitions, nor do metrics
+    assert Counter(s.rung for s in found.scores) == {0: 4, 1: 2} and found.scores[-1].rows == 4000
+    monkeypatch.setattr(tuning, "counted", lambda *_: None)
+    plain = search(df)
+    assert [(s.rung, s.rows) for s in plain.scores] == [(s.rung, s.rows) for s in found.scores]
+    deep = [(a, b) for a, b in zip(plain.scores[:4], found.scores[:4], strict=True) if a.params["maxDepth"] == 6]  # five trees of depth 2 differ by 0.06 from seed to seed, Spark's as well
+    assert len(deep) == 2 and all(a.params == b.params and abs(a.metric - b.metric) < 0.03 for a, b in deep)
+
+
+def test_rows_that_counts_cannot_stand_for_are_left_to_spark(spark):
+    df = _categories(spark).withColumns({"level": F.lit(0), "fold": F.col("id") % 2})
+    ask = lambda rows, **options: counted.counted(rows, RandomForestClassifier(**options), "level", 1, "fold", 2)
+    assert ask(df) is not None
+    assert ask(df, maxBins=4) is None and ask(df.withColumn("label", F.col("label") + 0.5)) is None and ask(df.withColumn("fold", F.lit(0))) is None
+    assert ask(df.withColumn("label", F.col("id").cast("double"))) is None and ask(df.filter("id < 0")) is None
+    assert counted.known(RandomForestClassifier()) and not counted.known(RandomForestClassifier(weightCol="id")) and not counted.known(RandomForestClassifier(impurity="entropy"))
